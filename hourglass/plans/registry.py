@@ -249,7 +249,7 @@ def q_users_for_game(spark, sf):
 # --- streaming ----------------------------------------------------------------
 
 def q_stream_item_totals(spark, sf):
-    return rounded(streaming.item_totals_from_files(spark, f"{sf.rstrip('/')}/events.parquet", behavior=EVENTS_PLAY))
+    return rounded(streaming.item_totals_from_files(spark, sf, "events.parquet", behavior=EVENTS_PLAY))
 
 
 # --- ALS (rows-only checks; properties are proven in tests) --------------------

@@ -37,10 +37,11 @@ def run_to_table(agg: DataFrame, out_path: str, checkpoint: str, available_now:
     return writer.start()
 
 
-def item_totals_from_files(spark: SparkSession, events_path: str, behavior: str | None = "view") -> DataFrame:
-    """Process every events file available now and return the totals table."""
-    schema = spark.read.parquet(events_path).schema
-    stream = spark.readStream.schema(schema).parquet(events_path)
+def item_totals_from_files(spark: SparkSession, folder: str, pattern: str = "*.parquet", behavior: str | None = "view") -> DataFrame:
+    """Process every events file of ``folder`` matching ``pattern`` that is
+    available now, and return the totals table."""
+    schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
     run_id = uuid.uuid4().hex
     out = scratch_path(spark, "stream", run_id, "totals")
     ckpt = scratch_path(spark, "stream", run_id, "state")
