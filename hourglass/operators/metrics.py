@@ -51,7 +51,7 @@ def score_report(scored: DataFrame, rating: str = "rating", prediction: str = "p
     ).select(
         "n_test",
         F.coalesce(F.col("n_scored"), F.lit(0)).cast("bigint").alias("n_scored"),
-        (F.coalesce(F.col("n_scored"), F.lit(0)) / F.col("n_test")).alias("coverage"),
+        F.try_divide(F.coalesce(F.col("n_scored"), F.lit(0)), F.col("n_test")).alias("coverage"),
         "rmse",
         "rmse_preference",
     )

@@ -98,4 +98,4 @@ def cold_start_coverage(train: DataFrame, test: DataFrame, user: str = "user", i
     return flagged.agg(
         F.count(F.lit(1)).alias("n_test"),
         F.coalesce(F.sum(F.col("_ku") * F.col("_ki")), F.lit(0)).cast("bigint").alias("n_scored"),
-    ).select("n_test", "n_scored", (F.col("n_scored") / F.col("n_test")).alias("coverage"))
+    ).select("n_test", "n_scored", F.try_divide(F.col("n_scored"), F.col("n_test")).alias("coverage"))
