@@ -1,6 +1,6 @@
 from .clean import clean_interactions, profile
 from .explore import behavior_counts, cardinalities, distinct_ids, plays, top_items, top_n, top_users, totals
-from .indexing import Dictionary, build_dictionary, decode, encode, lookup_index
+from .indexing import Dictionary, build_dictionaries, build_dictionary, decode, encode, lookup_index
 from .joins import BROADCAST_MAX_ROWS, sized_broadcast
 from .metrics import (
     actual_items,

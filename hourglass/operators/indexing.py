@@ -14,7 +14,9 @@ dictionary here is a DataFrame:
    is split by label, not piled into one window partition).
 3. ``monotonically_increasing_id`` gives (partition, position); the rows are
    checkpointed so partition ids cannot shift on recomputation.
-4. Per-partition sizes (one row per partition) → prefix offsets → dense id.
+4. Per-partition sizes (one number per partition) → prefix offsets → a
+   literal map from partition to offset, so the dictionary is a narrow
+   projection of the checkpointed rows: no join or window on each use.
 
 Applying it is a join: broadcast when the dictionary's known size is small,
 sort-merge otherwise (AQE splits a hot key's partition).
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stable
@@ -46,38 +48,71 @@ class Dictionary:
         return self.table
 
 
-def build_dictionary(df: DataFrame, col: str, name: str | None = None, partitions: int | None = None) -> Dictionary:
-    """Dictionary of the non-NULL values of ``col`` (cast to text)."""
+def build_dictionaries(df: DataFrame, cols: dict[str, str], partitions: int | None = None) -> dict[str, Dictionary]:
+    """Dictionaries for several columns from ONE scan of ``df``.
+
+    ``cols`` maps a dictionary name to its column. Each row contributes one
+    (kind, label) entry per column; a single partial + final aggregate counts
+    them, one range shuffle orders them by (kind, count desc, label), and one
+    checkpoint fixes the partition layout. The per-(kind, partition) sizes –
+    bounded by kinds × partitions, not by the data – become the id offsets.
+    """
     spark = df.sparkSession
+    entries = F.array(
+        *[F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("label")) for kind, c in cols.items()]
+    )
     counts = (
-        df.where(F.col(col).isNotNull())
-        .groupBy(F.col(col).cast("string").alias("label"))
+        df.select(F.explode(entries).alias("e"))
+        .select("e.kind", "e.label")
+        .where(F.col("label").isNotNull())
+        .groupBy("kind", "label")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = counts.repartitionByRange(n_parts, F.col("n").desc(), F.col("label").asc()).sortWithinPartitions(
-        F.col("n").desc(), F.col("label").asc()
-    )
-    tagged = stable(ordered.select("label", "n", F.monotonically_increasing_id().alias("_mid")))
+    order = (F.col("kind").asc(), F.col("n").desc(), F.col("label").asc())
+    ordered = counts.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    tagged = stable(ordered.select("kind", "label", "n", F.monotonically_increasing_id().alias("_mid")))
     tagged = tagged.select(
+        "kind",
         "label",
         "n",
         F.shiftright("_mid", _POS_BITS).alias("_part"),
         F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos"),
     )
-    # One row per partition: bounded by the partition count, not the data,
-    # so both the single-partition window and the broadcast are safe.
-    sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"), "_cnt")
-    size_row = sizes.agg(F.coalesce(F.sum("_cnt"), F.lit(0)).alias("s")).first()
-    size = int(size_row["s"]) if size_row else 0
-    if size > INT_MAX:
-        raise ValueError(f"{size} distinct labels exceed the INT id range ALS requires")
-    table = tagged.join(F.broadcast(offsets.select("_part", "_off")), "_part").select(
-        "label", (F.col("_off") + F.col("_pos")).cast("int").alias("idx"), F.col("n").cast("bigint").alias("n")
-    )
-    return Dictionary(table=table, size=size, name=name or col)
+    sizes = tagged.groupBy("kind", "_part").agg(F.count(F.lit(1)).alias("c")).collect()
+    per_part: dict[int, list[tuple[str, int]]] = {}
+    for r in sizes:
+        per_part.setdefault(int(r["_part"]), []).append((r["kind"], int(r["c"])))
+    # Rows are kind-major, so within a partition the kinds appear in sorted
+    # order; id = (this kind's rows in earlier partitions) + (position in the
+    # partition) - (rows of smaller kinds earlier in the same partition).
+    seen: dict[str, int] = {k: 0 for k in cols}
+    base: dict[str, dict[int, int]] = {k: {} for k in cols}
+    for part in sorted(per_part):
+        before = 0
+        for kind, c in sorted(per_part[part]):
+            base[kind][part] = seen[kind] - before
+            seen[kind] += c
+            before += c
+    out = {}
+    for kind in cols:
+        if seen[kind] > INT_MAX:
+            raise ValueError(f"{seen[kind]} distinct {kind} labels exceed the INT id range ALS requires")
+        offsets = base[kind]
+        if offsets:
+            lookup = F.create_map(*[x for p, b in sorted(offsets.items()) for x in (F.lit(p), F.lit(b))])
+            idx = (lookup[F.col("_part")] + F.col("_pos")).cast("int")
+        else:
+            idx = F.lit(None).cast("int")
+        table = tagged.where(F.col("kind") == F.lit(kind)).select("label", idx.alias("idx"), F.col("n").cast("bigint").alias("n"))
+        out[kind] = Dictionary(table=table, size=seen[kind], name=kind)
+    return out
+
+
+def build_dictionary(df: DataFrame, col: str, name: str | None = None, partitions: int | None = None) -> Dictionary:
+    """Dictionary of the non-NULL values of ``col`` (cast to text)."""
+    kind = name or col
+    return build_dictionaries(df, {kind: col}, partitions)[kind]
 
 
 def encode(

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from ..functions import run_name
 from ..sources.runs import RUN_COLUMNS, runs_frame
 from .metrics import ranking_metrics, score_report
-from .model import ALSConfig, fit_als, predict, recommend_for_users
+from ..session import default_parallelism
+from .model import ALSConfig, fit_als, predict, recommend_for_users, suggest_blocks
 
 # The reference's search grid.
 RANKS = (10, 20, 50)
@@ -82,14 +83,17 @@ def grid_search(
     grid: DataFrame | None = None,
     base: ALSConfig | None = None,
     k: int = 10,
-    parallelism: int = 1,
+    parallelism: int | None = None,
 ) -> DataFrame:
     """Run every configuration of ``grid``; return the runs DataFrame.
 
     The grid table is small by construction (its size is the number of
     configurations), so it is the one thing read back to the driver.
     ``parallelism`` > 1 submits several fits at once from a thread pool, as
-    ``CrossValidator(parallelism=…)`` does.
+    ``CrossValidator(parallelism=…)`` does. By default it is the number of
+    fits that fit side by side on the cluster's cores given each fit's block
+    count: small data (few blocks) runs several fits at once, data that fills
+    the cluster runs them one after another.
     """
     spark = train.sparkSession
     base = base or ALSConfig()
@@ -110,6 +114,10 @@ def grid_search(
     train = train.persist()
     test = test.persist()
     n_train = train.count()
+    if parallelism is None:
+        cores = default_parallelism(spark)
+        blocks = base.num_blocks or suggest_blocks(n_train, cores)
+        parallelism = max(1, min(len(configs), cores // max(1, blocks)))
     try:
         if parallelism > 1:
             with ThreadPoolExecutor(max_workers=parallelism) as pool:

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import clean_interactions
 from ..operators.explore import behavior_counts, cardinalities, plays, top_items, top_users
-from ..operators.indexing import Dictionary, build_dictionary
+from ..operators.indexing import Dictionary, build_dictionaries
 from ..operators.metrics import KS, ranking_metrics, score_report
 from ..operators.model import BASELINE, ALSConfig, fit_als, predict, recommend_for_items, recommend_for_users
 from ..operators.present import readable_item_recs, readable_user_recs
 from ..operators.ratings import build_ratings, index_interactions, with_split
+from ..session import stable
 
 
 @dataclass
@@ -56,15 +57,24 @@ def prepare(
     seed: int = 42,
     merge: str = "none",
     min_value: float | None = None,
+    materialize: bool = True,
 ) -> Prepared:
     """Dictionaries are built on all cleaned rows before the split (as the
     reference fits its indexers), so test-only ids get an id but no factor –
-    they show up as lost coverage, not as errors."""
+    they show up as lost coverage, not as errors.
+
+    The raw rows are scanned twice: once for both dictionaries, once to encode.
+    With ``materialize`` the compact ratings table (user, item, rating, split)
+    is checkpointed to the shared folder, so every later fit, score and metric
+    reads it instead of re-scanning and re-joining the raw interactions, and a
+    lost executor recomputes from that table, not from the source."""
     rows = clean_interactions(plays(interactions, behavior), min_value=min_value)
-    users = build_dictionary(rows, "user_id", name="user")
-    items = build_dictionary(rows, "game", name="item")
+    dicts = build_dictionaries(rows, {"user": "user_id", "item": "game"})
+    users, items = dicts["user"], dicts["item"]
     indexed = with_split(index_interactions(rows, users, items), ("user_id", "game"), test_fraction, seed)
     ratings = build_ratings(indexed, merge=merge, keep=("split",))
+    if materialize:
+        ratings = stable(ratings)
     return Prepared(plays=rows, users=users, items=items, ratings=ratings, seed=seed)
 
 

@@ -55,3 +55,15 @@ def test_encode_skips_unknown_and_decode_restores(spark):
     # a dictionary above the broadcast limit takes the shuffle path
     enc2 = encode(probe, d, "game", "item", max_broadcast_rows=0)
     assert [r["item"] for r in enc2.collect()] == [0]
+
+
+def test_multi_dictionary_one_pass_matches_single(spark):
+    from hourglass.operators import build_dictionaries
+
+    ev = plays(events_interactions(spark, SF01), "view")
+    both = build_dictionaries(ev, {"user": "user_id", "item": "game"}, partitions=5)
+    for kind, col in (("user", "user_id"), ("item", "game")):
+        single = {r["label"]: (r["idx"], r["n"]) for r in build_dictionary(ev, col).table.collect()}
+        multi = {r["label"]: (r["idx"], r["n"]) for r in both[kind].table.collect()}
+        assert single == multi
+        assert sorted(v[0] for v in multi.values()) == list(range(both[kind].size))
