@@ -7,8 +7,6 @@ silently dropped deep inside a fit.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,49 +42,49 @@ def profile(
 ) -> DataFrame:
     """Data-quality counts as ``(metric, n)`` rows.
 
-    Row-level counts come from one aggregate; duplicate pairs and users
-    without any positive value each need one grouped aggregate (partial
-    aggregation first, so hot keys are combined map-side).
+    One scan and a linear chain of aggregates: per (user, game) pair, then
+    per user, then global. NULL keys form their own groups, and each level
+    aggregates map-side first, so a hot user or pair is combined before it is
+    shuffled.
     """
-    row_level = df.agg(
+    ok_value = _valid_value(value)
+    u, g = F.col(user_col), F.col(item_col)
+    pairs = df.groupBy(user_col, item_col).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum(F.col(user_col).isNull().cast("long")).alias("null_user"),
-        F.sum(F.col(item_col).isNull().cast("long")).alias("null_item"),
         F.sum(F.col(value).isNull().cast("long")).alias("null_value"),
         F.sum((F.col(value).isNotNull() & F.isnan(F.col(value))).cast("long")).alias("nan_value"),
-        F.sum((_valid_value(value) & (F.col(value) <= 0)).cast("long")).alias("non_positive_value"),
-        F.sum(
-            (F.col(user_col).isNotNull() & F.col(item_col).isNotNull() & _valid_value(value)).cast("long")
-        ).alias("clean_rows"),
-    )
-    metrics = [c for c in row_level.columns]
-    long_rows = row_level.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(m).alias("metric"), F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias("n")) for m in metrics])
-        ).alias("m")
-    ).select("m.metric", "m.n")
-
-    keyed = df.where(F.col(user_col).isNotNull() & F.col(item_col).isNotNull())
-    pairs = keyed.groupBy(user_col, item_col).agg(F.count(F.lit(1)).alias("c"))
-    dup = pairs.agg(
-        F.sum((F.col("c") > 1).cast("long")).alias("duplicate_pairs"),
-        F.sum(F.when(F.col("c") > 1, F.col("c") - 1).otherwise(0)).cast("long").alias("duplicate_rows"),
+        F.sum((ok_value & (F.col(value) <= 0)).cast("long")).alias("non_positive_value"),
+        F.sum(ok_value.cast("long")).alias("valid"),
+        F.max(F.when(ok_value, F.col(value))).alias("max_valid"),
     )
-    dup_rows = dup.select(
-        F.explode(
-            F.array(
-                F.struct(F.lit("duplicate_pairs").alias("metric"), F.coalesce("duplicate_pairs", F.lit(0)).cast("bigint").alias("n")),
-                F.struct(F.lit("duplicate_rows").alias("metric"), F.coalesce("duplicate_rows", F.lit(0)).cast("bigint").alias("n")),
-            )
-        ).alias("m")
-    ).select("m.metric", "m.n")
-
-    per_user = (
-        df.where(F.col(user_col).isNotNull() & F.col(item_col).isNotNull() & _valid_value(value))
-        .groupBy(user_col)
-        .agg(F.max(F.col(value)).alias("mx"))
+    dup = g.isNotNull() & (F.col("rows") > 1)
+    per_user = pairs.groupBy(user_col).agg(
+        F.sum("rows").alias("rows"),
+        F.sum(F.when(g.isNull(), F.col("rows"))).alias("null_item"),
+        F.sum("null_value").alias("null_value"),
+        F.sum("nan_value").alias("nan_value"),
+        F.sum("non_positive_value").alias("non_positive_value"),
+        F.sum(F.when(g.isNotNull(), F.col("valid"))).alias("clean_rows"),
+        F.sum(F.when(dup, F.lit(1))).alias("duplicate_pairs"),
+        F.sum(F.when(dup, F.col("rows") - 1)).alias("duplicate_rows"),
+        # the user's largest usable value over pairs with a game
+        F.max(F.when(g.isNotNull() & (F.col("valid") > 0), F.col("max_valid"))).alias("mx"),
     )
-    no_pos = per_user.agg(F.sum((F.col("mx") <= 0).cast("long")).alias("n")).select(
-        F.lit("users_without_positive").alias("metric"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+    totals = per_user.agg(
+        F.sum("rows").alias("rows"),
+        F.sum(F.when(u.isNull(), F.col("rows"))).alias("null_user"),
+        F.sum("null_item").alias("null_item"),
+        F.sum("null_value").alias("null_value"),
+        F.sum("nan_value").alias("nan_value"),
+        F.sum("non_positive_value").alias("non_positive_value"),
+        F.sum(F.when(u.isNotNull(), F.col("clean_rows"))).alias("clean_rows"),
+        F.sum(F.when(u.isNotNull(), F.col("duplicate_pairs"))).alias("duplicate_pairs"),
+        F.sum(F.when(u.isNotNull(), F.col("duplicate_rows"))).alias("duplicate_rows"),
+        F.sum(F.when(u.isNotNull() & (F.col("mx") <= 0), F.lit(1))).alias("users_without_positive"),
     )
-    return reduce(DataFrame.unionByName, [long_rows, dup_rows, no_pos])
+    names = [
+        "rows", "null_user", "null_item", "null_value", "nan_value", "non_positive_value",
+        "clean_rows", "duplicate_pairs", "duplicate_rows", "users_without_positive",
+    ]
+    cells = [F.struct(F.lit(m).alias("metric"), F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias("n")) for m in names]
+    return totals.select(F.explode(F.array(*cells)).alias("m")).select("m.metric", "m.n")
