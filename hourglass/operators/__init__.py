@@ -21,6 +21,8 @@ from .present import (
     flatten_user_recs,
     readable_item_recs,
     readable_user_recs,
+    recommend_for_user_labels,
+    recommend_users_for_game_names,
     recs_for_user,
     recs_for_user_label,
     users_for_game,

@@ -288,6 +288,24 @@ def q_als_metrics(spark, sf):
     return metrics.ranking_metrics(model.recommend_for_users(m, K_EVAL), p.test, (5, 10))
 
 
+def q_als_recs_for_user(spark, sf):
+    """P6 at scale: only user index 0 (most play rows) is scored."""
+    p, m = _als_eval(spark, sf, model.FIRST_MODEL)
+    labels = p.users.table.where(F.col("idx") == 0).select(F.col("label").alias("user_id"))
+    recs = present.recommend_for_user_labels(m, p.users, labels, K_RECS)
+    return present.recs_for_user(present.readable_user_recs(recs, p.items, p.users), 0)
+
+
+def q_als_users_for_top_game(spark, sf):
+    """P7 at scale: the top game by hours, selected by name, only it scored."""
+    ev = _events(spark, sf)
+    p, m = _als_eval(spark, sf, model.FIRST_MODEL)
+    top = explore.top_items(ev, 1, EVENTS_PLAY).select("game")
+    recs = present.recommend_users_for_game_names(m, p.items, top, K_RECS)
+    readable = present.readable_item_recs(recs, p.items, p.users)
+    return readable.join(top, "game", "left_semi").orderBy(F.col("score").desc(), F.col("recommended_user"))
+
+
 def _grid_runs(spark, sf) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _GRID_CACHE:
@@ -353,6 +371,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_user_recs": q_als_user_recs,
     "als_item_recs": q_als_item_recs,
     "als_metrics": q_als_metrics,
+    "als_recs_for_user": q_als_recs_for_user,
+    "als_users_for_top_game": q_als_users_for_top_game,
     "als_grid": q_als_grid,
     "als_leaderboard": q_als_leaderboard,
     "als_best_config": q_als_best_config,

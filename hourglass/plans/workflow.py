@@ -58,6 +58,7 @@ def prepare(
     merge: str = "none",
     min_value: float | None = None,
     materialize: bool = True,
+    split: str = "hash",
 ) -> Prepared:
     """Dictionaries are built on all cleaned rows before the split (as the
     reference fits its indexers), so test-only ids get an id but no factor –
@@ -67,14 +68,27 @@ def prepare(
     With ``materialize`` the compact ratings table (user, item, rating, split)
     is checkpointed to the shared folder, so every later fit, score and metric
     reads it instead of re-scanning and re-joining the raw interactions, and a
-    lost executor recomputes from that table, not from the source."""
+    lost executor recomputes from that table, not from the source.
+
+    ``split="hash"`` (default) is the portable md5 split on (user, game);
+    ``split="random"`` reproduces ``randomSplit([1 - f, f], seed)`` on the
+    ratings rows, which depends on their partitioning (so it is applied to
+    the materialised table)."""
     rows = clean_interactions(plays(interactions, behavior), min_value=min_value)
     dicts = build_dictionaries(rows, {"user": "user_id", "item": "game"})
     users, items = dicts["user"], dicts["item"]
-    indexed = with_split(index_interactions(rows, users, items), ("user_id", "game"), test_fraction, seed)
-    ratings = build_ratings(indexed, merge=merge, keep=("split",))
-    if materialize:
-        ratings = stable(ratings)
+    indexed = index_interactions(rows, users, items)
+    if split == "hash":
+        ratings = build_ratings(with_split(indexed, ("user_id", "game"), test_fraction, seed), merge=merge, keep=("split",))
+        if materialize:
+            ratings = stable(ratings)
+    elif split == "random":
+        base = build_ratings(indexed, merge=merge)
+        base = stable(base) if materialize else base
+        train, test = base.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
+        ratings = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    else:
+        raise ValueError(f"unknown split {split!r}")
     return Prepared(plays=rows, users=users, items=items, ratings=ratings, seed=seed)
 
 

@@ -85,3 +85,14 @@ def test_same_seed_same_recs(fitted, spark):
     a = {r["user"]: [x["item"] for x in r["recommendations"]] for r in recommend_for_users(model, 5).collect()}
     b = {r["user"]: [x["item"] for x in r["recommendations"]] for r in recommend_for_users(again, 5).collect()}
     assert a == b
+
+
+def test_label_subset_lookup_equals_full(fitted, spark):
+    from hourglass.operators import recommend_for_user_labels
+
+    prep, _, model = fitted
+    label = prep.users.table.where("idx = 3").first()["label"]
+    sub = recommend_for_user_labels(model, prep.users, spark.createDataFrame([(label,)], "user_id STRING"), 5).collect()
+    full = {r["user"]: r for r in recommend_for_users(model, 5).collect()}
+    assert len(sub) == 1 and sub[0]["user"] == 3
+    assert [x["item"] for x in sub[0]["recommendations"]] == [x["item"] for x in full[3]["recommendations"]]

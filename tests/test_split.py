@@ -21,3 +21,12 @@ def test_split_disjoint_complete_and_partition_independent(spark):
     assert _rows(again.where(F.col("split") == "test").drop("split")) == _rows(s.test)
     other_seed = hash_split(ev, seed=7)
     assert _rows(other_seed.test) != _rows(s.test)
+
+
+def test_random_split_parity_mode(spark):
+    from hourglass.plans.workflow import prepare
+
+    p = prepare(events_interactions(spark, SF01), behavior="view", split="random")
+    n = p.ratings.count()
+    assert p.train.count() + p.test.count() == n
+    assert 0.1 < p.test.count() / n < 0.3
