@@ -53,7 +53,7 @@ def evaluate_config(
     model = fit_als(train, config, n_ratings=n_train)
     fit_s = time.perf_counter() - t0
     report = score_report(predict(model, test, keep_cold=True)).first()
-    recs = recommend_for_users(model, k)
+    recs = recommend_for_users(model, k, test.select("user").distinct())
     m = ranking_metrics(recs, test, ks=(k,)).first()
     return {
         "run_name": f"ALS_r{config.rank}_reg{config.reg_param}_iter{config.max_iter}",

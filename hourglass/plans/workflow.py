@@ -106,7 +106,8 @@ class Evaluation:
 def train_evaluate(prep: Prepared, config: ALSConfig = BASELINE, ks=KS, n_train: int | None = None) -> Evaluation:
     model = fit_als(prep.train, config, n_ratings=n_train)
     scored = predict(model, prep.test, keep_cold=True)
-    recs = recommend_for_users(model, max(ks))
+    # Only users with a test item can be evaluated: score just those.
+    recs = recommend_for_users(model, max(ks), prep.test.select("user").distinct())
     return Evaluation(
         config=config,
         model=model,

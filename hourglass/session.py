@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     # hot partition of a sort-merge join instead of running one huge task.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # remove checkpoint files once the DataFrames that use them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
