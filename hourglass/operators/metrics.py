@@ -97,7 +97,7 @@ def hits_per_user(recs: DataFrame, test: DataFrame, k: int, user: str = "user",
     n_actual = actual.groupBy(user).agg(F.count(F.lit(1)).alias("n_actual"))
     pos = rec_positions(recs, k, user, item)
     hits = pos.join(actual, [user, item], "inner").groupBy(user).agg(F.count(F.lit(1)).alias("hits"))
-    n_recs = recs.select(user, F.least(F.size(F.array_distinct(F.col(f"recommendations.{item}"))), F.lit(k)).alias("n_recs"))
+    n_recs = recs.select(user, F.least(F.size(F.array_distinct(F.col(f"recommendations.{item}"))), F.lit(k)).cast("bigint").alias("n_recs"))
     return (
         n_actual.join(n_recs, user, "inner")
         .join(hits, user, "left")

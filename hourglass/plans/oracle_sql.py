@@ -43,7 +43,7 @@ test AS (SELECT "user", item, rating FROM rt WHERE split = 'test')
 
 def _random(ids_sql: str, id_col: str, field: str, n_sql: str, k: int) -> str:
     """Start = md5 bucket of the id, then the next k ids mod n."""
-    return f"""SELECT ids.{id_col}, g.j AS pos,
+    return f"""SELECT ids.{id_col}, CAST(g.j AS INTEGER) AS pos,
               CAST((('0x' || substr(md5(concat_ws('|', CAST(ids.{id_col} AS VARCHAR), 'random:{SEED}')), 1, 8))::BIGINT % nn.n + g.j) % nn.n AS INTEGER) AS {field},
               CAST(1.0 / (g.j + 1) AS FLOAT) AS rating
        FROM ({ids_sql}) ids, ({n_sql}) nn, generate_series(0, {k - 1}) g(j)

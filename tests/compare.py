@@ -44,6 +44,12 @@ def rows_of(columns, records):
     return sorted(tuple(_norm(r[i]) for i in order) for r in records)
 
 
+SPARK_TO_DUCK = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "smallint": "SMALLINT", "tinyint": "TINYINT", "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
 def compare(spark, sf_dir, name, fn, sql, con):
     t0 = time.perf_counter()
     sdf = fn(spark, sf_dir)
@@ -52,11 +58,14 @@ def compare(spark, sf_dir, name, fn, sql, con):
     t1 = time.perf_counter()
     rel = con.sql(sql)
     d_cols = [c for c in rel.columns]
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    type_diff = {c: (s_types.get(c), d_types.get(c)) for c in set(s_types) | set(d_types) if s_types.get(c) != d_types.get(c)}
     d_rows = rel.fetchall()
     ok_cols = sorted(s_cols) == sorted(d_cols)
     ok_n = len(s_rows) == len(d_rows)
     ok_v = ok_cols and ok_n and rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
-    return dict(name=name, cols=ok_cols, n=ok_n, values=ok_v, spark_rows=len(s_rows), duck_rows=len(d_rows),
+    return dict(name=name, cols=ok_cols, n=ok_n, values=ok_v, types=type_diff, spark_rows=len(s_rows), duck_rows=len(d_rows),
                 spark_cols=s_cols, duck_cols=d_cols, sec=round(t1 - t0, 2))
 
 
@@ -88,7 +97,8 @@ def main(argv):
         flag = "OK " if r["values"] else "BAD"
         bad += 0 if r["values"] else 1
         extra = "" if r["values"] else f" cols={r['cols']} n={r['spark_rows']}/{r['duck_rows']} {r['spark_cols']} vs {r['duck_cols']}"
-        print(f"{name:24s} {flag} rows={r['spark_rows']} {r['sec']}s{extra}", flush=True)
+        types = f" TYPES {r['types']}" if r["types"] else ""
+        print(f"{name:24s} {flag} rows={r['spark_rows']} {r['sec']}s{extra}{types}", flush=True)
     print("mismatches:", bad)
     return bad
 
