@@ -38,11 +38,14 @@ _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partiti
 
 @dataclass(frozen=True)
 class Dictionary:
-    """``table``: (label STRING, idx INT, n BIGINT); ``size``: number of labels."""
+    """``table``: (label STRING, idx INT, n BIGINT); ``size``: number of
+    labels; ``label_bytes``: total UTF-8 bytes of the labels (for the
+    broadcast size check)."""
 
     table: DataFrame
     size: int
     name: str = "label"
+    label_bytes: int | None = None
 
     def labels(self) -> DataFrame:
         return self.table
@@ -79,10 +82,16 @@ def build_dictionaries(df: DataFrame, cols: dict[str, str], partitions: int | No
         F.shiftright("_mid", _POS_BITS).alias("_part"),
         F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos"),
     )
-    sizes = tagged.groupBy("kind", "_part").agg(F.count(F.lit(1)).alias("c")).collect()
+    sizes = (
+        tagged.groupBy("kind", "_part")
+        .agg(F.count(F.lit(1)).alias("c"), F.sum(F.octet_length("label")).alias("b"))
+        .collect()
+    )
     per_part: dict[int, list[tuple[str, int]]] = {}
+    label_bytes: dict[str, int] = {k: 0 for k in cols}
     for r in sizes:
         per_part.setdefault(int(r["_part"]), []).append((r["kind"], int(r["c"])))
+        label_bytes[r["kind"]] += int(r["b"] or 0)
     # Rows are kind-major, so within a partition the kinds appear in sorted
     # order; id = (this kind's rows in earlier partitions) + (position in the
     # partition) - (rows of smaller kinds earlier in the same partition).
@@ -105,7 +114,7 @@ def build_dictionaries(df: DataFrame, cols: dict[str, str], partitions: int | No
         else:
             idx = F.lit(None).cast("int")
         table = tagged.where(F.col("kind") == F.lit(kind)).select("label", idx.alias("idx"), F.col("n").cast("bigint").alias("n"))
-        out[kind] = Dictionary(table=table, size=seen[kind], name=kind)
+        out[kind] = Dictionary(table=table, size=seen[kind], name=kind, label_bytes=label_bytes[kind])
     return out
 
 
@@ -126,7 +135,7 @@ def encode(
     are dropped (``handleInvalid="skip"``)."""
     key = f"__{out}_label"
     d = dictionary.table.select(F.col("label").alias(key), F.col("idx").alias(out))
-    d = sized_broadcast(d, dictionary.size, max_broadcast_rows)
+    d = sized_broadcast(d, dictionary.size, max_broadcast_rows, dictionary.label_bytes)
     return df.join(d, F.col(col).cast("string") == F.col(key), "inner").drop(key)
 
 
@@ -141,7 +150,7 @@ def decode(
     """Add the label of INT id ``col`` as ``out``."""
     key = f"__{out}_idx"
     d = dictionary.table.select(F.col("idx").alias(key), F.col("label").alias(out))
-    d = sized_broadcast(d, dictionary.size, max_broadcast_rows)
+    d = sized_broadcast(d, dictionary.size, max_broadcast_rows, dictionary.label_bytes)
     return df.join(d, F.col(col) == F.col(key), how).drop(key)
 
 

@@ -67,3 +67,17 @@ def test_multi_dictionary_one_pass_matches_single(spark):
         multi = {r["label"]: (r["idx"], r["n"]) for r in both[kind].table.collect()}
         assert single == multi
         assert sorted(v[0] for v in multi.values()) == list(range(both[kind].size))
+
+
+def test_broadcast_only_within_size_bounds(spark):
+    from hourglass.operators.joins import sized_broadcast
+
+    df = spark.range(3)
+    def is_broadcast(d):
+        return "broadcast" in d._jdf.queryExecution().logical().toString().lower()
+    assert is_broadcast(sized_broadcast(df, 3))
+    assert not is_broadcast(sized_broadcast(df, None))
+    assert not is_broadcast(sized_broadcast(df, 3, max_rows=2))
+    assert not is_broadcast(sized_broadcast(df, 3, n_bytes=10**9))
+    d = build_dictionary(spark.createDataFrame([("abc",), ("de",)], "game STRING"), "game")
+    assert d.label_bytes == 5
