@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import run_name
-from ..sources.runs import RUN_COLUMNS, runs_frame
+from ..sources.runs import RUN_COLUMNS, append_runs, read_runs, runs_frame
 from .metrics import ranking_metrics, score_report
 from ..session import default_parallelism
 from .model import ALSConfig, fit_als, predict, recommend_for_users, suggest_blocks
@@ -84,6 +84,8 @@ def grid_search(
     base: ALSConfig | None = None,
     k: int = 10,
     parallelism: int | None = None,
+    log_path: str | None = None,
+    split_id: str = "test",
 ) -> DataFrame:
     """Run every configuration of ``grid``; return the runs DataFrame.
 
@@ -94,6 +96,11 @@ def grid_search(
     fits that fit side by side on the cluster's cores given each fit's block
     count: small data (few blocks) runs several fits at once, data that fills
     the cluster runs them one after another.
+
+    With ``log_path`` every run is appended to the run log as soon as it
+    finishes, and configurations already logged there for the same seed and
+    ``split_id`` are not fitted again: a search interrupted by a lost driver
+    resumes where it stopped. The result is then read from the log.
     """
     spark = train.sparkSession
     base = base or ALSConfig()
@@ -111,23 +118,56 @@ def grid_search(
         )
         for r in grid.orderBy("ord" if "ord" in grid.columns else "rank").collect()
     ]
-    train = train.persist()
-    test = test.persist()
-    n_train = train.count()
-    if parallelism is None:
-        cores = default_parallelism(spark)
-        blocks = base.num_blocks or suggest_blocks(n_train, cores)
-        parallelism = max(1, min(len(configs), cores // max(1, blocks)))
+    if log_path is not None:
+        done = _logged(spark, log_path, base.seed, split_id)
+        todo = [c for c in configs if (c.rank, float(c.reg_param), c.max_iter) not in done]
+    else:
+        todo = configs
+    rows: list[dict] = []
+    if todo:
+        train = train.persist()
+        test = test.persist()
+        n_train = train.count()
+        if parallelism is None:
+            cores = default_parallelism(spark)
+            blocks = base.num_blocks or suggest_blocks(n_train, cores)
+            parallelism = max(1, min(len(todo), cores // max(1, blocks)))
+
+        def one(c: ALSConfig) -> dict:
+            row = evaluate_config(train, test, c, k, n_train, split_id)
+            if log_path is not None:
+                append_runs(runs_frame(spark, [row]), log_path)
+            return row
+
+        try:
+            if parallelism > 1:
+                with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                    rows = list(pool.map(one, todo))
+            else:
+                rows = [one(c) for c in todo]
+        finally:
+            train.unpersist()
+            test.unpersist()
+    if log_path is None:
+        return runs_frame(spark, rows)
+    wanted = spark.createDataFrame(
+        [(c.rank, float(c.reg_param), c.max_iter) for c in configs], "rank INT, regParam DOUBLE, maxIter INT"
+    )
+    logged = read_runs(spark, log_path).where(
+        (F.col("model") == "als") & (F.col("seed") == F.lit(base.seed)) & (F.col("split") == F.lit(split_id))
+    )
+    return logged.join(wanted, ["rank", "regParam", "maxIter"], "left_semi").dropDuplicates(["rank", "regParam", "maxIter"])
+
+
+def _logged(spark, log_path: str, seed: int, split_id: str) -> set:
     try:
-        if parallelism > 1:
-            with ThreadPoolExecutor(max_workers=parallelism) as pool:
-                rows = list(pool.map(lambda c: evaluate_config(train, test, c, k, n_train), configs))
-        else:
-            rows = [evaluate_config(train, test, c, k, n_train) for c in configs]
-    finally:
-        train.unpersist()
-        test.unpersist()
-    return runs_frame(spark, rows)
+        runs = read_runs(spark, log_path)
+        rows = runs.where(
+            (F.col("model") == "als") & (F.col("seed") == F.lit(seed)) & (F.col("split") == F.lit(split_id))
+        ).select("rank", "regParam", "maxIter").distinct().collect()
+    except Exception:  # no log yet
+        return set()
+    return {(int(r["rank"]), float(r["regParam"]), int(r["maxIter"])) for r in rows}
 
 
 def _tie():

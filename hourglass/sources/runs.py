@@ -6,6 +6,8 @@ metrics of every run are columns of a table that any Spark job can read.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -40,9 +42,17 @@ def runs_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame([tuple(r.get(c) for c in RUN_COLUMNS) for r in rows], RUNS)
 
 
-def append_runs(runs: DataFrame, path: str) -> None:
-    runs.select(*RUN_COLUMNS).write.mode("append").parquet(path)
+def append_runs(runs: DataFrame, path: str) -> str:
+    """Append run rows to the log at ``path``.
+
+    Each append is its own write job into a fresh sub-folder, so appends from
+    concurrent fits (or several drivers) never share a commit staging folder.
+    Returns the sub-folder written.
+    """
+    part = f"{path.rstrip('/')}/batch-{uuid.uuid4().hex}"
+    runs.select(*RUN_COLUMNS).coalesce(1).write.mode("errorifexists").parquet(part)
+    return part
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS).parquet(path)
+    return spark.read.schema(RUNS).option("recursiveFileLookup", "true").parquet(path)

@@ -9,14 +9,14 @@ REC_I = "item INT, recommendations ARRAY<STRUCT<user: INT, rating: FLOAT>>"
 
 
 def test_readable_recs_both_directions(spark):
-    items = build_dictionary(spark.createDataFrame([("Dota",), ("Dota",), ("Chess",)], "game STRING"), "game")
+    items = build_dictionary(spark.createDataFrame([("Go",), ("Go",), ("Chess",)], "game STRING"), "game")
     users = build_dictionary(spark.createDataFrame([(7,), (9,), (9,)], "user_id BIGINT"), "user_id")
     urecs = spark.createDataFrame([(0, [(1, 0.9), (0, 0.5)])], REC_U)
     rows = readable_user_recs(urecs, items, users).orderBy("rank").collect()
-    assert [(r["rank"], r["game_id"], r["game"], r["user_id"]) for r in rows] == [(1, 1, "Chess", "9"), (2, 0, "Dota", "9")]
+    assert [(r["rank"], r["game_id"], r["game"], r["user_id"]) for r in rows] == [(1, 1, "Chess", "9"), (2, 0, "Go", "9")]
     irecs = spark.createDataFrame([(0, [(1, 0.7), (0, 0.8)])], REC_I)
     named = readable_item_recs(irecs, items, users)
-    got = users_for_game(named, "Dota").collect()
+    got = users_for_game(named, "Go").collect()
     assert [r["recommended_user"] for r in got] == [0, 1]  # best score first
     assert [r["recommended_user_id"] for r in got] == ["9", "7"]
     assert first_rows(flatten_user_recs(urecs), 1).first()["rank"] == 1

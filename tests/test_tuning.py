@@ -28,3 +28,24 @@ def test_leaderboard_ties_fall_to_params(spark):
     assert marg[(15, 10)] == 0.3
     assert tradeoff_points(runs).count() == 3
     assert [r["run_name"] for r in runs_for(runs, rank=10).collect()] == ["b", "c"]
+
+
+def test_grid_search_logs_and_resumes(spark):
+    import uuid
+
+    from conftest import SF01
+    from hourglass.operators import ALSConfig, grid_search
+    from hourglass.plans.workflow import prepare
+    from hourglass.session import scratch_path
+    from hourglass.sources import events_interactions, read_runs
+
+    p = prepare(events_interactions(spark, SF01), behavior="view")
+    log = scratch_path(spark, "test-grid", uuid.uuid4().hex)
+    base = ALSConfig(seed=5, num_blocks=1)
+    small = param_grid(spark, ranks=(5,), reg_params=(0.1,), max_iters=(2, 3))
+    first = grid_search(p.train, p.test, small, base=base, log_path=log, split_id="md5-42")
+    assert first.count() == 2 and read_runs(spark, log).count() == 2
+    bigger = param_grid(spark, ranks=(5,), reg_params=(0.1,), max_iters=(2, 3, 4))
+    second = grid_search(p.train, p.test, bigger, base=base, log_path=log, split_id="md5-42")
+    assert second.count() == 3
+    assert read_runs(spark, log).count() == 3  # the two logged configs were not refitted
