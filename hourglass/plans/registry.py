@@ -269,10 +269,21 @@ def q_als_predictions(spark, sf):
 
 
 def q_als_score_report(spark, sf):
-    p, m = _als_eval(spark, sf)
+    """Scores of the first trained model (maxIter 15) with coverage."""
+    p, m = _als_eval(spark, sf, model.FIRST_MODEL)
     return metrics.score_report(model.predict(m, p.test, keep_cold=True))
 
 
+def q_als_baseline_run(spark, sf):
+    """The tracked baseline (rank 20, maxIter 10, regParam 0.1): fitted,
+    measured, appended to the run log and read back."""
+    p = _prep(spark, sf)
+    row = tuning.evaluate_config(p.train, p.test, model.BASELINE, K_EVAL, split_name=f"md5-{SEED}-0.2")
+    path = scratch_path(spark, "runs", uuid.uuid4().hex)
+    append_runs(runs_frame(spark, [row]), path)
+    return read_runs(spark, path)
+
+
 def q_als_user_recs(spark, sf):
     p, m = _als_eval(spark, sf, model.FIRST_MODEL)
     return present.readable_user_recs(model.recommend_for_users(m, K_RECS), p.items, p.users)
@@ -368,6 +379,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_item_totals": q_stream_item_totals,
     "als_predictions": q_als_predictions,
     "als_score_report": q_als_score_report,
+    "als_baseline_run": q_als_baseline_run,
     "als_user_recs": q_als_user_recs,
     "als_item_recs": q_als_item_recs,
     "als_metrics": q_als_metrics,

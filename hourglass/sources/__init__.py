@@ -11,6 +11,7 @@ from .interactions import (
     COLUMNS,
     INTERACTIONS,
     as_interactions,
+    convert_to_parquet,
     preview,
     read_interactions,
     write_interactions_csv,
@@ -19,7 +20,7 @@ from .runs import RUN_COLUMNS, RUNS, append_runs, read_runs, runs_frame
 
 __all__ = [
     "COLUMNS", "EVENTS_PLAY", "INTERACTIONS", "RUNS", "RUN_COLUMNS", "SALES_PLAY",
-    "adapt_events", "append_runs", "as_interactions", "events_interactions", "preview", "read_interactions",
+    "adapt_events", "append_runs", "as_interactions", "convert_to_parquet", "events_interactions", "preview", "read_interactions",
     "read_runs", "runs_frame", "sales_interactions", "sales_item_names", "table",
     "write_interactions_csv",
 ]

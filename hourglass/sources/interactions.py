@@ -53,6 +53,29 @@ def write_interactions_csv(df: DataFrame, path: str) -> None:
     df.select(*COLUMNS).write.mode("overwrite").option("header", "false").csv(path)
 
 
+def convert_to_parquet(
+    spark: SparkSession,
+    csv_path: str,
+    parquet_path: str,
+    infer: bool = False,
+    mode: str = "PERMISSIVE",
+    partition_by: tuple[str, ...] = (),
+) -> DataFrame:
+    """Read the headerless CSV once and store it as Parquet.
+
+    CSV scans row by row; Parquet scans in vectorised batches, prunes columns
+    and skips row groups by the pushed filters. ``partition_by=("behavior",)``
+    additionally lets a behaviour filter prune whole folders.
+    Returns the Parquet table.
+    """
+    df = read_interactions(spark, csv_path, fmt="csv", infer=infer, mode=mode)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(parquet_path)
+    return spark.read.parquet(parquet_path).select(*COLUMNS)
+
+
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` rows as a DataFrame (the reference prints them)."""
     return df.limit(n)

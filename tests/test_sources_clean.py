@@ -53,3 +53,15 @@ def test_run_log_round_trip(spark):
     append_runs(runs_frame(spark, [{"run_name": "y", "model": "random", "map_at_10": 0.1}]), path)
     back = read_runs(spark, path)
     assert sorted(r["run_name"] for r in back.collect()) == ["x", "y"]
+
+
+def test_convert_to_parquet_prunes_by_behavior(spark, tmp_csv):
+    from hourglass.sources import convert_to_parquet
+
+    out = scratch_path(spark, "test-parquet", "conv")
+    pq = convert_to_parquet(spark, tmp_csv(CSV), out, partition_by=("behavior",))
+    assert pq.count() == 9
+    plays = pq.where(F.col("behavior") == "play")
+    assert plays.count() == 8
+    plan = plays._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "behavior" in plan
