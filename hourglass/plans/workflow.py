@@ -21,7 +21,7 @@ from ..operators.metrics import KS, ranking_metrics, score_report
 from ..operators.model import BASELINE, ALSConfig, fit_als, predict, recommend_for_items, recommend_for_users
 from ..operators.present import readable_item_recs, readable_user_recs
 from ..operators.ratings import build_ratings, index_interactions, with_split
-from ..session import stable
+from ..session import stable_table
 
 
 @dataclass
@@ -66,8 +66,9 @@ def prepare(
 
     The raw rows are scanned twice: once for both dictionaries, once to encode.
     With ``materialize`` the compact ratings table (user, item, rating, split)
-    is checkpointed to the shared folder, so every later fit, score and metric
-    reads it instead of re-scanning and re-joining the raw interactions, and a
+    is written as Parquet to the shared folder, partitioned by ``split``, so
+    every later fit, score and metric reads it (train or test only, by folder
+    pruning) instead of re-scanning and re-joining the raw interactions, and a
     lost executor recomputes from that table, not from the source.
 
     ``split="hash"`` (default) is the portable md5 split on (user, game);
@@ -81,10 +82,10 @@ def prepare(
     if split == "hash":
         ratings = build_ratings(with_split(indexed, ("user_id", "game"), test_fraction, seed), merge=merge, keep=("split",))
         if materialize:
-            ratings = stable(ratings)
+            ratings = stable_table(ratings, "ratings", partition_by=("split",))
     elif split == "random":
         base = build_ratings(indexed, merge=merge)
-        base = stable(base) if materialize else base
+        base = stable_table(base, "ratings") if materialize else base
         train, test = base.randomSplit([1.0 - test_fraction, test_fraction], seed=seed)
         ratings = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
     else:

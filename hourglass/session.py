@@ -97,6 +97,22 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stable_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` as a Parquet table below the shared checkpoint folder and
+    read it back: lineage cut like ``stable``, but columnar and compressed,
+    with column pruning, pushed filters and (via ``partition_by``) folder
+    pruning for every later reader. Used for the large intermediate tables.
+    """
+    import uuid
+
+    path = scratch_path(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex}")
+    writer = df.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return df.sparkSession.read.parquet(path).select(*df.columns)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     try:
         return max(1, int(spark.sparkContext.defaultParallelism))
