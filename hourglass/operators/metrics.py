@@ -91,18 +91,35 @@ def _actual_pairs(test: DataFrame, user: str, item: str) -> DataFrame:
     return test.select(user, item).where(F.col(user).isNotNull() & F.col(item).isNotNull()).distinct()
 
 
+def _rec_steps(recs: DataFrame, test: DataFrame, k: int, user: str, item: str) -> DataFrame:
+    """(user, pos, item, hit, hit_no, precision_at_hit) for every recommended
+    position in the top ``k``; a user with an empty list keeps one row with
+    NULL pos/item so it still counts as having recommendations.
+
+    ``recs`` is read exactly once: every figure below derives from this one
+    flow, so an expensive recommendation plan is never computed twice.
+    """
+    actual = _actual_pairs(test, user, item).withColumn("_hit", F.lit(1))
+    ordered = F.slice(F.array_distinct(F.col(f"recommendations.{item}")), 1, k)
+    pos = recs.select(user, F.posexplode_outer(ordered).alias("pos", item))
+    flagged = pos.join(actual, [user, item], "left").select(
+        user, "pos", item, F.coalesce(F.col("_hit"), F.lit(0)).alias("hit")
+    )
+    w = Window.partitionBy(user).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hit_no = F.sum("hit").over(w)
+    return flagged.withColumn("hit_no", hit_no).withColumn(
+        "precision_at_hit",
+        F.when(F.col("hit") == 1, F.col("hit_no") / (F.col("pos") + F.lit(1))).otherwise(F.lit(0.0)),
+    )
+
+
 def hits_per_user(recs: DataFrame, test: DataFrame, k: int, user: str = "user", item: str = "item") -> DataFrame:
     """(user, n_actual, n_recs, hits) for every evaluated user."""
-    actual = _actual_pairs(test, user, item)
-    n_actual = actual.groupBy(user).agg(F.count(F.lit(1)).alias("n_actual"))
-    pos = rec_positions(recs, k, user, item)
-    hits = pos.join(actual, [user, item], "inner").groupBy(user).agg(F.count(F.lit(1)).alias("hits"))
-    n_recs = recs.select(user, F.least(F.size(F.array_distinct(F.col(f"recommendations.{item}"))), F.lit(k)).cast("bigint").alias("n_recs"))
-    return (
-        n_actual.join(n_recs, user, "inner")
-        .join(hits, user, "left")
-        .select(user, "n_actual", "n_recs", F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits"))
+    n_actual = _actual_pairs(test, user, item).groupBy(user).agg(F.count(F.lit(1)).alias("n_actual"))
+    per_user = _rec_steps(recs, test, k, user, item).groupBy(user).agg(
+        F.count(item).alias("n_recs"), F.sum("hit").cast("bigint").alias("hits")
     )
+    return n_actual.join(per_user, user, "inner").select(user, "n_actual", "n_recs", "hits")
 
 
 def running_precision(recs: DataFrame, test: DataFrame, k: int, user: str = "user", item: str = "item") -> DataFrame:
@@ -111,37 +128,28 @@ def running_precision(recs: DataFrame, test: DataFrame, k: int, user: str = "use
     ``hit_no`` is the running hit count (a window over at most ``k`` rows per
     user) and ``precision_at_hit`` = hit_no / (pos + 1), the AP summand.
     """
-    actual = _actual_pairs(test, user, item)
-    hits = rec_positions(recs, k, user, item).join(actual, [user, item], "inner")
-    w = Window.partitionBy(user).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return hits.withColumn("hit_no", F.count(F.lit(1)).over(w)).withColumn(
-        "precision_at_hit", F.col("hit_no") / (F.col("pos") + F.lit(1))
-    ).select(user, "pos", item, "hit_no", "precision_at_hit")
+    steps = _rec_steps(recs, test, k, user, item)
+    return steps.where(F.col("hit") == 1).select(user, "pos", item, F.col("hit_no").cast("bigint").alias("hit_no"), "precision_at_hit")
 
 
 def ranking_per_user(recs: DataFrame, test: DataFrame, ks=KS, user: str = "user", item: str = "item") -> DataFrame:
     """Per evaluated user: n_actual and precision/recall/ap for each K."""
     ks = tuple(sorted(set(int(k) for k in ks)))
     kmax = ks[-1]
-    actual = _actual_pairs(test, user, item)
-    n_actual = actual.groupBy(user).agg(F.count(F.lit(1)).alias("n_actual"))
-    steps = running_precision(recs, test, kmax, user, item)
+    n_actual = _actual_pairs(test, user, item).groupBy(user).agg(F.count(F.lit(1)).alias("n_actual"))
     aggs = []
     for k in ks:
         in_k = F.col("pos") < F.lit(k)
-        aggs.append(F.sum(in_k.cast("long")).alias(f"hits_{k}"))
+        aggs.append(F.sum(F.when(in_k, F.col("hit")).otherwise(F.lit(0))).alias(f"hits_{k}"))
         aggs.append(F.sum(F.when(in_k, F.col("precision_at_hit")).otherwise(F.lit(0.0))).alias(f"ap_sum_{k}"))
-    per_hit = steps.groupBy(user).agg(*aggs)
-    rec_users = recs.select(user)
-    base = n_actual.where(F.col("n_actual") > 0).join(rec_users, user, "inner").join(per_hit, user, "left")
+    per_user = _rec_steps(recs, test, kmax, user, item).groupBy(user).agg(*aggs)
+    base = n_actual.where(F.col("n_actual") > 0).join(per_user, user, "inner")
     cols = [F.col(user), F.col("n_actual")]
     for k in ks:
-        h = F.coalesce(F.col(f"hits_{k}"), F.lit(0)).cast("double")
+        h = F.col(f"hits_{k}").cast("double")
         cols.append((h / F.lit(float(k))).alias(f"precision_{k}"))
         cols.append((h / F.col("n_actual")).alias(f"recall_{k}"))
-        cols.append(
-            (F.coalesce(F.col(f"ap_sum_{k}"), F.lit(0.0)) / F.least(F.col("n_actual"), F.lit(k)).cast("double")).alias(f"ap_{k}")
-        )
+        cols.append((F.col(f"ap_sum_{k}") / F.least(F.col("n_actual"), F.lit(k)).cast("double")).alias(f"ap_{k}"))
     return base.select(*cols)
 
 

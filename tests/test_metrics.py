@@ -91,3 +91,12 @@ def test_score_report_rmse_forms(spark):
     assert rmse(scored).first()["rmse"] == pytest.approx(ev)
     empty = score_report(df.limit(0)).first()
     assert empty["rmse"] is None and empty["n_scored"] == 0
+
+
+def test_empty_rec_list_counts_as_evaluated_with_zero(spark):
+    recs = spark.createDataFrame([(0, [(1, 1.0)]), (1, [])], REC_T)
+    test = _test(spark, {0: [1], 1: [2]})
+    m = ranking_metrics(recs, test, (5,)).first()
+    assert m["n_users"] == 2
+    assert m["recall"] == pytest.approx(0.5) and m["map"] == pytest.approx(0.5)
+    assert m["precision"] == pytest.approx(0.1)

@@ -96,3 +96,11 @@ def test_label_subset_lookup_equals_full(fitted, spark):
     full = {r["user"]: r for r in recommend_for_users(model, 5).collect()}
     assert len(sub) == 1 and sub[0]["user"] == 3
     assert [x["item"] for x in sub[0]["recommendations"]] == [x["item"] for x in full[3]["recommendations"]]
+
+
+def test_metrics_read_the_recommendations_once(fitted):
+    from hourglass.operators import ranking_metrics
+
+    prep, _, model = fitted
+    plan = ranking_metrics(recommend_for_users(model, 10), prep.test)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan userFactors") == 1 and plan.count("Scan itemFactors") == 1
