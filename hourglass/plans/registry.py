@@ -313,8 +313,7 @@ def q_als_users_for_top_game(spark, sf):
     p, m = _als_eval(spark, sf, model.FIRST_MODEL)
     top = explore.top_items(ev, 1, EVENTS_PLAY).select("game")
     recs = present.recommend_users_for_game_names(m, p.items, top, K_RECS)
-    readable = present.readable_item_recs(recs, p.items, p.users)
-    return readable.join(top, "game", "left_semi").orderBy(F.col("score").desc(), F.col("recommended_user"))
+    return present.readable_item_recs(recs, p.items, p.users).orderBy(F.col("score").desc(), F.col("recommended_user"))
 
 
 def _grid_runs(spark, sf) -> DataFrame:
