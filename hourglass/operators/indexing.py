@@ -15,7 +15,7 @@ dictionary here is a DataFrame:
 3. ``monotonically_increasing_id`` gives (partition, position); the rows are
    checkpointed so partition ids cannot shift on recomputation.
 4. Per-partition sizes (one number per partition) → prefix offsets → a
-   literal map from partition to offset, so the dictionary is a narrow
+   literal array indexed by partition, so the dictionary is a narrow
    projection of the checkpointed rows: no join or window on each use.
 
 Applying it is a join: broadcast when the dictionary's known size is small,
@@ -109,8 +109,12 @@ def build_dictionaries(df: DataFrame, cols: dict[str, str], partitions: int | No
             raise ValueError(f"{seen[kind]} distinct {kind} labels exceed the INT id range ALS requires")
         offsets = base[kind]
         if offsets:
-            lookup = F.create_map(*[x for p, b in sorted(offsets.items()) for x in (F.lit(p), F.lit(b))])
-            idx = (lookup[F.col("_part")] + F.col("_pos")).cast("int")
+            # A kind occupies a contiguous run of partitions: a dense array
+            # literal over that run gives the offset by direct index (a map
+            # literal would be searched key by key for every row).
+            lo, hi = min(offsets), max(offsets)
+            dense = F.array(*[F.lit(int(offsets.get(p, 0))).cast("bigint") for p in range(lo, hi + 1)])
+            idx = (F.element_at(dense, (F.col("_part") - F.lit(lo) + F.lit(1)).cast("int")) + F.col("_pos")).cast("int")
         else:
             idx = F.lit(None).cast("int")
         table = tagged.where(F.col("kind") == F.lit(kind)).select("label", idx.alias("idx"), F.col("n").cast("bigint").alias("n"))
