@@ -1,3 +1,3 @@
-from .workflow import Evaluation, Prepared, explore, name_recommendations, prepare, train_evaluate
+from .workflow import Evaluation, Prepared, evaluate_at_k, explore, name_recommendations, prepare, train_evaluate
 
-__all__ = ["Evaluation", "Prepared", "explore", "name_recommendations", "prepare", "train_evaluate"]
+__all__ = ["Evaluation", "Prepared", "evaluate_at_k", "explore", "name_recommendations", "prepare", "train_evaluate"]

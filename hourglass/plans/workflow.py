@@ -126,3 +126,19 @@ def name_recommendations(prep: Prepared, model, k: int = 5) -> tuple[DataFrame,
         readable_user_recs(user_recs, prep.items, prep.users),
         readable_item_recs(item_recs, prep.items, prep.users),
     )
+
+
+def evaluate_at_k(model, actual: DataFrame, k: int, user: str = "user", item: str = "item") -> tuple[float, float, float]:
+    """(precision@k, recall@k, map@k) of ``model`` – the reference's call shape.
+
+    ``actual`` is either test rows (user, item, …) or one row per user with an
+    array of items (user, actual_items). Only users in ``actual`` are scored.
+    Three numbers come back to the driver; the work is one distributed plan.
+    """
+    from pyspark.sql import types as T
+
+    arrays = [f.name for f in actual.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    pairs = actual.select(user, F.explode(arrays[0]).alias(item)) if arrays and item not in actual.columns else actual
+    recs = recommend_for_users(model, k, pairs.select(user).distinct())
+    row = ranking_metrics(recs, pairs, (k,)).first()
+    return (row["precision"], row["recall"], row["map"]) if row else (float("nan"),) * 3
