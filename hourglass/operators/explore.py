@@ -94,3 +94,16 @@ def cardinalities(df: DataFrame, cols: tuple[str, ...] = ("user_id", "game"), ap
         aggs.append((nn + has_null).cast("bigint").alias(f"{c}_distinct"))
         aggs.append(nn.cast("bigint").alias(f"{c}_non_null"))
     return df.agg(*aggs)
+
+
+def with_names(top: DataFrame, names: DataFrame, key: str = "game", name_col: str = "name") -> DataFrame:
+    """Attach readable names to a small result (a top-N list) by key.
+
+    ``top`` is bounded by its limit: its keys are broadcast and the names
+    table is streamed past them (an inner join may build on either side; an
+    outer join could only build on the names), leaving at most N name rows,
+    which are then attached to ``top`` with a left join of two tiny inputs.
+    """
+    keys = F.broadcast(top.select(key))
+    found = keys.join(names.select(key, name_col), key, "inner")
+    return top.join(found, key, "left")

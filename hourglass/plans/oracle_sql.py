@@ -120,6 +120,13 @@ FROM ev"""
     q["top_users"] = "WITH " + _EV + "," + _top("pl", "user_id", True)
     q["top_items_sales"] = "WITH " + _SALES + "," + _top("sa", "game", False)
     q["top_users_sales"] = "WITH " + _SALES + "," + _top("sa", "user_id", True)
+    q["top_items_sales_named"] = (
+        "WITH " + _SALES + """,
+tot AS (SELECT game, sum(value) AS total_hours FROM sa GROUP BY 1),
+top AS (SELECT * FROM tot ORDER BY total_hours DESC NULLS LAST, game ASC NULLS LAST LIMIT 10)
+SELECT top.game, round(top.total_hours, 6) AS total_hours, p.p_name || '#' || CAST(p.p_partkey AS VARCHAR) AS name
+FROM top LEFT JOIN part p ON top.game = CAST(p.p_partkey AS VARCHAR)"""
+    )
     q["clean_profile"] = (
         "WITH " + _EV + """,
 pairs AS (SELECT user_id, game, count(*) AS c FROM pl WHERE user_id IS NOT NULL AND game IS NOT NULL GROUP BY 1, 2),

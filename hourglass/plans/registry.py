@@ -112,6 +112,13 @@ def q_top_users_sales(spark, sf):
     return rounded(explore.top_users(sales_interactions(spark, sf), 10, SALES_PLAY))
 
 
+def q_top_items_sales_named(spark, sf):
+    from ..sources import sales_item_names
+
+    top = explore.top_items(sales_interactions(spark, sf), 10, SALES_PLAY)
+    return rounded(explore.with_names(top, sales_item_names(spark, sf)))
+
+
 def q_clean_profile(spark, sf):
     return clean.profile(explore.plays(_events(spark, sf), EVENTS_PLAY))
 
@@ -355,6 +362,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_users": q_top_users,
     "top_items_sales": q_top_items_sales,
     "top_users_sales": q_top_users_sales,
+    "top_items_sales_named": q_top_items_sales_named,
     "clean_profile": q_clean_profile,
     "item_index": q_item_index,
     "user_index": q_user_index,
