@@ -13,7 +13,8 @@ dictionary here is a DataFrame:
    partitions – a total order spread over many tasks (a skewed count value
    is split by label, not piled into one window partition).
 3. ``monotonically_increasing_id`` gives (partition, position); the rows are
-   checkpointed so partition ids cannot shift on recomputation.
+   written once as Parquet in the shared folder, so the ids cannot shift on
+   recomputation and later reads are columnar scans.
 4. Per-partition sizes (one number per partition) → prefix offsets → a
    literal array indexed by partition, so the dictionary is a narrow
    projection of the checkpointed rows: no join or window on each use.
@@ -29,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stable
+from ..session import stable_table
 from .joins import BROADCAST_MAX_ROWS, sized_broadcast
 
 INT_MAX = 2**31 - 1
@@ -57,7 +58,7 @@ def build_dictionaries(df: DataFrame, cols: dict[str, str], partitions: int | No
     ``cols`` maps a dictionary name to its column. Each row contributes one
     (kind, label) entry per column; a single partial + final aggregate counts
     them, one range shuffle orders them by (kind, count desc, label), and one
-    checkpoint fixes the partition layout. The per-(kind, partition) sizes –
+    Parquet write fixes every label's position. The per-(kind, partition) sizes –
     bounded by kinds × partitions, not by the data – become the id offsets.
     """
     spark = df.sparkSession
@@ -74,7 +75,9 @@ def build_dictionaries(df: DataFrame, cols: dict[str, str], partitions: int | No
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = (F.col("kind").asc(), F.col("n").desc(), F.col("label").asc())
     ordered = counts.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
-    tagged = stable(ordered.select("kind", "label", "n", F.monotonically_increasing_id().alias("_mid")))
+    # Materialise once: the (partition, position) of every label is stored in
+    # ``_mid``, so the ids no longer depend on how the rows are read back.
+    tagged = stable_table(ordered.select("kind", "label", "n", F.monotonically_increasing_id().alias("_mid")), "dictionary")
     tagged = tagged.select(
         "kind",
         "label",
