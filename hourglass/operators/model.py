@@ -124,16 +124,31 @@ def factors(model: ALSModel) -> tuple[DataFrame, DataFrame]:
     return model.userFactors, model.itemFactors
 
 
-def score_pairs(model: ALSModel, pairs: DataFrame, user: str = "user", item: str = "item") -> DataFrame:
-    """Relational scoring: two inner joins with the factor tables and a dot
-    product. Equal to ``predict`` with cold ids dropped; useful to check it."""
+def score_with_factors(
+    pairs: DataFrame,
+    user_factors: DataFrame,
+    item_factors: DataFrame,
+    user: str = "user",
+    item: str = "item",
+    keep_cold: bool = False,
+    dtype: str = "float",
+) -> DataFrame:
+    """Score (user, item) rows with factor tables (id INT, features ARRAY).
+
+    Two equi-joins with the factor tables and an array dot product – the
+    relational form of ``ALSModel.transform``. Pairs whose user or item has no
+    factor are dropped, or kept with a NaN prediction when ``keep_cold``.
+    """
     from ..functions import dot
 
-    uf = model.userFactors.select(F.col("id").alias(user), F.col("features").alias("_uf"))
-    itf = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("_if"))
-    return (
-        pairs.join(uf, user, "inner")
-        .join(itf, item, "inner")
-        .withColumn("prediction", dot("_uf", "_if").cast("float"))
-        .drop("_uf", "_if")
-    )
+    how = "left" if keep_cold else "inner"
+    uf = user_factors.select(F.col("id").alias(user), F.col("features").alias("_uf"))
+    itf = item_factors.select(F.col("id").alias(item), F.col("features").alias("_if"))
+    score = F.when(F.col("_uf").isNull() | F.col("_if").isNull(), F.lit(float("nan"))).otherwise(dot("_uf", "_if"))
+    return pairs.join(uf, user, how).join(itf, item, how).withColumn("prediction", score.cast(dtype)).drop("_uf", "_if")
+
+
+def score_pairs(model: ALSModel, pairs: DataFrame, user: str = "user", item: str = "item") -> DataFrame:
+    """Relational scoring with a fitted model's factors. Equal to ``predict``
+    with cold ids dropped; useful to check it."""
+    return score_with_factors(pairs, model.userFactors, model.itemFactors, user, item)

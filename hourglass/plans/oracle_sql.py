@@ -198,6 +198,24 @@ SELECT 'random_seed42' AS run_name, 'random' AS model, CAST(42 AS BIGINT) AS see
        round(cov.n_scored / cov.n_test, 6) AS coverage, m.n_users,
        m.precision AS precision_at_10, m.recall AS recall_at_10, m.map AS map_at_10
 FROM m, cov"""
+    )
+    factors = _PREP + """,
+uf AS (SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id < 100),
+itf AS (SELECT CAST(vec_id - 100 AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id >= 100)
+"""
+    q["fixed_factor_scores"] = (
+        "WITH " + factors + """
+SELECT t."user", t.item, t.rating, round(list_dot_product(uf.f, itf.f), 6) AS prediction
+FROM test t JOIN uf ON t."user" = uf.id JOIN itf ON t.item = itf.id"""
+    )
+    q["fixed_factor_score_report"] = (
+        "WITH " + factors + """,
+sc AS (SELECT t.rating, list_dot_product(uf.f, itf.f) AS prediction
+       FROM test t LEFT JOIN uf ON t."user" = uf.id LEFT JOIN itf ON t.item = itf.id)
+SELECT count(*) AS n_test, count(prediction) AS n_scored, round(count(prediction) / count(*), 6) AS coverage,
+       round(sqrt(avg((rating - prediction) ^ 2)), 6) AS rmse,
+       round(sqrt(avg(((CASE WHEN rating > 0 THEN 1.0 ELSE 0.0 END) - prediction) ^ 2)), 6) AS rmse_preference
+FROM sc"""
     )
     rr5_users = _random('SELECT DISTINCT "user" FROM train', '"user"', "item", "SELECT count(*) AS n FROM idict", 5)
     q["readable_user_recs"] = (

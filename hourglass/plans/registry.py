@@ -227,6 +227,24 @@ def q_random_baseline_run(spark, sf):
     )
 
 
+def q_fixed_factor_scores(spark, sf):
+    """J4 with fixed factors: test pairs scored by two joins + dot product."""
+    from ..sources import embedding_factors
+
+    p = _prep(spark, sf)
+    uf, itf = embedding_factors(spark, sf)
+    return rounded(model.score_with_factors(p.test, uf, itf, dtype="double"))
+
+
+def q_fixed_factor_score_report(spark, sf):
+    """Score report (RMSE forms, coverage) of the fixed-factor predictions."""
+    from ..sources import embedding_factors
+
+    p = _prep(spark, sf)
+    uf, itf = embedding_factors(spark, sf)
+    return rounded(metrics.score_report(model.score_with_factors(p.test, uf, itf, keep_cold=True, dtype="double")))
+
+
 # --- presentation -------------------------------------------------------------
 
 def q_readable_user_recs(spark, sf):
@@ -379,6 +397,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "running_precision": q_running_precision,
     "ranking_metrics": q_ranking_metrics,
     "random_baseline_run": q_random_baseline_run,
+    "fixed_factor_scores": q_fixed_factor_scores,
+    "fixed_factor_score_report": q_fixed_factor_score_report,
     "readable_user_recs": q_readable_user_recs,
     "readable_item_recs": q_readable_item_recs,
     "recs_for_user": q_recs_for_user,

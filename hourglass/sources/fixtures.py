@@ -63,3 +63,16 @@ def sales_item_names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").cast("string").alias("game"),
         F.concat_ws("#", F.col("p_name"), F.col("p_partkey").cast("string")).alias("name"),
     )
+
+
+def embedding_factors(spark: SparkSession, sf_dir: str, n_users: int = 100) -> tuple[DataFrame, DataFrame]:
+    """Fixed factors from ``embeddings``: ``vec_id < n_users`` are user
+    factors (id = vec_id), the rest item factors (id = vec_id - n_users)."""
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    users = emb.where(F.col("vec_id") < n_users).select(
+        F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("features")
+    )
+    items = emb.where(F.col("vec_id") >= n_users).select(
+        (F.col("vec_id") - F.lit(n_users)).cast("int").alias("id"), F.col("embedding").alias("features")
+    )
+    return users, items
