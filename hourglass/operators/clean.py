@@ -40,7 +40,10 @@ def profile(
     item_col: str = "game",
     value: str = "value",
 ) -> DataFrame:
-    """Data-quality counts as ``(metric, n)`` rows.
+    """Data-quality counts as ``(metric, n)`` rows, including two skew gauges:
+    ``max_rows_per_user`` and ``max_items_per_user`` (rows with a user and a
+    game). A user far above the rest sends that many rows to one ALS block;
+    ``build_ratings(merge="sum")`` bounds it by ``max_items_per_user``.
 
     One scan and a linear chain of aggregates: per (user, game) pair, then
     per user, then global. NULL keys form their own groups, and each level
@@ -69,6 +72,8 @@ def profile(
         F.sum(F.when(dup, F.col("rows") - 1)).alias("duplicate_rows"),
         # the user's largest usable value over pairs with a game
         F.max(F.when(g.isNotNull() & (F.col("valid") > 0), F.col("max_valid"))).alias("mx"),
+        F.sum(F.when(g.isNotNull(), F.col("rows"))).alias("keyed_rows"),
+        F.count(g).alias("items"),
     )
     totals = per_user.agg(
         F.sum("rows").alias("rows"),
@@ -81,10 +86,14 @@ def profile(
         F.sum(F.when(u.isNotNull(), F.col("duplicate_pairs"))).alias("duplicate_pairs"),
         F.sum(F.when(u.isNotNull(), F.col("duplicate_rows"))).alias("duplicate_rows"),
         F.sum(F.when(u.isNotNull() & (F.col("mx") <= 0), F.lit(1))).alias("users_without_positive"),
+        # skew: the most rows, and the most distinct games, of any one user
+        F.max(F.when(u.isNotNull(), F.col("keyed_rows"))).alias("max_rows_per_user"),
+        F.max(F.when(u.isNotNull(), F.col("items"))).alias("max_items_per_user"),
     )
     names = [
         "rows", "null_user", "null_item", "null_value", "nan_value", "non_positive_value",
         "clean_rows", "duplicate_pairs", "duplicate_rows", "users_without_positive",
+        "max_rows_per_user", "max_items_per_user",
     ]
     cells = [F.struct(F.lit(m).alias("metric"), F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias("n")) for m in names]
     return totals.select(F.explode(F.array(*cells)).alias("m")).select("m.metric", "m.n")

@@ -141,7 +141,9 @@ UNION ALL SELECT 'non_positive_value', count(*) FROM pl WHERE value IS NOT NULL
 UNION ALL SELECT 'clean_rows', count(*) FROM ok
 UNION ALL SELECT 'duplicate_pairs', count(*) FROM pairs WHERE c > 1
 UNION ALL SELECT 'duplicate_rows', CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM pairs WHERE c > 1
-UNION ALL SELECT 'users_without_positive', count(*) FROM pu WHERE mx <= 0"""
+UNION ALL SELECT 'users_without_positive', count(*) FROM pu WHERE mx <= 0
+UNION ALL SELECT 'max_rows_per_user', max(c) FROM (SELECT user_id, count(*) AS c FROM pl WHERE user_id IS NOT NULL AND game IS NOT NULL GROUP BY 1)
+UNION ALL SELECT 'max_items_per_user', max(c) FROM (SELECT user_id, count(DISTINCT game) AS c FROM pl WHERE user_id IS NOT NULL AND game IS NOT NULL GROUP BY 1)"""
     )
     q["item_index"] = "WITH " + _EV + f" {_dict('cl', 'game')}"
     q["user_index"] = "WITH " + _EV + f" {_dict('cl', 'user_id')}"

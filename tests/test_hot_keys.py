@@ -58,6 +58,7 @@ def test_hot_user_profile_counts(spark):
     assert prof["rows"] == 30_000 and prof["clean_rows"] == 30_000
     # user 1 meets each game about 10 times: 997 duplicate pairs for that user alone
     assert prof["duplicate_pairs"] >= 997
+    assert prof["max_rows_per_user"] == 10_000 and prof["max_items_per_user"] == 997
 
 
 def _reference_loop(recs, actual, k):
