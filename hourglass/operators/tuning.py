@@ -55,6 +55,12 @@ def evaluate_config(
     report = score_report(predict(model, test, keep_cold=True)).first()
     recs = recommend_for_users(model, k, test.select("user").distinct())
     m = ranking_metrics(recs, test, ks=(k,)).first()
+    return run_record(config, report, m, fit_s, split_name)
+
+
+def run_record(config: ALSConfig, report, m, fit_s: float | None = None, split_name: str = "test") -> dict:
+    """A run-log record from a configuration, its score report row and its
+    ranking-metrics row at K = 10."""
     return {
         "run_name": f"ALS_r{config.rank}_reg{config.reg_param}_iter{config.max_iter}",
         "model": "als",

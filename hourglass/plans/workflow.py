@@ -105,7 +105,11 @@ class Evaluation:
 
 
 def train_evaluate(prep: Prepared, config: ALSConfig = BASELINE, ks=KS, n_train: int | None = None) -> Evaluation:
+    import time
+
+    t0 = time.perf_counter()
     model = fit_als(prep.train, config, n_ratings=n_train)
+    fit_s = time.perf_counter() - t0
     scored = predict(model, prep.test, keep_cold=True)
     # Only users with a test item can be evaluated: score just those.
     recs = recommend_for_users(model, max(ks), prep.test.select("user").distinct())
@@ -116,6 +120,7 @@ def train_evaluate(prep: Prepared, config: ALSConfig = BASELINE, ks=KS, n_train:
         report=score_report(scored),
         user_recs=recs,
         metrics=ranking_metrics(recs, prep.test, ks),
+        extra={"fit_seconds": fit_s},
     )
 
 

@@ -22,3 +22,17 @@ def test_evaluate_at_k_accepts_rows_or_arrays(spark):
     c = ranking_metrics(recommend_for_users(m, 5), p.test, (5,)).first()
     assert a == b
     assert abs(a[2] - c["map"]) < 1e-12 and abs(a[0] - c["precision"]) < 1e-12
+
+
+def test_study_command_line_on_csv(spark, capsys):
+    from hourglass.plans.study import main
+    from hourglass.sources import write_interactions_csv
+
+    csv = scratch_path(spark, "test-study-cli", "in")
+    write_interactions_csv(events_interactions(spark, SF001), csv)
+    out = scratch_path(spark, "test-study-cli", "out")
+    main(["--input", csv, "--out", out, "--behavior", "view", "--no-grid"])
+    printed = capsys.readouterr().out
+    assert "leaderboard" in printed and "runs" in printed
+    runs = spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/runs")
+    assert runs.count() == 1 and runs.first()["run_name"] == "ALS_r20_reg0.1_iter10"
