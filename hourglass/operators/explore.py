@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hours_label
+from .joins import sized_broadcast
 
 
 def plays(df: DataFrame, behavior: str | None = "play", col: str = "behavior") -> DataFrame:
@@ -96,14 +97,15 @@ def cardinalities(df: DataFrame, cols: tuple[str, ...] = ("user_id", "game"), ap
     return df.agg(*aggs)
 
 
-def with_names(top: DataFrame, names: DataFrame, key: str = "game", name_col: str = "name") -> DataFrame:
-    """Attach readable names to a small result (a top-N list) by key.
+def with_names(top: DataFrame, names: DataFrame, n: int, key: str = "game", name_col: str = "name") -> DataFrame:
+    """Attach readable names to a top-``n`` result by key.
 
-    ``top`` is bounded by its limit: its keys are broadcast and the names
-    table is streamed past them (an inner join may build on either side; an
-    outer join could only build on the names), leaving at most N name rows,
-    which are then attached to ``top`` with a left join of two tiny inputs.
+    ``top`` has at most ``n`` rows (its limit): its keys are broadcast through
+    the size check and the names table is streamed past them (an inner join
+    may build on either side; an outer join could only build on the names),
+    leaving at most ``n`` name rows, which are then attached to ``top`` with a
+    left join of two tiny inputs.
     """
-    keys = F.broadcast(top.select(key))
+    keys = sized_broadcast(top.select(key), n)
     found = keys.join(names.select(key, name_col), key, "inner")
     return top.join(found, key, "left")

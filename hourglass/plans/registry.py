@@ -116,7 +116,7 @@ def q_top_items_sales_named(spark, sf):
     from ..sources import sales_item_names
 
     top = explore.top_items(sales_interactions(spark, sf), 10, SALES_PLAY)
-    return rounded(explore.with_names(top, sales_item_names(spark, sf)))
+    return rounded(explore.with_names(top, sales_item_names(spark, sf), 10))
 
 
 def q_clean_profile(spark, sf):
