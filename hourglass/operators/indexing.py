@@ -77,7 +77,9 @@ def build_dictionaries(df: DataFrame, cols: dict[str, str], partitions: int | No
     ordered = counts.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
     # Materialise once: the (partition, position) of every label is stored in
     # ``_mid``, so the ids no longer depend on how the rows are read back.
-    tagged = stable_table(ordered.select("kind", "label", "n", F.monotonically_increasing_id().alias("_mid")), "dictionary")
+    tagged = stable_table(
+        ordered.select("kind", "label", "n", F.monotonically_increasing_id().alias("_mid")), "dictionary", ("kind",)
+    )
     tagged = tagged.select(
         "kind",
         "label",
