@@ -91,7 +91,7 @@ def cardinalities(df: DataFrame, cols: tuple[str, ...] = ("user_id", "game"), ap
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for c in cols:
         nn = F.approx_count_distinct(c) if approx else F.countDistinct(c)
-        has_null = F.max(F.col(c).isNull().cast("int"))
+        has_null = F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))
         aggs.append((nn + has_null).cast("bigint").alias(f"{c}_distinct"))
         aggs.append(nn.cast("bigint").alias(f"{c}_non_null"))
     return df.agg(*aggs)

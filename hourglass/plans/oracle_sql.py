@@ -110,9 +110,9 @@ def queries() -> dict[str, str]:
     q["cardinalities"] = (
         "WITH " + _EV + """
 SELECT count(*) AS n_rows,
-       count(DISTINCT user_id) + max(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END) AS user_id_distinct,
+       count(DISTINCT user_id) + coalesce(max(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END), 0) AS user_id_distinct,
        count(DISTINCT user_id) AS user_id_non_null,
-       count(DISTINCT game) + max(CASE WHEN game IS NULL THEN 1 ELSE 0 END) AS game_distinct,
+       count(DISTINCT game) + coalesce(max(CASE WHEN game IS NULL THEN 1 ELSE 0 END), 0) AS game_distinct,
        count(DISTINCT game) AS game_non_null
 FROM ev"""
     )

@@ -30,16 +30,44 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(shuffle_bytes: int, cores: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a cluster run, from the expected bytes of the
+    largest shuffle (after filters and column pruning, not the raw input).
+
+    Shuffle partitions start at one per ``partition_bytes`` of shuffle data
+    (at least two per core, at most 50k map-side blocks per map task) and AQE
+    coalesces small ones back to ``partition_bytes / 2``; scan splits are
+    ``partition_bytes``. Each task then holds a few hundred MB, which fits
+    executor memory without spilling on typical 4-8 GB per-core executors.
+    """
+    import math
+
+    parts = max(2 * cores, min(50_000, math.ceil(shuffle_bytes / partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "hourglass",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    expected_shuffle_bytes: int | None = None,
+    cores: int | None = None,
 ) -> SparkSession:
+    """Build (or get) the session with the package defaults. With
+    ``expected_shuffle_bytes`` and ``cores`` the partition sizes come from
+    ``scale_conf``; explicit ``shuffle_partitions`` / ``extra_conf`` win."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if expected_shuffle_bytes and cores:
+        conf.update(scale_conf(expected_shuffle_bytes, cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

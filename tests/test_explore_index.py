@@ -81,3 +81,17 @@ def test_broadcast_only_within_size_bounds(spark):
     assert not is_broadcast(sized_broadcast(df, 3, n_bytes=10**9))
     d = build_dictionary(spark.createDataFrame([("abc",), ("de",)], "game STRING"), "game")
     assert d.label_bytes == 5
+
+
+def test_cardinalities_on_empty_input(spark):
+    df = spark.createDataFrame([], "user_id BIGINT, game STRING")
+    row = cardinalities(df).first()
+    assert (row["n_rows"], row["user_id_distinct"], row["user_id_non_null"], row["game_distinct"]) == (0, 0, 0, 0)
+
+
+def test_scale_conf_sizes_partitions():
+    from hourglass.session import scale_conf
+
+    c = scale_conf(5 * 1024**4, cores=8000)  # 5 TB of shuffle on 8000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 20480
+    assert scale_conf(10, cores=8)["spark.sql.shuffle.partitions"] == "16"
