@@ -43,7 +43,7 @@ def _with_labels(top: DataFrame, total: str) -> DataFrame:
     # of the input.
     w = Window.partitionBy()
     return top.withColumn("hours_label", hours_label(total)).withColumn(
-        "share_of_max", F.col(total) / F.max(total).over(w)
+        "share_of_max", F.try_divide(F.col(total), F.max(total).over(w))
     )
 
 

@@ -95,3 +95,12 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(5 * 1024**4, cores=8000)  # 5 TB of shuffle on 8000 cores
     assert int(c["spark.sql.shuffle.partitions"]) == 20480
     assert scale_conf(10, cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_top_users_all_zero_hours(spark):
+    from hourglass.operators import top_users
+
+    df = spark.createDataFrame([(1, "g", "play", 0.0), (2, "g", "play", 0.0)], "user_id BIGINT, game STRING, behavior STRING, value DOUBLE")
+    rows = top_users(df, 10).collect()
+    assert [r["user_id"] for r in rows] == [1, 2] and rows[0]["share_of_max"] is None
+    assert rows[0]["hours_label"] == "0 hrs"
