@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from conftest import SF001
 from hourglass.operators import build_dictionary, first_rows, flatten_user_recs, readable_item_recs, readable_user_recs, users_for_game
