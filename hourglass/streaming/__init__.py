@@ -37,14 +37,28 @@ def run_to_table(agg: DataFrame, out_path: str, checkpoint: str, available_now:
     return writer.start()
 
 
-def item_totals_from_files(spark: SparkSession, folder: str, pattern: str = "*.parquet", behavior: str | None = "view") -> DataFrame:
-    """Process every events file of ``folder`` matching ``pattern`` that is
-    available now, and return the totals table."""
+def item_totals_job(
+    spark: SparkSession,
+    folder: str,
+    out_path: str,
+    checkpoint: str,
+    pattern: str = "*.parquet",
+    behavior: str | None = "view",
+) -> DataFrame:
+    """Bring the totals table at ``out_path`` up to date with every events
+    file now in ``folder``. Re-running with the same ``checkpoint`` resumes:
+    files already processed are skipped, the aggregation state is restored,
+    and the table again holds the totals over all files seen so far."""
     schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    query = run_to_table(item_totals_stream(adapt_events(stream), behavior), out_path, checkpoint)
+    query.awaitTermination()
+    return spark.read.parquet(out_path)
+
+
+def item_totals_from_files(spark: SparkSession, folder: str, pattern: str = "*.parquet", behavior: str | None = "view") -> DataFrame:
+    """One-off run of ``item_totals_job`` with fresh output and state folders."""
     run_id = uuid.uuid4().hex
     out = scratch_path(spark, "stream", run_id, "totals")
     ckpt = scratch_path(spark, "stream", run_id, "state")
-    query = run_to_table(item_totals_stream(adapt_events(stream), behavior), out, ckpt)
-    query.awaitTermination()
-    return spark.read.parquet(out)
+    return item_totals_job(spark, folder, out, ckpt, pattern, behavior)
