@@ -5,6 +5,7 @@ from .joins import BROADCAST_MAX_ROWS, sized_broadcast
 from .metrics import (
     actual_items,
     hits_per_user,
+    precision_random_expectation,
     random_recs,
     ranking_metrics,
     ranking_per_user,

@@ -100,3 +100,16 @@ def test_empty_rec_list_counts_as_evaluated_with_zero(spark):
     assert m["n_users"] == 2
     assert m["recall"] == pytest.approx(0.5) and m["map"] == pytest.approx(0.5)
     assert m["precision"] == pytest.approx(0.1)
+
+
+def test_random_baseline_near_its_expectation(spark):
+    from hourglass.operators.metrics import precision_random_expectation
+
+    prep = prepare(events_interactions(spark, "/root/testdata/sf0.1"), behavior="view")
+    users = prep.train.select("user").distinct()
+    measured = [
+        ranking_metrics(random_recs(users, prep.items.size, 10, seed=s), prep.test, (10,)).first()["precision"]
+        for s in (1, 2, 3)
+    ]
+    expected = precision_random_expectation(prep.test, prep.items.size, 10).first()["expected_precision"]
+    assert abs(sum(measured) / 3 - expected) < 0.25 * expected
