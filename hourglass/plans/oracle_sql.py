@@ -28,6 +28,27 @@ def _dict(src: str, expr: str) -> str:
        FROM (SELECT CAST({expr} AS VARCHAR) AS label, count(*) AS n FROM {src} WHERE {expr} IS NOT NULL GROUP BY 1)"""
 
 
+def _prep_chain(src: str, clean_cte: str) -> str:
+    """dictionaries → ids → md5 split → ratings, over the cleaned rows ``clean_cte``."""
+    return src + f""",
+idict AS ({_dict(clean_cte, 'game')}),
+udict AS ({_dict(clean_cte, 'user_id')}),
+enc AS (SELECT c.user_id, c.game, c.value, u.idx AS "user", i.idx AS item
+        FROM {clean_cte} c JOIN udict u ON CAST(c.user_id AS VARCHAR) = u.label JOIN idict i ON c.game = i.label),
+sp AS (SELECT *, CASE WHEN ('0x' || substr(md5(concat_ws('|', CAST(user_id AS VARCHAR), game, '{SEED}')), 1, 8))::BIGINT % 10000 < 2000
+                      THEN 'test' ELSE 'train' END AS split FROM enc),
+rt AS (SELECT "user", item, CAST(value AS DOUBLE) AS rating, split FROM sp),
+train AS (SELECT "user", item, rating FROM rt WHERE split = 'train'),
+test AS (SELECT "user", item, rating FROM rt WHERE split = 'test')
+"""
+
+
+_SALES_CLEAN = _SALES + """,
+scl AS (SELECT * FROM sa WHERE user_id IS NOT NULL AND game IS NOT NULL AND value IS NOT NULL AND NOT isnan(value))
+"""
+
+_PREP_SALES = _prep_chain(_SALES_CLEAN, "scl")
+
 _PREP = _EV + f""",
 idict AS ({_dict('cl', 'game')}),
 udict AS ({_dict('cl', 'user_id')}),
@@ -50,7 +71,8 @@ def _random(ids_sql: str, id_col: str, field: str, n_sql: str, k: int) -> str:
        WHERE g.j < nn.n"""
 
 
-_RR10 = _PREP + f""",
+def _rr10(prep: str) -> str:
+    return prep + f""",
 rr AS ({_random('SELECT DISTINCT "user" FROM train', '"user"', 'item', 'SELECT count(*) AS n FROM idict', 10)}),
 te AS (SELECT DISTINCT "user", item FROM test WHERE item IS NOT NULL),
 na AS (SELECT "user", count(*) AS n_actual FROM te GROUP BY 1),
@@ -61,7 +83,10 @@ run AS (SELECT "user", pos, item,
 """
 
 
-def _metrics_sql(ks=(5, 10)) -> str:
+_RR10 = _rr10(_PREP)
+
+
+def _metrics_sql(ks=(5, 10), prep: str | None = None) -> str:
     ph = ", ".join(
         f"sum(CASE WHEN pos < {k} THEN 1 ELSE 0 END) AS h{k}, sum(CASE WHEN pos < {k} THEN hit_no / (pos + 1) ELSE 0 END) AS a{k}"
         for k in ks
@@ -76,7 +101,7 @@ def _metrics_sql(ks=(5, 10)) -> str:
     )
     return (
         "WITH "
-        + _RR10
+        + (_RR10 if prep is None else _rr10(prep))
         + f""",
 ph AS (SELECT "user", {ph} FROM run GROUP BY 1),
 pu AS (SELECT na."user", n_actual, {pu}
@@ -248,5 +273,34 @@ WHERE rr."user" = 0"""
 topg AS (SELECT game FROM pl GROUP BY game ORDER BY sum(value) DESC NULLS LAST, game ASC NULLS LAST LIMIT 1)
 SELECT * FROM ritems WHERE game = (SELECT game FROM topg)"""
     )
+    q["clean_profile_sales"] = (
+        "WITH " + _SALES + """,
+pl AS (SELECT * FROM sa),
+pairs AS (SELECT user_id, game, count(*) AS c FROM pl WHERE user_id IS NOT NULL AND game IS NOT NULL GROUP BY 1, 2),
+ok AS (SELECT * FROM pl WHERE user_id IS NOT NULL AND game IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)),
+pu AS (SELECT user_id, max(value) AS mx FROM ok GROUP BY 1)
+SELECT 'rows' AS metric, count(*) AS n FROM pl
+UNION ALL SELECT 'null_user', count(*) FROM pl WHERE user_id IS NULL
+UNION ALL SELECT 'null_item', count(*) FROM pl WHERE game IS NULL
+UNION ALL SELECT 'null_value', count(*) FROM pl WHERE value IS NULL
+UNION ALL SELECT 'nan_value', count(*) FROM pl WHERE value IS NOT NULL AND isnan(value)
+UNION ALL SELECT 'non_positive_value', count(*) FROM pl WHERE value IS NOT NULL AND NOT isnan(value) AND value <= 0
+UNION ALL SELECT 'clean_rows', count(*) FROM ok
+UNION ALL SELECT 'duplicate_pairs', count(*) FROM pairs WHERE c > 1
+UNION ALL SELECT 'duplicate_rows', CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM pairs WHERE c > 1
+UNION ALL SELECT 'users_without_positive', count(*) FROM pu WHERE mx <= 0
+UNION ALL SELECT 'max_rows_per_user', max(c) FROM (SELECT user_id, count(*) AS c FROM pl WHERE user_id IS NOT NULL AND game IS NOT NULL GROUP BY 1)
+UNION ALL SELECT 'max_items_per_user', max(c) FROM (SELECT user_id, count(DISTINCT game) AS c FROM pl WHERE user_id IS NOT NULL AND game IS NOT NULL GROUP BY 1)"""
+    )
+    q["user_index_sales"] = "WITH " + _SALES_CLEAN + " " + _dict("scl", "user_id")
+    q["split_counts_sales"] = "WITH " + _PREP_SALES + " SELECT split, count(*) AS n FROM rt GROUP BY 1"
+    q["coverage_sales"] = (
+        "WITH " + _PREP_SALES + """
+SELECT count(*) AS n_test,
+       count(*) FILTER (WHERE "user" IN (SELECT "user" FROM train) AND item IN (SELECT item FROM train)) AS n_scored,
+       round(n_scored / n_test, 6) AS coverage
+FROM test"""
+    )
+    q["ranking_metrics_sales"] = _metrics_sql((5, 10), _PREP_SALES)
     q["stream_item_totals"] = "WITH " + _EV + " SELECT game, round(sum(value), 6) AS total_hours FROM pl GROUP BY 1"
     return q

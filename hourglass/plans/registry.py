@@ -58,6 +58,10 @@ def _prep(spark, sf) -> Prepared:
     return prepare(_events(spark, sf), behavior=EVENTS_PLAY, seed=SEED)
 
 
+def _prep_sales(spark, sf) -> Prepared:
+    return prepare(sales_interactions(spark, sf), behavior=SALES_PLAY, seed=SEED)
+
+
 def _random_user_recs(prep: Prepared, k: int) -> DataFrame:
     users = prep.train.select("user").distinct()
     return metrics.random_recs(users, prep.items.size, k, SEED, id_col="user", field="item")
@@ -165,6 +169,29 @@ def q_rmse_item_mean(spark, sf):
     return rounded(metrics.score_report(scored))
 
 
+def q_clean_profile_sales(spark, sf):
+    return clean.profile(sales_interactions(spark, sf))
+
+
+def q_user_index_sales(spark, sf):
+    rows = clean.clean_interactions(sales_interactions(spark, sf))
+    return indexing.build_dictionary(rows, "user_id").table
+
+
+def q_split_counts_sales(spark, sf):
+    return ratings.split_counts(_prep_sales(spark, sf).ratings)
+
+
+def q_coverage_sales(spark, sf):
+    p = _prep_sales(spark, sf)
+    return rounded(ratings.cold_start_coverage(p.train, p.test))
+
+
+def q_ranking_metrics_sales(spark, sf):
+    p = _prep_sales(spark, sf)
+    return rounded(metrics.ranking_metrics(_random_user_recs(p, K_EVAL), p.test, (5, 10)))
+
+
 # --- metrics on the random recommender ---------------------------------------
 
 def q_actual_items(spark, sf):
@@ -385,6 +412,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "item_index": q_item_index,
     "user_index": q_user_index,
     "item_index_sales": q_item_index_sales,
+    "user_index_sales": q_user_index_sales,
+    "clean_profile_sales": q_clean_profile_sales,
+    "split_counts_sales": q_split_counts_sales,
+    "coverage_sales": q_coverage_sales,
+    "ranking_metrics_sales": q_ranking_metrics_sales,
     "ratings": q_ratings,
     "split_rows": q_split_rows,
     "split_counts": q_split_counts,
