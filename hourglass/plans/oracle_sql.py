@@ -302,5 +302,22 @@ SELECT count(*) AS n_test,
 FROM test"""
     )
     q["ranking_metrics_sales"] = _metrics_sql((5, 10), _PREP_SALES)
+    q["als_coverage"] = q["coverage"]
+    q["als_user_recs_shape"] = (
+        "WITH " + _PREP + """,
+nu AS (SELECT count(DISTINCT "user") AS u FROM train),
+ni AS (SELECT count(DISTINCT item) AS i FROM train)
+SELECT u AS n_ids, CAST(u * least(5, i) AS BIGINT) AS n_recs, CAST(least(5, i) AS INTEGER) AS min_len,
+       CAST(least(5, i) AS INTEGER) AS max_len, u AS distinct_ids
+FROM nu, ni"""
+    )
+    q["als_item_recs_shape"] = (
+        "WITH " + _PREP + """,
+nu AS (SELECT count(DISTINCT "user") AS u FROM train),
+ni AS (SELECT count(DISTINCT item) AS i FROM train)
+SELECT i AS n_ids, CAST(i * least(5, u) AS BIGINT) AS n_recs, CAST(least(5, u) AS INTEGER) AS min_len,
+       CAST(least(5, u) AS INTEGER) AS max_len, i AS distinct_ids
+FROM nu, ni"""
+    )
     q["stream_item_totals"] = "WITH " + _EV + " SELECT game, round(sum(value), 6) AS total_hours FROM pl GROUP BY 1"
     return q

@@ -368,6 +368,39 @@ def q_als_users_for_top_game(spark, sf):
     return present.readable_item_recs(recs, p.items, p.users).orderBy(F.col("score").desc(), F.col("recommended_user"))
 
 
+def q_als_coverage(spark, sf):
+    """Cold-start behaviour of the real model: which test rows get a
+    prediction depends only on the train id sets, so SQL can check it."""
+    p, m = _als_eval(spark, sf)
+    return rounded(metrics.score_report(model.predict(m, p.test, keep_cold=True)).select("n_test", "n_scored", "coverage"))
+
+
+def _recs_shape(recs: DataFrame, id_col: str, field: str) -> DataFrame:
+    """Rows, total list length, and the smallest / largest number of
+    distinct ids in one list."""
+    size = F.size(F.array_distinct(F.col(f"recommendations.{field}")))
+    return recs.agg(
+        F.count(F.lit(1)).alias("n_ids"),
+        F.sum(size).cast("bigint").alias("n_recs"),
+        F.min(size).alias("min_len"),
+        F.max(size).alias("max_len"),
+        F.countDistinct(id_col).alias("distinct_ids"),
+    )
+
+
+def q_als_user_recs_shape(spark, sf):
+    """recommendForAllUsers(5): one row per user with factors (the train
+    users), each with min(5, train items) distinct items."""
+    p, m = _als_eval(spark, sf, model.FIRST_MODEL)
+    return _recs_shape(model.recommend_for_users(m, K_RECS), "user", "item")
+
+
+def q_als_item_recs_shape(spark, sf):
+    """recommendForAllItems(5): one row per train item, min(5, train users) users each."""
+    p, m = _als_eval(spark, sf, model.FIRST_MODEL)
+    return _recs_shape(model.recommend_for_items(m, K_RECS), "item", "user")
+
+
 def _grid_runs(spark, sf) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _GRID_CACHE:
@@ -442,6 +475,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_user_recs": q_als_user_recs,
     "als_item_recs": q_als_item_recs,
     "als_metrics": q_als_metrics,
+    "als_coverage": q_als_coverage,
+    "als_user_recs_shape": q_als_user_recs_shape,
+    "als_item_recs_shape": q_als_item_recs_shape,
     "als_recs_for_user": q_als_recs_for_user,
     "als_users_for_top_game": q_als_users_for_top_game,
     "als_grid": q_als_grid,
