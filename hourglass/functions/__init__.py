@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 
 HASH_SPACE = 10_000
 
+# Output formats that must equal the reference's.
+#   run name     ALS_r<rank>_reg<regParam>_iter<maxIter>   e.g. ALS_r10_reg0.01_iter20
+#   hours label  <hours with thousands separators, no decimals> hrs   e.g. 11,754 hrs
+RUN_NAME_FORMAT = "ALS_r%d_reg%s_iter%d"
+HOURS_SUFFIX = " hrs"
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -25,14 +31,12 @@ def hash_bucket(*cols, seed: int | str = 42, space: int = HASH_SPACE) -> Column:
 
 def hours_label(c) -> Column:
     """``1,234 hrs``: thousands separators, no decimals (half-even)."""
-    return F.concat(F.format_number(F.round(_c(c), 2), 0), F.lit(" hrs"))
+    return F.concat(F.format_number(F.round(_c(c), 2), 0), F.lit(HOURS_SUFFIX))
 
 
 def run_name(rank, reg_param, max_iter) -> Column:
     """``ALS_r<rank>_reg<regParam>_iter<maxIter>``."""
-    return F.format_string(
-        "ALS_r%d_reg%s_iter%d", _c(rank), _c(reg_param).cast("string"), _c(max_iter)
-    )
+    return F.format_string(RUN_NAME_FORMAT, _c(rank), _c(reg_param).cast("string"), _c(max_iter))
 
 
 def dot(a, b) -> Column:

@@ -15,7 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import run_name
+from ..functions import RUN_NAME_FORMAT, run_name
 from ..sources.runs import RUN_COLUMNS, append_runs, read_runs, runs_frame
 from .metrics import ranking_metrics, score_report
 from ..session import default_parallelism
@@ -62,7 +62,7 @@ def run_record(config: ALSConfig, report, m, fit_s: float | None = None, split_n
     """A run-log record from a configuration, its score report row and its
     ranking-metrics row at K = 10."""
     return {
-        "run_name": f"ALS_r{config.rank}_reg{config.reg_param}_iter{config.max_iter}",
+        "run_name": RUN_NAME_FORMAT % (config.rank, str(float(config.reg_param)), config.max_iter),
         "model": "als",
         "rank": config.rank,
         "regParam": float(config.reg_param),
