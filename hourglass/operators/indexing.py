@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stable_table
+from ..session import default_parallelism, stable_table
 from .joins import BROADCAST_MAX_ROWS, sized_broadcast
 
 INT_MAX = 2**31 - 1
@@ -52,6 +52,13 @@ class Dictionary:
         return self.table
 
 
+def _shuffle_partitions(spark) -> int:
+    try:
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    except (TypeError, ValueError):  # a non-numeric setting: use the cluster's cores
+        return default_parallelism(spark)
+
+
 def build_dictionaries(df: DataFrame, cols: dict[str, str], partitions: int | None = None) -> dict[str, Dictionary]:
     """Dictionaries for several columns from ONE scan of ``df``.
 
@@ -72,7 +79,7 @@ def build_dictionaries(df: DataFrame, cols: dict[str, str], partitions: int | No
         .groupBy("kind", "label")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = partitions or _shuffle_partitions(spark)
     order = (F.col("kind").asc(), F.col("n").desc(), F.col("label").asc())
     ordered = counts.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
     # Materialise once: the (partition, position) of every label is stored in
