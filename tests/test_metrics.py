@@ -113,3 +113,18 @@ def test_random_baseline_near_its_expectation(spark):
     ]
     expected = precision_random_expectation(prep.test, prep.items.size, 10).first()["expected_precision"]
     assert abs(sum(measured) / 3 - expected) < 0.25 * expected
+
+
+def test_metric_properties(spark):
+    prep = prepare(events_interactions(spark, SF01), behavior="view")
+    # perfect recommendations: each user's own test items (|actual| <= K) first
+    actual = prep.test.groupBy("user").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    perfect = actual.where(F.size("items") <= 10).select(
+        "user", F.transform("items", lambda i: F.struct(i.alias("item"), F.lit(1.0).cast("float").alias("rating"))).alias("recommendations")
+    )
+    m = ranking_metrics(perfect, prep.test, (10,)).first()
+    assert m["recall"] == pytest.approx(1.0) and m["map"] == pytest.approx(1.0)
+    rnd = {r["k"]: r for r in ranking_metrics(random_recs(prep.train.select("user").distinct(), prep.items.size, 10, 9), prep.test, (5, 10)).collect()}
+    assert rnd[10]["recall"] >= rnd[5]["recall"]
+    for r in rnd.values():
+        assert all(0.0 <= r[c] <= 1.0 for c in ("precision", "recall", "map"))
