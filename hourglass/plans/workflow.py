@@ -124,9 +124,14 @@ def train_evaluate(prep: Prepared, config: ALSConfig = BASELINE, ks=KS, n_train:
     )
 
 
-def name_recommendations(prep: Prepared, model, k: int = 5) -> tuple[DataFrame, DataFrame]:
-    user_recs = recommend_for_users(model, k)
-    item_recs = recommend_for_items(model, k)
+def name_recommendations(
+    prep: Prepared, model, k: int = 5, users: DataFrame | None = None, items: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Named top-``k`` lists in both directions. Scoring every user against
+    every item grows with users × items; pass ``users`` (column ``user``) /
+    ``items`` (column ``item``) to score only those ids."""
+    user_recs = recommend_for_users(model, k, users)
+    item_recs = recommend_for_items(model, k, items)
     return (
         readable_user_recs(user_recs, prep.items, prep.users),
         readable_item_recs(item_recs, prep.items, prep.users),

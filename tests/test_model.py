@@ -104,3 +104,32 @@ def test_metrics_read_the_recommendations_once(fitted):
     prep, _, model = fitted
     plan = ranking_metrics(recommend_for_users(model, 10), prep.test)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan userFactors") == 1 and plan.count("Scan itemFactors") == 1
+
+
+def test_relational_scoring_keeps_cold_rows_like_mllib(fitted, spark):
+    import math
+
+    from hourglass.operators.model import score_with_factors
+
+    prep, _, model = fitted
+    extra = spark.createDataFrame([(10_000, 0, 1.0), (0, 10_000, 1.0)], "user INT, item INT, rating DOUBLE")
+    pairs = prep.test.unionByName(extra)
+    ours = score_with_factors(pairs, model.userFactors, model.itemFactors, keep_cold=True).collect()
+    theirs = predict(model, pairs, keep_cold=True).collect()
+    key = lambda r: (r["user"], r["item"], r["rating"])
+    a = sorted(((key(r), r["prediction"]) for r in ours), key=lambda x: x[0])
+    b = sorted(((key(r), r["prediction"]) for r in theirs), key=lambda x: x[0])
+    assert len(a) == len(b) == prep.test.count() + 2
+    for (ka, pa), (kb, pb) in zip(a, b):
+        assert ka == kb
+        assert (math.isnan(pa) and math.isnan(pb)) or abs(pa - pb) < 1e-5
+
+
+def test_named_recommendations_for_a_subset(fitted, spark):
+    from hourglass.plans.workflow import name_recommendations
+
+    prep, _, model = fitted
+    users = spark.createDataFrame([(0,), (1,)], "user INT")
+    u, i = name_recommendations(prep, model, 3, users=users, items=spark.createDataFrame([(0,)], "item INT"))
+    assert sorted({r["user"] for r in u.collect()}) == [0, 1]
+    assert {r["game_id"] for r in i.collect()} == {0}
