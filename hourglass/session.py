@@ -82,6 +82,15 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a Spark Connect session (which has none;
+    its server owns the checkpoint folder)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
@@ -90,7 +99,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     under the system temp dir; a cluster session without one is an error,
     because a machine-local folder is not visible to the other executors.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
