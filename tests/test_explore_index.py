@@ -104,3 +104,12 @@ def test_top_users_all_zero_hours(spark):
     rows = top_users(df, 10).collect()
     assert [r["user_id"] for r in rows] == [1, 2] and rows[0]["share_of_max"] is None
     assert rows[0]["hours_label"] == "0 hrs"
+
+
+def test_cardinalities_approx_close_to_exact(spark):
+    from hourglass.sources import sales_interactions
+
+    df = sales_interactions(spark, SF01)
+    exact, approx = cardinalities(df).first(), cardinalities(df, approx=True).first()
+    for c in ("user_id_non_null", "game_non_null"):
+        assert abs(approx[c] - exact[c]) <= 0.05 * exact[c]
