@@ -80,17 +80,20 @@ def distinct_ids(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
-def cardinalities(df: DataFrame, cols: tuple[str, ...] = ("user_id", "game"), approx: bool = False) -> DataFrame:
+def cardinalities(
+    df: DataFrame, cols: tuple[str, ...] = ("user_id", "game"), approx: bool = False, rsd: float = 0.05
+) -> DataFrame:
     """Row count and, per column, distinct values with and without NULL.
 
     ``<c>_distinct`` equals ``select(c).distinct().count()`` (NULL counted as
     one value); ``<c>_non_null`` equals ``countDistinct(c)``. One job for all
-    columns. ``approx=True`` uses HyperLogLog++ instead of an exact distinct,
-    which avoids shuffling every distinct value at very large scale.
+    columns. ``approx=True`` uses HyperLogLog++ (relative standard error
+    ``rsd``) instead of an exact distinct, which avoids shuffling every
+    distinct value at very large scale.
     """
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for c in cols:
-        nn = F.approx_count_distinct(c) if approx else F.countDistinct(c)
+        nn = F.approx_count_distinct(c, rsd) if approx else F.countDistinct(c)
         has_null = F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))
         aggs.append((nn + has_null).cast("bigint").alias(f"{c}_distinct"))
         aggs.append(nn.cast("bigint").alias(f"{c}_non_null"))
