@@ -15,7 +15,7 @@ from .metrics import (
     running_precision,
     score_report,
 )
-from .model import BASELINE, FIRST_MODEL, ALSConfig, fit_als, predict, recommend_for_items, recommend_for_users, score_pairs
+from .model import BASELINE, FIRST_MODEL, ALSConfig, fit_als, id_load, predict, recommend_for_items, recommend_for_users, score_pairs
 from .present import (
     first_rows,
     flatten_item_recs,

@@ -77,14 +77,51 @@ def make_als(config: ALSConfig, num_blocks: int, user: str = "user", item: str =
     )
 
 
-def fit_als(train: DataFrame, config: ALSConfig = BASELINE, n_ratings: int | None = None, **cols) -> ALSModel:
+def id_load(ratings: DataFrame, user: str = "user", item: str = "item") -> DataFrame:
+    """(max_per_user, max_per_item): the most ratings any one user / item has.
+
+    MLlib solves each id's normal equations in one task over all of its
+    ratings, so these two numbers bound the largest ALS task. Per-id counts
+    are aggregated map-side first; only the two maxima reach the driver.
+    """
+    def top(key: str, kind: str) -> DataFrame:
+        per_id = ratings.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
+        return per_id.agg(F.max("c").alias("m")).select(F.lit(kind).alias("kind"), "m")
+
+    both = top(user, "user").unionByName(top(item, "item"))
+    return both.agg(
+        F.max(F.when(F.col("kind") == "user", F.col("m"))).alias("max_per_user"),
+        F.max(F.when(F.col("kind") == "item", F.col("m"))).alias("max_per_item"),
+    )
+
+
+def fit_als(
+    train: DataFrame,
+    config: ALSConfig = BASELINE,
+    n_ratings: int | None = None,
+    max_ratings_per_id: int | None = None,
+    **cols,
+) -> ALSModel:
     """Fit ALS on ``train`` (user INT, item INT, rating DOUBLE).
 
     Without ``config.num_blocks`` the block count follows the number of
     ratings; it is counted here when the caller does not pass it (one pass
-    over the compact ratings, small next to the fit's own iterations)."""
+    over the compact ratings, small next to the fit's own iterations).
+
+    ``max_ratings_per_id`` checks ``id_load`` first and refuses to start a fit
+    whose largest task would exceed it, instead of failing deep inside it.
+    """
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
+    if max_ratings_per_id is not None:
+        load = id_load(train).first()
+        worst = max(load["max_per_user"] or 0, load["max_per_item"] or 0)
+        if worst > max_ratings_per_id:
+            raise ValueError(
+                f"one id has {worst} ratings (users: {load['max_per_user']}, items: {load['max_per_item']}), "
+                f"above max_ratings_per_id={max_ratings_per_id}; merge repeated pairs "
+                "(build_ratings(merge='sum')) or split the hot id before fitting"
+            )
     blocks = config.num_blocks
     if not blocks:
         if n_ratings is None:

@@ -133,3 +133,15 @@ def test_named_recommendations_for_a_subset(fitted, spark):
     u, i = name_recommendations(prep, model, 3, users=users, items=spark.createDataFrame([(0,)], "item INT"))
     assert sorted({r["user"] for r in u.collect()}) == [0, 1]
     assert {r["game_id"] for r in i.collect()} == {0}
+
+
+def test_fit_refuses_a_task_above_the_per_id_bound(spark):
+    from hourglass.operators.model import id_load
+
+    rows = [(0, i, 1.0) for i in range(30)] + [(u, 0, 1.0) for u in range(1, 11)]
+    train = spark.createDataFrame(rows, "user INT, item INT, rating DOUBLE")
+    load = id_load(train).first()
+    assert (load["max_per_user"], load["max_per_item"]) == (30, 11)
+    with pytest.raises(ValueError, match="max_ratings_per_id"):
+        fit_als(train, CFG, max_ratings_per_id=20)
+    assert fit_als(train, CFG, max_ratings_per_id=30) is not None
