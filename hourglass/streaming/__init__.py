@@ -44,13 +44,19 @@ def item_totals_job(
     checkpoint: str,
     pattern: str = "*.parquet",
     behavior: str | None = "view",
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Bring the totals table at ``out_path`` up to date with every events
     file now in ``folder``. Re-running with the same ``checkpoint`` resumes:
     files already processed are skipped, the aggregation state is restored,
-    and the table again holds the totals over all files seen so far."""
+    and the table again holds the totals over all files seen so far.
+    ``max_files_per_trigger`` splits a large backlog into bounded
+    micro-batches (``availableNow`` honours it)."""
     schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    stream = reader.parquet(folder)
     query = run_to_table(item_totals_stream(adapt_events(stream), behavior), out_path, checkpoint)
     query.awaitTermination()
     return spark.read.parquet(out_path)

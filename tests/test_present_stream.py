@@ -45,8 +45,12 @@ def test_streaming_totals_resume_from_checkpoint(spark, tmp_path):
     out = scratch_path(spark, "test-stream", "totals")
     ckpt = scratch_path(spark, "test-stream", "state")
     first = {r["game"]: r["total_hours"] for r in item_totals_job(spark, str(src), out, ckpt).collect()}
-    shutil.copy(f"{SF001}/events.parquet", src / "part-2.parquet")  # a second file arrives
-    second = {r["game"]: r["total_hours"] for r in item_totals_job(spark, str(src), out, ckpt).collect()}
+    shutil.copy(f"{SF001}/events.parquet", src / "part-2.parquet")  # two more files arrive
+    shutil.copy(f"{SF001}/events.parquet", src / "part-3.parquet")
+    second = {
+        r["game"]: r["total_hours"]
+        for r in item_totals_job(spark, str(src), out, ckpt, max_files_per_trigger=1).collect()  # one file per batch
+    }
     batch = {r["game"]: r["total_hours"] for r in totals(plays(events_interactions(spark, SF001), "view"), "game").collect()}
     assert all(abs(first[g] - batch[g]) < 1e-9 for g in batch)
-    assert all(abs(second[g] - 2 * batch[g]) < 1e-9 for g in batch)  # both files, each counted once
+    assert all(abs(second[g] - 3 * batch[g]) < 1e-9 for g in batch)  # three files, each counted once
