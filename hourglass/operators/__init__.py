@@ -29,4 +29,5 @@ from .present import (
     users_for_game,
 )
 from .ratings import Split, build_ratings, cold_start_coverage, hash_split, index_interactions, random_split, split_counts, with_split
+from .topk import pack, top_k_by_dot
 from .tuning import best_config, grid_search, leaderboard, param_grid, rank_marginals, runs_for, tradeoff_points

@@ -243,6 +243,22 @@ SELECT count(*) AS n_test, count(prediction) AS n_scored, round(count(prediction
        round(sqrt(avg((rating - prediction) ^ 2)), 6) AS rmse,
        round(sqrt(avg(((CASE WHEN rating > 0 THEN 1.0 ELSE 0.0 END) - prediction) ^ 2)), 6) AS rmse_preference
 FROM sc"""
+    )
+    emb = """
+uf AS (SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id < 100),
+itf AS (SELECT CAST(vec_id - 100 AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id >= 100)
+"""
+    q["topk_dot_users"] = (
+        "WITH " + emb + """,
+s AS (SELECT uf.id AS "user", itf.id AS item, list_dot_product(uf.f, itf.f) AS score FROM uf, itf),
+r AS (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rn FROM s)
+SELECT "user", CAST(rn AS INTEGER) AS rank, item, round(score, 6) AS score FROM r WHERE rn <= 10"""
+    )
+    q["topk_dot_items"] = (
+        "WITH " + emb + """,
+s AS (SELECT itf.id AS item, uf.id AS "user", list_dot_product(uf.f, itf.f) AS score FROM uf, itf),
+r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, "user") AS rn FROM s)
+SELECT item, CAST(rn AS INTEGER) AS rank, "user", round(score, 6) AS score FROM r WHERE rn <= 10"""
     )
     rr5_users = _random('SELECT DISTINCT "user" FROM train', '"user"', "item", "SELECT count(*) AS n FROM idict", 5)
     q["readable_user_recs"] = (

@@ -272,6 +272,24 @@ def q_fixed_factor_score_report(spark, sf):
     return rounded(metrics.score_report(model.score_with_factors(p.test, uf, itf, keep_cold=True, dtype="double")))
 
 
+def q_topk_dot_users(spark, sf):
+    """J5/T5 with fixed factors: the 10 best items per user by dot product."""
+    from ..operators.topk import top_k_by_dot
+    from ..sources import embedding_factors
+
+    uf, itf = embedding_factors(spark, sf)
+    return rounded(top_k_by_dot(uf, itf, K_EVAL, "user", "item"))
+
+
+def q_topk_dot_items(spark, sf):
+    """The 10 best users per item by dot product."""
+    from ..operators.topk import top_k_by_dot
+    from ..sources import embedding_factors
+
+    uf, itf = embedding_factors(spark, sf)
+    return rounded(top_k_by_dot(itf, uf, K_EVAL, "item", "user"))
+
+
 # --- presentation -------------------------------------------------------------
 
 def q_readable_user_recs(spark, sf):
@@ -464,6 +482,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "random_baseline_run": q_random_baseline_run,
     "fixed_factor_scores": q_fixed_factor_scores,
     "fixed_factor_score_report": q_fixed_factor_score_report,
+    "topk_dot_users": q_topk_dot_users,
+    "topk_dot_items": q_topk_dot_items,
     "readable_user_recs": q_readable_user_recs,
     "readable_item_recs": q_readable_item_recs,
     "recs_for_user": q_recs_for_user,
