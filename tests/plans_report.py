@@ -49,7 +49,8 @@ def main(sf_dir: str) -> None:
     from hourglass.operators.ratings import build_ratings, index_interactions, with_split
     from hourglass.plans.workflow import prepare
     from hourglass.session import get_session
-    from hourglass.sources import events_interactions, sales_interactions
+    from hourglass.operators.topk import top_k_by_dot
+    from hourglass.sources import embedding_factors, events_interactions, sales_interactions
 
     spark = get_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
@@ -72,9 +73,7 @@ def main(sf_dir: str) -> None:
         "random baseline metrics": metrics.ranking_metrics(
             metrics.random_recs(prep.train.select("user").distinct(), prep.items.size, 10), prep.test
         ),
-        "top_k_by_dot (fixed factors, k=10)": __import__("hourglass.operators.topk", fromlist=["top_k_by_dot"]).top_k_by_dot(
-            *__import__("hourglass.sources", fromlist=["embedding_factors"]).embedding_factors(spark, sf_dir), 10
-        ),
+        "top_k_by_dot (fixed factors, k=10)": top_k_by_dot(*embedding_factors(spark, sf_dir), 10),
         "top items with names (sales)": explore.with_names(
             explore.top_items(sales, 10, None), spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(
                 "cast(p_partkey as string) as game", "concat_ws('#', p_name, cast(p_partkey as string)) as name"
