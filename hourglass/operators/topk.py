@@ -6,7 +6,9 @@ item pair is ever a row: the queries stay partitioned as they are, the
 candidate matrix reaches every task as a broadcast of proven size (split into
 chunks of at most ``max_chunk_bytes``), and each task scores its Arrow batch
 of queries with one matrix product and keeps ``k`` per query. With more than
-one chunk, a window over the ``k`` × chunks candidates per query merges them.
+one chunk, the chunks are scored one after another (each chunk's winners are
+written to the shared folder and its broadcast destroyed before the next), and
+a window over the ``k`` × chunks candidates per query merges them.
 
 Order: score descending, then candidate id ascending (exact ties resolved the
 same way everywhere).
@@ -22,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stable_table
+
 MAX_CHUNK_BYTES = 64 * 1024 * 1024
 
 
@@ -94,20 +98,31 @@ def top_k_by_dot(
     # candidate matrix in double precision on every task: 8 bytes per value + id
     n_chunks = max(1, math.ceil(n * (8 * rank + 8) / max_chunk_bytes))
     q = queries.select(F.col("id").cast("int").alias("id"), F.col("features"))
-    parts = []
-    for c in range(n_chunks):
-        chunk = candidates if n_chunks == 1 else candidates.where(F.pmod(F.hash("id"), F.lit(n_chunks)) == c)
+
+    def scored(chunk: DataFrame):
         # bounded by max_chunk_bytes by construction (hash chunks of n / n_chunks rows)
         pdf = chunk.select(F.col("id").cast("int").alias("id"), "features").toPandas()
         if pdf.empty:
-            continue
+            return None, None
         ids = pdf["id"].to_numpy().astype(np.int64)
         mat = np.stack(pdf["features"].to_numpy()).astype(np.float64)
         bc = spark.sparkContext.broadcast((ids, mat))
-        parts.append(q.mapInPandas(_scorer(bc, k, query_col, cand_col), schema))
+        return q.mapInPandas(_scorer(bc, k, query_col, cand_col), schema), bc
+
+    if n_chunks == 1:
+        found, _ = scored(candidates)
+        return found if found is not None else spark.createDataFrame([], schema)
+    # Several chunks: score one chunk at a time, write its winners to the
+    # shared folder and drop its broadcast, so executors never hold more than
+    # one chunk of the candidate matrix.
+    parts = []
+    for c in range(n_chunks):
+        found, bc = scored(candidates.where(F.pmod(F.hash("id"), F.lit(n_chunks)) == c))
+        if found is None:
+            continue
+        parts.append(stable_table(found, "topk-chunk"))
+        bc.destroy()
     found = reduce(DataFrame.unionByName, parts)
-    if len(parts) == 1:
-        return found
     # merge the per-chunk winners: at most k x chunks rows per query
     w = Window.partitionBy(query_col).orderBy(F.col("score").desc(), F.col(cand_col).asc())
     return (
