@@ -5,7 +5,8 @@ factor tables that do not come from one (fixed or external factors). No user ×
 item pair is ever a row: the queries stay partitioned as they are, the
 candidate matrix reaches every task as a broadcast of proven size (split into
 chunks of at most ``max_chunk_bytes``), and each task scores its Arrow batch
-of queries with one matrix product and keeps ``k`` per query. With more than
+of queries with matrix products of bounded size (the score block of one
+product is at most ``max_chunk_bytes`` too) and keeps ``k`` per query. With more than
 one chunk, the chunks are scored one after another (each chunk's winners are
 written to the shared folder and its broadcast destroyed before the next), and
 a window over the ``k`` × chunks candidates per query merges them.
@@ -45,22 +46,25 @@ def _top_rows(scores: np.ndarray, cand_ids: np.ndarray, k: int):
     return out
 
 
-def _scorer(bc, k: int, query_col: str, cand_col: str):
+def _scorer(bc, k: int, query_col: str, cand_col: str, max_block_bytes: int):
     def score(batches):
         cand_ids, mat = bc.value
+        # queries per matrix product, so the score block stays within the bound
+        step = max(1, max_block_bytes // (8 * max(1, mat.shape[0])))
         for pdf in batches:
             if pdf.empty:
                 continue
-            q = np.stack(pdf["features"].to_numpy()).astype(np.float64)
-            s = q @ mat.T
-            tops = _top_rows(s, cand_ids, k)
+            feats = pdf["features"].to_numpy()
             qids = pdf["id"].to_numpy()
             rows_q, rows_c, rows_s, rows_p = [], [], [], []
-            for r, pos in enumerate(tops):
-                rows_q.append(np.full(len(pos), qids[r]))
-                rows_c.append(cand_ids[pos])
-                rows_s.append(s[r, pos])
-                rows_p.append(np.arange(1, len(pos) + 1))
+            for lo in range(0, len(pdf), step):
+                q = np.stack(feats[lo : lo + step]).astype(np.float64)
+                s = q @ mat.T
+                for r, pos in enumerate(_top_rows(s, cand_ids, k)):
+                    rows_q.append(np.full(len(pos), qids[lo + r]))
+                    rows_c.append(cand_ids[pos])
+                    rows_s.append(s[r, pos])
+                    rows_p.append(np.arange(1, len(pos) + 1))
             if not rows_q:
                 continue
             yield pd.DataFrame(
@@ -107,7 +111,7 @@ def top_k_by_dot(
         ids = pdf["id"].to_numpy().astype(np.int64)
         mat = np.stack(pdf["features"].to_numpy()).astype(np.float64)
         bc = spark.sparkContext.broadcast((ids, mat))
-        return q.mapInPandas(_scorer(bc, k, query_col, cand_col), schema), bc
+        return q.mapInPandas(_scorer(bc, k, query_col, cand_col, max_chunk_bytes), schema), bc
 
     if n_chunks == 1:
         found, _ = scored(candidates)

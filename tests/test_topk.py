@@ -48,3 +48,10 @@ def test_pack_matches_mllib_recommend_for_all(spark):
     assert ours.keys() == theirs.keys()
     for u in ours:
         assert [x["rating"] for x in ours[u]] == pytest.approx([x["rating"] for x in theirs[u]], abs=1e-4)
+
+
+def test_small_score_blocks_give_the_same_answer(spark):
+    uf, itf = embedding_factors(spark, SF01)
+    # 300 kB: one candidate chunk (400 x 520 B), score blocks of 300 kB / (8 B x 400) = 93 queries,
+    # so the 100 user queries are scored in two blocks
+    assert _rows(top_k_by_dot(uf, itf, 5, max_chunk_bytes=300_000)) == _rows(top_k_by_dot(uf, itf, 5))
