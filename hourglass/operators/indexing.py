@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import default_parallelism, stable_table
-from .joins import BROADCAST_MAX_ROWS, sized_broadcast
+from .joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, sized_broadcast
 
 INT_MAX = 2**31 - 1
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
@@ -146,12 +146,13 @@ def encode(
     col: str,
     out: str,
     max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """Add the INT id of ``col`` as ``out``; rows with NULL or unknown labels
     are dropped (``handleInvalid="skip"``)."""
     key = f"__{out}_label"
     d = dictionary.table.select(F.col("label").alias(key), F.col("idx").alias(out))
-    d = sized_broadcast(d, dictionary.size, max_broadcast_rows, dictionary.label_bytes)
+    d = sized_broadcast(d, dictionary.size, max_broadcast_rows, dictionary.label_bytes, max_broadcast_bytes)
     return df.join(d, F.col(col).cast("string") == F.col(key), "inner").drop(key)
 
 

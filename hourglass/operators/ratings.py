@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import HASH_SPACE, hash_bucket
 from .indexing import Dictionary, encode
+from .joins import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
 
 def index_interactions(
@@ -17,9 +18,16 @@ def index_interactions(
     items: Dictionary,
     user_col: str = "user_id",
     item_col: str = "game",
+    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
-    """Add ``user`` and ``item`` INT ids (rows with unknown/NULL labels dropped)."""
-    return encode(encode(df, items, item_col, "item"), users, user_col, "user")
+    """Add ``user`` and ``item`` INT ids (rows with unknown/NULL labels dropped).
+
+    Each dictionary is broadcast when within the bounds (a map-side join, the
+    interactions are not shuffled), otherwise joined by a shuffle on its label.
+    """
+    bounds = dict(max_broadcast_rows=max_broadcast_rows, max_broadcast_bytes=max_broadcast_bytes)
+    return encode(encode(df, items, item_col, "item", **bounds), users, user_col, "user", **bounds)
 
 
 def build_ratings(

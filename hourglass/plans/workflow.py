@@ -59,6 +59,7 @@ def prepare(
     min_value: float | None = None,
     materialize: bool = True,
     split: str = "hash",
+    max_broadcast_bytes: int | None = None,
 ) -> Prepared:
     """Dictionaries are built on all cleaned rows before the split (as the
     reference fits its indexers), so test-only ids get an id but no factor –
@@ -74,11 +75,16 @@ def prepare(
     ``split="hash"`` (default) is the portable md5 split on (user, game);
     ``split="random"`` reproduces ``randomSplit([1 - f, f], seed)`` on the
     ratings rows, which depends on their partitioning (so it is applied to
-    the materialised table)."""
+    the materialised table).
+
+    ``max_broadcast_bytes`` raises (or lowers) the size up to which a
+    dictionary is broadcast for encoding; above it the interactions are
+    shuffled by label to meet the dictionary."""
     rows = clean_interactions(plays(interactions, behavior), min_value=min_value)
     dicts = build_dictionaries(rows, {"user": "user_id", "item": "game"})
     users, items = dicts["user"], dicts["item"]
-    indexed = index_interactions(rows, users, items)
+    bounds = {} if max_broadcast_bytes is None else {"max_broadcast_bytes": max_broadcast_bytes}
+    indexed = index_interactions(rows, users, items, **bounds)
     if split == "hash":
         ratings = build_ratings(with_split(indexed, ("user_id", "game"), test_fraction, seed), merge=merge, keep=("split",))
         if materialize:
