@@ -30,3 +30,13 @@ def test_random_split_parity_mode(spark):
     n = p.ratings.count()
     assert p.train.count() + p.test.count() == n
     assert 0.1 < p.test.count() / n < 0.3
+
+
+def test_prepare_same_ratings_with_or_without_broadcast(spark):
+    from hourglass.plans.workflow import prepare
+
+    a = prepare(events_interactions(spark, SF01), behavior="view")
+    b = prepare(events_interactions(spark, SF01), behavior="view", max_broadcast_bytes=0)
+    plan = b.ratings._jdf.queryExecution().executedPlan().toString()
+    assert _rows(a.ratings) == _rows(b.ratings)
+    assert "Exchange" not in plan  # materialised: later reads never redo the joins
