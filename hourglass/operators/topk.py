@@ -30,23 +30,29 @@ from ..session import stable_table
 MAX_CHUNK_BYTES = 64 * 1024 * 1024
 
 
-def _top_rows(scores: np.ndarray, cand_ids: np.ndarray, k: int):
-    """For each row of ``scores``: positions of the best ``k`` (score desc, id asc)."""
-    m = scores.shape[1]
-    kk = min(k, m)
-    if kk == 0:
-        return [np.empty(0, dtype=np.int64) for _ in range(scores.shape[0])]
-    # k-th largest score per row; every candidate at or above it is a contender
-    kth = np.partition(scores, m - kk, axis=1)[:, m - kk]
-    out = []
-    for r in range(scores.shape[0]):
-        idx = np.nonzero(scores[r] >= kth[r])[0]
-        order = np.lexsort((cand_ids[idx], -scores[r, idx]))
-        out.append(idx[order][:kk])
-    return out
+def _scorer(bc, k: int, query_col: str, cand_col: str, max_block_bytes: int):
+    """The per-task scoring function for ``mapInPandas``.
+
+    Everything it runs is defined inside it, so it is shipped to the Python
+    workers by value and needs only numpy and pandas there (not this package).
+    """
 
+    def top_rows(scores, cand_ids, k):
+        # For each row: positions of the best k (score desc, id asc). Every
+        # candidate at or above the k-th largest score is a contender, so
+        # exact ties at the boundary are resolved by id.
+        m = scores.shape[1]
+        kk = min(k, m)
+        if kk == 0:
+            return [np.empty(0, dtype=np.int64) for _ in range(scores.shape[0])]
+        kth = np.partition(scores, m - kk, axis=1)[:, m - kk]
+        out = []
+        for r in range(scores.shape[0]):
+            idx = np.nonzero(scores[r] >= kth[r])[0]
+            order = np.lexsort((cand_ids[idx], -scores[r, idx]))
+            out.append(idx[order][:kk])
+        return out
 
-def _scorer(bc, k: int, query_col: str, cand_col: str, max_block_bytes: int):
     def score(batches):
         cand_ids, mat = bc.value
         # queries per matrix product, so the score block stays within the bound
@@ -60,7 +66,7 @@ def _scorer(bc, k: int, query_col: str, cand_col: str, max_block_bytes: int):
             for lo in range(0, len(pdf), step):
                 q = np.stack(feats[lo : lo + step]).astype(np.float64)
                 s = q @ mat.T
-                for r, pos in enumerate(_top_rows(s, cand_ids, k)):
+                for r, pos in enumerate(top_rows(s, cand_ids, k)):
                     rows_q.append(np.full(len(pos), qids[lo + r]))
                     rows_c.append(cand_ids[pos])
                     rows_s.append(s[r, pos])
