@@ -82,7 +82,7 @@ def run_study(
 
 
 def main(argv: list[str] | None = None) -> None:
-    ap = argparse.ArgumentParser(description="implicit-feedback study: explore, train, recommend, evaluate, tune")
+    ap = argparse.ArgumentParser(prog="hourglass", description="implicit-feedback study: explore, train, recommend, evaluate, tune")
     ap.add_argument("--input", required=True, help="interaction table (headerless CSV or Parquet)")
     ap.add_argument("--format", default="csv", choices=("csv", "parquet"))
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
