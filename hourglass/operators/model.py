@@ -156,6 +156,27 @@ def recommend_for_items(model: ALSModel, k: int, items: DataFrame | None = None)
     return model.recommendForItemSubset(items, k)
 
 
+def persistent_rdd_ids(spark) -> set[int]:
+    """Ids of the RDDs currently persisted in this application (Spark's
+    ``SparkContext.getPersistentRDDs``, reached through the JVM context)."""
+    jmap = spark.sparkContext._jsc.getPersistentRDDs()  # java.util.Map<Integer, JavaRDD>
+    return {int(key) for key in jmap.keySet().toArray()}
+
+
+def release_since(spark, before: set[int]) -> int:
+    """Unpersist every RDD persisted after the snapshot ``before`` (e.g. the
+    factor RDDs a fit left cached). Returns how many were released. Only
+    safe when nothing else persisted RDDs in between (sequential fits)."""
+    jmap = spark.sparkContext._jsc.getPersistentRDDs()
+    released = 0
+    for rid in persistent_rdd_ids(spark) - before:
+        rdd = jmap.get(rid)
+        if rdd is not None:
+            rdd.unpersist(False)
+            released += 1
+    return released
+
+
 def factors(model: ALSModel) -> tuple[DataFrame, DataFrame]:
     """(userFactors, itemFactors): (id INT, features ARRAY<FLOAT>)."""
     return model.userFactors, model.itemFactors

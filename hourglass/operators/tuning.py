@@ -19,7 +19,7 @@ from ..functions import RUN_NAME_FORMAT, run_name
 from ..sources.runs import RUN_COLUMNS, append_runs, read_runs, runs_frame
 from .metrics import ranking_metrics, score_report
 from ..session import default_parallelism
-from .model import ALSConfig, fit_als, predict, recommend_for_users, suggest_blocks
+from .model import ALSConfig, fit_als, persistent_rdd_ids, predict, recommend_for_users, release_since, suggest_blocks
 
 # The reference's search grid.
 RANKS = (10, 20, 50)
@@ -47,14 +47,25 @@ def evaluate_config(
     k: int = 10,
     n_train: int | None = None,
     split_name: str = "test",
+    release: bool = False,
 ) -> dict:
-    """Fit one configuration and measure it: a run record (dict)."""
+    """Fit one configuration and measure it: a run record (dict).
+
+    With ``release`` the model's cached factor RDDs are unpersisted as soon
+    as it is measured (at scale a user-factor table is tens of GB; 27 of them
+    must not wait for garbage collection). Use it only when fits run one at
+    a time.
+    """
+    spark = train.sparkSession
+    before = persistent_rdd_ids(spark) if release else None
     t0 = time.perf_counter()
     model = fit_als(train, config, n_ratings=n_train)
     fit_s = time.perf_counter() - t0
     report = score_report(predict(model, test, keep_cold=True)).first()
     recs = recommend_for_users(model, k, test.select("user").distinct())
     m = ranking_metrics(recs, test, ks=(k,)).first()
+    if release:
+        release_since(spark, before)
     return run_record(config, report, m, fit_s, split_name)
 
 
@@ -134,13 +145,16 @@ def grid_search(
         train = train.persist()
         test = test.persist()
         n_train = train.count()
+        test.count()  # materialise both caches before any per-fit snapshot of cached RDDs
         if parallelism is None:
             cores = default_parallelism(spark)
             blocks = base.num_blocks or suggest_blocks(n_train, cores)
             parallelism = max(1, min(len(todo), cores // max(1, blocks)))
 
         def one(c: ALSConfig) -> dict:
-            row = evaluate_config(train, test, c, k, n_train, split_id)
+            # sequential fits release their factors at once; concurrent small
+            # fits leave it to garbage collection (their factors are small)
+            row = evaluate_config(train, test, c, k, n_train, split_id, release=parallelism == 1)
             if log_path is not None:
                 append_runs(runs_frame(spark, [row]), log_path)
             return row

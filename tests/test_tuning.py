@@ -49,3 +49,35 @@ def test_grid_search_logs_and_resumes(spark):
     second = grid_search(p.train, p.test, bigger, base=base, log_path=log, split_id="md5-42")
     assert second.count() == 3
     assert read_runs(spark, log).count() == 3  # the two logged configs were not refitted
+
+
+def test_sequential_grid_releases_model_factors(spark):
+    from conftest import SF01
+    from hourglass.operators import ALSConfig, grid_search
+    from hourglass.operators.model import persistent_rdd_ids
+    from hourglass.plans.workflow import prepare
+    from hourglass.sources import events_interactions
+
+    p = prepare(events_interactions(spark, SF01), behavior="view")
+    before = persistent_rdd_ids(spark)
+    grid = param_grid(spark, ranks=(4,), reg_params=(0.1,), max_iters=(2, 3, 4))
+    runs = grid_search(p.train, p.test, grid, base=ALSConfig(num_blocks=1), parallelism=1)
+    assert runs.count() == 3
+    assert persistent_rdd_ids(spark) - before == set()  # nothing left cached by the three fits
+
+
+def test_release_keeps_the_grid_caches(spark):
+    from conftest import SF01
+    from hourglass.operators import ALSConfig
+    from hourglass.operators.model import persistent_rdd_ids
+    from hourglass.operators.tuning import evaluate_config
+    from hourglass.plans.workflow import prepare
+    from hourglass.sources import events_interactions
+
+    p = prepare(events_interactions(spark, SF01), behavior="view")
+    train, test = p.train.persist(), p.test.persist()
+    train.count(), test.count()
+    cached = persistent_rdd_ids(spark)
+    evaluate_config(train, test, ALSConfig(rank=3, max_iter=2, num_blocks=1), release=True)
+    assert persistent_rdd_ids(spark) == cached  # the fit's factors gone, the caches kept
+    train.unpersist(), test.unpersist()
