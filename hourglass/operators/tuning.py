@@ -57,7 +57,10 @@ def evaluate_config(
     a time.
     """
     spark = train.sparkSession
-    before = persistent_rdd_ids(spark) if release else None
+    try:
+        before = persistent_rdd_ids(spark) if release else None
+    except Exception:  # no JVM context (Spark Connect): leave it to the server
+        before, release = None, False
     t0 = time.perf_counter()
     model = fit_als(train, config, n_ratings=n_train)
     fit_s = time.perf_counter() - t0
