@@ -336,4 +336,5 @@ SELECT i AS n_ids, CAST(i * least(5, u) AS BIGINT) AS n_recs, CAST(least(5, u) A
 FROM nu, ni"""
     )
     q["stream_item_totals"] = "WITH " + _EV + " SELECT game, round(sum(value), 6) AS total_hours FROM pl GROUP BY 1"
+    q["stream_user_totals"] = "WITH " + _EV + " SELECT user_id, round(sum(value), 6) AS total_hours FROM pl GROUP BY 1"
     return q

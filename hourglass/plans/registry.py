@@ -322,6 +322,10 @@ def q_stream_item_totals(spark, sf):
     return rounded(streaming.item_totals_from_files(spark, sf, "events.parquet", behavior=EVENTS_PLAY))
 
 
+def q_stream_user_totals(spark, sf):
+    return rounded(streaming.item_totals_from_files(spark, sf, "events.parquet", behavior=EVENTS_PLAY, key="user_id"))
+
+
 # --- ALS (rows-only checks; properties are proven in tests) --------------------
 
 _GRID_CACHE: dict = {}
@@ -489,6 +493,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recs_for_user": q_recs_for_user,
     "users_for_game": q_users_for_game,
     "stream_item_totals": q_stream_item_totals,
+    "stream_user_totals": q_stream_user_totals,
     "als_predictions": q_als_predictions,
     "als_score_report": q_als_score_report,
     "als_baseline_run": q_als_baseline_run,

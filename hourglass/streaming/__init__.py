@@ -20,9 +20,10 @@ from ..session import scratch_path
 from ..sources.fixtures import adapt_events
 
 
-def item_totals_stream(stream: DataFrame, behavior: str | None = "play") -> DataFrame:
-    """Streaming (game, total_hours) over an interaction stream."""
-    return totals(plays(stream, behavior), "game")
+def item_totals_stream(stream: DataFrame, behavior: str | None = "play", key: str = "game") -> DataFrame:
+    """Streaming (key, total_hours) over an interaction stream: per game by
+    default, per user with ``key="user_id"``."""
+    return totals(plays(stream, behavior), key)
 
 
 def run_to_table(agg: DataFrame, out_path: str, checkpoint: str, available_now: bool = True):
@@ -45,6 +46,7 @@ def item_totals_job(
     pattern: str = "*.parquet",
     behavior: str | None = "view",
     max_files_per_trigger: int | None = None,
+    key: str = "game",
 ) -> DataFrame:
     """Bring the totals table at ``out_path`` up to date with every events
     file now in ``folder``. Re-running with the same ``checkpoint`` resumes:
@@ -57,14 +59,16 @@ def item_totals_job(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(folder)
-    query = run_to_table(item_totals_stream(adapt_events(stream), behavior), out_path, checkpoint)
+    query = run_to_table(item_totals_stream(adapt_events(stream), behavior, key), out_path, checkpoint)
     query.awaitTermination()
     return spark.read.parquet(out_path)
 
 
-def item_totals_from_files(spark: SparkSession, folder: str, pattern: str = "*.parquet", behavior: str | None = "view") -> DataFrame:
+def item_totals_from_files(
+    spark: SparkSession, folder: str, pattern: str = "*.parquet", behavior: str | None = "view", key: str = "game"
+) -> DataFrame:
     """One-off run of ``item_totals_job`` with fresh output and state folders."""
     run_id = uuid.uuid4().hex
     out = scratch_path(spark, "stream", run_id, "totals")
     ckpt = scratch_path(spark, "stream", run_id, "state")
-    return item_totals_job(spark, folder, out, ckpt, pattern, behavior)
+    return item_totals_job(spark, folder, out, ckpt, pattern, behavior, key=key)
