@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .indexing import Dictionary, decode
+from .indexing import Dictionary, decode, encode
+from .model import recommend_for_items, recommend_for_users
 
 
 def flatten_user_recs(recs: DataFrame) -> DataFrame:
@@ -75,17 +76,11 @@ def first_rows(flat: DataFrame, n: int = 10, key: str = "user") -> DataFrame:
 def recommend_for_user_labels(model, users: Dictionary, labels: DataFrame, k: int, label_col: str = "user_id") -> DataFrame:
     """Score only the users named in ``labels`` (original ids): labels → ids
     through the dictionary (a join, no driver lookup) → ``recommendForUserSubset``."""
-    from .indexing import encode
-    from .model import recommend_for_users
-
     ids = encode(labels.select(label_col).distinct(), users, label_col, "user").select("user")
     return recommend_for_users(model, k, ids)
 
 
 def recommend_users_for_game_names(model, items: Dictionary, names: DataFrame, k: int, name_col: str = "game") -> DataFrame:
     """Score only the games named in ``names`` → ``recommendForItemSubset``."""
-    from .indexing import encode
-    from .model import recommend_for_items
-
     ids = encode(names.select(name_col).distinct(), items, name_col, "item").select("item")
     return recommend_for_items(model, k, ids)
