@@ -17,16 +17,19 @@ from pyspark.sql import types as T
 
 from .. import streaming
 from ..operators import clean, explore, indexing, metrics, model, present, ratings, tuning
+from ..operators.topk import top_k_by_dot
 from ..session import scratch_path
 from ..sources import (
     EVENTS_PLAY,
     SALES_PLAY,
     append_runs,
+    embedding_factors,
     events_interactions,
     read_interactions,
     read_runs,
     runs_frame,
     sales_interactions,
+    sales_item_names,
     write_interactions_csv,
 )
 from .workflow import Prepared, prepare
@@ -117,8 +120,6 @@ def q_top_users_sales(spark, sf):
 
 
 def q_top_items_sales_named(spark, sf):
-    from ..sources import sales_item_names
-
     top = explore.top_items(sales_interactions(spark, sf), 10, SALES_PLAY)
     return rounded(explore.with_names(top, sales_item_names(spark, sf), 10))
 
@@ -256,8 +257,6 @@ def q_random_baseline_run(spark, sf):
 
 def q_fixed_factor_scores(spark, sf):
     """J4 with fixed factors: test pairs scored by two joins + dot product."""
-    from ..sources import embedding_factors
-
     p = _prep(spark, sf)
     uf, itf = embedding_factors(spark, sf)
     return rounded(model.score_with_factors(p.test, uf, itf, dtype="double"))
@@ -265,8 +264,6 @@ def q_fixed_factor_scores(spark, sf):
 
 def q_fixed_factor_score_report(spark, sf):
     """Score report (RMSE forms, coverage) of the fixed-factor predictions."""
-    from ..sources import embedding_factors
-
     p = _prep(spark, sf)
     uf, itf = embedding_factors(spark, sf)
     return rounded(metrics.score_report(model.score_with_factors(p.test, uf, itf, keep_cold=True, dtype="double")))
@@ -274,18 +271,12 @@ def q_fixed_factor_score_report(spark, sf):
 
 def q_topk_dot_users(spark, sf):
     """J5/T5 with fixed factors: the 10 best items per user by dot product."""
-    from ..operators.topk import top_k_by_dot
-    from ..sources import embedding_factors
-
     uf, itf = embedding_factors(spark, sf)
     return rounded(top_k_by_dot(uf, itf, K_EVAL, "user", "item"))
 
 
 def q_topk_dot_items(spark, sf):
     """The 10 best users per item by dot product."""
-    from ..operators.topk import top_k_by_dot
-    from ..sources import embedding_factors
-
     uf, itf = embedding_factors(spark, sf)
     return rounded(top_k_by_dot(itf, uf, K_EVAL, "item", "user"))
 

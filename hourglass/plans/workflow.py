@@ -9,10 +9,12 @@ Each step returns DataFrames; only scalars (sizes, counts) reach the driver.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.clean import clean_interactions
 from ..operators.explore import behavior_counts, cardinalities, plays, top_items, top_users
@@ -111,8 +113,6 @@ class Evaluation:
 
 
 def train_evaluate(prep: Prepared, config: ALSConfig = BASELINE, ks=KS, n_train: int | None = None) -> Evaluation:
-    import time
-
     t0 = time.perf_counter()
     model = fit_als(prep.train, config, n_ratings=n_train)
     fit_s = time.perf_counter() - t0
@@ -151,8 +151,6 @@ def evaluate_at_k(model, actual: DataFrame, k: int, user: str = "user", item: st
     array of items (user, actual_items). Only users in ``actual`` are scored.
     Three numbers come back to the driver; the work is one distributed plan.
     """
-    from pyspark.sql import types as T
-
     arrays = [f.name for f in actual.schema.fields if isinstance(f.dataType, T.ArrayType)]
     pairs = actual.select(user, F.explode(arrays[0]).alias(item)) if arrays and item not in actual.columns else actual
     recs = recommend_for_users(model, k, pairs.select(user).distinct())
