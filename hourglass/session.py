@@ -9,8 +9,10 @@ sessions (tests, benches) where it is unset.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,8 +42,6 @@ def scale_conf(shuffle_bytes: int, cores: int, partition_bytes: int = 256 * 1024
     ``partition_bytes``. Each task then holds a few hundred MB, which fits
     executor memory without spilling on typical 4-8 GB per-core executors.
     """
-    import math
-
     parts = max(2 * cores, min(50_000, math.ceil(shuffle_bytes / partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
@@ -145,8 +145,6 @@ def stable_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -
     with column pruning, pushed filters and (via ``partition_by``) folder
     pruning for every later reader. Used for the large intermediate tables.
     """
-    import uuid
-
     path = scratch_path(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex}")
     writer = df.write.mode("errorifexists")
     if partition_by:
