@@ -96,6 +96,18 @@ def id_load(ratings: DataFrame, user: str = "user", item: str = "item") -> DataF
     )
 
 
+def check_id_load(ratings: DataFrame, max_ratings_per_id: int) -> None:
+    """Raise if any one user or item has more than ``max_ratings_per_id`` ratings."""
+    load = id_load(ratings).first()
+    worst = max(load["max_per_user"] or 0, load["max_per_item"] or 0)
+    if worst > max_ratings_per_id:
+        raise ValueError(
+            f"one id has {worst} ratings (users: {load['max_per_user']}, items: {load['max_per_item']}), "
+            f"above max_ratings_per_id={max_ratings_per_id}; merge repeated pairs "
+            "(build_ratings(merge='sum')) or split the hot id before fitting"
+        )
+
+
 def fit_als(
     train: DataFrame,
     config: ALSConfig = BASELINE,
@@ -115,14 +127,7 @@ def fit_als(
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
     if max_ratings_per_id is not None:
-        load = id_load(train).first()
-        worst = max(load["max_per_user"] or 0, load["max_per_item"] or 0)
-        if worst > max_ratings_per_id:
-            raise ValueError(
-                f"one id has {worst} ratings (users: {load['max_per_user']}, items: {load['max_per_item']}), "
-                f"above max_ratings_per_id={max_ratings_per_id}; merge repeated pairs "
-                "(build_ratings(merge='sum')) or split the hot id before fitting"
-            )
+        check_id_load(train, max_ratings_per_id)
     blocks = config.num_blocks
     if not blocks:
         if n_ratings is None:

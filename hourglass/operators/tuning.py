@@ -19,7 +19,20 @@ from ..functions import RUN_NAME_FORMAT, run_name
 from ..sources.runs import RUN_COLUMNS, append_runs, read_runs, runs_frame
 from .metrics import ranking_metrics, score_report
 from ..session import default_parallelism
-from .model import ALSConfig, fit_als, persistent_rdd_ids, predict, recommend_for_users, release_since, suggest_blocks
+from .model import (
+    ALSConfig,
+    check_id_load,
+    fit_als,
+    persistent_rdd_ids,
+    predict,
+    recommend_for_users,
+    release_since,
+    suggest_blocks,
+)
+
+# A single ALS task solves one id over all of its ratings; beyond this many
+# ratings for one user or item the search refuses to start.
+MAX_RATINGS_PER_ID = 100_000_000
 
 # The reference's search grid.
 RANKS = (10, 20, 50)
@@ -106,6 +119,7 @@ def grid_search(
     parallelism: int | None = None,
     log_path: str | None = None,
     split_id: str = "test",
+    max_ratings_per_id: int | None = MAX_RATINGS_PER_ID,
 ) -> DataFrame:
     """Run every configuration of ``grid``; return the runs DataFrame.
 
@@ -117,6 +131,10 @@ def grid_search(
     count: small data (few blocks) runs several fits at once, data that fills
     the cluster runs them one after another.
 
+    Before any fit, ``id_load`` is checked once against ``max_ratings_per_id``
+    (one aggregate over the training ratings): a hot user or item that would
+    overload one ALS task stops the search up front, not after hours of fits.
+
     With ``log_path`` every run is appended to the run log as soon as it
     finishes, and configurations already logged there for the same seed and
     ``split_id`` are not fitted again: a search interrupted by a lost driver
@@ -149,6 +167,8 @@ def grid_search(
         test = test.persist()
         n_train = train.count()
         test.count()  # materialise both caches before any per-fit snapshot of cached RDDs
+        if max_ratings_per_id is not None:
+            check_id_load(train, max_ratings_per_id)
         if parallelism is None:
             cores = default_parallelism(spark)
             blocks = base.num_blocks or suggest_blocks(n_train, cores)

@@ -81,3 +81,14 @@ def test_release_keeps_the_grid_caches(spark):
     evaluate_config(train, test, ALSConfig(rank=3, max_iter=2, num_blocks=1), release=True)
     assert persistent_rdd_ids(spark) == cached  # the fit's factors gone, the caches kept
     train.unpersist(), test.unpersist()
+
+
+def test_grid_refuses_a_hot_id_before_fitting(spark):
+    import pytest
+
+    from hourglass.operators import grid_search
+
+    rows = [(0, i, 1.0) for i in range(30)] + [(1, 0, 1.0)]
+    train = spark.createDataFrame(rows, "user INT, item INT, rating DOUBLE")
+    with pytest.raises(ValueError, match="max_ratings_per_id"):
+        grid_search(train, train, param_grid(spark, ranks=(2,), reg_params=(0.1,), max_iters=(1,)), max_ratings_per_id=10)
