@@ -40,3 +40,21 @@ def test_stable_cuts_lineage(spark):
     s = stable(df)
     assert s.count() == df.count()
     assert "FileScan" not in s._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_sum_adds_repeated_pairs(spark):
+    from pyspark.sql import functions as F
+
+    from hourglass.operators import build_ratings
+    from hourglass.operators.model import id_load
+
+    rows = [(0, 1, 1.0, "train"), (0, 1, 2.5, "train"), (0, 2, 1.0, "test"), (1, 1, 4.0, "train")] + [(0, 2, 1.0, "test")] * 3
+    df = spark.createDataFrame(rows, "user INT, item INT, value DOUBLE, split STRING")
+    merged = {(r["user"], r["item"]): (r["rating"], r["split"]) for r in build_ratings(df, merge="sum", keep=("split",)).collect()}
+    assert merged == {(0, 1): (3.5, "train"), (0, 2): (4.0, "test"), (1, 1): (4.0, "train")}
+    kept = build_ratings(df)
+    assert kept.count() == len(rows)
+    # the hottest user sends 6 rows unmerged, 2 (its distinct items) merged
+    assert id_load(kept).first()["max_per_user"] == 6
+    assert id_load(build_ratings(df, merge="sum")).first()["max_per_user"] == 2
+    assert kept.where(F.col("rating").isNull()).count() == 0
