@@ -36,3 +36,17 @@ def test_study_command_line_on_csv(spark, capsys):
     assert "leaderboard" in printed and "runs" in printed
     runs = spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/runs")
     assert runs.count() == 1 and runs.first()["run_name"] == "ALS_r20_reg0.1_iter10"
+
+
+def test_string_user_ids_end_to_end(spark):
+    from pyspark.sql import functions as F
+
+    from hourglass.operators import ALSConfig, fit_als, top_users
+    from hourglass.plans.workflow import name_recommendations
+
+    ev = events_interactions(spark, SF001).withColumn("user_id", F.concat(F.lit("u-"), F.col("user_id").cast("string")))
+    p = prepare(ev, behavior="view")
+    m = fit_als(p.train, ALSConfig(rank=3, max_iter=2, num_blocks=1))
+    users, _ = name_recommendations(p, m, 3)
+    assert all(r["user_id"].startswith("u-") for r in users.collect())
+    assert top_users(ev, 3, "view").first()["user_label"].startswith("u-")
