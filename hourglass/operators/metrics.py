@@ -98,10 +98,17 @@ def _rec_steps(recs: DataFrame, test: DataFrame, k: int, user: str, item: str) -
 
     ``recs`` is read exactly once: every figure below derives from this one
     flow, so an expensive recommendation plan is never computed twice.
+
+    ``recs`` is either nested (user, recommendations ARRAY<STRUCT<item, …>>),
+    as from ``recommendForAll*``, or flat (user, rank, item) with rank from 1
+    and distinct items per user, as from ``topk.top_k_by_dot``.
     """
     actual = _actual_pairs(test, user, item).withColumn("_hit", F.lit(1))
-    ordered = F.slice(F.array_distinct(F.col(f"recommendations.{item}")), 1, k)
-    pos = recs.select(user, F.posexplode_outer(ordered).alias("pos", item))
+    if "recommendations" in recs.columns:
+        ordered = F.slice(F.array_distinct(F.col(f"recommendations.{item}")), 1, k)
+        pos = recs.select(user, F.posexplode_outer(ordered).alias("pos", item))
+    else:
+        pos = recs.where(F.col("rank") <= F.lit(k)).select(user, (F.col("rank") - 1).cast("int").alias("pos"), item)
     flagged = pos.join(actual, [user, item], "left").select(
         user, "pos", item, F.coalesce(F.col("_hit"), F.lit(0)).alias("hit")
     )

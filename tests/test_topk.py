@@ -55,3 +55,18 @@ def test_small_score_blocks_give_the_same_answer(spark):
     # 300 kB: one candidate chunk (400 x 520 B), score blocks of 300 kB / (8 B x 400) = 93 queries,
     # so the 100 user queries are scored in two blocks
     assert _rows(top_k_by_dot(uf, itf, 5, max_chunk_bytes=300_000)) == _rows(top_k_by_dot(uf, itf, 5))
+
+
+def test_metrics_accept_flat_top_k(spark):
+    from hourglass.operators import ranking_metrics
+    from hourglass.plans.workflow import prepare
+    from hourglass.sources import events_interactions
+
+    p = prepare(events_interactions(spark, SF01), behavior="view")
+    uf, itf = embedding_factors(spark, SF01)
+    flat = top_k_by_dot(uf, itf, 10)
+    a = {r["k"]: tuple(r)[1:] for r in ranking_metrics(flat, p.test, (5, 10)).collect()}
+    b = {r["k"]: tuple(r)[1:] for r in ranking_metrics(pack(flat), p.test, (5, 10)).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][0] == b[k][0] and a[k][1:] == pytest.approx(b[k][1:], abs=1e-12)
