@@ -99,3 +99,19 @@ def test_ranking_metrics_with_hot_user_match_reference_loop(spark):
     assert got["precision"] == pytest.approx(p, abs=1e-12)
     assert got["recall"] == pytest.approx(r, abs=1e-12)
     assert got["map"] == pytest.approx(m, abs=1e-12)
+
+
+def test_hot_item_encode_is_whole_and_split(spark):
+    with conf(spark, AQE_SMALL):
+        df = spark.range(300_000).select(
+            (F.col("id") % 5000).alias("user_id"),
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 997).cast("string")).alias("game"),
+            F.lit(1.0).alias("value"),
+        )
+        d = build_dictionaries(df, {"user": "user_id", "item": "game"})
+        assert d["item"].table.where("label = 'hot'").first()["idx"] == 0
+        enc = encode(df, d["item"], "game", "item", max_broadcast_rows=0)
+        rows = enc.collect()
+        plan = enc._jdf.queryExecution().executedPlan().toString()
+    assert len(rows) == 300_000 and sum(1 for r in rows if r["game"] == "hot") == 100_000
+    assert "skew=true" in plan
