@@ -19,6 +19,8 @@ FAST = [
     "plays", "behavior_counts", "cardinalities", "top_items", "top_users_sales", "clean_profile",
     "item_index", "item_index_sales", "split_counts", "coverage", "ranking_metrics",
     "readable_item_recs", "users_for_game", "stream_item_totals", "csv_scan",
+    "stream_user_totals", "topk_dot_users", "fixed_factor_score_report", "ranking_metrics_sales",
+    "top_items_sales_named", "als_coverage", "als_user_recs_shape",
 ]
 
 
