@@ -76,11 +76,11 @@ ORACLE_SQL = {
     "op4_line_dedup": f"""
         WITH d AS (SELECT doc_id, source, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
         totals AS (SELECT source, count(*) AS total FROM d GROUP BY source),
-        seen AS (SELECT source, unnest(list_distinct(list_filter(lines, x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) AS line FROM d),
+        seen AS (SELECT source, unnest(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) AS line FROM d),
         counts AS (SELECT source, line, count(*) AS pages FROM seen GROUP BY source, line),
         drops AS (SELECT c.source, list(line) AS gone FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
                   WHERE pages >= {line_dedup.MIN_PAGES} AND pages >= total * CAST({line_dedup.RATIO} AS DOUBLE) GROUP BY c.source),
-        kept AS (SELECT d.*, list_filter(lines, x -> NOT list_contains(coalesce(gone, []), x)) AS stay
+        kept AS (SELECT d.*, list_filter(lines, lambda x: NOT list_contains(coalesce(gone, []), x)) AS stay
                  FROM d LEFT JOIN drops ON d.source IS NOT DISTINCT FROM drops.source)
         SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(lines) END AS n_lines,
                CASE WHEN text IS NULL THEN 0 ELSE len(lines) - len(stay) END AS n_dropped,
