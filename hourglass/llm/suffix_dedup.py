@@ -54,7 +54,7 @@ WINDOW = LENGTH - Q + 1
 SLICE = 1 << 20
 #: One document in SAMPLE looks for frequent buckets; HOT anchors there make a
 #: bucket one; at most HOT_KEYS are told to the tasks (the most frequent).
-SAMPLE, HOT, HOT_KEYS = 64, 200, 4096
+SAMPLE, HOT, HOT_KEYS = 64, 40, 4096
 
 ANCHOR, COVERED, SPREAD = 0, 1, 2
 _BYTE = np.random.default_rng(7).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
