@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import ann, license_scan, line_dedup, packing, quality, simhash, suffix_dedup, url_filter, warc
+from . import ann, license_scan, line_dedup, packing, quality, sentencepiece, simhash, suffix_dedup, url_filter, warc
 from .common import NULL_ID, table
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -18,6 +19,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def q_op1(spark, sf) -> DataFrame:
+    return sentencepiece.digest(table(spark, sf, "documents"), tokenizer_path(PIECES))
+
+
 def q_op2(spark, sf) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
 
@@ -61,6 +66,7 @@ def q_op10(spark, sf) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": q_op1,
     "op2_quality_rules": q_op2,
     "op3_suffix_dedup": q_op3,
     "op4_line_dedup": q_op4,
