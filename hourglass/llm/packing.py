@@ -33,6 +33,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +47,18 @@ CONTEXT = 4096
 TIERS = (4096, 2048, 1024, 512, 256)
 GROUP_TOKENS = 8_000_000
 STEP_TOKENS = 1 << 17
-#: Words that a worker keeps between tasks.
-CACHE_WORDS = 600_000
+#: Words, and their lower-cased letter runs and punctuation, that a worker
+#: keeps between tasks.
+CACHE_WORDS = 400_000
+CACHE_STEMS = 900_000
 WORDS_AT_ONCE = 4000
 
 
+#: Plain words, a line each: letters below U+0250 and then ASCII punctuation,
+#: which the tokenizer splits just there. Other lines match with empty parts.
+_PLAIN = re.compile("^(?:([a-zß-öø-ɏ]+)([!-&(-/:-@\\[-`{-~']*)|.*)$", re.M)
+
+
 class _Words:
     """Ids of the words of a text, each word encoded once.
 
@@ -86,34 +94,32 @@ class _Words:
             self.stems.update(zip(some, (data[a:b] for a, b in zip([0, *at], at))))
 
     def learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known, self.stems = {}, {}
+        if len(self.stems) > CACHE_STEMS:
+            self.stems = {}
         if self.ends is None:
             self.known.update((w, self._one(w)) for w in words)
             return
-        # plain: letters below U+0250 and then ASCII punctuation, which the
-        # tokenizer splits just there
-        plain = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]*)")
-        parts = {w: m.groups() for w in words if (m := plain.fullmatch(w))}
-        lower = {w: (a.lower(), b) for w, (a, b) in parts.items() if "İ" not in a}
-        new = {s for p in lower.values() for s in p if s and s not in self.stems}
-        self._stems(sorted(new))
-        self.stems.setdefault("", b"")
-        get = self.stems.__getitem__
-        for w in words:
-            p = lower.get(w)
-            self.known[w] = get(p[0]) + get(p[1]) if p else self._one(w)
+        # a word that isn't plain gives two empty parts
+        parts = _PLAIN.findall("\n".join(words).lower()) if words else []
+        if len(parts) != len(words):
+            parts = [("", "")] * len(words)
+        new = set(chain.from_iterable(parts)).difference(self.stems)
+        new.discard("")
+        self._stems(list(new))
+        self.stems[""] = b""
+        get, known, one = self.stems.__getitem__, self.known, self._one
+        for w, (a, b) in zip(words, parts):
+            known[w] = get(a) + get(b) if a else one(w)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {w for s in split for w in s} - self.known.keys()
-        self.learn(sorted(new))
-        try:
-            get = self.known.__getitem__
-            return [b"".join(map(get, s)) for s in split]
-        except KeyError:  # the cache was emptied between
-            self.learn(sorted({w for s in split for w in s} - self.known.keys()))
-            return [b"".join(map(self.known.__getitem__, s)) for s in split]
+        words = set().union(*split)
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known, new = {}, words
+        self.learn(list(new))
+        get = self.known.__getitem__
+        return [b"".join(map(get, s)) for s in split]
 
 
 def _words(path: str) -> _Words:
