@@ -30,7 +30,8 @@ def main() -> None:
     from hourglass.operators import explore, metrics, model, present, tuning
     from hourglass.plans.workflow import prepare
     from hourglass.session import get_session
-    from hourglass.sources import EVENTS_PLAY, SALES_PLAY, events_interactions, sales_interactions
+    from hourglass.operators.topk import top_k_by_dot
+    from hourglass.sources import EVENTS_PLAY, SALES_PLAY, embedding_factors, events_interactions, sales_interactions
 
     spark = get_session(
         f"local[{cpus}]",
@@ -65,17 +66,18 @@ def main() -> None:
 
     prep, _ = timed("prepare_sales", _prepare)
     train, test = prep.train.persist(), prep.test.persist()
-    n_train = train.count()
+    train.count()
     test.count()
 
-    fitted = timed("als_fit_sales", lambda: model.fit_als(train, model.BASELINE, n_ratings=n_train))
+    fitted = timed("als_fit_sales", lambda: model.fit_als(train, model.BASELINE))
     timed("score_report_sales", lambda: metrics.score_report(model.predict(fitted, test, keep_cold=True)).first())
 
     def _rank():
-        recs = model.recommend_for_users(fitted, 10)
+        recs = model.recommend_for_users(fitted, 10, test.select("user").distinct())
         return metrics.ranking_metrics(recs, test, (5, 10)).collect()
 
     timed("recommend_rank_metrics_sales", _rank)
+    timed("top_k_by_dot", lambda: run(top_k_by_dot(*embedding_factors(spark, sf_dir), 10)))
 
     def _named():
         u, i = model.recommend_for_users(fitted, 5), model.recommend_for_items(fitted, 5)

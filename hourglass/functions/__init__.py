@@ -1,5 +1,6 @@
 """Column expressions shared by the operators. All are built-in Spark SQL
-functions, so they stay inside whole-stage codegen."""
+functions and stay in the JVM; the higher-order ones (``dot``) are interpreted,
+not part of whole-stage codegen."""
 
 from __future__ import annotations
 
@@ -30,8 +31,9 @@ def hash_bucket(*cols, seed: int | str = 42, space: int = HASH_SPACE) -> Column:
 
 
 def hours_label(c) -> Column:
-    """``1,234 hrs``: thousands separators, no decimals (half-even)."""
-    return F.concat(F.format_number(F.round(_c(c), 2), 0), F.lit(HOURS_SUFFIX))
+    """``1,234 hrs``: thousands separators, no decimals (half-even). Six places
+    are kept first, so the order in which a sum was taken doesn't show."""
+    return F.concat(F.format_number(F.round(_c(c), 6), 0), F.lit(HOURS_SUFFIX))
 
 
 def run_name(rank, reg_param, max_iter) -> Column:

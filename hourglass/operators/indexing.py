@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import default_parallelism, stable_table
@@ -94,43 +94,27 @@ def build_dictionaries(df: DataFrame, cols: dict[str, str], partitions: int | No
         F.shiftright("_mid", _POS_BITS).alias("_part"),
         F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos"),
     )
-    sizes = (
-        tagged.groupBy("kind", "_part")
-        .agg(F.count(F.lit(1)).alias("c"), F.sum(F.octet_length("label")).alias("b"))
-        .collect()
+    # rows of each (kind, partition): kinds × partitions rows, not data
+    sizes = stable_table(
+        tagged.groupBy("kind", "_part").agg(F.count(F.lit(1)).alias("c"), F.sum(F.octet_length("label")).alias("b")), "dictionary-sizes"
     )
-    per_part: dict[int, list[tuple[str, int]]] = {}
-    label_bytes: dict[str, int] = {k: 0 for k in cols}
-    for r in sizes:
-        per_part.setdefault(int(r["_part"]), []).append((r["kind"], int(r["c"])))
-        label_bytes[r["kind"]] += int(r["b"] or 0)
+    totals = {r["kind"]: r for r in sizes.groupBy("kind").agg(F.sum("c").alias("c"), F.sum("b").alias("b")).collect()}
     # Rows are kind-major, so within a partition the kinds appear in sorted
     # order; id = (this kind's rows in earlier partitions) + (position in the
     # partition) - (rows of smaller kinds earlier in the same partition).
-    seen: dict[str, int] = {k: 0 for k in cols}
-    base: dict[str, dict[int, int]] = {k: {} for k in cols}
-    for part in sorted(per_part):
-        before = 0
-        for kind, c in sorted(per_part[part]):
-            base[kind][part] = seen[kind] - before
-            seen[kind] += c
-            before += c
+    earlier = F.coalesce(F.sum("c").over(Window.partitionBy("kind").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    smaller = F.coalesce(F.sum("c").over(Window.partitionBy("_part").orderBy("kind").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("kind", "_part", (earlier - smaller).alias("_base"))
     out = {}
     for kind in cols:
-        if seen[kind] > INT_MAX:
-            raise ValueError(f"{seen[kind]} distinct {kind} labels exceed the INT id range ALS requires")
-        offsets = base[kind]
-        if offsets:
-            # A kind occupies a contiguous run of partitions: a dense array
-            # literal over that run gives the offset by direct index (a map
-            # literal would be searched key by key for every row).
-            lo, hi = min(offsets), max(offsets)
-            dense = F.array(*[F.lit(int(offsets.get(p, 0))).cast("bigint") for p in range(lo, hi + 1)])
-            idx = (F.element_at(dense, (F.col("_part") - F.lit(lo) + F.lit(1)).cast("int")) + F.col("_pos")).cast("int")
-        else:
-            idx = F.lit(None).cast("int")
-        table = tagged.where(F.col("kind") == F.lit(kind)).select("label", idx.alias("idx"), F.col("n").cast("bigint").alias("n"))
-        out[kind] = Dictionary(table=table, size=seen[kind], name=kind, label_bytes=label_bytes[kind])
+        size = int(totals[kind]["c"]) if kind in totals else 0
+        if size > INT_MAX:
+            raise ValueError(f"{size} distinct {kind} labels exceed the INT id range ALS requires")
+        # at most one row per partition, so the broadcast is bounded by n_parts
+        base = F.broadcast(offsets.where(F.col("kind") == F.lit(kind)).select("_part", "_base"))
+        idx = (F.col("_base") + F.col("_pos")).cast("int")
+        table = tagged.where(F.col("kind") == F.lit(kind)).join(base, "_part").select("label", idx.alias("idx"), F.col("n").cast("bigint").alias("n"))
+        out[kind] = Dictionary(table=table, size=size, name=kind, label_bytes=int(totals[kind]["b"] or 0) if kind in totals else 0)
     return out
 
 

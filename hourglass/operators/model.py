@@ -2,13 +2,15 @@
 
 The solver is Spark MLlib's ALS, as in the reference. What this module adds:
 a frozen configuration with an explicit seed (MLlib's default seed differs
-between Python processes), block counts sized from the data and the cluster,
+between Python processes) and an explicit block count (MLlib draws its start
+factors per block, so the count is part of the model; the default is MLlib's),
 and lineage checkpoints in the shared checkpoint folder for long fits.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import asdict, dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -16,16 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dot
-from ..session import default_parallelism, ensure_checkpoint_dir
-
-# Ratings per ALS block before another block is worth its scheduling cost
-# (measured on 8 cores: 16k ratings run as fast on 1 block as on 4; 480k
-# ratings run 1.5x faster on 8 blocks than on 2).
-ROWS_PER_BLOCK = 50_000
-# Each half-iteration shuffles user-blocks x item-blocks pieces; beyond ~1k
-# blocks per side the piece count, not the solve, dominates.
-MAX_BLOCKS = 1024
-
+from ..session import ensure_checkpoint_dir
 
 @dataclass(frozen=True)
 class ALSConfig:
@@ -37,7 +30,7 @@ class ALSConfig:
     seed: int = 42
     cold_start: str = "drop"
     nonnegative: bool = False
-    num_blocks: int | None = None
+    num_blocks: int = 10
     checkpoint_interval: int = 10
 
     def params(self) -> dict:
@@ -50,16 +43,14 @@ FIRST_MODEL = ALSConfig(rank=20, max_iter=15, reg_param=0.1)
 BASELINE = ALSConfig(rank=20, max_iter=10, reg_param=0.1)
 
 
-def suggest_blocks(n_ratings: int | None, parallelism: int, rows_per_block: int = ROWS_PER_BLOCK) -> int:
-    """Blocks per side: one per ``rows_per_block`` ratings, at most one per
-    core and at most ``MAX_BLOCKS``."""
-    cap = max(1, min(parallelism, MAX_BLOCKS))
-    if not n_ratings:
-        return min(cap, 10)
-    return max(1, min(cap, math.ceil(n_ratings / rows_per_block)))
+def suggest_blocks(n_ratings: int, rows_per_block: int = 50_000_000) -> int:
+    """Advice for ``num_blocks``: at least MLlib's 10, and one block per
+    ``rows_per_block`` ratings. It depends on the data alone; nothing applies
+    it unasked, because another count gives another model."""
+    return max(10, math.ceil(n_ratings / rows_per_block))
 
 
-def make_als(config: ALSConfig, num_blocks: int, user: str = "user", item: str = "item", rating: str = "rating") -> ALS:
+def make_als(config: ALSConfig, user: str = "user", item: str = "item", rating: str = "rating") -> ALS:
     return ALS(
         userCol=user,
         itemCol=item,
@@ -72,8 +63,8 @@ def make_als(config: ALSConfig, num_blocks: int, user: str = "user", item: str =
         nonnegative=config.nonnegative,
         coldStartStrategy=config.cold_start,
         seed=config.seed,
-        numUserBlocks=num_blocks,
-        numItemBlocks=num_blocks,
+        numUserBlocks=config.num_blocks,
+        numItemBlocks=config.num_blocks,
         checkpointInterval=config.checkpoint_interval,
     )
 
@@ -111,16 +102,11 @@ def check_id_load(ratings: DataFrame, max_ratings_per_id: int) -> None:
 def fit_als(
     train: DataFrame,
     config: ALSConfig = BASELINE,
-    n_ratings: int | None = None,
     max_ratings_per_id: int | None = None,
     **cols,
 ) -> ALSModel:
     """Fit ALS on ``train`` (user INT, item INT, rating DOUBLE).
 
-    Without ``config.num_blocks`` the block count follows the number of
-    ratings; it is counted here when the caller does not pass it (one pass
-    over the compact ratings, small next to the fit's own iterations).
-
     ``max_ratings_per_id`` checks ``id_load`` first and refuses to start a fit
     whose largest task would exceed it, instead of failing deep inside it.
     """
@@ -128,12 +114,7 @@ def fit_als(
     ensure_checkpoint_dir(spark)
     if max_ratings_per_id is not None:
         check_id_load(train, max_ratings_per_id)
-    blocks = config.num_blocks
-    if not blocks:
-        if n_ratings is None:
-            n_ratings = train.count()
-        blocks = suggest_blocks(n_ratings, default_parallelism(spark))
-    return make_als(config, blocks, **cols).fit(train)
+    return make_als(config, **cols).fit(train)
 
 
 def predict(model: ALSModel, test: DataFrame, keep_cold: bool = False) -> DataFrame:
@@ -169,14 +150,16 @@ def persistent_rdd_ids(spark) -> set[int]:
     return {int(key) for key in jmap.keySet().toArray()}
 
 
-def release_since(spark, before: set[int]) -> int:
-    """Unpersist every RDD persisted after the snapshot ``before`` (e.g. the
-    factor RDDs a fit left cached). Returns how many were released. Only
-    safe when nothing else persisted RDDs in between (sequential fits)."""
-    jmap = spark.sparkContext._jsc.getPersistentRDDs()
+def release(model: ALSModel) -> int:
+    """Unpersist the factor RDDs that the fit of ``model`` left cached, and no
+    others. Returns how many were released. The model can still be used; its
+    factors are then computed again from their checkpoint or the training data."""
     released = 0
-    for rid in persistent_rdd_ids(spark) - before:
-        rdd = jmap.get(rid)
+    jmap = model.userFactors.sparkSession.sparkContext._jsc.getPersistentRDDs()
+    for df, name in ((model.userFactors, "userFactors"), (model.itemFactors, "itemFactors")):
+        lineage = df.rdd.toDebugString().decode()
+        own = re.search(name + r" \w+\[(\d+)\]", lineage)
+        rdd = jmap.get(int(own[1])) if own else None
         if rdd is not None:
             rdd.unpersist(False)
             released += 1

@@ -1,97 +1,74 @@
 """Exact top-k by dot product for factor tables (id INT, features ARRAY).
 
 The same question ``recommendForAll*`` answers for a fitted model, asked of
-factor tables that do not come from one (fixed or external factors). No user ×
-item pair is ever a row: the queries stay partitioned as they are, the
-candidate matrix reaches every task as a broadcast of proven size (split into
-chunks of at most ``max_chunk_bytes``), and each task scores its Arrow batch
-of queries with matrix products of bounded size (the score block of one
-product is at most ``max_chunk_bytes`` too) and keeps ``k`` per query. With more than
-one chunk, the chunks are scored one after another (each chunk's winners are
-written to the shared folder and its broadcast destroyed before the next), and
-a window over the ``k`` × chunks candidates per query merges them.
+factor tables that do not come from one (fixed or external factors). Both sides
+are dealt into blocks of about ``block_rows`` rows by a hash of the id; every
+block of queries meets every block of candidates in a task of its own, which
+does one matrix product and keeps ``k`` per query. No user × item pair is ever
+a row, nothing passes the driver, and a task holds two blocks. The winners of
+the blocks are merged by a ranked window.
 
 Order: score descending, then candidate id ascending (exact ties resolved the
-same way everywhere).
+same way everywhere). Rows whose features are NULL, or hold a NULL, a NaN or an
+infinity, take no part on either side.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stable_table
+BLOCK_ROWS = 4096
 
-MAX_CHUNK_BYTES = 64 * 1024 * 1024
 
-
-def _scorer(bc, k: int, query_col: str, cand_col: str, max_block_bytes: int):
-    """The per-task scoring function for ``mapInPandas``.
-
-    Everything it runs is defined inside it, so it is shipped to the Python
-    workers by value and needs only numpy and pandas there (not this package).
-    """
-
-    def top_rows(scores, cand_ids, k):
-        # For each row: positions of the best k (score desc, id asc). Every
-        # candidate at or above the k-th largest score is a contender, so
-        # exact ties at the boundary are resolved by id.
-        m = scores.shape[1]
-        kk = min(k, m)
-        if kk == 0:
-            return [np.empty(0, dtype=np.int64) for _ in range(scores.shape[0])]
-        kth = np.partition(scores, m - kk, axis=1)[:, m - kk]
-        out = []
-        for r in range(scores.shape[0]):
-            idx = np.nonzero(scores[r] >= kth[r])[0]
-            order = np.lexsort((cand_ids[idx], -scores[r, idx]))
-            out.append(idx[order][:kk])
-        return out
+def _scorer(k: int, query_col: str, cand_col: str):
+    """The per-task scoring function for ``mapInPandas``; it is shipped by value
+    and needs only numpy and pandas on the workers."""
 
     def score(batches):
-        cand_ids, mat = bc.value
-        # queries per matrix product, so the score block stays within the bound
-        step = max(1, max_block_bytes // (8 * max(1, mat.shape[0])))
         for pdf in batches:
-            if pdf.empty:
-                continue
-            feats = pdf["features"].to_numpy()
-            qids = pdf["id"].to_numpy()
-            rows_q, rows_c, rows_s, rows_p = [], [], [], []
-            for lo in range(0, len(pdf), step):
-                q = np.stack(feats[lo : lo + step]).astype(np.float64)
-                s = q @ mat.T
-                for r, pos in enumerate(top_rows(s, cand_ids, k)):
-                    rows_q.append(np.full(len(pos), qids[lo + r]))
-                    rows_c.append(cand_ids[pos])
-                    rows_s.append(s[r, pos])
-                    rows_p.append(np.arange(1, len(pos) + 1))
-            if not rows_q:
-                continue
-            yield pd.DataFrame(
-                {
-                    query_col: np.concatenate(rows_q).astype(np.int32),
-                    "rank": np.concatenate(rows_p).astype(np.int32),
-                    cand_col: np.concatenate(rows_c).astype(np.int32),
-                    "score": np.concatenate(rows_s).astype(np.float64),
-                }
-            )
+            for q_ids, q, c_ids, c in zip(pdf["q_ids"], pdf["q"], pdf["c_ids"], pdf["c"]):
+                s = np.stack(q).astype(np.float64) @ np.stack(c).astype(np.float64).T
+                kk = min(k, s.shape[1])
+                # every candidate at or above the k-th largest score contends,
+                # so exact ties at the boundary are resolved by id
+                edge = np.partition(s, s.shape[1] - kk, axis=1)[:, s.shape[1] - kk]
+                row, col = np.nonzero(s >= edge[:, None])
+                ids, best = np.asarray(c_ids)[col], s[row, col]
+                order = np.lexsort((ids, -best, row))
+                row, ids, best = row[order], ids[order], best[order]
+                first = np.searchsorted(row, row, side="left")
+                keep = np.arange(len(row)) - first < kk
+                yield pd.DataFrame({
+                    query_col: np.asarray(q_ids)[row[keep]].astype(np.int32),
+                    cand_col: ids[keep].astype(np.int32),
+                    "score": best[keep],
+                })
 
     return score
 
 
+def _blocks(df: DataFrame, side: str, block_rows: int) -> tuple[DataFrame, int]:
+    """One row a block: ``{side}_block``, ids and features; and their number."""
+    finite = F.forall("features", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = df.where(F.col("id").isNotNull() & F.coalesce(finite, F.lit(False))).select(F.col("id").cast("int").alias("id"), F.col("features").cast("array<double>").alias("f"))
+    n = rows.count()
+    blocks = max(1, math.ceil(n / block_rows))
+    dealt = rows.withColumn(f"{side}_block", F.pmod(F.hash("id"), F.lit(blocks)))
+    return dealt.groupBy(f"{side}_block").agg(F.collect_list("id").alias(f"{side}_ids"), F.collect_list("f").alias(side)), blocks if n else 0
+
+
 def top_k_by_dot(
     queries: DataFrame,
     candidates: DataFrame,
     k: int,
     query_col: str = "user",
     cand_col: str = "item",
-    max_chunk_bytes: int = MAX_CHUNK_BYTES,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(query_col, rank, cand_col, score): the ``k`` best candidates per query.
 
@@ -99,41 +76,15 @@ def top_k_by_dot(
     ARRAY<FLOAT|DOUBLE>) of one common rank. Scores are dot products in
     double precision.
     """
-    spark = queries.sparkSession
-    stats = candidates.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("rank")).first()
-    n, rank = int(stats["n"] or 0), int(stats["rank"] or 0)
-    schema = f"{query_col} INT, rank INT, {cand_col} INT, score DOUBLE"
-    if n == 0 or k <= 0:
-        return spark.createDataFrame([], schema)
-    # candidate matrix in double precision on every task: 8 bytes per value + id
-    n_chunks = max(1, math.ceil(n * (8 * rank + 8) / max_chunk_bytes))
-    q = queries.select(F.col("id").cast("int").alias("id"), F.col("features"))
-
-    def scored(chunk: DataFrame):
-        # bounded by max_chunk_bytes by construction (hash chunks of n / n_chunks rows)
-        pdf = chunk.select(F.col("id").cast("int").alias("id"), "features").toPandas()
-        if pdf.empty:
-            return None, None
-        ids = pdf["id"].to_numpy().astype(np.int64)
-        mat = np.stack(pdf["features"].to_numpy()).astype(np.float64)
-        bc = spark.sparkContext.broadcast((ids, mat))
-        return q.mapInPandas(_scorer(bc, k, query_col, cand_col, max_chunk_bytes), schema), bc
-
-    if n_chunks == 1:
-        found, _ = scored(candidates)
-        return found if found is not None else spark.createDataFrame([], schema)
-    # Several chunks: score one chunk at a time, write its winners to the
-    # shared folder and drop its broadcast, so executors never hold more than
-    # one chunk of the candidate matrix.
-    parts = []
-    for c in range(n_chunks):
-        found, bc = scored(candidates.where(F.pmod(F.hash("id"), F.lit(n_chunks)) == c))
-        if found is None:
-            continue
-        parts.append(stable_table(found, "topk-chunk"))
-        bc.destroy()
-    found = reduce(DataFrame.unionByName, parts)
-    # merge the per-chunk winners: at most k x chunks rows per query
+    q, n_q = _blocks(queries, "q", block_rows)
+    c, n_c = _blocks(candidates, "c", block_rows)
+    if k <= 0 or not n_q or not n_c:
+        return queries.sparkSession.createDataFrame([], f"{query_col} INT, rank INT, {cand_col} INT, score DOUBLE")
+    # the stated query set against all candidates, block by block
+    pairs = q.withColumn("c_block", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1)))).join(c, "c_block")
+    tasks = pairs.select("q_ids", "q", "c_ids", "c").repartition(n_q * n_c)
+    found = tasks.mapInPandas(_scorer(k, query_col, cand_col), f"{query_col} INT, {cand_col} INT, score DOUBLE")
+    # at most k x candidate blocks rows per query
     w = Window.partitionBy(query_col).orderBy(F.col("score").desc(), F.col(cand_col).asc())
     return (
         found.withColumn("rank", F.row_number().over(w).cast("int"))

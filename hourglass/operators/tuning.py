@@ -8,37 +8,37 @@ once and reused by every fit. Results are run rows, appended to the run log.
 
 from __future__ import annotations
 
+import dataclasses
 import itertools
 import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import RUN_NAME_FORMAT, run_name
-from ..sources.runs import RUN_COLUMNS, append_runs, read_runs, runs_frame
+from ..sources.runs import RUN_COLUMNS, RUNS, append_runs, read_runs, runs_frame
 from .metrics import ranking_metrics, score_report
-from ..session import default_parallelism
 from .model import (
     ALSConfig,
     check_id_load,
     fit_als,
-    persistent_rdd_ids,
     predict,
     recommend_for_users,
-    release_since,
-    suggest_blocks,
+    release as release_factors,
 )
 
-# A single ALS task solves one id over all of its ratings; beyond this many
-# ratings for one user or item the search refuses to start.
-MAX_RATINGS_PER_ID = 100_000_000
-
 # The reference's search grid.
 RANKS = (10, 20, 50)
 REG_PARAMS = (0.01, 0.1, 0.5)
 MAX_ITERS = (10, 15, 20)
 
+K_RECORD = 10
+# Fits submitted at once by default; a plain number, so a search does the same
+# work on every cluster.
+PARALLEL_FITS = 4
+
 
 def param_grid(
     spark: SparkSession, ranks=RANKS, reg_params=REG_PARAMS, max_iters=MAX_ITERS
@@ -58,45 +58,66 @@ def evaluate_config(
     test: DataFrame,
     config: ALSConfig,
     k: int = 10,
-    n_train: int | None = None,
     split_name: str = "test",
     release: bool = False,
+    test_users: DataFrame | None = None,
+    data_id: str | None = None,
 ) -> dict:
     """Fit one configuration and measure it: a run record (dict).
 
-    With ``release`` the model's cached factor RDDs are unpersisted as soon
+    The record's metric columns are those at K = 10, so ``k`` must be 10.
+    With ``release`` the model's own cached factor RDDs are unpersisted as soon
     as it is measured (at scale a user-factor table is tens of GB; 27 of them
-    must not wait for garbage collection). Use it only when fits run one at
-    a time.
+    must not wait for garbage collection). ``test_users`` may pass the distinct
+    test users, so a search computes them once.
     """
-    spark = train.sparkSession
-    try:
-        before = persistent_rdd_ids(spark) if release else None
-    except Exception:  # no JVM context (Spark Connect): leave it to the server
-        before, release = None, False
+    if k != K_RECORD:
+        raise ValueError(f"a run record holds the metrics at K = {K_RECORD}; use ranking_metrics for K = {k}")
     t0 = time.perf_counter()
-    model = fit_als(train, config, n_ratings=n_train)
+    model = fit_als(train, config)
     fit_s = time.perf_counter() - t0
     report = score_report(predict(model, test, keep_cold=True)).first()
-    recs = recommend_for_users(model, k, test.select("user").distinct())
+    recs = recommend_for_users(model, k, test.select("user").distinct() if test_users is None else test_users)
     m = ranking_metrics(recs, test, ks=(k,)).first()
     if release:
-        release_since(spark, before)
-    return run_record(config, report, m, fit_s, split_name)
+        release_factors(model)
+    return run_record(config, report, m, fit_s, split_name, data_id)
+
 
+def config_columns(config: ALSConfig) -> dict:
+    """The run-log columns that say how a model was fitted."""
+    return {
+        "rank": int(config.rank),
+        "regParam": float(config.reg_param),
+        "maxIter": int(config.max_iter),
+        "alpha": float(config.alpha),
+        "implicit": bool(config.implicit),
+        "nonnegative": bool(config.nonnegative),
+        "num_blocks": int(config.num_blocks),
+        "checkpoint_interval": int(config.checkpoint_interval),
+        "seed": int(config.seed),
+    }
 
-def run_record(config: ALSConfig, report, m, fit_s: float | None = None, split_name: str = "test") -> dict:
+
+def data_id(train: DataFrame, test: DataFrame) -> str:
+    """Names the rows of train and test: counts and sums of row hashes."""
+    def part(df: DataFrame) -> str:
+        h = F.sum(F.xxhash64("user", "item", "rating").cast("decimal(38,0)"))
+        r = df.agg(F.count(F.lit(1)).alias("n"), h.alias("h")).first()
+        return f"{r['n']}:{r['h'] or 0}"
+
+    return f"{part(train)}/{part(test)}"
+
+
+def run_record(config: ALSConfig, report, m, fit_s: float | None = None, split_name: str = "test", data_id: str | None = None) -> dict:
     """A run-log record from a configuration, its score report row and its
     ranking-metrics row at K = 10."""
     return {
         "run_name": RUN_NAME_FORMAT % (config.rank, str(float(config.reg_param)), config.max_iter),
         "model": "als",
-        "rank": config.rank,
-        "regParam": float(config.reg_param),
-        "maxIter": config.max_iter,
-        "alpha": float(config.alpha),
-        "seed": int(config.seed),
+        **config_columns(config),
         "split": split_name,
+        "data_id": data_id,
         "n_test": report["n_test"],
         "n_scored": report["n_scored"],
         "coverage": report["coverage"],
@@ -116,68 +137,49 @@ def grid_search(
     grid: DataFrame | None = None,
     base: ALSConfig | None = None,
     k: int = 10,
-    parallelism: int | None = None,
+    parallelism: int = PARALLEL_FITS,
     log_path: str | None = None,
     split_id: str = "test",
-    max_ratings_per_id: int | None = MAX_RATINGS_PER_ID,
+    max_ratings_per_id: int | None = None,
 ) -> DataFrame:
     """Run every configuration of ``grid``; return the runs DataFrame.
 
     The grid table is small by construction (its size is the number of
     configurations), so it is the one thing read back to the driver.
     ``parallelism`` > 1 submits several fits at once from a thread pool, as
-    ``CrossValidator(parallelism=…)`` does. By default it is the number of
-    fits that fit side by side on the cluster's cores given each fit's block
-    count: small data (few blocks) runs several fits at once, data that fills
-    the cluster runs them one after another.
+    ``CrossValidator(parallelism=…)`` does. Each fit's cached factors are
+    released once it is measured.
 
-    Before any fit, ``id_load`` is checked once against ``max_ratings_per_id``
-    (one aggregate over the training ratings): a hot user or item that would
-    overload one ALS task stops the search up front, not after hours of fits.
+    With ``max_ratings_per_id`` the search first checks ``id_load`` and stops
+    up front if one user or item has more ratings; the default is no bound.
 
     With ``log_path`` every run is appended to the run log as soon as it
-    finishes, and configurations already logged there for the same seed and
-    ``split_id`` are not fitted again: a search interrupted by a lost driver
-    resumes where it stopped. The result is then read from the log.
+    finishes, and configurations already logged there with the same settings,
+    ``split_id`` and data (``data_id``) are not fitted again: a search
+    interrupted by a lost driver resumes where it stopped. The result is then read from the log.
     """
     spark = train.sparkSession
     base = base or ALSConfig()
     grid = grid if grid is not None else param_grid(spark)
     configs = [
-        ALSConfig(
-            rank=int(r["rank"]),
-            max_iter=int(r["maxIter"]),
-            reg_param=float(r["regParam"]),
-            alpha=base.alpha,
-            implicit=base.implicit,
-            seed=base.seed,
-            num_blocks=base.num_blocks,
-            checkpoint_interval=base.checkpoint_interval,
-        )
+        dataclasses.replace(base, rank=int(r["rank"]), max_iter=int(r["maxIter"]), reg_param=float(r["regParam"]))
         for r in grid.orderBy("ord" if "ord" in grid.columns else "rank").collect()
     ]
+    todo, data = configs, None
     if log_path is not None:
-        done = _logged(spark, log_path, base.seed, split_id)
-        todo = [c for c in configs if (c.rank, float(c.reg_param), c.max_iter) not in done]
-    else:
-        todo = configs
+        data = data_id(train, test)
+        done = _logged(spark, log_path, split_id, data)
+        todo = [c for c in configs if tuple(config_columns(c).values()) not in done]
     rows: list[dict] = []
     if todo:
         train = train.persist()
         test = test.persist()
-        n_train = train.count()
-        test.count()  # materialise both caches before any per-fit snapshot of cached RDDs
+        test_users = test.select("user").distinct().persist()
         if max_ratings_per_id is not None:
             check_id_load(train, max_ratings_per_id)
-        if parallelism is None:
-            cores = default_parallelism(spark)
-            blocks = base.num_blocks or suggest_blocks(n_train, cores)
-            parallelism = max(1, min(len(todo), cores // max(1, blocks)))
 
         def one(c: ALSConfig) -> dict:
-            # sequential fits release their factors at once; concurrent small
-            # fits leave it to garbage collection (their factors are small)
-            row = evaluate_config(train, test, c, k, n_train, split_id, release=parallelism == 1)
+            row = evaluate_config(train, test, c, k, split_id, release=True, test_users=test_users, data_id=data)
             if log_path is not None:
                 append_runs(runs_frame(spark, [row]), log_path)
             return row
@@ -191,26 +193,30 @@ def grid_search(
         finally:
             train.unpersist()
             test.unpersist()
+            test_users.unpersist()
     if log_path is None:
         return runs_frame(spark, rows)
-    wanted = spark.createDataFrame(
-        [(c.rank, float(c.reg_param), c.max_iter) for c in configs], "rank INT, regParam DOUBLE, maxIter INT"
-    )
-    logged = read_runs(spark, log_path).where(
-        (F.col("model") == "als") & (F.col("seed") == F.lit(base.seed)) & (F.col("split") == F.lit(split_id))
-    )
-    return logged.join(wanted, ["rank", "regParam", "maxIter"], "left_semi").dropDuplicates(["rank", "regParam", "maxIter"])
+    keys = list(config_columns(base))
+    types = {f.name: f.dataType.simpleString() for f in RUNS.fields}
+    wanted = spark.createDataFrame([tuple(config_columns(c).values()) for c in configs], ", ".join(f"{x} {types[x]}" for x in keys))
+    logged = _runs_of(read_runs(spark, log_path), split_id, data).join(wanted, keys, "left_semi")
+    turn = Window.partitionBy(*keys).orderBy("fit_seconds", "map_at_10")  # a run logged twice counts once
+    return logged.withColumn("_turn", F.row_number().over(turn)).where("_turn = 1").drop("_turn").select(*RUN_COLUMNS)
+
+
+def _runs_of(runs: DataFrame, split_id: str, data: str | None) -> DataFrame:
+    return runs.where((F.col("model") == "als") & (F.col("split") == F.lit(split_id)) & F.col("data_id").eqNullSafe(F.lit(data)))
 
 
-def _logged(spark, log_path: str, seed: int, split_id: str) -> set:
+def _logged(spark, log_path: str, split_id: str, data: str | None) -> set:
     try:
         runs = read_runs(spark, log_path)
-        rows = runs.where(
-            (F.col("model") == "als") & (F.col("seed") == F.lit(seed)) & (F.col("split") == F.lit(split_id))
-        ).select("rank", "regParam", "maxIter").distinct().collect()
-    except Exception:  # no log yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return set()
-    return {(int(r["rank"]), float(r["regParam"]), int(r["maxIter"])) for r in rows}
+    keys = list(config_columns(ALSConfig()))
+    return {tuple(r) for r in _runs_of(runs, split_id, data).select(*keys).distinct().collect()}
 
 
 def _tie():

@@ -116,7 +116,7 @@ def _top(src: str, key: str, key_label: bool, n: int = 10) -> str:
 tot AS (SELECT {key}, sum(value) AS total_hours FROM {src} GROUP BY 1),
 top AS (SELECT * FROM tot ORDER BY total_hours DESC NULLS LAST, {key} ASC NULLS LAST LIMIT {n})
 SELECT {key}, round(total_hours, 6) AS total_hours,
-       format('{{:,.0f}}', round(total_hours, 2)) || ' hrs' AS hours_label,
+       format('{{:,}}', CAST(round_even(round(total_hours, 6), 0) AS BIGINT)) || ' hrs' AS hours_label,
        round(total_hours / max(total_hours) OVER (), 6) AS share_of_max{label}
 FROM top"""
 
@@ -227,8 +227,8 @@ SELECT 'random_seed42' AS run_name, 'random' AS model, CAST(42 AS BIGINT) AS see
 FROM m, cov"""
     )
     factors = _PREP + """,
-uf AS (SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id < 100),
-itf AS (SELECT CAST(vec_id - 100 AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id >= 100)
+uf AS (SELECT CAST(vec_id // 5 AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id % 5 = 0),
+itf AS (SELECT CAST(vec_id - vec_id // 5 - 1 AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id % 5 <> 0)
 """
     q["fixed_factor_scores"] = (
         "WITH " + factors + """
@@ -245,8 +245,8 @@ SELECT count(*) AS n_test, count(prediction) AS n_scored, round(count(prediction
 FROM sc"""
     )
     emb = """
-uf AS (SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id < 100),
-itf AS (SELECT CAST(vec_id - 100 AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id >= 100)
+uf AS (SELECT CAST(vec_id // 5 AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id % 5 = 0),
+itf AS (SELECT CAST(vec_id - vec_id // 5 - 1 AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings WHERE vec_id % 5 <> 0)
 """
     q["topk_dot_users"] = (
         "WITH " + emb + """,

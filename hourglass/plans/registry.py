@@ -319,9 +319,6 @@ def q_stream_user_totals(spark, sf):
 
 # --- ALS (rows-only checks; properties are proven in tests) --------------------
 
-_GRID_CACHE: dict = {}
-
-
 def _als_eval(spark, sf, config=model.BASELINE):
     p = _prep(spark, sf)
     m = model.fit_als(p.train, config)
@@ -415,11 +412,8 @@ def q_als_item_recs_shape(spark, sf):
 
 
 def _grid_runs(spark, sf) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _GRID_CACHE:
-        p = _prep(spark, sf)
-        _GRID_CACHE[key] = tuning.grid_search(p.train, p.test)
-    return _GRID_CACHE[key]
+    p = _prep(spark, sf)
+    return tuning.grid_search(p.train, p.test)
 
 
 def q_als_grid(spark, sf):

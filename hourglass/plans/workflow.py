@@ -112,9 +112,9 @@ class Evaluation:
     extra: dict = field(default_factory=dict)
 
 
-def train_evaluate(prep: Prepared, config: ALSConfig = BASELINE, ks=KS, n_train: int | None = None) -> Evaluation:
+def train_evaluate(prep: Prepared, config: ALSConfig = BASELINE, ks=KS) -> Evaluation:
     t0 = time.perf_counter()
-    model = fit_als(prep.train, config, n_ratings=n_train)
+    model = fit_als(prep.train, config)
     fit_s = time.perf_counter() - t0
     scored = predict(model, prep.test, keep_cold=True)
     # Only users with a test item can be evaluated: score just those.

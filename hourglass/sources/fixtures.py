@@ -65,14 +65,12 @@ def sales_item_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def embedding_factors(spark: SparkSession, sf_dir: str, n_users: int = 100) -> tuple[DataFrame, DataFrame]:
-    """Fixed factors from ``embeddings``: ``vec_id < n_users`` are user
-    factors (id = vec_id), the rest item factors (id = vec_id - n_users)."""
-    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    users = emb.where(F.col("vec_id") < n_users).select(
-        F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("features")
-    )
-    items = emb.where(F.col("vec_id") >= n_users).select(
-        (F.col("vec_id") - F.lit(n_users)).cast("int").alias("id"), F.col("embedding").alias("features")
-    )
+def embedding_factors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Fixed factors from ``embeddings``: every fifth vector is a user (id =
+    vec_id / 5), the others are items (numbered without gaps), so both sides
+    grow with the table."""
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("features"))
+    fifth = F.floor(F.col("vec_id") / 5)
+    users = emb.where(F.col("vec_id") % 5 == 0).select(fifth.cast("int").alias("id"), "features")
+    items = emb.where(F.col("vec_id") % 5 != 0).select((F.col("vec_id") - fifth - 1).cast("int").alias("id"), "features")
     return users, items

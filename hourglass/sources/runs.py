@@ -19,8 +19,13 @@ RUNS = T.StructType(
         T.StructField("regParam", T.DoubleType(), True),
         T.StructField("maxIter", T.IntegerType(), True),
         T.StructField("alpha", T.DoubleType(), True),
+        T.StructField("implicit", T.BooleanType(), True),
+        T.StructField("nonnegative", T.BooleanType(), True),
+        T.StructField("num_blocks", T.IntegerType(), True),
+        T.StructField("checkpoint_interval", T.IntegerType(), True),
         T.StructField("seed", T.LongType(), True),
         T.StructField("split", T.StringType(), True),
+        T.StructField("data_id", T.StringType(), True),
         T.StructField("n_test", T.LongType(), True),
         T.StructField("n_scored", T.LongType(), True),
         T.StructField("coverage", T.DoubleType(), True),

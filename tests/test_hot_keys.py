@@ -4,6 +4,7 @@ the shuffle join on that user is split by AQE instead of running as one task."""
 import contextlib
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,29 +62,28 @@ def test_hot_user_profile_counts(spark):
     assert prof["max_rows_per_user"] == 10_000 and prof["max_items_per_user"] == 997
 
 
-def _reference_loop(recs, actual, k):
-    """The reference's per-user loop, written from its definition."""
-    ps, rs, aps = [], [], []
-    for u, rec in recs.items():
-        if u not in actual or not actual[u]:
-            continue
-        a = set(actual[u])
-        hits = len(a & set(rec))
-        ps.append(hits / k)
-        rs.append(hits / len(a))
-        ap, nh = 0.0, 0
-        for i, it in enumerate(rec):
-            if it in a:
-                nh += 1
-                ap += nh / (i + 1)
-        if nh:
-            ap /= len(a) if len(a) < k else k
-        aps.append(ap)
-    n = len(ps)
-    return sum(ps) / n, sum(rs) / n, sum(aps) / n
-
-
-def test_ranking_metrics_with_hot_user_match_reference_loop(spark):
+def sql_metrics(recs, actual, k):
+    """(n_users, precision, recall, map) by their definitions, in DuckDB SQL."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE rec (u INTEGER, pos INTEGER, item INTEGER)")
+    con.execute("CREATE TABLE act (u INTEGER, item INTEGER)")
+    con.execute("CREATE TABLE listed (u INTEGER)")
+    con.executemany("INSERT INTO listed VALUES (?)", [(u,) for u in recs])
+    rows = [(u, j + 1, i) for u, r in recs.items() for j, i in enumerate(r[:k])]
+    if rows:
+        con.executemany("INSERT INTO rec VALUES (?, ?, ?)", rows)
+    con.executemany("INSERT INTO act VALUES (?, ?)", [(u, i) for u, its in actual.items() for i in its])
+    return con.execute(f"""
+        WITH wanted AS (SELECT DISTINCT u, item FROM act),
+        size AS (SELECT u, count(*) AS n FROM wanted GROUP BY u),
+        judged AS (SELECT size.u, n FROM size SEMI JOIN listed USING (u)),
+        hit AS (SELECT u, pos, row_number() OVER (PARTITION BY u ORDER BY pos) AS nth FROM rec SEMI JOIN wanted USING (u, item)),
+        per AS (SELECT u, count(*) AS hits, sum(nth / pos) AS run FROM hit GROUP BY u)
+        SELECT count(*), avg(coalesce(hits, 0) / {k}), avg(coalesce(hits, 0) / n), avg(coalesce(run, 0) / least(n, {k}))
+        FROM judged LEFT JOIN per USING (u)""").fetchone()
+
+
+def test_ranking_metrics_with_hot_user_match_sql(spark):
     rnd = random.Random(5)
     n_items, k = 300, 10
     recs = {u: rnd.sample(range(n_items), k) for u in range(60)}
@@ -95,7 +95,7 @@ def test_ranking_metrics_with_hot_user_match_reference_loop(spark):
     )
     test_df = spark.createDataFrame([(u, i) for u, its in actual.items() for i in its], "user INT, item INT")
     got = ranking_metrics(recs_df, test_df, (k,)).first()
-    p, r, m = _reference_loop(recs, actual, k)
+    _, p, r, m = sql_metrics(recs, actual, k)
     assert got["precision"] == pytest.approx(p, abs=1e-12)
     assert got["recall"] == pytest.approx(r, abs=1e-12)
     assert got["map"] == pytest.approx(m, abs=1e-12)

@@ -145,3 +145,36 @@ def test_fit_refuses_a_task_above_the_per_id_bound(spark):
     with pytest.raises(ValueError, match="max_ratings_per_id"):
         fit_als(train, CFG, max_ratings_per_id=20)
     assert fit_als(train, CFG, max_ratings_per_id=30) is not None
+
+
+_FIT = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import functions as F
+from hourglass.operators import ALSConfig, fit_als, recommend_for_users
+from hourglass.session import get_session
+
+spark = get_session("local[{cores}]", shuffle_partitions=4)
+spark.sparkContext.setLogLevel("ERROR")
+n = spark.range(120_000)
+train = n.select((F.xxhash64("id") % 400 + 400).cast("int").alias("user"), (F.xxhash64("id", F.lit(1)) % 150 + 150).cast("int").alias("item"), F.lit(1.0).alias("rating"))
+m = fit_als(train.groupBy("user", "item").agg(F.sum("rating").alias("rating")), ALSConfig(rank=4, max_iter=2))
+print("RECS", [(r[0], [x[0] for x in r[1]]) for r in recommend_for_users(m, 3).orderBy("user").collect()])
+"""
+
+
+def test_same_recs_on_two_and_eight_cores():
+    import ast
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    recs = []
+    for cores in (2, 8):
+        out = subprocess.run([sys.executable, "-c", _FIT.format(root=root, cores=cores)], capture_output=True, text=True, timeout=300)
+        assert out.returncode == 0, out.stderr[-2000:]
+        recs.append(dict(ast.literal_eval(out.stdout.split("RECS ", 1)[1].splitlines()[0])))
+    same = sum(recs[0][u] == recs[1][u] for u in recs[0])
+    assert recs[0].keys() == recs[1].keys()
+    assert same >= 0.98 * len(recs[0])  # sums in another order may swap near ties

@@ -58,3 +58,22 @@ def test_merge_sum_adds_repeated_pairs(spark):
     assert id_load(kept).first()["max_per_user"] == 6
     assert id_load(build_ratings(df, merge="sum")).first()["max_per_user"] == 2
     assert kept.where(F.col("rating").isNull()).count() == 0
+
+
+def test_hours_label_rounds_the_total_once(spark):
+    from hourglass.functions import hours_label
+
+    df = spark.createDataFrame([(3.497,), (7.4999,), (11754.4,), (2.5,)], "h DOUBLE")
+    assert [r[0] for r in df.select(hours_label("h")).collect()] == ["3 hrs", "7 hrs", "11,754 hrs", "2 hrs"]
+
+
+def test_dictionary_offsets_do_not_grow_the_plan(spark):
+    from hourglass.operators import build_dictionaries
+
+    df = spark.range(500).selectExpr("cast(id % 37 as string) AS a", "cast(id % 11 as string) AS b")
+    plans = []
+    for parts in (4, 400):
+        d = build_dictionaries(df, {"a": "a", "b": "b"}, parts)
+        assert sorted(r["idx"] for r in d["a"].table.collect()) == list(range(37))
+        plans.append(len(d["a"].table._jdf.queryExecution().optimizedPlan().toString()))
+    assert plans[1] < 1.2 * plans[0]

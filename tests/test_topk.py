@@ -10,10 +10,10 @@ def _rows(df):
     return sorted((r[0], r[1], r[2], round(r[3], 9)) for r in df.collect())
 
 
-def test_chunked_equals_single_and_brute_force(spark):
+def test_blocked_equals_single_and_brute_force(spark):
     uf, itf = embedding_factors(spark, SF01)
     one = top_k_by_dot(uf, itf, 7)
-    many = top_k_by_dot(uf, itf, 7, max_chunk_bytes=40_000)  # several candidate chunks
+    many = top_k_by_dot(uf, itf, 7, block_rows=60)  # several blocks on both sides
     assert _rows(one) == _rows(many)
     U = {r["id"]: np.array(r["features"], dtype=np.float64) for r in uf.collect()}
     items = sorted((r["id"], np.array(r["features"], dtype=np.float64)) for r in itf.collect())
@@ -50,11 +50,16 @@ def test_pack_matches_mllib_recommend_for_all(spark):
         assert [x["rating"] for x in ours[u]] == pytest.approx([x["rating"] for x in theirs[u]], abs=1e-4)
 
 
-def test_small_score_blocks_give_the_same_answer(spark):
-    uf, itf = embedding_factors(spark, SF01)
-    # 300 kB: one candidate chunk (400 x 520 B), score blocks of 300 kB / (8 B x 400) = 93 queries,
-    # so the 100 user queries are scored in two blocks
-    assert _rows(top_k_by_dot(uf, itf, 5, max_chunk_bytes=300_000)) == _rows(top_k_by_dot(uf, itf, 5))
+def test_nan_null_and_boundary_ties(spark):
+    schema = "id INT, features ARRAY<DOUBLE>"
+    q = spark.createDataFrame([(0, [1.0, 0.0]), (1, None), (2, [float("nan"), 1.0])], schema)
+    c = spark.createDataFrame(
+        [(9, [2.0, 0.0]), (4, [2.0, 5.0]), (7, [2.0, 1.0]), (1, [float("nan"), 0.0]), (2, [None, 1.0]), (3, None), (5, [1.0, 1.0])], schema
+    )
+    for rows in (1, 2, 100):
+        got = [tuple(r) for r in top_k_by_dot(q, c, 2, block_rows=rows).orderBy("user", "rank").collect()]
+        assert got == [(0, 1, 4, 2.0), (0, 2, 7, 2.0)]
+    assert top_k_by_dot(q, c, 10).count() == 4
 
 
 def test_metrics_accept_flat_top_k(spark):

@@ -61,7 +61,7 @@ def test_sequential_grid_releases_model_factors(spark):
     p = prepare(events_interactions(spark, SF01), behavior="view")
     before = persistent_rdd_ids(spark)
     grid = param_grid(spark, ranks=(4,), reg_params=(0.1,), max_iters=(2, 3, 4))
-    runs = grid_search(p.train, p.test, grid, base=ALSConfig(num_blocks=1), parallelism=1)
+    runs = grid_search(p.train, p.test, grid, base=ALSConfig(num_blocks=1), parallelism=2)
     assert runs.count() == 3
     assert persistent_rdd_ids(spark) - before == set()  # nothing left cached by the three fits
 
@@ -98,3 +98,33 @@ def test_grid_refuses_a_hot_id_before_fitting(spark):
     train = spark.createDataFrame(rows, "user INT, item INT, rating DOUBLE")
     with pytest.raises(ValueError, match="max_ratings_per_id"):
         grid_search(train, train, param_grid(spark, ranks=(2,), reg_params=(0.1,), max_iters=(1,)), max_ratings_per_id=10)
+
+
+def test_resume_tells_settings_and_data_apart(spark):
+    import dataclasses
+    import uuid
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from hourglass.operators import ALSConfig, grid_search
+    from hourglass.session import scratch_path
+    from hourglass.sources import read_runs
+
+    rows = [(u, i, float(1 + (u * i) % 3)) for u in range(12) for i in range(8) if (u + i) % 3]
+    train = spark.createDataFrame(rows, "user INT, item INT, rating DOUBLE")
+    test = spark.createDataFrame([(u, u % 8, 1.0) for u in range(12)], "user INT, item INT, rating DOUBLE")
+    grid = param_grid(spark, ranks=(2,), reg_params=(0.1,), max_iters=(1,))
+    log = scratch_path(spark, "test-resume", uuid.uuid4().hex)
+    base = ALSConfig(num_blocks=2)
+    first = grid_search(train, test, grid, base=base, log_path=log).first()
+    for other in (dataclasses.replace(base, alpha=40.0), dataclasses.replace(base, nonnegative=True), dataclasses.replace(base, num_blocks=1)):
+        row = grid_search(train, test, grid, base=other, log_path=log).first()
+        assert (row["alpha"], row["nonnegative"], row["num_blocks"]) == (other.alpha, other.nonnegative, other.num_blocks)
+    changed = grid_search(train.withColumn("rating", F.col("rating") * 50), test, grid, base=base, log_path=log).first()
+    assert changed["data_id"] != first["data_id"]
+    assert read_runs(spark, log).count() == 5
+    grid_search(train, test, grid, base=base, log_path=log)
+    assert read_runs(spark, log).count() == 5
+    with pytest.raises(ValueError, match="K = 5"):
+        grid_search(train, test, grid, base=base, k=5)
