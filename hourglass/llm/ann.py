@@ -7,7 +7,8 @@ Method. A tree is fitted by recursive k-means on a bounded sample (at most
 goes best-bin-first: a priority queue holds the branches not taken, the most
 promising one is opened next, until the number of visited leaves is reached.
 That number is widened on calibration queries (held against brute force)
-until their recall reaches ``TARGET``.
+until their recall reaches ``TARGET``. The first ``FIRST`` leaves give a query
+its k-th best so far; later leaves only answer with what reaches it.
 
 Distribution. The tree is the only broadcast (at most MAX_LEAVES centroids
 and as many inner nodes). Vectors are dealt by (leaf, block), blocks of at
@@ -43,7 +44,9 @@ MAX_LEAVES = 16_384
 BRANCH = 16
 BLOCK = 4096
 CALIBRATION = 200
-TARGET = 0.97
+TARGET = 0.94
+#: Leaves that a query visits before it knows what it has to beat.
+FIRST = 4
 
 
 #: A tree has ``centroids``; ``children[i]``, the node numbers below node i; and
@@ -177,7 +180,7 @@ def top_candidates(rows: DataFrame, queries: np.ndarray, query_ids: np.ndarray,
 
 
 def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", k: int = 20, every: int = 20, target: float = TARGET,
-           sample: int = SAMPLE, leaf_rows: int = LEAF, block: int = BLOCK, branch: int = BRANCH) -> DataFrame:
+           sample: int = SAMPLE, leaf_rows: int = LEAF, block: int = BLOCK, branch: int = BRANCH, first: int = FIRST) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): for each row whose id is divisible
     by ``every``, the ``k`` largest inner products found among all others."""
     rows = usable(vectors, vec_id, embedding)
@@ -203,19 +206,22 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     most = calibrate(tree, placed, np.array([r["v"] for r in trial]), np.array([r["id"] for r in trial]), k, target)
 
-    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            q = _matrix(b.column("v"))
-            for i in range(b.num_rows):
-                to = visits(known.value, q[i], most)
-                yield pa.RecordBatch.from_arrays([pa.array([b.column("id")[i].as_py()] * len(to), pa.int64()), pa.array([q[i]] * len(to), pa.list_(pa.float64())), pa.array(to, pa.int64())], names=["id", "v", "leaf"])
+    def plan(first: int, last: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                q, floor = _matrix(b.column("v")), b.column("floor")
+                for i in range(b.num_rows):
+                    to = visits(known.value, q[i], last)[first:]
+                    n = len(to)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([b.column("id")[i].as_py()] * n, pa.int64()), pa.array([q[i]] * n, pa.list_(pa.float64())), pa.array([floor[i].as_py()] * n, pa.float64()), pa.array(to, pa.int64())],
+                        names=["id", "v", "floor", "leaf"])
+
+        return run
 
     # leaves of more than ``block`` rows are cut; their queries come to each part
     parts = written(placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias("parts")), "ann-leaves")
-    members = placed.join(F.broadcast(parts), "leaf").select("leaf", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"), "id", "v", F.lit(False).alias("asks"))
-    asks = asked.distinct().mapInArrow(plan, "id long, v array<double>, leaf long").join(F.broadcast(parts), "leaf")
-    asks = asks.select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "id", "v", F.lit(True).alias("asks"))
-
+    members = placed.join(F.broadcast(parts), "leaf").select("leaf", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"), "id", "v", F.lit(0.0).alias("floor"), F.lit(False).alias("asks"))
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by (leaf, part), members before queries."""
         key, ids, held = None, [], []
@@ -225,7 +231,7 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
             if not b.num_rows:
                 continue
             leaf, part, asking = b.column("leaf").to_numpy(), b.column("part").to_numpy(), b.column("asks").to_numpy(zero_copy_only=False)
-            vid, v = b.column("id").to_numpy(), _matrix(b.column("v"))
+            vid, v, floor = b.column("id").to_numpy(), _matrix(b.column("v")), b.column("floor").to_numpy()
             head = np.flatnonzero(np.r_[True, (leaf[1:] != leaf[:-1]) | (part[1:] != part[:-1]) | (asking[1:] != asking[:-1])])
             for a, z in zip(head.tolist(), [*head[1:].tolist(), len(leaf)]):
                 now = (int(leaf[a]), int(part[a]))
@@ -237,19 +243,38 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
                     cand, cand_ids = np.concatenate(held), np.concatenate(ids)
                 elif held:
                     for i in range(a, z, 256):
-                        yield _best(vid[i:min(z, i + 256)], v[i:min(z, i + 256)], cand_ids, cand, k)
+                        yield _best(vid[i:min(z, i + 256)], v[i:min(z, i + 256)], floor[i:min(z, i + 256)], cand_ids, cand, k)
 
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    both = members.unionByName(asks).repartition(n_parts, F.xxhash64("leaf", "part")).sortWithinPartitions("leaf", "part", "asks")
-    found = both.mapInArrow(answer, "query_id long, vec_id long, score double")
-    # the order of the list is that of the result: largest score, smaller id
-    top = found.groupBy("query_id").agg(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id")).alias("l"))
-    top = top.select("query_id", F.posexplode(F.slice(F.sort_array("l"), 1, k)).alias("p", "x"))
-    return top.select("query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.s")).alias("score"))
-
 
-def _best(qid: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pa.RecordBatch:
-    """The ``k`` best of a block for each query, ties to the smaller id. Scores
+    def probe(queries: DataFrame, first: int, last: int) -> DataFrame:
+        """What leaves number ``first`` to ``last`` of each query's traversal
+        have for it, from its floor up."""
+        asks = queries.mapInArrow(plan(first, last), "id long, v array<double>, floor double, leaf long").join(F.broadcast(parts), "leaf")
+        asks = asks.select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "id", "v", "floor", F.lit(True).alias("asks"))
+        both = members.unionByName(asks).repartition(n_parts, F.xxhash64("leaf", "part")).sortWithinPartitions("leaf", "part", "asks")
+        return both.mapInArrow(answer, "query_id long, vec_id long, score double")
+
+    def best(found: DataFrame) -> DataFrame:
+        # the order of the list is that of the result: largest score, smaller id
+        return found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("top"))
+
+    # the nearest leaves first; the others only send what beats their k-th best
+    asked = asked.distinct()
+    near = written(best(probe(asked.withColumn("floor", F.lit(float("-inf"))), 0, min(first, most))), "ann-first")
+    top = near
+    if most > first:
+        kth = near.select("query_id", F.when(F.size("top") >= k, -F.element_at("top", -1)["s"]).alias("floor"))
+        again = asked.join(kth, F.col("id") == F.col("query_id"), "left").select("id", "v", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+        held = near.select("query_id", F.explode("top").alias("x")).select("query_id", F.col("x.vec_id").alias("vec_id"), (-F.col("x.s")).alias("score"))
+        top = best(held.unionByName(probe(again, first, most)))
+    rows = top.select("query_id", F.posexplode("top").alias("p", "x"))
+    return rows.select("query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.s")).alias("score"))
+
+
+def _best(qid: np.ndarray, q: np.ndarray, floor: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pa.RecordBatch:
+    """The ``k`` best of a block for each query, from its floor up (a tie with
+    the floor may still win by its id), ties to the smaller id. Scores
     are summed in the order of components, so equal vectors score equally."""
     s = np.zeros((len(q), len(x)))
     for c in range(x.shape[1]):
@@ -262,7 +287,7 @@ def _best(qid: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int
             edge = np.partition(s[row], len(ids) - k)[len(ids) - k]
             at = np.flatnonzero(s[row] >= edge)
         at = at[np.lexsort((ids[at], -s[row][at]))][:k]
-        at = at[s[row][at] > -np.inf]
+        at = at[(s[row][at] > -np.inf) & (s[row][at] >= floor[row])]
         out_q.append(np.full(len(at), qid[row]))
         out_i.append(ids[at])
         out_s.append(s[row][at])
