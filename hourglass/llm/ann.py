@@ -7,8 +7,8 @@ Method. A tree is fitted by recursive k-means on a bounded sample (at most
 goes best-bin-first: a priority queue holds the branches not taken, the most
 promising one is opened next, until the number of visited leaves is reached.
 That number is widened on calibration queries (held against brute force)
-until their recall reaches ``TARGET``. The first ``FIRST`` leaves give a query
-its k-th best so far; later leaves only answer with what reaches it.
+until their recall reaches ``TARGET``. Visits widen in rounds; after each,
+leaves only answer with what reaches the query's k-th best so far.
 
 Distribution. The tree is the only broadcast (at most MAX_LEAVES centroids
 and as many inner nodes). Vectors are dealt by (leaf, block), blocks of at
@@ -45,8 +45,8 @@ BRANCH = 16
 BLOCK = 4096
 CALIBRATION = 200
 TARGET = 0.94
-#: Leaves that a query visits before it knows what it has to beat.
-FIRST = 4
+#: Leaves of the first round, and the factor from round to round.
+FIRST, WIDEN = 4, 4
 
 
 #: A tree has ``centroids``; ``children[i]``, the node numbers below node i; and
@@ -259,15 +259,20 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
         # the order of the list is that of the result: largest score, smaller id
         return found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("top"))
 
-    # the nearest leaves first; the others only send what beats their k-th best
+    # Rounds of widening: each visits WIDEN times as many leaves as all before
+    # it, and answers only with what reaches the k-th best found so far. A
+    # query thus sends about k rows for each round and not for each leaf.
     asked = asked.distinct()
-    near = written(best(probe(asked.withColumn("floor", F.lit(float("-inf"))), 0, min(first, most))), "ann-first")
-    top = near
-    if most > first:
+    reach = min(first, most)
+    top = best(probe(asked.withColumn("floor", F.lit(float("-inf"))), 0, reach))
+    while reach < most:
+        near = written(top, "ann-round")
         kth = near.select("query_id", F.when(F.size("top") >= k, -F.element_at("top", -1)["s"]).alias("floor"))
         again = asked.join(kth, F.col("id") == F.col("query_id"), "left").select("id", "v", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
-        held = near.select("query_id", F.explode("top").alias("x")).select("query_id", F.col("x.vec_id").alias("vec_id"), (-F.col("x.s")).alias("score"))
-        top = best(held.unionByName(probe(again, first, most)))
+        found = near.select("query_id", F.explode("top").alias("x")).select("query_id", F.col("x.vec_id").alias("vec_id"), (-F.col("x.s")).alias("score"))
+        last = min(most, WIDEN * reach)
+        top = best(found.unionByName(probe(again, reach, last)))
+        reach = last
     rows = top.select("query_id", F.posexplode("top").alias("p", "x"))
     return rows.select("query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.s")).alias("score"))
 
