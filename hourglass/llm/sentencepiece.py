@@ -43,6 +43,9 @@ from .common import written
 SPACE = "▁"
 #: Characters of a word in the lattice at most: its cuts are bits of a long.
 WORD = 60
+#: Bits of an id, and of id, length and start together, in an edge.
+ID = 24
+RANK = ID + 12
 MAX_WORDS = 300_000
 BLOCK_BYTES = 32 << 20
 #: Fixed value: what an unknown character costs below the worst score.
@@ -79,6 +82,8 @@ def load(path: str) -> Model:
     pieces = [(p.piece, i, p.score) for i, p in enumerate(m.pieces) if p.type in (1, 4)]
     if any(SPACE in p.lstrip(SPACE) for p, _, _ in pieces):
         raise ValueError("pieces cross words")
+    if len(m.pieces) >= 1 << ID:
+        raise ValueError("the table is too large for an edge's integer")
     number = {p.piece: i for i, p in enumerate(m.pieces) if p.type == 6}
     byte_ids = [number[f"<0x{b:02X}>"] for b in range(256)]
     held = set("".join(p for p, _, _ in pieces))
@@ -100,48 +105,88 @@ def word_pattern(model: Model) -> str:
     return f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone}]"
 
 
+def _ranks(model: Model) -> list[float]:
+    """The table's scores, best first, each once; a rank is a place in it."""
+    return sorted({s for _, _, s in model.pieces}, reverse=True)
+
+
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
-    return spark.createDataFrame(model.pieces, "piece string, id int, score double")
+    """Rows (piece, code): rank of the score and id in one integer."""
+    rank = {s: r for r, s in enumerate(_ranks(model))}
+    return spark.createDataFrame([(p, rank[s] << RANK | i) for p, i, s in model.pieces], "piece string, code long")
 
 
 def lattice(words: DataFrame, model: Model) -> DataFrame:
-    """Rows (word, n, edges): the edges (-score, start, length, id, ends,
-    inner) of each word, best score first, then leftmost. ``ends`` and
-    ``inner`` are the bits of the cuts at and between an edge's ends."""
+    """Rows (word, n, edges): the edges of each word as integers, from the top
+    rank, start, length and id; so they sort by score, then leftmost. Words
+    that were dealt by word (as ``distinct`` does) are not shuffled again."""
     w = words.select("word", F.length("word").alias("n")).where((F.col("n") > 0) & (F.col("n") <= WORD))
     subs = w.select("word", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("s"))
-    subs = subs.select("word", "n", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("n") - F.col("s")))).alias("l"))
-    subs = subs.select("word", "n", "s", "l", F.substring("word", F.col("s") + 1, F.col("l")).alias("piece"))
-    hit = subs.join(F.broadcast(piece_table(words.sparkSession, model)), "piece")
-    ends = F.expr("shiftleft(1L, s) | shiftleft(1L, s + l)")
-    inner = F.expr("shiftleft(shiftleft(1L, l - 1) - 1L, s + 1)")
-    edge = F.struct((-F.col("score")).alias("cost"), "s", "l", "id", ends.alias("ends"), inner.alias("inner"))
-    found = hit.groupBy("word", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-    return w.join(found, ["word", "n"], "left").withColumn("edges", F.coalesce("edges", F.expr("cast(array() as array<struct<cost:double,s:int,l:int,id:int,ends:bigint,inner:bigint>>)")))
+    subs = subs.select("word", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("n") - F.col("s")))).alias("l"))
+    subs = subs.select("word", "s", "l", F.substring("word", F.col("s") + 1, F.col("l")).alias("piece"))
+    hit = subs.join(F.broadcast(piece_table(words.sparkSession, model)), "piece", "left")
+    # a word without an edge keeps one row
+    hit = hit.where(F.col("code").isNotNull() | ((F.col("s") == 0) & (F.col("l") == 1)))
+    edge = F.col("code").bitwiseOR(F.shiftleft((F.col("s") * 64 + F.col("l")).cast("long"), ID))
+    return hit.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges")).select("word", F.length("word").alias("n"), "edges")
 
 
-def _merged() -> Column:
-    """Cuts that are left when no merge applies, as bits."""
-    def step(cuts: Column, _: Column) -> Column:
-        fits = F.filter("edges", lambda e: (e["l"] > 1) & (cuts.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(cuts.bitwiseAND(e["inner"])) == 1))
-        inner = F.get(fits, F.lit(0))["inner"]
-        return F.coalesce(cuts.bitwiseAND(F.bitwise_not(inner)), cuts)
+def _place(edge: Column) -> Column:
+    """64 * start + length."""
+    return F.shiftright(edge, ID).bitwiseAND(F.lit(4095)).cast("int")
+
+
+def _start(edge: Column) -> Column:
+    return F.shiftright(edge, ID + 6).bitwiseAND(F.lit(63)).cast("int")
+
+
+def _length(edge: Column) -> Column:
+    return F.shiftright(edge, ID).bitwiseAND(F.lit(63)).cast("int")
 
-    every = F.expr("shiftleft(1L, n + 1) - 1L")
-    return F.when(F.col("n") > 1, F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("n") - 1)), every, step)).otherwise(every)
+
+def _bit(at: Column) -> Column:
+    return F.pow(F.lit(2.0), at).cast("long")
+
+
+def _merged() -> Column:
+    """Cuts that are left when no merge applies, as bits. State: the cuts and
+    the edges that may still merge, as bits of the cuts at and between their
+    ends."""
+    def move(e: Column) -> Column:
+        a, z = _start(e), _start(e) + _length(e)
+        return F.struct(_bit(a).bitwiseOR(_bit(z)).alias("ends"), (_bit(z) - _bit(a + 1)).alias("inner"))
+
+    def step(state: Column, _: Column) -> Column:
+        cuts, moves = state["cuts"], state["moves"]
+        left = lambda e: F.bit_count(cuts.bitwiseAND(e["inner"]))
+        stands = lambda e: cuts.bitwiseAND(e["ends"]) == e["ends"]
+        inner = F.get(F.filter(moves, lambda e: (left(e) == 1) & stands(e)), F.lit(0))["inner"]
+        after = F.struct(F.coalesce(cuts.bitwiseAND(F.bitwise_not(inner)), cuts).alias("cuts"), F.filter(moves, lambda e: (left(e) > 0) & stands(e)).alias("moves"))
+        return F.when(F.size(moves) == 0, state).otherwise(after)
+
+    every = _bit(F.col("n") + 1) - F.lit(1).cast("long")
+    start = F.struct(every.alias("cuts"), F.transform(F.filter("edges", lambda e: _length(e) > 1), move).alias("moves"))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("n") - 1)), start, step)["cuts"]
 
 
 def _viterbi(model: Model) -> Column:
     """Cuts of the best path, as bits. State: for each end the best sum and the
     cuts of its path; a single character without an edge costs ``worst``."""
     worst = F.lit(model.worst)
+    scores = F.split(F.lit(",".join(map(repr, _ranks(model)))), ",").cast("array<double>")
 
     def step(best: Column, end: Column) -> Column:
-        into = F.filter("edges", lambda e: e["s"] + e["l"] == end)
-        paths = F.transform(into, lambda e: F.struct((F.get(best, e["s"])["sum"] - e["cost"]).alias("sum"), F.get(best, e["s"])["cuts"].bitwiseOR(F.pow(F.lit(2.0), end).cast("long")).alias("cuts")))
+        into = F.filter("edges", lambda e: _start(e) + _length(e) == end)
+
+        def path(e: Column) -> Column:
+            before = F.get(best, _start(e))
+            total = before["sum"] + F.get(scores, F.shiftright(e, RANK).cast("int"))
+            return F.struct(total.alias("sum"), before["cuts"].bitwiseOR(_bit(end)).alias("cuts"))
+
+        paths = F.transform(into, path)
         last = F.get(best, end - 1)
-        alone = F.struct((last["sum"] + worst).alias("sum"), last["cuts"].bitwiseOR(F.pow(F.lit(2.0), end).cast("long")).alias("cuts"))
-        single = F.exists(into, lambda e: e["l"] == 1)
+        alone = F.struct((last["sum"] + worst).alias("sum"), last["cuts"].bitwiseOR(_bit(end)).alias("cuts"))
+        single = F.exists(into, lambda e: _length(e) == 1)
         return F.concat(best, F.array(F.array_max(F.when(single, paths).otherwise(F.concat(paths, F.array(alone))))))
 
     start = F.array(F.struct(F.lit(0.0).alias("sum"), F.lit(1).cast("long").alias("cuts")))
@@ -153,7 +198,7 @@ def word_ids(words: DataFrame, model: Model) -> DataFrame:
     df = lattice(words, model).withColumn("cuts", _viterbi(model) if model.unigram else _merged())
     at = F.filter(F.sequence(F.lit(0), F.col("n")), lambda i: F.getbit("cuts", i) == 1)
     df = df.withColumn("at", at)
-    df = df.withColumn("keys", F.transform("edges", lambda e: e["s"] * 64 + e["l"]))
+    df = df.withColumn("keys", F.transform("edges", _place))
     ends = F.slice("at", 2, F.greatest(F.lit(0), F.size("at") - 1))
     parts = F.transform(ends, lambda z, j: F.struct(F.get("at", j).alias("s"), (z - F.get("at", j)).alias("l")))
     byte_ids = F.array(*[F.lit(i) for i in model.byte_ids])
@@ -162,7 +207,7 @@ def word_ids(words: DataFrame, model: Model) -> DataFrame:
         place = F.array_position("keys", p["s"] * 64 + p["l"]).cast("int")
         code = F.hex(F.encode(F.substr("word", p["s"] + 1, p["l"]), "utf-8"))
         fallback = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda k: F.get(byte_ids, F.conv(F.substr(code, k, F.lit(2)), 16, 10).cast("int")))
-        return F.when(place > 0, F.array(F.get("edges", place - 1)["id"])).otherwise(fallback)
+        return F.when(place > 0, F.array(F.get("edges", place - 1).bitwiseAND(F.lit((1 << ID) - 1)).cast("int"))).otherwise(fallback)
 
     return df.select("word", F.flatten(F.transform(parts, ids)).alias("ids"))
 
