@@ -8,8 +8,8 @@ into the word's ids:
 
 - a unigram table by Viterbi: for each end the best sum of scores;
 - a BPE table by its merges: the fold's state is the set of cuts, as bits of an
-  integer, and each step takes out the cut inside the best-scored edge that
-  spans exactly two symbols. (Viterbi over a BPE table's scores gives other ids
+  integer, and the edges, best score first, take out the cut inside them if
+  they span exactly two symbols at their turn (see ``late_pieces``). (Viterbi over a BPE table's scores gives other ids
   than the model's own encoder, because scores there are merge ranks.)
 
 Characters outside the table become the ids of their UTF-8 bytes. Decoding
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -148,25 +149,55 @@ def _bit(at: Column) -> Column:
     return F.pow(F.lit(2.0), at).cast("long")
 
 
-def _merged() -> Column:
-    """Cuts that are left when no merge applies, as bits. State: the cuts and
-    the edges that may still merge, as bits of the cuts at and between their
-    ends."""
+def late_pieces(model: Model) -> list[int]:
+    """Ids of the pieces that merging by score doesn't make from two symbols
+    with better-scored merges alone. Cuts at a piece's ends seclude what
+    happens between them, so every other piece is due at its own turn, and one
+    pass over a word's edges, best first, makes the same merges as choosing
+    the best one again after each merge."""
+    score = {p: s for p, _, s in model.pieces}
+    late = []
+    for piece, number, own in model.pieces:
+        parts = list(piece)
+        while len(parts) > 2:
+            best, at = max((score.get(parts[i] + parts[i + 1], -math.inf), -i) for i in range(len(parts) - 1))
+            if best <= own:
+                late.append(number)
+                break
+            parts[-at:2 - at] = [parts[-at] + parts[1 - at]]
+    return late
+
+
+def _merged(model: Model) -> Column:
+    """Cuts that are left when no merge applies, as bits. A pass over the moves
+    (edges of two characters or more, as bits of the cuts at and between their
+    ends) takes out the cut inside each that spans two symbols at its turn. A
+    word with a late piece is searched for its best move after each merge."""
     def move(e: Column) -> Column:
         a, z = _start(e), _start(e) + _length(e)
         return F.struct(_bit(a).bitwiseOR(_bit(z)).alias("ends"), (_bit(z) - _bit(a + 1)).alias("inner"))
 
-    def step(state: Column, _: Column) -> Column:
-        cuts, moves = state["cuts"], state["moves"]
-        left = lambda e: F.bit_count(cuts.bitwiseAND(e["inner"]))
-        stands = lambda e: cuts.bitwiseAND(e["ends"]) == e["ends"]
-        inner = F.get(F.filter(moves, lambda e: (left(e) == 1) & stands(e)), F.lit(0))["inner"]
-        after = F.struct(F.coalesce(cuts.bitwiseAND(F.bitwise_not(inner)), cuts).alias("cuts"), F.filter(moves, lambda e: (left(e) > 0) & stands(e)).alias("moves"))
-        return F.when(F.size(moves) == 0, state).otherwise(after)
+    def fits(cuts: Column, e: Column) -> Column:
+        return (F.bit_count(cuts.bitwiseAND(e["inner"])) == 1) & (cuts.bitwiseAND(e["ends"]) == e["ends"])
+
+    def without(cuts: Column, e: Column) -> Column:
+        return cuts.bitwiseAND(F.bitwise_not(e["inner"]))
 
     every = _bit(F.col("n") + 1) - F.lit(1).cast("long")
-    start = F.struct(every.alias("cuts"), F.transform(F.filter("edges", lambda e: _length(e) > 1), move).alias("moves"))
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("n") - 1)), start, step)["cuts"]
+    moves = F.transform(F.filter("edges", lambda e: _length(e) > 1), move)
+    once = F.aggregate(moves, every, lambda cuts, e: F.when(fits(cuts, e), without(cuts, e)).otherwise(cuts))
+    late = late_pieces(model)
+    if not late:
+        return once
+
+    def step(state: Column, _: Column) -> Column:
+        first = F.get(F.filter(state["moves"], lambda e: fits(state["cuts"], e)), F.lit(0))
+        return F.struct(F.coalesce(without(state["cuts"], first), state["cuts"]).alias("cuts"), state["moves"].alias("moves"))
+
+    start = F.struct(every.alias("cuts"), moves.alias("moves"))
+    again = F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("n") - 1)), start, step)["cuts"]
+    numbers = F.split(F.lit(",".join(map(str, late))), ",").cast("array<bigint>")
+    return F.when(F.arrays_overlap(F.transform("edges", lambda e: e.bitwiseAND(F.lit((1 << ID) - 1))), numbers), again).otherwise(once)
 
 
 def _viterbi(model: Model) -> Column:
@@ -193,23 +224,30 @@ def _viterbi(model: Model) -> Column:
     return F.element_at(F.aggregate(F.sequence(F.lit(1), F.col("n")), start, step), -1)["cuts"]
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is worked out once: a column that stands in
+    a lambda may be merged into it and be worked out for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def word_ids(words: DataFrame, model: Model) -> DataFrame:
     """Rows (word, ids) for words of at most ``WORD`` characters."""
-    df = lattice(words, model).withColumn("cuts", _viterbi(model) if model.unigram else _merged())
-    at = F.filter(F.sequence(F.lit(0), F.col("n")), lambda i: F.getbit("cuts", i) == 1)
-    df = df.withColumn("at", at)
-    df = df.withColumn("keys", F.transform("edges", _place))
-    ends = F.slice("at", 2, F.greatest(F.lit(0), F.size("at") - 1))
-    parts = F.transform(ends, lambda z, j: F.struct(F.get("at", j).alias("s"), (z - F.get("at", j)).alias("l")))
+    cuts = _viterbi(model) if model.unigram else _merged(model)
+    at = _let(cuts, lambda c: F.filter(F.sequence(F.lit(0), F.col("n")), lambda i: F.getbit(c, i) == 1))
     byte_ids = F.array(*[F.lit(i) for i in model.byte_ids])
 
-    def ids(p: Column) -> Column:
-        place = F.array_position("keys", p["s"] * 64 + p["l"]).cast("int")
-        code = F.hex(F.encode(F.substr("word", p["s"] + 1, p["l"]), "utf-8"))
+    def ids(keys: Column, s: Column, z: Column) -> Column:
+        place = F.array_position(keys, s * 64 + z - s).cast("int")
+        code = F.hex(F.encode(F.substr("word", s + 1, z - s), "utf-8"))
         fallback = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda k: F.get(byte_ids, F.conv(F.substr(code, k, F.lit(2)), 16, 10).cast("int")))
         return F.when(place > 0, F.array(F.get("edges", place - 1).bitwiseAND(F.lit((1 << ID) - 1)).cast("int"))).otherwise(fallback)
 
-    return df.select("word", F.flatten(F.transform(parts, ids)).alias("ids"))
+    def parts(b: Column) -> Column:
+        ends = F.slice(b["at"], 2, F.greatest(F.lit(0), F.size(b["at"]) - 1))
+        return F.flatten(F.transform(ends, lambda z, j: ids(b["keys"], F.get(b["at"], j), z)))
+
+    both = F.struct(at.alias("at"), F.transform("edges", _place).alias("keys"))
+    return lattice(words, model).select("word", _let(both, parts).alias("ids"))
 
 
 def long_word(word: str, model: Model, table: dict[str, tuple[int, float]]) -> list[int]:
