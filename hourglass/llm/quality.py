@@ -17,9 +17,11 @@ distances (``BINS`` per unit), counted the same way. Features are integers
 rows are dealt out.
 
 Cases. Null and empty text: no words, so ``base_failed``. A null language or
-source is a group of its own. Groups with fewer than ``min_rows`` documents
-that pass the base rules have no scatter; their documents keep the base
-verdict. Repeated rows are judged one by one. Extra columns don't matter.
+source is a group of its own. A group with fewer than ``min_rows`` documents
+that pass the base rules is judged by the estimate of the next wider group that
+has as many: its language, then all documents. Only in a table with fewer than
+``min_rows`` of them altogether do documents keep the base verdict. Repeated
+rows are judged one by one. Extra columns don't matter.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ REPEAT_PERCENT = 50
 SUPPORT = 0.75
 STEPS = 4
 BINS = 32
-#: Rows below which a group gets no estimate of its own.
+#: Rows below which a group takes the estimate of the next wider one.
 MIN_ROWS = 12
 SCALE = 10_000
 #: Squared distance of rejection: far beyond the 0.9999 quantile (23.5) of a
@@ -196,6 +198,29 @@ def mcd(rows: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
     return checkpointed(out.select(*keys, factor.alias("factor"), *[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i in range(P) for j in range(i + 1)]))
 
 
+def _at_levels(df: DataFrame, keys: list[str], levels: Column) -> DataFrame:
+    """``df`` once for each of its ``levels``: at level v the columns ``_w{i}``
+    hold the keys but the last v, which are null."""
+    df = df.withColumn("_lv", F.explode(levels))
+    return df.withColumns({f"_w{i}": F.when(F.col("_lv") < len(keys) - i, F.col(k)) for i, k in enumerate(keys)})
+
+
+def estimates(rows: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
+    """The estimate of each group of ``rows``, or that of the narrowest wider
+    group with ``min_rows`` rows: one row a group, unless all rows are fewer."""
+    wide = ["_lv", *[f"_w{i}" for i in range(len(keys))]]
+    every = F.array(*[F.lit(v) for v in range(len(keys) + 1)])
+    each = checkpointed(_at_levels(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, every))
+    totals = checkpointed(each.groupBy(*wide).agg(F.sum("_n").alias("_t")))
+    level = _with_estimate(each, totals, wide).where(F.col("_t") >= min_rows).groupBy(*keys).agg(F.array(F.min("_lv")).alias("_v"))
+    chosen = checkpointed(_at_levels(level, keys, F.col("_v")).drop("_v"))
+    # a row counts only at the levels that some group is judged at
+    asked = checkpointed(chosen.select(*wide).distinct().withColumn("_asked", F.lit(True)))
+    many = _with_estimate(_at_levels(rows, keys, every), asked, wide).where("_asked")
+    est = mcd(written(many.select(*wide, *[f"x{i}" for i in range(P)]), "quality-levels"), wide, min_rows)
+    return checkpointed(_with_estimate(chosen, est, wide).drop(*wide))
+
+
 def judge(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("lang", "source"), carry: tuple[str, ...] = ("doc_id",),
           cutoff: float = CUTOFF, min_rows: int = MIN_ROWS) -> DataFrame:
     """One row a document: ``carry``, the base statistics, ``base_failed``,
@@ -205,7 +230,7 @@ def judge(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("lang",
     rows = features(base_statistics(rows, "_text")).drop("_text")
     rows = written(rows, "quality-statistics")
     passing = rows.where(~F.col("base_failed")).select(*k, *[f"x{i}" for i in range(P)])
-    est = mcd(passing, k, min_rows)
+    est = estimates(passing, k, min_rows)
     out = _with_estimate(rows, est, k).withColumn("distance2", F.when(~F.col("base_failed"), F.round(_distance() / F.col("factor"), 6)))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("distance2"), F.lit(0.0)) <= F.lit(cutoff))
     return out.select(*carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance2")

@@ -73,6 +73,25 @@ def test_mcd_finds_planted_outliers(spark):
     assert sorted(r["doc_id"] for r in quality.keep(df).collect()) == list(range(120))
 
 
+def _clean(rng, n):
+    return [" ".join("".join(rng.choice(list("abcdefgh"), rng.integers(3, 9))) for _ in range(rng.integers(80, 300))) for _ in range(n)]
+
+
+def test_small_groups_are_judged_by_wider_ones(spark):
+    rng = np.random.default_rng(4)
+    junk = " ".join("".join(rng.choice(list("abcdefgh"), 5)) + "%%%" for _ in range(150))
+    rows = [(i, t, "en", "big") for i, t in enumerate(_clean(rng, 40))]
+    rows += [(100 + i, t, "en", "three") for i, t in enumerate([*_clean(rng, 2), junk])]  # judged by its language
+    rows += [(200 + i, t, None, None) for i, t in enumerate([*_clean(rng, 2), junk])]  # judged by all documents
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = quality.judge(df).collect()
+    assert len(got) == len(rows) and all(r["distance2"] is not None for r in got)
+    assert sorted(r["doc_id"] for r in got if not r["kept"]) == [102, 202]
+    assert sorted(r["doc_id"] for r in quality.keep(df).collect()) == sorted(set(r[0] for r in rows) - {102, 202})
+    few = quality.judge(df.where("doc_id between 100 and 102")).collect()  # nothing wider to judge by
+    assert all(r["kept"] and r["distance2"] is None for r in few)
+
+
 def test_line_dedup_both_ways(docs, texts):
     def brute(ratio, least):
         host, out = {}, []
