@@ -33,7 +33,8 @@ from .common import checkpointed, small, word_split, written
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-SUPPORT = 0.75
+#: Share of rows an estimate rests on: outliers below half of a group can't enter.
+SUPPORT = 0.5
 STEPS = 4
 BINS = 32
 #: Rows below which a group takes the estimate of the next wider one.

@@ -92,6 +92,14 @@ def test_small_groups_are_judged_by_wider_ones(spark):
     assert all(r["kept"] and r["distance2"] is None for r in few)
 
 
+def test_a_third_of_a_group_as_junk_copies(spark):
+    rng = np.random.default_rng(5)
+    junk = " ".join("".join(rng.choice(list("abcdefgh"), 5)) + "%%%" for _ in range(150))
+    rows = [(i, t, "en", "s") for i, t in enumerate(_clean(rng, 60))] + [(1000 + i, junk, "en", "s") for i in range(30)]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert sorted(r["doc_id"] for r in got if r["kept"]) == list(range(60))
+
+
 def test_line_dedup_both_ways(docs, texts):
     def brute(ratio, least):
         host, out = {}, []
