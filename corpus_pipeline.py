@@ -24,7 +24,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest id."""
-    return simhash.keep_one(docs)
+    return simhash.keep_one(docs, split_ids=True)
 
 
 def suffixes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,10 @@ the edges by star contraction.
 
 Cases. Null or empty text, and text without a word, has fingerprint zero and is
 linked like any other. A text with fewer words than a shingle is one shingle.
-Repeated rows have equal fingerprints. A null id counts as the smallest.
+Repeated rows have equal fingerprints. A null id counts as the smallest; rows
+without an id are documents of their own, linked by their texts alone. Groups
+are told apart by fingerprint, so an id on unrelated texts doesn't join them; the
+``component`` that names a group is its least id, which several may share.
 """
 
 from __future__ import annotations
@@ -31,10 +34,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, written
+from .common import NULL_ID, checkpointed, small, written
 from .components import components
 
 SHINGLE = 4
@@ -66,16 +69,21 @@ def fingerprint(text: str | None, k: int = SHINGLE) -> int:
     return int(np.packbits(2 * total > len(h), bitorder="little").view(np.uint64)[0])
 
 
+def _tag(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE) -> DataFrame:
-    """Rows (id, fp): the fingerprint as a signed 64-bit integer."""
+    """Rows (id, tag, fp): a hash of the text, and the fingerprint as a signed
+    64-bit integer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t, k) for t in b.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fp.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("tag"), pa.array(fp.view(np.int64))], names=["id", "tag", "fp"])
 
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("id"), _tag(text).alias("tag"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, "id long, tag long, fp long")
 
 
 def masks(radius: int = RADIUS, bits: int = 64, seed: int = 1) -> list[int]:
@@ -139,32 +147,46 @@ def edges(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
     return parts.select("fps").mapInArrow(run, "u long, v long").unionByName(pair).distinct()
 
 
+def _grouped(docs: DataFrame, doc_id: str, text: str, k: int, radius: int) -> DataFrame:
+    """Rows (id, tag, fp, root, component): ``root`` is the least fingerprint
+    of the group, ``component`` its least id."""
+    rows = written(fingerprints(docs, doc_id, text, k), "simhash-fingerprints")
+    nodes = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
+    comp = components(edges(nodes.select("fp"), radius)).withColumnsRenamed({"node": "fp", "component": "root"})
+    linked = checkpointed(nodes.join(comp, "fp"))
+    names = checkpointed(linked.groupBy("root").agg(F.min("least").alias("component")))
+    linked = linked.select("fp", "root").join(small(names), "root")
+    by_fp = nodes.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component", "least").alias("component"))
+    return rows.join(by_fp, "fp").select("id", "tag", "fp", "root", "component")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Rows (id, fp, component): ``component`` is the least id reachable over
     links of at most ``radius`` differing bits, the row itself included."""
-    rows = written(fingerprints(docs, doc_id, text, k), "simhash-fingerprints")
-    nodes = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
-    found = edges(nodes.select("fp"), radius)
-    # a node goes by the least id that has its fingerprint
-    a, b = (nodes.select(F.col("fp").alias(x), F.col("least").alias(f"n{x}")) for x in "uv")
-    comp = components(found.join(a, "u").join(b, "v").select(F.col("nu").alias("u"), F.col("nv").alias("v")))
-    by_fp = nodes.join(comp, nodes["least"] == comp["node"], "left").select("fp", F.coalesce("component", "least").alias("component"))
-    return rows.join(by_fp, "fp").select("id", "fp", "component")
-
-
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each group: the one with the smallest id (of
-    rows that share it, any one whose texts are equal)."""
-    near = near_duplicates(docs, doc_id, text, k, radius)
-    stay = near.where("id = component").select(F.col("id").alias("__id"), F.col("fp").alias("__fp")).distinct()
-    one = stay.groupBy("__id").agg(F.count(F.lit(1)).alias("__n"))
-    df = docs.withColumn("__k", F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)))
-    df = df.join(one, F.col("__k") == F.col("__id"))
-    # ids that stand on several rows keep the least (text, other columns) of them
-    repeated = written(df.groupBy("__k").agg(F.count(F.lit(1)).alias("__c")).where("__c > 1").select(F.col("__k").alias("__r")), "simhash-repeated-ids")
+    return _grouped(docs, doc_id, text, k, radius).select("id", "fp", "component")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, radius: int = RADIUS, split_ids: bool = False) -> DataFrame:
+    """``docs`` with one row of each group: the one with the smallest id, then
+    fingerprint, then hash of text. If that is one id for several groups, one of
+    them keeps its row, unless ``split_ids`` says that an id on unrelated texts
+    stands for several documents; a null id always does."""
+    near = _grouped(docs, doc_id, text, k, radius)
+    stay = near.groupBy("root").agg(F.min(F.struct("id", "fp", "tag")).alias("m")).select("m.*")
+    if not split_ids:
+        # null ids are grouped by fingerprint, which is one a group
+        own = F.when(F.col("id") == NULL_ID, F.col("fp"))
+        stay = stay.groupBy("id", own.alias("own")).agg(F.min(F.struct("fp", "tag")).alias("m")).select("id", "m.*")
+    stay = written(stay.select(F.col("id").alias("__id"), F.col("tag").alias("__t")), "simhash-kept")
+    df = docs.withColumns({"__k": F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)), "__tag": _tag(text)})
+    df = df.join(stay, (F.col("__k") == F.col("__id")) & (F.col("__tag") == F.col("__t")))
+    # of rows equal in id and text, the one with the least other columns stays
+    repeated = near.groupBy("id", "tag").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = written(repeated.select(F.col("id").alias("__r"), F.col("tag").alias("__s")), "simhash-repeated-rows")
     if repeated.isEmpty():
         return df.select(*docs.columns)
-    again = df.join(repeated, F.col("__k") == F.col("__r"), "left_semi")
-    first = again.groupBy("__k").agg(F.min(F.struct(F.coalesce(text, F.lit("")).alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])).alias("m"))
-    rest = df.join(repeated, F.col("__k") == F.col("__r"), "left_anti").select(*docs.columns)
+    same = (F.col("__k") == F.col("__r")) & (F.col("__tag") == F.col("__s"))
+    again = df.join(repeated, same, "left_semi")
+    first = again.groupBy("__k", "__tag").agg(F.min(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])).alias("m"))
+    rest = df.join(repeated, same, "left_anti").select(*docs.columns)
     return rest.unionByName(first.select(*[F.col(f"m.c{i}").alias(c) for i, c in enumerate(docs.columns)]))

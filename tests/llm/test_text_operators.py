@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from conftest import SF001
 from hourglass.llm import license_scan, line_dedup, packing, quality, simhash, suffix_dedup
 from hourglass.llm.components import components
@@ -138,6 +139,21 @@ def test_simhash_fingerprints_and_components(docs, texts):
     assert sorted(-1 if k is None else k for k in kept) == sorted(-1 if c == simhash.NULL_ID else c for c in set(label.values()))
 
 
+def test_shared_and_null_ids_lose_no_group(spark, texts):
+    a, b, c, d, e = (texts[i][1] for i in (7, 9, 11, 13, 15))  # unrelated texts
+    fps = [simhash.fingerprint(t) for t in (a, b, c, d, e)]
+    assert min(bin(x ^ y).count("1") for i, x in enumerate(fps) for y in fps[:i]) > 4
+    rows = [(None, a), (None, b), (8, b), (5, c), (6, c), (5, d), (3, d), (1, e), (1, e), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted([(None, a), (None, b), (5, c), (3, d), (1, e)], key=str)
+    for split in (False, True):
+        assert sorted(((r["doc_id"], r["text"]) for r in simhash.keep_one(df, split_ids=split).collect()), key=str) == want
+    # one id is the least of two groups
+    two = spark.createDataFrame([(5, c), (6, c), (5, d), (7, d)], "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, two, SF001).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(5, c), (5, d)])
+
+
 def test_covering_masks_miss_no_pair():
     masks = simhash.masks()
     rng = np.random.default_rng(1)
