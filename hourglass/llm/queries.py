@@ -3,10 +3,12 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import ann, license_scan, line_dedup, packing, quality, sentencepiece, simhash, suffix_dedup, url_filter, warc
+from . import ann, license_scan, line_dedup, packing, periodic, quality, sentencepiece, simhash, suffix_dedup, url_filter, warc
 from .common import NULL_ID, table
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
@@ -65,6 +67,22 @@ def q_op10(spark, sf) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def repeated(key: int | None, words: list) -> list:
+    """The words of a document as op13 is asked to judge them: those of every
+    tenth id (by hash) repeat from some word on. A null id changes nothing."""
+    h = 1 if key is None else zlib.crc32(str(key).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * ((n - a) // p + 1))[:n - a]
+
+
+def q_op13(spark, sf) -> DataFrame:
+    return periodic.digest(periodic.find(table(spark, sf, "documents"), min_exponent=3, min_length=24, rewrite=repeated))
+
+
 QUERIES = {
     "op1_sentencepiece": q_op1,
     "op2_quality_rules": q_op2,
@@ -76,6 +94,7 @@ QUERIES = {
     "op8_simhash": q_op8,
     "op9_ann_tree": q_op9,
     "op10_warc": q_op10,
+    "op13_periodic": q_op13,
 }
 
 ORACLE_SQL = {
