@@ -6,8 +6,10 @@ earlier in the corpus (smaller document id; same document, earlier start).
 Method. The initial bucket of a suffix is that of its first Q = 25 bytes. A
 bucket is refined by the bucket identifier of the suffix Q bytes later, which
 sorts to depth 50; these identifiers are reused at offset 50 and sort to depth
-100, the length asked for. Identifiers are 64-bit hashes of the pointers they
-come from, so a refinement needs no exchange of its own.
+100, the length asked for, where refinement is settled. Identifiers are 64-bit
+hashes of the pointers they come from, so a refinement needs no exchange of its
+own, and only suffixes that share a bucket are refined. Strings count as equal
+if two independent identifiers, 128 bits in all, are equal.
 
 Suffixes are sampled first. Every string of LENGTH bytes holds LENGTH-Q+1
 initial buckets; its leftmost least one is its anchor. Equal strings have equal
@@ -23,17 +25,19 @@ anchors; by the refined pointers at the two ends it is known whole.
 3. The covered intervals are united document by document.
 
 Distribution. Text is read once for step 1 and shuffled once for steps 2 and 3
-(the exchange is reused). Each task first combines equal contexts of its batch,
+(the exchange is reused). If ids repeat, rows equal in id and text are judged
+once, through one written row, and the verdict is joined back. Each task first combines equal contexts of its batch,
 so thousands of copies send one row. Buckets that a sample of documents finds
 very frequent are dealt by (bucket, context), and later by string, instead of
 by bucket; that choice moves rows and changes no result. Tasks stream over
 sorted rows and hold one bucket at a time.
 
-Cases. Null text is empty; texts below LENGTH bytes lose nothing. A null id
-sorts first. Rows that repeat an id and its text are one document: all lose the
-same bytes, none is a copy of the other. Rows that share an id but not a text
-count as one document's parts; a start decides which is earlier. Very long
-texts are hashed in slices. Other columns pass through.
+Cases. Null text is empty; texts below LENGTH bytes lose nothing. Null ids sort
+first. Rows that repeat an id (or a null id) and its text are one document: all
+lose the same bytes, none is a copy of the other. Texts that share an id, or
+have none, are documents of their own, in order of their SHA-256. Very long
+texts are hashed in slices. Other columns pass through; those named like a
+column that ``remove_repeats`` adds are replaced by it.
 """
 
 from __future__ import annotations
@@ -58,6 +62,7 @@ SAMPLE, HOT, HOT_KEYS = 64, 40, 4096
 
 ANCHOR, COVERED, SPREAD = 0, 1, 2
 _BYTE = np.random.default_rng(7).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_OTHER = np.random.default_rng(11).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -88,6 +93,20 @@ def buckets(data: np.ndarray) -> np.ndarray:
     return _mix((h[:m] * _power(8) + eight[16:16 + m]) * _power(1) + one[24:24 + m])
 
 
+def other(data: np.ndarray) -> np.ndarray:
+    """A second identifier at depth LENGTH (64 + 32 + 4), independent of the
+    first."""
+    at, h, span = {}, _OTHER[data], 1
+    while True:
+        at[span] = h
+        if span == 64:
+            break
+        h = h[:-span] * _power(span) + h[span:]
+        span *= 2
+    m = len(data) - LENGTH + 1
+    return _mix((at[64][:m] * _power(32) + at[32][64:64 + m]) * _power(4) + at[4][96:96 + m])
+
+
 def refined(b: np.ndarray) -> np.ndarray:
     """Identifier at depth LENGTH from the initial buckets: two refinements."""
     b = _pair(b[:-Q], b[Q:])
@@ -156,25 +175,24 @@ def _runs(owner: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.nd
     return owner[head], start[head], (reach - lift)[tail]
 
 
-def _later(key: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """True where an equal key stands at a smaller (doc, start)."""
-    order = np.lexsort((start, doc, key))
-    k, d, s = key[order], doc[order], start[order]
-    head = np.r_[True, k[1:] != k[:-1]]
-    first = np.maximum.accumulate(np.where(head, np.arange(len(k)), 0))
-    out = np.empty(len(k), bool)
-    out[order] = (d != d[first]) | (s != s[first])
+def _later(one: np.ndarray, two: np.ndarray, doc: np.ndarray, part: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """True where equal identifiers stand at a smaller (doc, part, start)."""
+    order = np.lexsort((start, part, doc, two, one))
+    a, b = one[order], two[order]
+    head = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+    out = np.empty(len(a), bool)
+    out[order] = ~head
     return out
 
 
-ROW = "kind int, bucket long, context long, doc long, part int, start long, stop long"
+ROW = "kind int, bucket long, context long, doc long, part long, start long, stop long"
 
 
 def _rows(kind, bucket, context, doc, part, start, stop) -> pa.RecordBatch:
     n = len(doc)
     k = np.full(n, kind, np.int32) if np.isscalar(kind) else kind.astype(np.int32)
     return pa.RecordBatch.from_arrays(
-        [pa.array(k), _i64(bucket), _i64(context), _i64(doc), pa.array(part.astype(np.int32)), _i64(start), _i64(stop)],
+        [pa.array(k), _i64(bucket), _i64(context), _i64(doc), _i64(part), _i64(start), _i64(stop)],
         names=["kind", "bucket", "context", "doc", "part", "start", "stop"])
 
 
@@ -206,7 +224,7 @@ def _anchor_rows(hot_keys: list[int]):
             if not len(owner):
                 continue
             b, c, first, last = (np.concatenate(x) for x in zip(*found))
-            late = _later(_pair(b, c), doc[owner], first)
+            late = _later(b, c, doc[owner], part[owner], first)
             if late.any():
                 yield _covered_rows(owner[late], first[late], last[late] + LENGTH, doc, part)
             b, c, first, last, owner = (x[~late] for x in (b, c, first, last, owner))
@@ -253,11 +271,10 @@ def _sort_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if not more.any():
             continue
         kind, b, c, doc, part, first, last = (x[more] for x in (kind, b, c, doc, part, first, last))
-        key = _pair(b.astype(np.int64).view(np.uint64), c.astype(np.int64).view(np.uint64))
-        late = _later(key, doc, first)
+        late = _later(b, c, doc, part, first)
         if late.any():
             yield _rows(COVERED, b[late], c[late], doc[late], part[late], first[late], last[late] + LENGTH)
-        kind, b, c, doc, part, first, last, key = (x[~late] for x in (kind, b, c, doc, part, first, last, key))
+        kind, b, c, doc, part, first, last = (x[~late] for x in (kind, b, c, doc, part, first, last))
         # a bucket with one context left has nothing to refine
         head = np.flatnonzero(np.r_[True, b[1:] != b[:-1]])
         size = np.diff(np.r_[head, len(b)])
@@ -266,13 +283,13 @@ def _sort_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield _rows(kind[several], b[several], c[several], doc[several], part[several], first[several], last[several])
 
 
-STRINGS = "kind int, bucket long, doc long, part int, start long, stop long, ids binary"
+STRINGS = "kind int, bucket long, doc long, part long, start long, stop long, ids binary"
 
 
 def _string_rows(kind, bucket, doc, part, start, stop, ids) -> pa.RecordBatch:
     n = len(doc)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, kind, np.int32)), _i64(bucket), _i64(doc), pa.array(part.astype(np.int32)), _i64(start), _i64(stop), pa.array(ids, pa.binary())],
+        [pa.array(np.full(n, kind, np.int32)), _i64(bucket), _i64(doc), _i64(part), _i64(start), _i64(stop), pa.array(ids, pa.binary())],
         names=["kind", "bucket", "doc", "part", "start", "stop", "ids"])
 
 
@@ -283,7 +300,7 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         docs, parts = batch.column("doc").to_numpy(), batch.column("part").to_numpy()
         plain: list[list] = [[], [], [], [], [], []]
-        spread: list[list] = [[], [], []]
+        spread: list[list] = [[], [], [], []]
         for row, (text, marks) in enumerate(zip(_texts(batch.column("text")), batch.column("marks"))):
             if not marks.is_valid:
                 continue
@@ -293,25 +310,27 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(todo):
                 continue
             deep = np.concatenate([refined(buckets(text[s:e])) for s, e in _slices(len(text))])
+            twin = np.concatenate([other(text[s:e]) for s, e in _slices(len(text))]) if (kind == SPREAD).any() else None
             for i in todo.tolist():
                 a, z = int(start[i]), int(stop[i])
                 if kind[i] == SPREAD:
                     spread[0].append(deep[a:z + 1])
                     spread[1].append(np.full(z + 1 - a, row))
                     spread[2].append(np.arange(a, z + 1))
+                    spread[3].append(twin[a:z + 1])
                 else:
                     for x, v in zip(plain, (bucket[i], docs[row], parts[row], a, z, deep[a:z + 1].tobytes())):
                         x.append(v)
         if plain[0]:
             yield _string_rows(ANCHOR, *[np.array(x, np.int64) for x in plain[:5]], plain[5])
         if spread[0]:
-            ids, owner, at = (np.concatenate(x) for x in spread)
-            late = _later(ids, docs[owner], at)
+            ids, owner, at, second = (np.concatenate(x) for x in spread)
+            late = _later(ids, second, docs[owner], parts[owner], at)
             if late.any():
                 o, a, z = _runs(owner[late], at[late], at[late] + LENGTH)
                 yield _string_rows(COVERED, _mix(docs[o].astype(np.int64).view(np.uint64)), docs[o], parts[o], a, z, [b""] * len(o))
-            ids, owner, at = ids[~late], owner[~late], at[~late]
-            yield _string_rows(SPREAD, ids, docs[owner], parts[owner], at, at, [x.tobytes() for x in ids])
+            ids, owner, at, second = ids[~late], owner[~late], at[~late], second[~late]
+            yield _string_rows(SPREAD, ids, docs[owner], parts[owner], at, at, [x.tobytes() for x in second])
 
 
 def _sort_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,12 +346,12 @@ def _sort_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             n = (stop - start + 1)[todo]
             row = np.repeat(todo, n)
             at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + start[row]
-            late = _later(_pair(b[row].astype(np.int64).view(np.uint64), ids), doc[row], at)
+            late = _later(b[row], ids, doc[row], part[row], at)
             o, a, z = _runs(row[late], at[late], at[late] + LENGTH)
             out.append((doc[o], part[o], a, z))
         d, p, a, z = (np.concatenate(x) for x in zip(*out))
         if len(d):
-            yield pa.RecordBatch.from_arrays([_i64(d), pa.array(p.astype(np.int32)), _i64(a), _i64(z)], names=["doc", "part", "start", "stop"])
+            yield pa.RecordBatch.from_arrays([_i64(d), _i64(p), _i64(a), _i64(z)], names=["doc", "part", "start", "stop"])
 
 
 def _cut(columns: list[str], as_text: bool):
@@ -365,46 +384,70 @@ def _cut(columns: list[str], as_text: bool):
 
 def _frequent(rows: DataFrame) -> list[int]:
     """The most frequent buckets of one document in SAMPLE: at most HOT_KEYS."""
-    some = rows.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0).mapInArrow(_anchor_rows([]), ROW)
+    some = rows.where(F.pmod(F.xxhash64("doc", "part"), F.lit(SAMPLE)) == 0).mapInArrow(_anchor_rows([]), ROW)
     counts = some.where(F.col("kind") == ANCHOR).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT)
     return [r["bucket"] for r in counts.orderBy(F.desc("n"), "bucket").limit(HOT_KEYS).collect()]
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", as_text: bool = False) -> DataFrame:
-    """``docs`` without the text, plus n_bytes, n_removed, n_spans and ``kept``:
-    the bytes that stay (binary), or with ``as_text`` the text of those that
-    are whole characters."""
-    others = [c for c in docs.columns if c != text]
-    rows = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("doc"),
-        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-        *[F.col(c).alias(f"c{i}") for i, c in enumerate(others)])
-    twice = not rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
-    # parts of an id that stands on several rows; equal rows are the same part
-    part = (F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)) if twice else F.lit(0)).cast("int")
-    rows = rows.withColumn("part", part)
+def _judged(rows: DataFrame, others: dict[str, str], as_text: bool) -> DataFrame:
+    """The verdict on different (doc, part), with the columns ``others``."""
     source = rows.select("doc", "part", "text")
     found = source.mapInArrow(_anchor_rows(_frequent(source)), ROW)
     dealt = F.when(F.col("kind") == ANCHOR, F.xxhash64("bucket")).otherwise(F.xxhash64("bucket", "context"))
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     marks = found.repartition(n, dealt).sortWithinPartitions("bucket").mapInArrow(_sort_anchors, ROW)
     marks = written(marks.drop("context"), "suffix-marks")
     lists = marks.groupBy("doc", "part").agg(F.collect_list(F.struct("kind", "bucket", "start", "stop")).alias("marks"))
     whole = rows.join(lists, ["doc", "part"], "left")
-    strings = whole.mapInArrow(_expand, STRINGS).repartition(n, F.xxhash64("bucket")).sortWithinPartitions("bucket").mapInArrow(_sort_strings, "doc long, part int, start long, stop long")
+    strings = whole.mapInArrow(_expand, STRINGS).repartition(n, F.xxhash64("bucket")).sortWithinPartitions("bucket").mapInArrow(_sort_strings, "doc long, part long, start long, stop long")
     more = strings.groupBy("doc", "part").agg(F.collect_list(F.struct("start", "stop")).alias("more"))
     final = whole.join(more, ["doc", "part"], "left")
-    names = [f"c{i}" for i in range(len(others))]
-    types = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(others))
+    types = "".join(f"{c} {t}, " for c, t in others.items())
     kept = "string" if as_text else "binary"
-    out = final.mapInArrow(_cut(names, as_text), f"{types}, n_bytes long, n_removed long, n_spans long, kept {kept}")
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(others)], "n_bytes", "n_removed", "n_spans", "kept")
+    return final.mapInArrow(_cut(list(others), as_text), f"{types}n_bytes long, n_removed long, n_spans long, kept {kept}")
+
+
+ADDED = ("n_bytes", "n_removed", "n_spans", "kept")
+
+
+def _removed(docs: DataFrame, doc_id: str, text: str, as_text: bool) -> tuple[DataFrame, dict[str, str]]:
+    """The columns of ``docs`` but the text under numbered names, and ADDED."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns) if c != text}
+    rows = docs.select(
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("doc"),
+        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+        *[F.col(c).alias(n) for c, n in names.items()])
+    if rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        types = {n: docs.schema[c].dataType.simpleString() for c, n in names.items()}
+        return _judged(rows.withColumn("part", F.lit(0).cast("long")), types, as_text), names
+    # one row for each text of an id; numbers rise with (id, hash of the text)
+    rows = rows.withColumn("sha", F.sha2(F.col("text").cast("binary"), 256))
+    each = rows.select("doc", "sha", "text").dropDuplicates(["doc", "sha"])
+    each = each.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc", "sha").sortWithinPartitions("doc", "sha")
+    each = each.withColumn("part", F.monotonically_increasing_id())
+    each = written(each, "suffix-texts").withColumn("key", F.col("doc"))
+    verdict = _judged(each, {"key": "bigint", "sha": "string"}, as_text).withColumnRenamed("key", "doc")
+    return rows.drop("text").join(verdict, ["doc", "sha"]), names
+
+
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", as_text: bool = False) -> DataFrame:
+    """``docs`` without the text, plus n_bytes, n_removed, n_spans and ``kept``:
+    the bytes that stay (binary), or with ``as_text`` the text of those that
+    are whole characters."""
+    out, names = _removed(docs, doc_id, text, as_text)
+    return out.select(*[F.col(n).alias(c) for c, n in names.items() if c not in ADDED], *ADDED)
 
 
 def strip_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The pipeline's form: ``docs`` with repeated bytes taken out of the text
     (a character cut in two goes whole) and ``n_chars`` counted anew."""
-    out = remove_repeats(docs, doc_id, text, as_text=True).withColumnRenamed("kept", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    out, names = _removed(docs, doc_id, text, as_text=True)
+
+    def column(c: str):
+        if c == text:
+            return F.col("kept").alias(c)
+        if c == "n_chars":
+            return F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col(names[c])).cast(docs.schema[c].dataType).alias(c)
+        return F.col(names[c]).alias(c)
+
+    return out.select(*[column(c) for c in docs.columns])
