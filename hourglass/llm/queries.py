@@ -8,7 +8,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import ann, license_scan, line_dedup, packing, periodic, quality, sentencepiece, simhash, suffix_dedup, url_filter, warc
+from . import ann, hard_negatives, license_scan, line_dedup, merkle, packing, periodic, quality, sentencepiece, simhash, suffix_dedup, url_filter, warc
 from .common import NULL_ID, table
 
 PACKING_TOKENIZER = "word_bpe_49k.json"
@@ -53,9 +53,8 @@ def q_op7(spark, sf) -> DataFrame:
 
 def q_op8(spark, sf) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf, "documents"))
-    whole = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    ids = [F.nullif(F.col(c), F.lit(NULL_ID)) for c in ("id", "component")]
-    return out.select(ids[0].alias("doc_id"), whole.alias("fingerprint"), ids[1].alias("component_id"))
+    hex16 = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
+    return out.select(F.nullif("id", F.lit(NULL_ID)).alias("doc_id"), hex16("fp").alias("fingerprint"), F.col("component").alias("component_id"), hex16("root").alias("group_fingerprint"))
 
 
 def q_op9(spark, sf) -> DataFrame:
@@ -67,6 +66,23 @@ def q_op10(spark, sf) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def q_op11(spark, sf) -> DataFrame:
+    rows = table(spark, sf, "embeddings")
+    finite = F.coalesce(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
+    seven = F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False))
+    rows = rows.where(finite).select(
+        F.col("vec_id").alias("id"), F.when(seven, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double"))).alias("vector"))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+def q_op12(spark, sf) -> DataFrame:
+    out = merkle.edited_fingerprints(table(spark, sf, "documents"))
+    return out.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), merkle.fingerprint(F.col("tree")).alias("fingerprint"),
+        merkle.fingerprint(F.col("edited_tree")).alias("edited_fingerprint"), "near_edited", "near_next", F.col("edit.first").cast("long").alias("edit_first"))
+
+
 def repeated(key: int | None, words: list) -> list:
     """The words of a document as op13 is asked to judge them: those of every
     tenth id (by hash) repeat from some word on. A null id changes nothing."""
@@ -94,17 +110,19 @@ QUERIES = {
     "op8_simhash": q_op8,
     "op9_ann_tree": q_op9,
     "op10_warc": q_op10,
+    "op11_hard_negatives": q_op11,
+    "op12_merkle": q_op12,
     "op13_periodic": q_op13,
 }
 
 ORACLE_SQL = {
-    "op4_line_dedup": f"""
+    "op4_line_dedup": """
         WITH d AS (SELECT doc_id, source, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
         totals AS (SELECT source, count(*) AS total FROM d GROUP BY source),
         seen AS (SELECT source, unnest(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) AS line FROM d),
         counts AS (SELECT source, line, count(*) AS pages FROM seen GROUP BY source, line),
         drops AS (SELECT c.source, list(line) AS gone FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
-                  WHERE pages >= {line_dedup.MIN_PAGES} AND pages >= total * CAST({line_dedup.RATIO} AS DOUBLE) GROUP BY c.source),
+                  WHERE pages >= 2 AND pages >= total * CAST(0.1 AS DOUBLE) GROUP BY c.source),
         kept AS (SELECT d.*, list_filter(lines, lambda x: NOT list_contains(coalesce(gone, []), x)) AS stay
                  FROM d LEFT JOIN drops ON d.source IS NOT DISTINCT FROM drops.source)
         SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(lines) END AS n_lines,
@@ -119,4 +137,44 @@ ORACLE_SQL = {
                CASE WHEN payload_bytes >= {warc.MIN_DEDUP} AND page_id < best THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= {warc.MIN_DEDUP} AND page_id < best THEN best END AS refers_to
         FROM b""",
+    "op12_merkle": f"""
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        o AS (SELECT *, length(text) AS n, row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(text)) AS r, count(*) OVER () AS total FROM t),
+        e AS (SELECT o.*, substr(o.text, 1, o.n - o.n // 4) || substr(x.text, 1, o.n // 4) AS edited, x.r AS next FROM o JOIN o x ON x.r = o.r % o.total + 1),
+        texts AS (SELECT r, 'a' AS kind, text FROM e UNION ALL SELECT r, 'b', edited FROM e),
+        lines AS (SELECT r, kind, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS li FROM texts),
+        words AS (SELECT r, kind, li, unnest(string_split(line, ' ')) AS w, generate_subscripts(string_split(line, ' '), 1) AS wi FROM lines),
+        cuts AS (SELECT *, (CASE WHEN w = '' THEN 0 ELSE unicode(w) + length(w) END) % {merkle.PIECE} = 0 AS last FROM words),
+        parts AS (SELECT *, coalesce(sum(last::INT) OVER (PARTITION BY r, kind, li ORDER BY wi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM cuts),
+        pieces AS (SELECT r, kind, li, g, md5(string_agg(w, ' ' ORDER BY wi)) AS h FROM parts GROUP BY ALL),
+        paragraphs AS (SELECT r, kind, li, md5(string_agg(h, '' ORDER BY g)) AS h, string_agg(left(h, 8), '' ORDER BY g) AS short FROM pieces GROUP BY r, kind, li),
+        ends AS (SELECT *, coalesce(sum((left(h, 1) < '4')::INT) OVER (PARTITION BY r, kind ORDER BY li ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM paragraphs),
+        sections AS (SELECT r, kind, s, md5(string_agg(h, '' ORDER BY li)) AS h, string_agg(left(h, 8) || '.' || short, ',' ORDER BY li) AS inner_ FROM ends GROUP BY r, kind, s),
+        prints AS (SELECT r, kind, sha256(string_agg(h, '' ORDER BY s)) || '/' || string_agg(left(h, 8) || '=' || inner_, ';' ORDER BY s) AS fp FROM sections GROUP BY r, kind),
+        counts AS (SELECT r, kind, left(h, 8) AS h, count(*) AS c FROM pieces GROUP BY r, kind, left(h, 8)),
+        sizes AS (SELECT r, kind, sum(c) AS c FROM counts GROUP BY r, kind),
+        pairs AS (SELECT r, 'b' AS kind, r AS other FROM e UNION ALL SELECT r, 'a', next FROM e),
+        common AS (SELECT p.r, p.kind, sum(least(x.c, y.c)) AS c FROM pairs p JOIN counts x ON x.r = p.r AND x.kind = 'a'
+                   JOIN counts y ON y.r = p.other AND y.kind = p.kind AND y.h = x.h GROUP BY p.r, p.kind),
+        near AS (SELECT p.r, p.kind, 2.0::DOUBLE * coalesce(m.c, 0) / (x.c + y.c) AS v FROM pairs p JOIN sizes x ON x.r = p.r AND x.kind = 'a'
+                 JOIN sizes y ON y.r = p.other AND y.kind = p.kind LEFT JOIN common m ON m.r = p.r AND m.kind = p.kind),
+        differ AS (SELECT coalesce(x.r, y.r) AS r, min(coalesce(x.li, y.li)) - 1 AS first_ FROM (SELECT * FROM paragraphs WHERE kind = 'a') x
+                   FULL JOIN (SELECT * FROM paragraphs WHERE kind = 'b') y ON x.r = y.r AND x.li = y.li WHERE left(x.h, 8) IS DISTINCT FROM left(y.h, 8) GROUP BY ALL)
+        SELECT e.doc_id, e.n AS n_chars, sha256(e.edited) AS edited_sha256, a.fp AS fingerprint, b.fp AS edited_fingerprint,
+               ne.v AS near_edited, nn.v AS near_next, d.first_ AS edit_first
+        FROM e JOIN prints a ON a.r = e.r AND a.kind = 'a' JOIN prints b ON b.r = e.r AND b.kind = 'b'
+        JOIN near ne ON ne.r = e.r AND ne.kind = 'b' JOIN near nn ON nn.r = e.r AND nn.kind = 'a' LEFT JOIN differ d ON d.r = e.r""",
+    "op11_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256.0 * CAST(x AS DOUBLE))) AS e
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+              FROM v a JOIN v b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
+        p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+        n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+                     CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+              FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""",
 }

@@ -19,10 +19,11 @@ the edges by star contraction.
 
 Cases. Null or empty text, and text without a word, has fingerprint zero and is
 linked like any other. A text with fewer words than a shingle is one shingle.
-Repeated rows have equal fingerprints. A null id counts as the smallest; rows
-without an id are documents of their own, linked by their texts alone. Groups
-are told apart by fingerprint, so an id on unrelated texts doesn't join them; the
-``component`` that names a group is its least id, which several may share.
+Repeated rows have equal fingerprints. Rows without an id are documents of
+their own, linked by their texts alone. Groups are told apart by their least
+fingerprint, ``root``, so an id on unrelated texts doesn't join them. The
+``component`` that names a group is its least id that isn't null; several may
+share it, and a group of null ids has none.
 """
 
 from __future__ import annotations
@@ -43,6 +44,9 @@ from .components import components
 SHINGLE = 4
 RADIUS = 4
 BLOCK = 4096
+#: A fingerprint is frequent from this many rows and this share of all rows on;
+#: so there are at most 1 / share frequent ones, whose groups are broadcast.
+HOT_ROWS, HOT_SHARE = 1000, 1 / 2000
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -149,44 +153,47 @@ def edges(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
 
 def _grouped(docs: DataFrame, doc_id: str, text: str, k: int, radius: int) -> DataFrame:
     """Rows (id, tag, fp, root, component): ``root`` is the least fingerprint
-    of the group, ``component`` its least id."""
+    of the group, ``component`` its least id that isn't null, if any."""
     rows = written(fingerprints(docs, doc_id, text, k), "simhash-fingerprints")
-    nodes = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
+    known = F.when(F.col("id") != NULL_ID, F.col("id"))
+    nodes = written(rows.groupBy("fp").agg(F.min(known).alias("least"), F.count(F.lit(1)).alias("n")), "simhash-nodes")
     comp = components(edges(nodes.select("fp"), radius)).withColumnsRenamed({"node": "fp", "component": "root"})
     linked = checkpointed(nodes.join(comp, "fp"))
     names = checkpointed(linked.groupBy("root").agg(F.min("least").alias("component")))
     linked = linked.select("fp", "root").join(small(names), "root")
-    by_fp = nodes.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component", "least").alias("component"))
-    return rows.join(by_fp, "fp").select("id", "tag", "fp", "root", "component")
+    by_fp = nodes.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component")).alias("component"), "n")
+    by_fp = written(by_fp, "simhash-groups")
+    total = by_fp.agg(F.sum("n")).first()[0] or 0
+    often = by_fp.where(F.col("n") >= max(HOT_ROWS, total * HOT_SHARE)).drop("n")
+    # rows of a frequent fingerprint meet its group where they are
+    here = rows.join(F.broadcast(often), "fp")
+    rest = rows.join(F.broadcast(often.select("fp")), "fp", "left_anti").join(by_fp.drop("n"), "fp")
+    return here.unionByName(rest).select("id", "tag", "fp", "root", "component")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Rows (id, fp, component): ``component`` is the least id reachable over
-    links of at most ``radius`` differing bits, the row itself included."""
-    return _grouped(docs, doc_id, text, k, radius).select("id", "fp", "component")
+    """Rows (id, fp, component, root): ``component`` is the least id reachable
+    over links of at most ``radius`` differing bits, the row itself included;
+    ``root`` is the least fingerprint and tells groups of null ids apart. A null
+    id is ``NULL_ID`` here."""
+    return _grouped(docs, doc_id, text, k, radius).select("id", "fp", "component", "root")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, radius: int = RADIUS, split_ids: bool = False) -> DataFrame:
-    """``docs`` with one row of each group: the one with the smallest id, then
-    fingerprint, then hash of text. If that is one id for several groups, one of
-    them keeps its row, unless ``split_ids`` says that an id on unrelated texts
-    stands for several documents; a null id always does."""
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each group: the one with the smallest id (null
+    ids first), then fingerprint, then hash of text. An id on unrelated texts
+    stands for several documents; each group keeps a row."""
     near = _grouped(docs, doc_id, text, k, radius)
-    stay = near.groupBy("root").agg(F.min(F.struct("id", "fp", "tag")).alias("m")).select("m.*")
-    if not split_ids:
-        # null ids are grouped by fingerprint, which is one a group
-        own = F.when(F.col("id") == NULL_ID, F.col("fp"))
-        stay = stay.groupBy("id", own.alias("own")).agg(F.min(F.struct("fp", "tag")).alias("m")).select("id", "m.*")
-    stay = written(stay.select(F.col("id").alias("__id"), F.col("tag").alias("__t")), "simhash-kept")
-    df = docs.withColumns({"__k": F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)), "__tag": _tag(text)})
-    df = df.join(stay, (F.col("__k") == F.col("__id")) & (F.col("__tag") == F.col("__t")))
+    stay = near.groupBy("root").agg(F.min(F.struct("id", "fp", "tag")).alias("m")).select(F.col("m.id").alias("its"), F.col("m.tag").alias("its_tag"))
+    stay = written(stay, "simhash-kept")
+    df = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("id"), _tag(text).alias("tag"))
+    df = df.join(stay, (F.col("id") == F.col("its")) & (F.col("tag") == F.col("its_tag"))).select("row", "id", "tag")
     # of rows equal in id and text, the one with the least other columns stays
     repeated = near.groupBy("id", "tag").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = written(repeated.select(F.col("id").alias("__r"), F.col("tag").alias("__s")), "simhash-repeated-rows")
+    repeated = written(repeated.select(F.col("id").alias("its"), F.col("tag").alias("its_tag")), "simhash-repeated-rows")
     if repeated.isEmpty():
-        return df.select(*docs.columns)
-    same = (F.col("__k") == F.col("__r")) & (F.col("__tag") == F.col("__s"))
+        return df.select("row.*")
+    same = (F.col("id") == F.col("its")) & (F.col("tag") == F.col("its_tag"))
     again = df.join(repeated, same, "left_semi")
-    first = again.groupBy("__k", "__tag").agg(F.min(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])).alias("m"))
-    rest = df.join(repeated, same, "left_anti").select(*docs.columns)
-    return rest.unionByName(first.select(*[F.col(f"m.c{i}").alias(c) for i, c in enumerate(docs.columns)]))
+    first = again.groupBy("id", "tag").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return df.join(repeated, same, "left_anti").select("row.*").unionByName(first.select("row.*"))
