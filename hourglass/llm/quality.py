@@ -241,8 +241,9 @@ def keep(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("lang", "
     """The rows of ``docs`` that the rules keep, columns unchanged. Rows are
     found again by (id, hash of text, keys): equal rows have equal verdicts."""
     tag = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    verdict = judge(docs.withColumn("__tag", tag), text, keys, (doc_id, "__tag", *keys), cutoff, min_rows)
-    names = [doc_id, "__tag", *keys]
-    bad = written(verdict.where(~F.col("kept")).select(*[F.col(n).alias(f"_b_{n}") for n in names]).distinct(), "quality-rejected")
-    tagged = docs.withColumn("__tag", tag)
-    return tagged.join(small(bad), [F.col(n).eqNullSafe(F.col(f"_b_{n}")) for n in names], "left_anti").select(*docs.columns)
+    k = [f"key{i}" for i in range(len(keys))]
+    names = ["id", "tag", *k]
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"), tag.alias("tag"), *[F.col(c).alias(a) for c, a in zip(keys, k)])
+    verdict = judge(rows.drop("row"), "text", tuple(k), tuple(names), cutoff, min_rows)
+    bad = written(verdict.where(~F.col("kept")).select(*[F.col(n).alias(f"bad_{n}") for n in names]).distinct(), "quality-rejected")
+    return rows.join(small(bad), [F.col(n).eqNullSafe(F.col(f"bad_{n}")) for n in names], "left_anti").select("row.*")

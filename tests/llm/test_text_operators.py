@@ -117,6 +117,35 @@ def test_line_dedup_both_ways(docs, texts):
         assert sorted(((str(r["doc_id"]), r["text"]) for r in got.collect()), key=str) == brute(0.05, 2)
 
 
+def test_small_hosts_lose_their_boilerplate(spark):
+    rows = [(i, f"page {i}\nfooter of nine", "nine") for i in range(9)] + [(20, "alone\nonly page", "one")]
+    rows += [(100 + i, "rare line\nx" if i < 2 else f"own {i}", "hundred") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_lines(df).collect()}
+    assert [got[i] for i in range(9)] == [f"page {i}" for i in range(9)]
+    assert got[20] == "alone\nonly page" and got[100] == "rare line\nx"  # one page; two of a hundred
+
+
+CLASHES = ("kept", "n_bytes", "n_removed", "n_spans", "n_lines", "n_dropped", "doc", "part", "sha", "key", "marks", "more", "kind", "bucket", "context", "start", "stop", "c0", "c1",
+           "host", "its", "of", "tag", "of_tag", "its_h", "h", "lines", "left", "drop", "total", "pages", "share", "row", "__host", "__tag", "__lines", "__left", "__drop",
+           "id", "fp", "root", "component", "its_tag", "n", "least", "__k", "__t", "distance2", "n_words", "base_failed", "word_chars", "g", "node", "u", "v", "_host", "_h")
+
+
+@pytest.mark.parametrize("stage", [quality.keep, line_dedup.strip_documents, simhash.keep_one, suffix_dedup.strip_documents])
+def test_stages_pass_columns_of_any_name(spark, texts, stage):
+    base = [(i, t, lang, s) for i, t, lang, s in texts[:40] + texts[60:66]] + [(3, texts[3][1], "en", "s0")]
+    plain = spark.createDataFrame(base, "doc_id long, text string, lang string, source string")
+    clash = plain.select("*", *[F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id"), F.lit(-1)), F.lit("/"), F.xxhash64("text")).alias(c) for c in CLASHES])
+    key = lambda r: (str(r["doc_id"]), str(r["text"]))
+    out = stage(clash)
+    assert out.columns == clash.columns
+    got = sorted(out.collect(), key=key)
+    assert [key(r) for r in got] == sorted(key(r) for r in stage(plain).collect())
+    before = {r[CLASHES[0]].split(":", 1)[1] for r in clash.collect()}
+    for r in got:
+        assert len({r[c].removeprefix(f"{c}:") for c in CLASHES}) == 1 and r["kept"].split(":", 1)[1] in before
+
+
 def test_simhash_fingerprints_and_components(docs, texts):
     import xxhash
 
@@ -130,28 +159,51 @@ def test_simhash_fingerprints_and_components(docs, texts):
     near = simhash.near_duplicates(docs).collect()
     want = sorted((simhash.NULL_ID if i is None else i, brute(t)) for i, t, _, _ in texts)
     assert sorted((r["id"], r["fp"] % 2**64) for r in near) == want
-    label = {i: i for i, _ in want}
+    root = {a: a for _, a in want}
     for _ in range(10):
-        for i, a in want:
-            label[i] = min(label[j] for j, b in want if j == i or bin(a ^ b).count("1") <= 4)
-    assert {r["id"]: r["component"] for r in near} == label
-    kept = [r["doc_id"] for r in simhash.keep_one(docs).collect()]
-    assert sorted(-1 if k is None else k for k in kept) == sorted(-1 if c == simhash.NULL_ID else c for c in set(label.values()))
+        for a in root:
+            root[a] = min(root[b] for b in root if bin(a ^ b).count("1") <= 4)
+    ids = {}
+    for i, a in want:
+        ids.setdefault(root[a], []).append(i)
+    names = {r: min((i for i in own if i != simhash.NULL_ID), default=None) for r, own in ids.items()}
+    assert sorted((r["id"], r["fp"] % 2**64, r["component"]) for r in near) == sorted((i, a, names[root[a]]) for i, a in want)
+    groups = {}
+    for r in near:
+        groups.setdefault(r["root"], set()).add(root[r["fp"] % 2**64])
+    assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(ids)
+    kept = [simhash.NULL_ID if r["doc_id"] is None else r["doc_id"] for r in simhash.keep_one(docs).collect()]
+    assert sorted(kept) == sorted(min(own) for own in ids.values())
 
 
 def test_shared_and_null_ids_lose_no_group(spark, texts):
-    a, b, c, d, e = (texts[i][1] for i in (7, 9, 11, 13, 15))  # unrelated texts
-    fps = [simhash.fingerprint(t) for t in (a, b, c, d, e)]
+    a, b, c, d, e, f = (texts[i][1] for i in (7, 9, 11, 13, 15, 17))  # unrelated texts
+    fps = [simhash.fingerprint(t) for t in (a, b, c, d, e, f)]
     assert min(bin(x ^ y).count("1") for i, x in enumerate(fps) for y in fps[:i]) > 4
     rows = [(None, a), (None, b), (8, b), (5, c), (6, c), (5, d), (3, d), (1, e), (1, e), (None, a)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = sorted([(None, a), (None, b), (5, c), (3, d), (1, e)], key=str)
-    for split in (False, True):
-        assert sorted(((r["doc_id"], r["text"]) for r in simhash.keep_one(df, split_ids=split).collect()), key=str) == want
+    assert sorted(((r["doc_id"], r["text"]) for r in simhash.keep_one(df).collect()), key=str) == want
     # one id is the least of two groups
     two = spark.createDataFrame([(5, c), (6, c), (5, d), (7, d)], "doc_id long, text string")
     kept = corpus_pipeline.near_duplicates(spark, two, SF001).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(5, c), (5, d)])
+    # rows without an id beside two groups: the names stay apart
+    mixed = [(None, a), (5, a), (6, a), (None, b), (7, b), (8, b), (None, c), (None, c)]
+    near = simhash.near_duplicates(spark.createDataFrame(mixed, "doc_id long, text string")).collect()
+    assert sorted(str(r["component"]) for r in near) == ["5"] * 3 + ["7"] * 3 + ["None"] * 2
+    assert len({r["root"] for r in near}) == 3
+
+
+def test_frequent_fingerprints_and_odd_columns(spark, texts, monkeypatch):
+    a, b, c = (texts[i][1] for i in (7, 9, 11))
+    monkeypatch.setattr(simhash, "HOT_ROWS", 3)
+    monkeypatch.setattr(simhash, "HOT_SHARE", 0.2)
+    rows = [(i, a, {"k": i}) for i in range(5)] + [(9, b, {"x": 1}), (9, b, {"x": 2}), (12, c, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>")
+    near = {(r["id"], r["component"]) for r in simhash.near_duplicates(df).collect()}
+    assert near == {(i, 0) for i in range(5)} | {(9, 9), (12, 12)}
+    assert sorted((r["doc_id"], str(r["tags"])) for r in simhash.keep_one(df).collect()) == [(0, "{'k': 0}"), (9, "{'x': 1}"), (12, "None")]
 
 
 def test_covering_masks_miss_no_pair():
@@ -174,23 +226,26 @@ def test_oversize_buckets_lose_no_link(spark):
 
 
 def suffix_brute(rows):
-    """rows (key, bytes) in order of key; rows of one key start together."""
-    first = {}
-    for key, b in rows:
+    """rows (key, bytes), one a document, in order; equal rows are one."""
+    first, docs = {}, sorted(set(rows), key=lambda r: (r[0], hashlib.sha256(r[1]).hexdigest()))
+    for d, (_, b) in enumerate(docs):
         for s in range(len(b) - 99):
-            x = b[s:s + 100]
-            if x not in first or (key, s) < first[x]:
-                first[x] = (key, s)
-    out = []
-    for key, b in rows:
+            first.setdefault(b[s:s + 100], (d, s))
+    out = {}
+    for d, (key, b) in enumerate(docs):
         gone = np.zeros(len(b), bool)
         for s in range(len(b) - 99):
-            if first[b[s:s + 100]] != (key, s):
+            if first[b[s:s + 100]] != (d, s):
                 gone[s:s + 100] = True
         left = np.frombuffer(b, np.uint8)[~gone].tobytes()
         spans = int((gone & ~np.r_[False, gone[:-1]]).sum()) if len(b) else 0
-        out.append((key, len(b), int(gone.sum()), spans, hashlib.sha256(left).hexdigest()))
-    return sorted(out)
+        out[key, b] = (key, len(b), int(gone.sum()), spans, hashlib.sha256(left).hexdigest())
+    return sorted(out[r] for r in rows)
+
+
+def suffix_rows(df):
+    out = suffix_dedup.remove_repeats(df).withColumn("sha", F.sha2("kept", 256))
+    return sorted((suffix_dedup.NULL_ID if r["doc_id"] is None else r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["sha"]) for r in out.collect())
 
 
 @pytest.mark.parametrize("slice_, hot", [(1 << 20, 40), (64, 1)])
@@ -198,10 +253,33 @@ def test_suffix_dedup(spark, docs, texts, monkeypatch, slice_, hot):
     monkeypatch.setattr(suffix_dedup, "SLICE", slice_)  # long texts are cut; every bucket is frequent
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     monkeypatch.setattr(suffix_dedup, "SAMPLE", 1 if hot == 1 else 64)
-    rows = sorted((suffix_dedup.NULL_ID if i is None else i, (t or "").encode()) for i, t, _, _ in texts)
-    out = suffix_dedup.remove_repeats(docs.select("doc_id", "text", "h"))
-    got = sorted((suffix_dedup.NULL_ID if r["doc_id"] is None else r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["sha"]) for r in out.withColumn("sha", F.sha2("kept", 256)).collect())
-    assert got == suffix_brute(rows)
+    rows = [(suffix_dedup.NULL_ID if i is None else i, (t or "").encode()) for i, t, _, _ in texts]
+    assert suffix_rows(docs.select("doc_id", "text", "h")) == suffix_brute(rows)
+    # every id once: no rows are merged first
+    each = {i: (i, t) for i, t, _, _ in texts}
+    df = spark.createDataFrame(list(each.values()), "doc_id long, text string")
+    assert suffix_rows(df) == suffix_brute([(suffix_dedup.NULL_ID if i is None else i, (t or "").encode()) for i, t in each.values()])
+
+
+def test_suffix_dedup_of_repeated_and_null_ids(spark, texts):
+    rng = np.random.default_rng(8)
+    text = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    long, shared, a, b = text(8000), text(150), text(300), text(300)
+    # thousands of equal rows; null ids that share a passage; one id on several texts
+    rows = [(5, long)] * 5000 + [(None, a + shared), (None, shared + b), (None, a + shared), (7, b), (7, shared), (7, None), (9, long[:500])]
+    got = suffix_rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    keyed = [(suffix_dedup.NULL_ID if i is None else i, (t or "").encode()) for i, t in rows]
+    few = suffix_brute([(5, long.encode())] + keyed[5000:])
+    assert got == sorted([r for r in few if r[0] == 5] * 5000 + [r for r in few if r[0] != 5])
+    assert any(r[0] == suffix_dedup.NULL_ID and r[2] for r in got)
+
+
+def test_second_identifier_follows_the_bytes():
+    rng = np.random.default_rng(9)
+    data = rng.integers(0, 3, 400).astype(np.uint8)
+    with np.errstate(over="ignore"):
+        one, two = suffix_dedup.other(np.r_[data, data]), suffix_dedup.other(data)
+    assert (one[:301] == two).all() and (one[400:] == two).all() and len(set(one[:400].tolist())) == 400
 
 
 def test_packing_round_trip(docs, texts):
