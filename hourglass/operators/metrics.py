@@ -19,12 +19,10 @@ partial aggregate, never to a single in-memory list.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import hash_bucket
+from ..functions.permutation import permuted
 
 KS = (5, 10)
 
@@ -193,10 +191,10 @@ def ranking_metrics(recs: DataFrame, test: DataFrame, ks=KS, user: str = "user",
 def random_recs(ids: DataFrame, n_candidates: int, k: int, seed: int = 42, id_col: str = "user", field: str = "item") -> DataFrame:
     """Random recommender: ``min(k, n)`` distinct candidate ids per row of ``ids``.
 
-    Candidates are the dense ids ``0..n-1`` of a dictionary. Each id gets a
-    pseudo-random start (md5 of id and seed) and the next ``k`` ids after it,
-    wrapping around, so every candidate has the same chance ``k/n`` to be
-    recommended to a given user – the random baseline the reference quotes in
+    Candidates are the dense ids ``0..n-1`` of a dictionary. Each id of ``ids``
+    orders all candidates by a permutation of its own (``functions.permutation``)
+    and gets the first ``k``: a uniform sample without replacement, whose
+    positions are independent – the random baseline the reference quotes in
     prose – without enumerating any user × item pairs.
     Output: (id_col, recommendations ARRAY<STRUCT<field INT, rating FLOAT>>),
     ratings 1, 1/2, 1/3, … in rank order.
@@ -205,11 +203,10 @@ def random_recs(ids: DataFrame, n_candidates: int, k: int, seed: int = 42, id_co
     if m <= 0:
         empty = F.array().cast(f"array<struct<{field}:int,rating:float>>")
         return ids.select(id_col, empty.alias("recommendations"))
-    start = hash_bucket(id_col, seed=f"random:{seed}", space=int(n_candidates)).cast("bigint")
     recs = F.transform(
         F.sequence(F.lit(0), F.lit(m - 1)),
         lambda j: F.struct(
-            ((start + j) % F.lit(int(n_candidates))).cast("int").alias(field),
+            permuted(j, F.col(id_col), int(n_candidates), f"random:{seed}").cast("int").alias(field),
             (F.lit(1.0) / (j + F.lit(1))).cast("float").alias("rating"),
         ),
     )
@@ -227,6 +224,3 @@ def precision_random_expectation(test: DataFrame, n_items: int, k: int, user: st
         )
     )
 
-
-def stack_metrics(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -1,65 +1,246 @@
-"""Exact top-k by dot product for factor tables (id INT, features ARRAY).
-
-The same question ``recommendForAll*`` answers for a fitted model, asked of
-factor tables that do not come from one (fixed or external factors). Both sides
-are dealt into blocks of about ``block_rows`` rows by a hash of the id; every
-block of queries meets every block of candidates in a task of its own, which
-does one matrix product and keeps ``k`` per query. No user × item pair is ever
-a row, nothing passes the driver, and a task holds two blocks. The winners of
-the blocks are merged by a ranked window.
-
-Order: score descending, then candidate id ascending (exact ties resolved the
-same way everywhere). Rows whose features are NULL, or hold a NULL, a NaN or an
-infinity, take no part on either side.
+"""Exact top-k by inner product over a norm-ordered block index, one way and
+both ways at once, for factor tables (id INT, features ARRAY).
+
+**Index.** Candidates are range-partitioned by descending norm (ties by id) and
+cut into blocks of at most ``block_rows``; a block knows its largest norm. The
+index is a written table.
+
+**One way** (``top_k_by_dot``). Queries are dealt into groups by a hash of the
+id. Every group first meets the leading block, which gives each query a score
+that its k-th best will reach at least. A block is then left out for a group if
+for each of its queries |q| * (largest norm) is below that score: no candidate
+of the block can enter. What is left is shipped and streamed in order of norms,
+and a task leaves a query out as soon as its own k-th best is above the bound of
+what is still to come. Ties are never left out, so results are exact. The number
+of tasks is the session's shuffle partitions, however large the tables are; a
+task holds one group of queries (``GROUP_ROWS`` at most) and a batch of candidates.
+
+**Both ways** (``two_way_top_k``). The best items of each user and the best users
+of each item come from the same products: a group of users meets each batch of
+items once, keeps k per user, and returns k users per item, which are merged
+over the groups.
+
+No user x item pair is ever a row, and nothing passes the driver but counts.
+Order: score descending, then id ascending (exact ties resolved the same way
+everywhere). Scores are in double precision. Rows whose id or features are NULL,
+or whose features hold a NULL, a NaN or an infinity, take no part.
 """
 
 from __future__ import annotations
 
 import math
+import sys
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stable_table
+
+# the task function travels by value: executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ROWS = 4096
+#: Most queries of a group, and how few don't make another one.
+GROUP_ROWS, GROUP_LEAST = 16_384, 256
+#: Scores a task holds at a time.
+AT_ONCE = 1 << 22
+#: Room for rounding in |q| * |c| as a bound of their product.
+SLACK = 1 + 1e-9
+
+_ROW = "g long, kind int, id long, norm double, floor double, f array<double>"
+_FOUND = "g long, side int, id long, other long, score double"
+
+
+def _merged(scores: np.ndarray, ids: np.ndarray, new: np.ndarray, new_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` best of each row of ``scores`` beside ``new``; ids alike."""
+    s = np.concatenate([scores, new], axis=1)
+    i = np.concatenate([ids, np.broadcast_to(new_ids, new.shape)], axis=1)
+    # every score at or above the k-th largest contends, so that exact ties
+    # are resolved by id
+    edge = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+    row, col = np.nonzero(s >= edge[:, None])
+    order = np.lexsort((i[row, col], -s[row, col], row))
+    row, col = row[order], col[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
+    row, col = row[keep], col[keep]
+    return s[row, col].reshape(-1, k), i[row, col].reshape(-1, k)
+
+
+class _Group:
+    """The queries of one group and their best candidates so far."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, norms: np.ndarray, floors: np.ndarray, k: int):
+        self.ids, self.x, self.norms, self.floors, self.k = ids, x, norms, floors, k
+        self.scores = np.full((len(ids), k), -np.inf)
+        self.best = np.full((len(ids), k), np.iinfo(np.int64).max)
+        self.products = 0
 
+    def meet(self, ids: np.ndarray, y: np.ndarray, norm: float, both: bool) -> list[tuple]:
+        """Take in candidates of at most ``norm``; with ``both`` also return
+        (candidate, query, score): the best queries of each candidate."""
+        least = np.maximum(self.floors, self.scores[:, -1])
+        # a query whose least score no candidate can reach is left out
+        some = np.arange(len(self.ids)) if both else np.flatnonzero(self.norms * norm * SLACK >= least)
+        step = max(1, AT_ONCE // len(ids))
+        top, its = np.full((len(ids), self.k), -np.inf), np.full((len(ids), self.k), np.iinfo(np.int64).max)
+        for a in range(0, len(some), step):
+            rows = some[a:a + step]
+            s = self.x[rows] @ y.T
+            self.products += s.size
+            self.scores[rows], self.best[rows] = _merged(self.scores[rows], self.best[rows], s, ids, self.k)
+            if both:
+                top, its = _merged(top, its, s.T, self.ids[rows], self.k)
+        if not both:
+            return []
+        row, col = np.nonzero(top > -np.inf)
+        return [(ids[row], its[row, col], top[row, col])]
 
-def _scorer(k: int, query_col: str, cand_col: str):
-    """The per-task scoring function for ``mapInPandas``; it is shipped by value
-    and needs only numpy and pandas on the workers."""
-
-    def score(batches):
-        for pdf in batches:
-            for q_ids, q, c_ids, c in zip(pdf["q_ids"], pdf["q"], pdf["c_ids"], pdf["c"]):
-                s = np.stack(q).astype(np.float64) @ np.stack(c).astype(np.float64).T
-                kk = min(k, s.shape[1])
-                # every candidate at or above the k-th largest score contends,
-                # so exact ties at the boundary are resolved by id
-                edge = np.partition(s, s.shape[1] - kk, axis=1)[:, s.shape[1] - kk]
-                row, col = np.nonzero(s >= edge[:, None])
-                ids, best = np.asarray(c_ids)[col], s[row, col]
-                order = np.lexsort((ids, -best, row))
-                row, ids, best = row[order], ids[order], best[order]
-                first = np.searchsorted(row, row, side="left")
-                keep = np.arange(len(row)) - first < kk
-                yield pd.DataFrame({
-                    query_col: np.asarray(q_ids)[row[keep]].astype(np.int32),
-                    cand_col: ids[keep].astype(np.int32),
-                    "score": best[keep],
-                })
-
-    return score
-
-
-def _blocks(df: DataFrame, side: str, block_rows: int) -> tuple[DataFrame, int]:
-    """One row a block: ``{side}_block``, ids and features; and their number."""
+    def found(self) -> tuple:
+        row, col = np.nonzero(self.scores > -np.inf)
+        return self.ids[row], self.best[row, col], self.scores[row, col]
+
+
+def _kernel(k: int, both: bool):
+    """Task function over rows sorted by group: its queries, then candidates by
+    descending norm. Side 0 are a query's best, side 1 a candidate's; a row of
+    side 2 says how many products the group took."""
+
+    def batch_of(g: int, side: int, ids, other, scores) -> pa.RecordBatch:
+        n = len(ids)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, g, np.int64)), pa.array(np.full(n, side, np.int32)), pa.array(np.asarray(ids, np.int64)), pa.array(np.asarray(other, np.int64)), pa.array(np.asarray(scores, np.float64))],
+            names=["g", "side", "id", "other", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g, parts, group = None, [], None
+
+        def end() -> Iterator[pa.RecordBatch]:
+            if group is not None:
+                yield batch_of(g, 0, *group.found())
+                yield batch_of(g, 2, [0], [group.products], [0.0])
+
+        for batch in batches:
+            gs, kind, ids, norms, floors = (batch.column(c).to_numpy() for c in ("g", "kind", "id", "norm", "floor"))
+            if not len(gs):
+                continue
+            f = batch.column("f")
+            sizes = np.diff(f.offsets.to_numpy())
+            if (sizes != sizes[0]).any():
+                raise ValueError("features must have one common length")
+            x = f.flatten().to_numpy().reshape(len(gs), sizes[0])
+            cuts = np.flatnonzero((gs[1:] != gs[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for a, z in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(gs)].tolist()):
+                if gs[a] != g:
+                    yield from end()
+                    g, parts, group = int(gs[a]), [], None
+                if kind[a] == 0:
+                    parts.append((ids[a:z], x[a:z], norms[a:z], floors[a:z]))
+                    continue
+                if not parts:
+                    continue
+                group = group or _Group(*(np.concatenate(c) for c in zip(*parts)), k)
+                for i, j, s in group.meet(ids[a:z], x[a:z], float(norms[a]), both):
+                    yield batch_of(g, 1, i, j, s)
+        yield from end()
+
+    return run
+
+
+def _usable(df: DataFrame) -> DataFrame:
+    """Rows (id, f, norm) that can be scored."""
     finite = F.forall("features", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = df.where(F.col("id").isNotNull() & F.coalesce(finite, F.lit(False))).select(F.col("id").cast("int").alias("id"), F.col("features").cast("array<double>").alias("f"))
+    rows = df.where(F.col("id").isNotNull() & F.coalesce(finite, F.lit(False))).select(F.col("id").cast("long").alias("id"), F.col("features").cast("array<double>").alias("f"))
+    return rows.withColumn("norm", F.sqrt(F.aggregate("f", F.lit(0.0), lambda a, x: a + x * x)))
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def norm_index(candidates: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Written table (block, id, f, norm): blocks of at most ``block_rows`` rows,
+    numbered by descending norm."""
+    dealt = _usable(candidates).repartitionByRange(_partitions(candidates), F.desc("norm"), F.asc("id")).sortWithinPartitions(F.desc("norm"), F.asc("id"))
+    rows = stable_table(dealt.withColumn("place", F.monotonically_increasing_id()), "topk-index")
+    # places are counted anew in each partition, far apart from one to the next
+    return rows.select(F.expr(f"place div {int(block_rows)}").alias("block"), "id", "f", "norm")
+
+
+def _groups(queries: DataFrame) -> tuple[DataFrame, int]:
+    """Written rows (g, id, f, norm) of the queries, and the number of groups."""
+    rows = stable_table(_usable(queries), "topk-queries")
     n = rows.count()
-    blocks = max(1, math.ceil(n / block_rows))
-    dealt = rows.withColumn(f"{side}_block", F.pmod(F.hash("id"), F.lit(blocks)))
-    return dealt.groupBy(f"{side}_block").agg(F.collect_list("id").alias(f"{side}_ids"), F.collect_list("f").alias(side)), blocks if n else 0
+    groups = max(math.ceil(n / GROUP_ROWS), min(_partitions(queries), math.ceil(n / GROUP_LEAST)))
+    return rows.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(max(groups, 1)))), groups
+
+
+def _meet(queries: DataFrame, candidates: DataFrame, k: int, both: bool = False) -> DataFrame:
+    """The task function over queries (g, id, f, norm, floor) and candidates
+    (g, id, f, norm); at most the session's partitions."""
+    left = queries.select("g", F.lit(0).alias("kind"), "id", "norm", "floor", "f")
+    right = candidates.select("g", F.lit(1).alias("kind"), "id", "norm", F.lit(0.0).alias("floor"), "f")
+    rows = left.unionByName(right).repartition(_partitions(queries), "g").sortWithinPartitions("g", "kind", F.desc("norm"), "id")
+    return rows.mapInArrow(_kernel(k, both), _FOUND)
+
+
+def _ranked(found: DataFrame, k: int, query_col: str, cand_col: str) -> DataFrame:
+    w = Window.partitionBy("id").orderBy(F.desc("score"), F.asc("other"))
+    ranked = found.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
+    return ranked.select(F.col("id").cast("int").alias(query_col), "rank", F.col("other").cast("int").alias(cand_col), "score")
+
+
+def _each_group(groups: int):
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
+
+
+def _none(df: DataFrame, query_col: str, cand_col: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([], f"{query_col} INT, rank INT, {cand_col} INT, score DOUBLE")
+
+
+def top_k_visits(
+    queries: DataFrame,
+    candidates: DataFrame,
+    k: int,
+    query_col: str = "user",
+    cand_col: str = "item",
+    block_rows: int = BLOCK_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """``top_k_by_dot`` and a row (groups, blocks, pairs, visited, products):
+    the block pairs there are and those shipped, and the products taken."""
+    spark = queries.sparkSession
+    report = "groups long, blocks long, pairs long, visited long, products long"
+    q, groups = _groups(queries)
+    if k <= 0 or not groups:
+        return _none(queries, query_col, cand_col), spark.createDataFrame([(0, 0, 0, 0, 0)], report)
+    index = norm_index(candidates, block_rows)
+    blocks = stable_table(index.groupBy("block").agg(F.max("norm").alias("top")), "topk-blocks")
+    n_blocks = blocks.count()
+    if not n_blocks:
+        return _none(queries, query_col, cand_col), spark.createDataFrame([(groups, 0, 0, 0, 0)], report)
+    first = blocks.agg(F.min("block")).first()[0]
+    open_ = q.withColumn("floor", F.lit(float("-inf")))
+    lead = index.where(F.col("block") == first).withColumn("g", _each_group(groups))
+    found = stable_table(_meet(open_, lead, k), "topk-lead")
+    visited = groups
+    if n_blocks > 1:
+        # the k-th score so far, and what norm a candidate needs to reach it
+        kth = found.where("side = 0").groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
+        floors = q.join(kth, "id", "left").withColumn("floor", F.coalesce("kth", F.lit(float("-inf")))).drop("kth")
+        floors = stable_table(floors, "topk-floors")
+        need = floors.groupBy("g").agg(F.min(F.when(F.col("norm") > 0, F.col("floor") / F.col("norm")).otherwise(F.lit(float("-inf")))).alias("need"))
+        # one row a block and one a group; blocks are few: rows / block_rows
+        left = F.broadcast(blocks.where(F.col("block") != first))
+        pairs = stable_table(need.join(left, F.col("top") * F.lit(SLACK) >= F.col("need")).select("g", "block"), "topk-pairs")
+        visited += pairs.count()
+        rest = _meet(floors, index.join(pairs, "block"), k)
+        found = found.unionByName(stable_table(rest, "topk-rest"))
+    products = found.where("side = 2").agg(F.sum("other").alias("products"))
+    sizes = [F.lit(v).cast("long").alias(c) for c, v in (("groups", groups), ("blocks", n_blocks), ("pairs", groups * n_blocks), ("visited", visited))]
+    return _ranked(found.where("side = 0"), k, query_col, cand_col), products.select(*sizes, "products")
 
 
 def top_k_by_dot(
@@ -73,24 +254,21 @@ def top_k_by_dot(
     """(query_col, rank, cand_col, score): the ``k`` best candidates per query.
 
     ``queries`` and ``candidates`` are factor tables (id INT, features
-    ARRAY<FLOAT|DOUBLE>) of one common rank. Scores are dot products in
-    double precision.
+    ARRAY<FLOAT|DOUBLE>) of one common rank.
     """
-    q, n_q = _blocks(queries, "q", block_rows)
-    c, n_c = _blocks(candidates, "c", block_rows)
-    if k <= 0 or not n_q or not n_c:
-        return queries.sparkSession.createDataFrame([], f"{query_col} INT, rank INT, {cand_col} INT, score DOUBLE")
-    # the stated query set against all candidates, block by block
-    pairs = q.withColumn("c_block", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1)))).join(c, "c_block")
-    tasks = pairs.select("q_ids", "q", "c_ids", "c").repartition(n_q * n_c)
-    found = tasks.mapInPandas(_scorer(k, query_col, cand_col), f"{query_col} INT, {cand_col} INT, score DOUBLE")
-    # at most k x candidate blocks rows per query
-    w = Window.partitionBy(query_col).orderBy(F.col("score").desc(), F.col(cand_col).asc())
-    return (
-        found.withColumn("rank", F.row_number().over(w).cast("int"))
-        .where(F.col("rank") <= k)
-        .select(query_col, "rank", cand_col, "score")
-    )
+    return top_k_visits(queries, candidates, k, query_col, cand_col, block_rows)[0]
+
+
+def two_way_top_k(users: DataFrame, items: DataFrame, k: int, user_col: str = "user", item_col: str = "item") -> tuple[DataFrame, DataFrame]:
+    """(user, rank, item, score) and (item, rank, user, score), as two calls of
+    ``top_k_by_dot`` would give, from one product of each pair."""
+    q, groups = _groups(users)
+    if k <= 0 or not groups:
+        return _none(users, user_col, item_col), _none(users, item_col, user_col)
+    all_items = stable_table(_usable(items), "topk-items")
+    found = _meet(q.withColumn("floor", F.lit(float("-inf"))), all_items.withColumn("g", _each_group(groups)), k, both=True)
+    found = stable_table(found.where("side < 2"), "topk-two-way")
+    return _ranked(found.where("side = 0"), k, user_col, item_col), _ranked(found.where("side = 1"), k, item_col, user_col)
 
 
 def pack(top: DataFrame, query_col: str = "user", cand_col: str = "item") -> DataFrame:

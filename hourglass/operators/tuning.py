@@ -13,12 +13,12 @@ import itertools
 import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import RUN_NAME_FORMAT, run_name
 from ..sources.runs import RUN_COLUMNS, RUNS, append_runs, read_runs, runs_frame
+from .certificate import certificate
 from .metrics import ranking_metrics, score_report
 from .model import (
     ALSConfig,
@@ -62,6 +62,7 @@ def evaluate_config(
     release: bool = False,
     test_users: DataFrame | None = None,
     data_id: str | None = None,
+    certify: bool = False,
 ) -> dict:
     """Fit one configuration and measure it: a run record (dict).
 
@@ -69,7 +70,8 @@ def evaluate_config(
     With ``release`` the model's own cached factor RDDs are unpersisted as soon
     as it is measured (at scale a user-factor table is tens of GB; 27 of them
     must not wait for garbage collection). ``test_users`` may pass the distinct
-    test users, so a search computes them once.
+    test users, so a search computes them once. With ``certify`` the fit is held
+    against its normal equations, and the record says if they hold.
     """
     if k != K_RECORD:
         raise ValueError(f"a run record holds the metrics at K = {K_RECORD}; use ranking_metrics for K = {k}")
@@ -79,9 +81,10 @@ def evaluate_config(
     report = score_report(predict(model, test, keep_cold=True)).first()
     recs = recommend_for_users(model, k, test.select("user").distinct() if test_users is None else test_users)
     m = ranking_metrics(recs, test, ks=(k,)).first()
+    certified = bool(certificate(model, train, config).first()["certified"]) if certify else None
     if release:
         release_factors(model)
-    return run_record(config, report, m, fit_s, split_name, data_id)
+    return run_record(config, report, m, fit_s, split_name, data_id) | {"certified": certified}
 
 
 def config_columns(config: ALSConfig) -> dict:
@@ -141,6 +144,7 @@ def grid_search(
     log_path: str | None = None,
     split_id: str = "test",
     max_ratings_per_id: int | None = None,
+    certify: bool = False,
 ) -> DataFrame:
     """Run every configuration of ``grid``; return the runs DataFrame.
 
@@ -179,7 +183,7 @@ def grid_search(
             check_id_load(train, max_ratings_per_id)
 
         def one(c: ALSConfig) -> dict:
-            row = evaluate_config(train, test, c, k, split_id, release=True, test_users=test_users, data_id=data)
+            row = evaluate_config(train, test, c, k, split_id, release=True, test_users=test_users, data_id=data, certify=certify)
             if log_path is not None:
                 append_runs(runs_frame(spark, [row]), log_path)
             return row
@@ -209,14 +213,8 @@ def _runs_of(runs: DataFrame, split_id: str, data: str | None) -> DataFrame:
 
 
 def _logged(spark, log_path: str, split_id: str, data: str | None) -> set:
-    try:
-        runs = read_runs(spark, log_path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return set()
     keys = list(config_columns(ALSConfig()))
-    return {tuple(r) for r in _runs_of(runs, split_id, data).select(*keys).distinct().collect()}
+    return {tuple(r) for r in _runs_of(read_runs(spark, log_path), split_id, data).select(*keys).distinct().collect()}
 
 
 def _tie():

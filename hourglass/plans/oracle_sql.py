@@ -49,26 +49,25 @@ scl AS (SELECT * FROM sa WHERE user_id IS NOT NULL AND game IS NOT NULL AND valu
 
 _PREP_SALES = _prep_chain(_SALES_CLEAN, "scl")
 
-_PREP = _EV + f""",
-idict AS ({_dict('cl', 'game')}),
-udict AS ({_dict('cl', 'user_id')}),
-enc AS (SELECT cl.user_id, cl.game, cl.value, u.idx AS "user", i.idx AS item
-        FROM cl JOIN udict u ON CAST(cl.user_id AS VARCHAR) = u.label JOIN idict i ON cl.game = i.label),
-sp AS (SELECT *, CASE WHEN ('0x' || substr(md5(concat_ws('|', CAST(user_id AS VARCHAR), game, '{SEED}')), 1, 8))::BIGINT % 10000 < 2000
-                      THEN 'test' ELSE 'train' END AS split FROM enc),
-rt AS (SELECT "user", item, CAST(value AS DOUBLE) AS rating, split FROM sp),
-train AS (SELECT "user", item, rating FROM rt WHERE split = 'train'),
-test AS (SELECT "user", item, rating FROM rt WHERE split = 'test')
-"""
+_PREP = _prep_chain(_EV, "cl")
 
 
-def _random(ids_sql: str, id_col: str, field: str, n_sql: str, k: int) -> str:
-    """Start = md5 bucket of the id, then the next k ids mod n."""
-    return f"""SELECT ids.{id_col}, CAST(g.j AS INTEGER) AS pos,
-              CAST((('0x' || substr(md5(concat_ws('|', CAST(ids.{id_col} AS VARCHAR), 'random:{SEED}')), 1, 8))::BIGINT % nn.n + g.j) % nn.n AS INTEGER) AS {field},
-              CAST(1.0 / (g.j + 1) AS FLOAT) AS rating
-       FROM ({ids_sql}) ids, ({n_sql}) nn, generate_series(0, {k - 1}) g(j)
-       WHERE g.j < nn.n"""
+def _random(ids_sql: str, id_col: str, field: str, n_sql: str, k: int, seed: str = SEED) -> str:
+    """The first k numbers of each id's permutation of 0 .. n - 1: six rounds
+    over a grid a x b, again while the number is n or more."""
+    md5 = lambda half: f"('0x' || substr(md5(concat_ws('|', CAST(w.id AS VARCHAR), CAST(turn % 6 AS VARCHAR), CAST({half} AS VARCHAR), 'random:{seed}')), 1, 8))::BIGINT % 2147483647"
+    return f"""SELECT id AS {id_col}, pos, CAST(l * b + r AS INTEGER) AS {field}, CAST(1.0 / (pos + 1) AS FLOAT) AS rating FROM (
+       WITH RECURSIVE nn AS ({n_sql}),
+       root AS (SELECT n, CAST(ceil(sqrt(n)) AS BIGINT) AS root FROM nn),
+       sides AS (SELECT n, root + s AS a, (n + root + s - 1) // (root + s) AS b FROM root, range(0, 100) t(s)),
+       side AS (SELECT n, a, b FROM sides ORDER BY a * b, a LIMIT 1),
+       w AS (SELECT ids.{id_col} AS id, CAST(g.j AS INTEGER) AS pos, 0 AS turn, CAST(g.j // b AS BIGINT) AS l, CAST(g.j % b AS BIGINT) AS r
+             FROM ({ids_sql}) ids, side, generate_series(0, {k - 1}) g(j) WHERE g.j < n
+             UNION ALL
+             SELECT w.id, w.pos, turn + 1, CASE WHEN turn % 2 = 0 THEN (l + {md5('r')}) % a ELSE l END,
+                    CASE WHEN turn % 2 = 1 THEN (r + {md5('l')}) % b ELSE r END
+             FROM w, side WHERE turn = 0 OR turn % 6 <> 0 OR l * b + r >= n)
+       SELECT w.*, b FROM w, side WHERE turn > 0 AND turn % 6 = 0 AND l * b + r < n)"""
 
 
 def _rr10(prep: str) -> str:
@@ -125,6 +124,77 @@ def _ids_text(expr: str) -> str:
     return f"array_to_string(list_sort({expr}), ',')"
 
 
+_KNOWN = """known AS (SELECT * FROM test WHERE "user" IN (SELECT "user" FROM train) AND item IN (SELECT item FROM train)),
+cov AS (SELECT count(*) AS n_test, (SELECT count(*) FROM known) AS n_scored, round((SELECT count(*) FROM known) / count(*), 6) AS coverage FROM test),
+nu AS (SELECT count(DISTINCT "user") AS n_users FROM test WHERE "user" IN (SELECT "user" FROM train))
+"""
+
+_GRID = """grid AS (SELECT CAST(r AS INTEGER) AS rank, CAST(g AS DOUBLE) AS "regParam", CAST(m AS INTEGER) AS "maxIter",
+         'ALS_r' || r || '_reg' || g || '_iter' || m AS run_name
+         FROM (VALUES (10), (20), (50)) a(r), (VALUES ('0.01'), ('0.1'), ('0.5')) b(g), (VALUES (10), (15), (20)) c(m))
+"""
+
+
+def _certified(q: dict[str, str]) -> None:
+    """Queries over fitted models: what their inputs decide, and TRUE."""
+    known = "WITH " + _PREP + "," + _KNOWN
+    ranks = lambda n: f"generate_series(1, least(5, (SELECT count(DISTINCT {n}) FROM train))) g(rank)"
+    q["als_predictions"] = known + ' SELECT "user", item, rating, TRUE AS certified FROM known'
+    q["als_score_report"] = known + " SELECT n_test, n_scored, coverage, TRUE AS certified FROM cov"
+    q["als_certificate"] = known + ' SELECT count(DISTINCT "user") AS n_users, count(*) AS n_ratings, TRUE AS certified FROM train'
+    run = """ SELECT run_name, rank, "regParam", "maxIter", CAST(42 AS BIGINT) AS seed, CAST(10 AS INTEGER) AS num_blocks,
+              n_test, n_scored, coverage, n_users, TRUE AS certified FROM grid, cov, nu"""
+    q["als_grid"] = known + "," + _GRID + run
+    q["als_baseline_run"] = q["als_grid"] + """ WHERE run_name = 'ALS_r20_reg0.1_iter10'"""
+    users = ' SELECT u."user", CAST(g.rank AS INTEGER) AS rank, d.label AS user_id, TRUE AS certified FROM (SELECT DISTINCT "user" FROM train) u JOIN udict d ON d.idx = u."user", ' + ranks("item")
+    items = ' SELECT i.item AS game_id, CAST(g.rank AS INTEGER) AS rank, d.label AS game, TRUE AS certified FROM (SELECT DISTINCT item FROM train) i JOIN idict d ON d.idx = i.item, ' + ranks('"user"')
+    q["als_user_recs"], q["als_item_recs"] = known + users, known + items
+    q["als_recs_for_user"] = known + users + ' WHERE u."user" = 0'
+    q["als_users_for_top_game"] = known + items + " WHERE d.label = (SELECT game FROM pl GROUP BY game ORDER BY sum(value) DESC NULLS LAST, game ASC NULLS LAST LIMIT 1)"
+    q["als_metrics"] = known + " SELECT CAST(k AS INTEGER) AS k, n_users, TRUE AS certified FROM nu, (VALUES (5), (10)) t(k)"
+    q["als_leaderboard"] = "SELECT CAST(place AS INTEGER) AS place, TRUE AS certified FROM generate_series(1, 5) t(place)"
+    q["als_best_config"] = "SELECT CAST(1 AS INTEGER) AS place, TRUE AS certified"
+    q["als_rank_marginals"] = "WITH " + _GRID + ' SELECT "maxIter", rank, count(*) AS n_runs, TRUE AS certified FROM grid GROUP BY 1, 2'
+    q["als_tradeoff"] = "WITH " + _GRID + ' SELECT "regParam", rank, "maxIter", TRUE AS certified FROM grid'
+
+
+def _runs(q: dict[str, str]) -> None:
+    """The run table of the models that SQL can follow, and the views over it."""
+    measured = " UNION ALL ".join(
+        f"""SELECT {r} AS rank, {i} AS "maxIter", t.* FROM ({_one_run(f'{r}-{i}')}) t""" for r in (10, 20, 50) for i in (10, 15, 20))
+    table = "WITH " + _PREP + "," + _KNOWN + "," + _GRID + f""",
+te AS (SELECT DISTINCT "user", item FROM test WHERE item IS NOT NULL),
+na AS (SELECT "user", count(*) AS n_actual FROM te WHERE "user" IN (SELECT "user" FROM train) GROUP BY 1),
+ranked AS ({measured}),
+means AS (SELECT item, sum(rating) AS s, count(*) AS n FROM train GROUP BY 1),
+errors AS (SELECT g.reg, count(*) AS n_test, count(m.item) AS n_scored, count(m.item) / count(*) AS coverage, sqrt(avg((t.rating - m.s / (m.n + g.reg)) ^ 2)) AS rmse
+           FROM (VALUES (0.01::DOUBLE), (0.1::DOUBLE), (0.5::DOUBLE)) g(reg), test t LEFT JOIN means m ON t.item = m.item GROUP BY 1),
+runs AS (SELECT grid.*, e.n_test, e.n_scored, round(e.coverage, 9) AS coverage, k.n_users, round(e.rmse, 9) AS rmse,
+                round(k.p, 9) AS precision_at_10, round(k.r, 9) AS recall_at_10, round(k.m, 9) AS map_at_10
+         FROM grid JOIN errors e ON e.reg = grid."regParam" JOIN ranked k ON k.rank = grid.rank AND k."maxIter" = grid."maxIter")
+"""
+    order = 'ORDER BY map_at_10 DESC NULLS LAST, rank, "regParam", "maxIter"'
+    run = 'run_name, rank, "regParam", "maxIter"'
+    six = lambda c: f"round({c}, 6) AS {c}"
+    q["runs_grid"] = table + f" SELECT {run}, n_test, n_scored, {six('coverage')}, n_users, {six('rmse')}, {six('precision_at_10')}, {six('recall_at_10')}, {six('map_at_10')} FROM runs"
+    q["runs_leaderboard"] = table + f" SELECT {run}, {six('map_at_10')} FROM (SELECT * FROM runs {order} LIMIT 5)"
+    q["runs_best_config"] = table + f" SELECT {run}, {six('map_at_10')} FROM (SELECT * FROM runs {order} LIMIT 1)"
+    q["runs_rank_marginals"] = table + ' SELECT "maxIter", rank, round(avg(precision_at_10), 6) AS avg_precision_at_10 FROM runs GROUP BY 1, 2'
+    q["runs_tradeoff"] = table + f' SELECT "regParam", rank, "maxIter", {six("rmse")}, {six("map_at_10")} FROM runs'
+    q["runs_slice"] = table + f' SELECT {run}, {six("rmse")}, {six("map_at_10")} FROM runs WHERE rank = 20 AND "regParam" = 0.1'
+
+
+def _one_run(seed: str) -> str:
+    """Mean precision, recall and average precision at 10 of one permutation."""
+    recs = _random('SELECT DISTINCT "user" FROM train', '"user"', "item", "SELECT count(*) AS n FROM idict", 10, seed)
+    return f"""WITH rr AS ({recs}),
+        hit AS (SELECT rr."user", rr.pos, count(*) OVER (PARTITION BY rr."user" ORDER BY rr.pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hit_no
+                FROM rr JOIN te ON rr."user" = te."user" AND rr.item = te.item),
+        per AS (SELECT "user", count(*) AS h, sum(hit_no / (pos + 1)) AS ap FROM hit GROUP BY 1)
+        SELECT count(*) AS n_users, avg(coalesce(h, 0) / 10.0) AS p, avg(coalesce(h, 0) / n_actual) AS r, avg(coalesce(ap, 0) / least(n_actual, 10)) AS m
+        FROM na LEFT JOIN per USING ("user")"""
+
+
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["csv_scan"] = "WITH " + _EV + " SELECT user_id, game, behavior, value FROM ev"
@@ -335,6 +405,25 @@ SELECT i AS n_ids, CAST(i * least(5, u) AS BIGINT) AS n_recs, CAST(least(5, u) A
        CAST(least(5, u) AS INTEGER) AS max_len, i AS distinct_ids
 FROM nu, ni"""
     )
+    _certified(q)
+    _runs(q)
+    q["csv_inferred"] = "WITH " + _EV + " SELECT CAST(user_id AS INTEGER) AS user_id, CAST(game AS INTEGER) AS game, behavior, value FROM ev"
+    q["csv_schema"] = "SELECT CAST(i AS INTEGER) AS position, name, type FROM (VALUES (0, 'user_id', 'int'), (1, 'game', 'int'), (2, 'behavior', 'string'), (3, 'value', 'double')) t(i, name, type)"
+    q["csv_malformed"] = "WITH " + _EV + " SELECT count(*) + 2 * count(*) FILTER (WHERE behavior = 'purchase') AS n_rows, 2 * count(*) FILTER (WHERE behavior = 'purchase') AS n_corrupt FROM ev"
+    q["preview_rows"] = "SELECT least(20, count(*)) AS n_rows, CAST(0 AS BIGINT) AS n_foreign FROM events"
+    q["cardinalities_by_behavior"] = "WITH " + _EV + " SELECT behavior, count(*) AS n_rows, count(DISTINCT user_id) AS n_user, count(DISTINCT game) AS n_item FROM ev GROUP BY 1"
+    q["cardinalities_merged"] = "WITH " + _SALES + " SELECT 'user' AS kind, count(DISTINCT user_id) AS n FROM sa UNION ALL SELECT 'item', count(DISTINCT game) FROM sa"
+    q["random_split_totals"] = "WITH " + _PREP + " SELECT count(*) AS n_rows, TRUE AS share_ok FROM rt"
+    q["actual_chunks"] = (
+        "WITH " + _PREP + """,
+te AS (SELECT DISTINCT "user", item FROM test),
+pl3 AS (SELECT "user", item, CAST((row_number() OVER (PARTITION BY "user" ORDER BY item) - 1) // 3 AS INTEGER) AS chunk FROM te)
+SELECT "user", chunk, string_agg(item, ',' ORDER BY item) AS items FROM pl3 GROUP BY 1, 2"""
+    )
+    q["shared_items"] = "WITH " + _RR10 + ' SELECT "user", count(*) AS n FROM hit GROUP BY 1'
+    q["bucketed_factor_scores"] = q["fixed_factor_scores"]
+    q["topk_two_way_users"], q["topk_two_way_items"] = q["topk_dot_users"], q["topk_dot_items"]
+    q["first_user_recs"] = q["readable_user_recs"] + ' ORDER BY rr."user", rank LIMIT 10'
     q["stream_item_totals"] = "WITH " + _EV + " SELECT game, round(sum(value), 6) AS total_hours FROM pl GROUP BY 1"
     q["stream_user_totals"] = "WITH " + _EV + " SELECT user_id, round(sum(value), 6) AS total_hours FROM pl GROUP BY 1"
     return q

@@ -8,16 +8,18 @@ order of floating-point additions cannot change the compared values.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import streaming
-from ..operators import clean, explore, indexing, metrics, model, present, ratings, tuning
-from ..operators.topk import top_k_by_dot
+from ..operators import bitmaps, clean, colocated, explore, indexing, metrics, model, postings, present, ratings, tuning
+from ..operators.certificate import certificate
+from ..operators.topk import top_k_by_dot, two_way_top_k
 from ..session import scratch_path
 from ..sources import (
     EVENTS_PLAY,
@@ -25,6 +27,7 @@ from ..sources import (
     append_runs,
     embedding_factors,
     events_interactions,
+    preview,
     read_interactions,
     read_runs,
     runs_frame,
@@ -32,6 +35,7 @@ from ..sources import (
     sales_item_names,
     write_interactions_csv,
 )
+from ..sources.typed_csv import CORRUPT, lattice, read_inferred, read_text, schema_table
 from .workflow import Prepared, prepare
 
 SEED = 42
@@ -65,9 +69,9 @@ def _prep_sales(spark, sf) -> Prepared:
     return prepare(sales_interactions(spark, sf), behavior=SALES_PLAY, seed=SEED)
 
 
-def _random_user_recs(prep: Prepared, k: int) -> DataFrame:
+def _random_user_recs(prep: Prepared, k: int, seed: int | str = SEED) -> DataFrame:
     users = prep.train.select("user").distinct()
-    return metrics.random_recs(users, prep.items.size, k, SEED, id_col="user", field="item")
+    return metrics.random_recs(users, prep.items.size, k, seed, id_col="user", field="item")
 
 
 def _random_item_recs(prep: Prepared, k: int) -> DataFrame:
@@ -83,6 +87,42 @@ def q_csv_scan(spark, sf):
     return read_interactions(spark, path, fmt="csv")
 
 
+def _faulty_csv(spark, sf) -> str:
+    """The interactions as headerless CSV, and for every purchase a line with a
+    field too many and one with a field too few."""
+    path = scratch_path(spark, "faulty_csv", uuid.uuid4().hex)
+    ev = _events(spark, sf)
+    write_interactions_csv(ev, path)
+    line = F.concat_ws(",", F.col("user_id").cast("string"), "game", "behavior", F.col("value").cast("string"))
+    bad = ev.where("behavior = 'purchase'").select(F.explode(F.array(F.concat(line, F.lit(",more")), F.concat_ws(",", "game", "behavior"))).alias("value"))
+    bad.write.mode("append").text(path)
+    return path
+
+
+def q_csv_inferred(spark, sf):
+    """S1 S2: types inferred over all files in one pass, positional names."""
+    rows = read_inferred(spark, _faulty_csv(spark, sf))
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def q_csv_schema(spark, sf):
+    return schema_table(spark, _faulty_csv(spark, sf))
+
+
+def q_csv_malformed(spark, sf):
+    return lattice(read_text(spark, _faulty_csv(spark, sf))).select("n_rows", "n_corrupt")
+
+
+def q_preview_rows(spark, sf):
+    """S3: the first 20 rows of the loaded file, held against the source."""
+    path = scratch_path(spark, "preview", uuid.uuid4().hex)
+    ev = _events(spark, sf)
+    write_interactions_csv(ev, path)
+    shown = preview(read_interactions(spark, path), 20)
+    known = ev.distinct().withColumn("known", F.lit(1))
+    return shown.join(known, ["user_id", "game", "behavior", "value"], "left").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("known").isNull()).alias("n_foreign"))
+
+
 def q_plays(spark, sf):
     return explore.plays(_events(spark, sf), EVENTS_PLAY)
 
@@ -103,6 +143,17 @@ def q_cardinalities(spark, sf):
     return explore.cardinalities(_events(spark, sf))
 
 
+def q_cardinalities_by_behavior(spark, sf):
+    """A4 per behaviour, from bitmaps over dictionary ids."""
+    return bitmaps.cardinalities_by(_events(spark, sf))
+
+
+def q_cardinalities_merged(spark, sf):
+    """A4 over all behaviours: the behaviours' bitmaps merged by OR."""
+    merged = bitmaps.merge_bitmaps(bitmaps.interaction_bitmaps(sales_interactions(spark, sf)))
+    return bitmaps.bitmap_counts(merged)
+
+
 def q_top_items(spark, sf):
     return rounded(explore.top_items(_events(spark, sf), 10, EVENTS_PLAY, labels=True))
 
@@ -157,6 +208,14 @@ def q_split_counts(spark, sf):
     return ratings.split_counts(_prep(spark, sf).ratings)
 
 
+def q_random_split_totals(spark, sf):
+    """M4 with randomSplit: no row lost, none on both sides, a share of about
+    a fifth."""
+    p = prepare(_events(spark, sf), behavior=EVENTS_PLAY, seed=SEED, split="random")
+    n = p.ratings.agg(F.count(F.lit(1)).alias("n_rows"), F.avg((F.col("split") == "test").cast("double")).alias("share"))
+    return n.select("n_rows", F.col("share").between(0.15, 0.25).alias("share_ok"))
+
+
 def q_coverage(spark, sf):
     p = _prep(spark, sf)
     return rounded(ratings.cold_start_coverage(p.train, p.test))
@@ -200,6 +259,20 @@ def q_actual_items(spark, sf):
     return metrics.actual_items(p.test).select("user", _ids_text("actual_items").alias("actual_items"))
 
 
+def q_actual_chunks(spark, sf):
+    """A6 as posting lists of at most 3 items a row."""
+    lists = postings.posting_lists(_prep(spark, sf).test, size=3)
+    return lists.select("user", "chunk", _ids_text("items").alias("items"))
+
+
+def q_shared_items(spark, sf):
+    """A6 with A7: test items and recommended items that a user has in common,
+    from posting lists on both sides."""
+    p = _prep(spark, sf)
+    recs = _random_user_recs(p, K_EVAL).select("user", F.explode("recommendations.item").alias("item"))
+    return postings.shared(postings.posting_lists(p.test, size=3), postings.posting_lists(recs, size=4))
+
+
 def q_random_recs(spark, sf):
     recs = _random_user_recs(_prep(spark, sf), K_EVAL)
     return recs.select("user", F.posexplode("recommendations").alias("pos", "r")).select(
@@ -269,6 +342,22 @@ def q_fixed_factor_score_report(spark, sf):
     return rounded(metrics.score_report(model.score_with_factors(p.test, uf, itf, keep_cold=True, dtype="double")))
 
 
+def q_bucketed_factor_scores(spark, sf):
+    """J4 from a test table bucketed by user, which isn't moved."""
+    p = _prep(spark, sf)
+    uf, itf = embedding_factors(spark, sf)
+    return rounded(colocated.score_bucketed(colocated.bucketed(p.test), uf, itf, dtype="double"))
+
+
+def q_topk_two_way_users(spark, sf):
+    """J5/T5 both ways from one product: the users' side."""
+    return rounded(two_way_top_k(*embedding_factors(spark, sf), K_EVAL)[0])
+
+
+def q_topk_two_way_items(spark, sf):
+    return rounded(two_way_top_k(*embedding_factors(spark, sf), K_EVAL)[1])
+
+
 def q_topk_dot_users(spark, sf):
     """J5/T5 with fixed factors: the 10 best items per user by dot product."""
     uf, itf = embedding_factors(spark, sf)
@@ -293,6 +382,12 @@ def q_readable_item_recs(spark, sf):
     return present.readable_item_recs(_random_item_recs(p, K_RECS), p.items, p.users)
 
 
+def q_first_user_recs(spark, sf):
+    """T4: the first 10 readable rows."""
+    p = _prep(spark, sf)
+    return present.first_rows(present.readable_user_recs(_random_user_recs(p, K_RECS), p.items, p.users), 10)
+
+
 def q_recs_for_user(spark, sf):
     p = _prep(spark, sf)
     return present.recs_for_user(present.readable_user_recs(_random_user_recs(p, K_RECS), p.items, p.users), 0)
@@ -317,71 +412,168 @@ def q_stream_user_totals(spark, sf):
     return rounded(streaming.item_totals_from_files(spark, sf, "events.parquet", behavior=EVENTS_PLAY, key="user_id"))
 
 
-# --- ALS (rows-only checks; properties are proven in tests) --------------------
+# --- runs of deterministic recommenders: the views over a run table --------------
+
+def _shared_log(spark, sf, name: str) -> str:
+    """One log an application and table folder: the queries over it share runs."""
+    key = hashlib.sha1(f"{spark.sparkContext.applicationId}|{sf}".encode()).hexdigest()[:16]
+    return scratch_path(spark, "runs", f"{name}-{key}")
+
+
+def _plain_runs(spark, sf) -> DataFrame:
+    """The 27 configurations of the grid with models that SQL can follow: item
+    means shrunk by regParam score the test rows, and a permutation for each
+    (rank, maxIter) recommends. Logged once, then read back."""
+    log = _shared_log(spark, sf, "plain")
+    if read_runs(spark, log).isEmpty():
+        p = _prep(spark, sf)
+        means = p.train.groupBy("item").agg(F.sum("rating").alias("s"), F.count(F.lit(1)).alias("n"))
+        scored = {reg: metrics.score_report(p.test.join(means.select("item", (F.col("s") / (F.col("n") + F.lit(reg))).alias("prediction")), "item", "left")).first() for reg in tuning.REG_PARAMS}
+        ranked = {(r, i): metrics.ranking_metrics(_random_user_recs(p, K_EVAL, f"{r}-{i}"), p.test, (K_EVAL,)).first() for r in tuning.RANKS for i in tuning.MAX_ITERS}
+        rows = []
+        for c in tuning.param_grid(spark).orderBy("ord").collect():
+            config = model.ALSConfig(rank=c["rank"], reg_param=c["regParam"], max_iter=c["maxIter"])
+            rows.append(tuning.run_record(config, scored[c["regParam"]], ranked[c["rank"], c["maxIter"]], None, f"md5-{SEED}-0.2") | {"model": "plain"})
+        append_runs(runs_frame(spark, rows), log)
+    # nine places, so that the order in which a mean was taken can't decide a rank
+    return rounded(read_runs(spark, log), 9)
+
+
+_RUN = ("run_name", "rank", "regParam", "maxIter")
+
+
+def q_runs_grid(spark, sf):
+    """J6 F10 S4: the grid's configurations and names, logged and read back."""
+    return rounded(_plain_runs(spark, sf).select(*_RUN, "n_test", "n_scored", "coverage", "n_users", "rmse", "precision_at_10", "recall_at_10", "map_at_10"))
+
+
+def q_runs_leaderboard(spark, sf):
+    return rounded(tuning.leaderboard(_plain_runs(spark, sf), 5).select(*_RUN, "map_at_10"))
+
+
+def q_runs_best_config(spark, sf):
+    return rounded(tuning.best_config(_plain_runs(spark, sf)).select(*_RUN, "map_at_10"))
+
+
+def q_runs_rank_marginals(spark, sf):
+    return rounded(tuning.rank_marginals(_plain_runs(spark, sf)))
+
+
+def q_runs_tradeoff(spark, sf):
+    return rounded(tuning.tradeoff_points(_plain_runs(spark, sf)))
+
+
+def q_runs_slice(spark, sf):
+    """P8: the runs of one rank and regParam."""
+    return rounded(tuning.runs_for(_plain_runs(spark, sf), rank=20, regParam=0.1).select(*_RUN, "rmse", "map_at_10"))
+
+
+# --- ALS: certified results -------------------------------------------------------
+# A fit's numbers can't be written in SQL, but that they are right can be checked:
+# the factors satisfy their normal equations (``certificate``), scores are inner
+# products of the factors, and lists are the exact best ones. The queries return
+# what SQL knows, and ``certified``, which must be true in every row.
 
 def _als_eval(spark, sf, config=model.BASELINE):
+    """(prepared data, model, literal: the fit is certified)"""
     p = _prep(spark, sf)
     m = model.fit_als(p.train, config)
-    return p, m
+    return p, m, F.lit(bool(certificate(m, p.train, config).first()["certified"]))
+
+
+def _near(a, b, tolerance: float = 1e-4):
+    return F.coalesce(F.abs(F.col(a) - F.col(b)) <= F.lit(tolerance), F.lit(False))
 
 
 def q_als_predictions(spark, sf):
-    p, m = _als_eval(spark, sf)
-    return model.predict(m, p.test)
+    p, m, ok = _als_eval(spark, sf)
+    scored = model.predict(m, p.test).withColumnRenamed("prediction", "given")
+    both = model.score_with_factors(scored, m.userFactors, m.itemFactors, dtype="double")
+    return both.select("user", "item", "rating", (ok & _near("given", "prediction")).alias("certified"))
 
 
 def q_als_score_report(spark, sf):
-    """Scores of the first trained model (maxIter 15) with coverage."""
-    p, m = _als_eval(spark, sf, model.FIRST_MODEL)
-    return metrics.score_report(model.predict(m, p.test, keep_cold=True))
+    """Scores of the first trained model (maxIter 15) with coverage; the errors
+    are computed again from the factors."""
+    p, m, ok = _als_eval(spark, sf, model.FIRST_MODEL)
+    again = metrics.score_report(model.score_with_factors(p.test, m.userFactors, m.itemFactors, keep_cold=True, dtype="double")).first()
+    out = metrics.score_report(model.predict(m, p.test, keep_cold=True))
+    same = [F.coalesce(F.abs(F.col(c) - F.lit(again[c])) <= 1e-4, F.lit(False)) for c in ("rmse", "rmse_preference")]
+    return rounded(out.select("n_test", "n_scored", "coverage", (ok & same[0] & same[1]).alias("certified")))
 
 
 def q_als_baseline_run(spark, sf):
     """The tracked baseline (rank 20, maxIter 10, regParam 0.1): fitted,
     measured, appended to the run log and read back."""
     p = _prep(spark, sf)
-    row = tuning.evaluate_config(p.train, p.test, model.BASELINE, K_EVAL, split_name=f"md5-{SEED}-0.2")
+    row = tuning.evaluate_config(p.train, p.test, model.BASELINE, K_EVAL, split_name=f"md5-{SEED}-0.2", certify=True)
     path = scratch_path(spark, "runs", uuid.uuid4().hex)
     append_runs(runs_frame(spark, [row]), path)
-    return read_runs(spark, path)
+    return _certified_runs(read_runs(spark, path))
+
+
+def _certified_runs(runs: DataFrame) -> DataFrame:
+    measured = [F.col(c).between(0, 1) for c in ("precision_at_10", "recall_at_10", "map_at_10")]
+    good = F.col("certified") & measured[0] & measured[1] & measured[2] & (F.col("rmse") >= 0)
+    return rounded(runs.select(*_RUN, "seed", "num_blocks", "n_test", "n_scored", "coverage", "n_users", F.coalesce(good, F.lit(False)).alias("certified")))
+
+
+def _certified_lists(named: DataFrame, top: DataFrame, key: str, top_key: str, ok) -> DataFrame:
+    """Flat named lists beside the exact best scores at the same rank."""
+    best = top.select(F.col(top_key).alias(key), "rank", F.col("score").alias("best"))
+    return named.join(best, [key, "rank"], "left").withColumn("certified", ok & _near("score", "best"))
 
 
 def q_als_user_recs(spark, sf):
-    p, m = _als_eval(spark, sf, model.FIRST_MODEL)
-    return present.readable_user_recs(model.recommend_for_users(m, K_RECS), p.items, p.users)
+    p, m, ok = _als_eval(spark, sf, model.FIRST_MODEL)
+    named = present.readable_user_recs(model.recommend_for_users(m, K_RECS), p.items, p.users)
+    top, _ = two_way_top_k(m.userFactors, m.itemFactors, K_RECS)
+    both = _certified_lists(named, top, "user", "user", ok)
+    return both.select("user", "rank", "user_id", (F.col("certified") & F.col("game").isNotNull()).alias("certified"))
 
 
 def q_als_item_recs(spark, sf):
-    p, m = _als_eval(spark, sf, model.FIRST_MODEL)
-    return present.readable_item_recs(model.recommend_for_items(m, K_RECS), p.items, p.users)
+    p, m, ok = _als_eval(spark, sf, model.FIRST_MODEL)
+    named = present.readable_item_recs(model.recommend_for_items(m, K_RECS), p.items, p.users)
+    _, top = two_way_top_k(m.userFactors, m.itemFactors, K_RECS)
+    both = _certified_lists(named, top, "game_id", "item", ok)
+    return both.select("game_id", "rank", "game", (F.col("certified") & F.col("recommended_user_id").isNotNull()).alias("certified"))
 
 
 def q_als_metrics(spark, sf):
-    p, m = _als_eval(spark, sf)
-    return metrics.ranking_metrics(model.recommend_for_users(m, K_EVAL), p.test, (5, 10))
+    p, m, ok = _als_eval(spark, sf)
+    given = metrics.ranking_metrics(model.recommend_for_users(m, K_EVAL), p.test, (5, 10))
+    again = metrics.ranking_metrics(top_k_by_dot(m.userFactors, m.itemFactors, K_EVAL), p.test, (5, 10))
+    both = given.join(again.select("k", *[F.col(c).alias(f"{c}_2") for c in ("precision", "recall", "map")]), "k")
+    near = [_near(c, f"{c}_2", 1e-3) for c in ("precision", "recall", "map")]
+    return both.select("k", "n_users", (ok & near[0] & near[1] & near[2]).alias("certified"))
 
 
 def q_als_recs_for_user(spark, sf):
     """P6 at scale: only user index 0 (most play rows) is scored."""
-    p, m = _als_eval(spark, sf, model.FIRST_MODEL)
+    p, m, ok = _als_eval(spark, sf, model.FIRST_MODEL)
     labels = p.users.table.where(F.col("idx") == 0).select(F.col("label").alias("user_id"))
     recs = present.recommend_for_user_labels(m, p.users, labels, K_RECS)
-    return present.recs_for_user(present.readable_user_recs(recs, p.items, p.users), 0)
+    named = present.recs_for_user(present.readable_user_recs(recs, p.items, p.users), 0)
+    top = top_k_by_dot(m.userFactors.where("id = 0"), m.itemFactors, K_RECS)
+    return _certified_lists(named, top, "user", "user", ok).select("user", "rank", "user_id", "certified")
 
 
 def q_als_users_for_top_game(spark, sf):
     """P7 at scale: the top game by hours, selected by name, only it scored."""
     ev = _events(spark, sf)
-    p, m = _als_eval(spark, sf, model.FIRST_MODEL)
+    p, m, ok = _als_eval(spark, sf, model.FIRST_MODEL)
     top = explore.top_items(ev, 1, EVENTS_PLAY).select("game")
-    recs = present.recommend_users_for_game_names(m, p.items, top, K_RECS)
-    return present.readable_item_recs(recs, p.items, p.users).orderBy(F.col("score").desc(), F.col("recommended_user"))
+    named = present.readable_item_recs(present.recommend_users_for_game_names(m, p.items, top, K_RECS), p.items, p.users)
+    asked = m.itemFactors.join(named.select(F.col("game_id").alias("id")).distinct(), "id")
+    best = top_k_by_dot(asked, m.userFactors, K_RECS, "item", "user")
+    return _certified_lists(named, best, "game_id", "item", ok).select("game_id", "rank", "game", "certified")
 
 
 def q_als_coverage(spark, sf):
     """Cold-start behaviour of the real model: which test rows get a
     prediction depends only on the train id sets, so SQL can check it."""
-    p, m = _als_eval(spark, sf)
+    p, m, _ = _als_eval(spark, sf)
     return rounded(metrics.score_report(model.predict(m, p.test, keep_cold=True)).select("n_test", "n_scored", "coverage"))
 
 
@@ -401,48 +593,83 @@ def _recs_shape(recs: DataFrame, id_col: str, field: str) -> DataFrame:
 def q_als_user_recs_shape(spark, sf):
     """recommendForAllUsers(5): one row per user with factors (the train
     users), each with min(5, train items) distinct items."""
-    p, m = _als_eval(spark, sf, model.FIRST_MODEL)
+    p, m, _ = _als_eval(spark, sf, model.FIRST_MODEL)
     return _recs_shape(model.recommend_for_users(m, K_RECS), "user", "item")
 
 
 def q_als_item_recs_shape(spark, sf):
     """recommendForAllItems(5): one row per train item, min(5, train users) users each."""
-    p, m = _als_eval(spark, sf, model.FIRST_MODEL)
+    p, m, _ = _als_eval(spark, sf, model.FIRST_MODEL)
     return _recs_shape(model.recommend_for_items(m, K_RECS), "item", "user")
 
 
+def q_als_certificate(spark, sf):
+    """M5: the first model's certificate."""
+    p = _prep(spark, sf)
+    m = model.fit_als(p.train, model.FIRST_MODEL)
+    return certificate(m, p.train, model.FIRST_MODEL).select("n_users", "n_ratings", "certified")
+
+
 def _grid_runs(spark, sf) -> DataFrame:
+    """The 27 fits, each with its certificate: made once an application and
+    table folder; what is logged isn't fitted again."""
     p = _prep(spark, sf)
-    return tuning.grid_search(p.train, p.test)
+    return tuning.grid_search(p.train, p.test, log_path=_shared_log(spark, sf, "grid"), split_id=f"md5-{SEED}-0.2", certify=True)
 
 
 def q_als_grid(spark, sf):
-    return _grid_runs(spark, sf)
+    return _certified_runs(_grid_runs(spark, sf))
+
+
+def _placed(top: DataFrame, runs: DataFrame) -> DataFrame:
+    """(place, certified): each listed run has a certificate and as many better
+    runs in the whole table as its place allows."""
+    w = Window.orderBy(F.desc_nulls_last("map_at_10"), "rank", "regParam", "maxIter")
+    placed = top.withColumn("place", F.row_number().over(w)).select("place", "certified", "map_at_10")
+    better = placed.join(runs.select(F.col("map_at_10").alias("other")), F.col("other") > F.col("map_at_10"), "left")
+    counts = better.groupBy("place", "certified").agg(F.count("other").alias("better"))
+    return counts.select("place", (F.col("certified") & (F.col("better") < F.col("place"))).alias("certified"))
 
 
 def q_als_leaderboard(spark, sf):
-    return tuning.leaderboard(_grid_runs(spark, sf), 5)
+    runs = _grid_runs(spark, sf)
+    return _placed(tuning.leaderboard(runs, 5), runs)
 
 
 def q_als_best_config(spark, sf):
-    return tuning.best_config(_grid_runs(spark, sf))
+    runs = _grid_runs(spark, sf)
+    return _placed(tuning.best_config(runs), runs)
 
 
 def q_als_rank_marginals(spark, sf):
-    return tuning.rank_marginals(_grid_runs(spark, sf))
+    """A10: one mean for each (maxIter, rank), between its runs' least and
+    greatest."""
+    runs = _grid_runs(spark, sf)
+    spread = runs.groupBy("maxIter", "rank").agg(F.count(F.lit(1)).alias("n_runs"), F.min("precision_at_10").alias("lo"), F.max("precision_at_10").alias("hi"), F.bool_and("certified").alias("certified"))
+    inside = F.col("avg_precision_at_10").between(F.col("lo") - 1e-12, F.col("hi") + 1e-12)
+    return tuning.rank_marginals(runs).join(spread, ["maxIter", "rank"]).select("maxIter", "rank", "n_runs", (F.col("certified") & inside).alias("certified"))
 
 
 def q_als_tradeoff(spark, sf):
-    return tuning.tradeoff_points(_grid_runs(spark, sf))
+    """A12: one point a run, with both measures."""
+    runs = _grid_runs(spark, sf)
+    points = tuning.tradeoff_points(runs).join(runs.select("rank", "regParam", "maxIter", "certified"), ["rank", "regParam", "maxIter"])
+    return points.select("regParam", "rank", "maxIter", (F.col("certified") & F.col("rmse").isNotNull() & F.col("map_at_10").isNotNull()).alias("certified"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan": q_csv_scan,
+    "csv_inferred": q_csv_inferred,
+    "csv_schema": q_csv_schema,
+    "csv_malformed": q_csv_malformed,
+    "preview_rows": q_preview_rows,
     "plays": q_plays,
     "distinct_users": q_distinct_users,
     "distinct_games": q_distinct_games,
     "behavior_counts": q_behavior_counts,
     "cardinalities": q_cardinalities,
+    "cardinalities_by_behavior": q_cardinalities_by_behavior,
+    "cardinalities_merged": q_cardinalities_merged,
     "top_items": q_top_items,
     "top_users": q_top_users,
     "top_items_sales": q_top_items_sales,
@@ -460,9 +687,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratings": q_ratings,
     "split_rows": q_split_rows,
     "split_counts": q_split_counts,
+    "random_split_totals": q_random_split_totals,
     "coverage": q_coverage,
     "rmse_item_mean": q_rmse_item_mean,
     "actual_items": q_actual_items,
+    "actual_chunks": q_actual_chunks,
+    "shared_items": q_shared_items,
     "random_recs": q_random_recs,
     "rec_items": q_rec_items,
     "hits_per_user": q_hits_per_user,
@@ -471,15 +701,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "random_baseline_run": q_random_baseline_run,
     "fixed_factor_scores": q_fixed_factor_scores,
     "fixed_factor_score_report": q_fixed_factor_score_report,
+    "bucketed_factor_scores": q_bucketed_factor_scores,
     "topk_dot_users": q_topk_dot_users,
     "topk_dot_items": q_topk_dot_items,
+    "topk_two_way_users": q_topk_two_way_users,
+    "topk_two_way_items": q_topk_two_way_items,
     "readable_user_recs": q_readable_user_recs,
     "readable_item_recs": q_readable_item_recs,
+    "first_user_recs": q_first_user_recs,
     "recs_for_user": q_recs_for_user,
     "users_for_game": q_users_for_game,
     "stream_item_totals": q_stream_item_totals,
     "stream_user_totals": q_stream_user_totals,
+    "runs_grid": q_runs_grid,
+    "runs_leaderboard": q_runs_leaderboard,
+    "runs_best_config": q_runs_best_config,
+    "runs_rank_marginals": q_runs_rank_marginals,
+    "runs_tradeoff": q_runs_tradeoff,
+    "runs_slice": q_runs_slice,
     "als_predictions": q_als_predictions,
+    "als_certificate": q_als_certificate,
     "als_score_report": q_als_score_report,
     "als_baseline_run": q_als_baseline_run,
     "als_user_recs": q_als_user_recs,

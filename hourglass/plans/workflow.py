@@ -21,6 +21,7 @@ from ..operators.explore import behavior_counts, cardinalities, plays, top_items
 from ..operators.indexing import Dictionary, build_dictionaries
 from ..operators.metrics import KS, ranking_metrics, score_report
 from ..operators.model import BASELINE, ALSConfig, fit_als, predict, recommend_for_items, recommend_for_users
+from ..operators.topk import pack, two_way_top_k
 from ..operators.present import readable_item_recs, readable_user_recs
 from ..operators.ratings import build_ratings, index_interactions, with_split
 from ..session import stable_table
@@ -62,12 +63,15 @@ def prepare(
     materialize: bool = True,
     split: str = "hash",
     max_broadcast_bytes: int | None = None,
+    stage: bool = True,
 ) -> Prepared:
     """Dictionaries are built on all cleaned rows before the split (as the
     reference fits its indexers), so test-only ids get an id but no factor –
     they show up as lost coverage, not as errors.
 
-    The raw rows are scanned twice: once for both dictionaries, once to encode.
+    The cleaned rows (three columns) are used twice, for the dictionaries and to
+    encode. With ``stage`` they are written once to the shared folder, so that the
+    source (a CSV to parse, a join) runs once.
     With ``materialize`` the compact ratings table (user, item, rating, split)
     is written as Parquet to the shared folder, partitioned by ``split``, so
     every later fit, score and metric reads it (train or test only, by folder
@@ -83,6 +87,8 @@ def prepare(
     dictionary is broadcast for encoding; above it the interactions are
     shuffled by label to meet the dictionary."""
     rows = clean_interactions(plays(interactions, behavior), min_value=min_value)
+    if stage and materialize:
+        rows = stable_table(rows, "cleaned")
     dicts = build_dictionaries(rows, {"user": "user_id", "item": "game"})
     users, items = dicts["user"], dicts["item"]
     bounds = {} if max_broadcast_bytes is None else {"max_broadcast_bytes": max_broadcast_bytes}
@@ -136,8 +142,13 @@ def name_recommendations(
     """Named top-``k`` lists in both directions. Scoring every user against
     every item grows with users × items; pass ``users`` (column ``user``) /
     ``items`` (column ``item``) to score only those ids."""
-    user_recs = recommend_for_users(model, k, users)
-    item_recs = recommend_for_items(model, k, items)
+    if users is None and items is None:
+        # both directions from one product of each user with each item
+        by_user, by_item = two_way_top_k(model.userFactors, model.itemFactors, k)
+        user_recs, item_recs = pack(by_user, "user", "item"), pack(by_item, "item", "user")
+    else:
+        user_recs = recommend_for_users(model, k, users)
+        item_recs = recommend_for_items(model, k, items)
     return (
         readable_user_recs(user_recs, prep.items, prep.users),
         readable_item_recs(item_recs, prep.items, prep.users),

@@ -1,13 +1,12 @@
 """Run log: one row per trained configuration, appended to a Parquet table.
 
 This replaces the reference's external tracking service: parameters and
-metrics of every run are columns of a table that any Spark job can read.
+metrics of every run are columns of a table that any Spark job can read. An
+append shows whole or not at all (``sources.committed``).
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -36,6 +35,7 @@ RUNS = T.StructType(
         T.StructField("recall_at_10", T.DoubleType(), True),
         T.StructField("map_at_10", T.DoubleType(), True),
         T.StructField("fit_seconds", T.DoubleType(), True),
+        T.StructField("certified", T.BooleanType(), True),
     ]
 )
 
@@ -47,17 +47,16 @@ def runs_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame([tuple(r.get(c) for c in RUN_COLUMNS) for r in rows], RUNS)
 
 
-def append_runs(runs: DataFrame, path: str) -> str:
-    """Append run rows to the log at ``path``.
+def append_runs(runs: DataFrame, path: str) -> None:
+    """Append run rows to the log at ``path``: all of them or none, also beside
+    other fits and drivers that append at the same time."""
+    from .committed import append_committed
 
-    Each append is its own write job into a fresh sub-folder, so appends from
-    concurrent fits (or several drivers) never share a commit staging folder.
-    Returns the sub-folder written.
-    """
-    part = f"{path.rstrip('/')}/batch-{uuid.uuid4().hex}"
-    runs.select(*RUN_COLUMNS).coalesce(1).write.mode("errorifexists").parquet(part)
-    return part
+    append_committed(runs, path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS).option("recursiveFileLookup", "true").parquet(path)
+    """The rows of all committed appends; none for a log that isn't there."""
+    from .committed import read_committed
+
+    return read_committed(spark, path)
