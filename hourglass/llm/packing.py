@@ -18,7 +18,8 @@ no padding is needed. Sequences, longest first, are dealt into step groups of
 ``STEP_TOKENS`` ids; because lengths are powers of two, each step group but the
 last of a pack group holds exactly that many.
 
-Distribution. Ids are written once as a table. Packing works on lengths: pack
+Distribution. Ids are written once as a table, in 16 bits each if the
+vocabulary allows it. Packing works on lengths: pack
 groups of about ``GROUP_TOKENS`` ids, dealt by hash of the row, are laid on a
 line by running sums within the group, and cutting the line at both sets of
 boundaries gives the pieces. The number of groups follows the input; no group
@@ -32,11 +33,15 @@ from __future__ import annotations
 
 import math
 import re
+import sys
+import types
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +57,7 @@ STEP_TOKENS = 1 << 17
 CACHE_WORDS = 400_000
 CACHE_STEMS = 900_000
 WORDS_AT_ONCE = 4000
+BYTES_AT_ONCE = 32 << 20
 
 
 #: Plain words, a line each: letters below U+0250 and then ASCII punctuation,
@@ -60,18 +66,21 @@ _PLAIN = re.compile("^(?:([a-zß-öø-ɏ]+)([!-&(-/:-@\\[-`{-~']*)|.*)$", re.M)
 
 
 class _Words:
-    """Ids of the words of a text, each word encoded once.
+    """Ids of the words of texts, each word encoded once.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words in turn. New words are encoded many at a time: a
-    stretch of plain words and punctuation is one call, and its ids are cut at
-    the pieces that end a word."""
+    are those of its words in turn. Arrow splits the texts and numbers the
+    different words of a batch, so that Python sees a word once a batch and the
+    ids are gathered by number. New words are encoded many at a time: a stretch
+    of plain words and punctuation is one call, and its ids are cut at the pieces
+    that end a word."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.ends = None
+        self.kind = np.dtype(id_type(self.tok))
         vocab = self.tok.get_vocab()
         if sum(v.endswith("</w>") for v in vocab) > 1000:
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -80,17 +89,18 @@ class _Words:
         self.stems: dict[str, bytes] = {}
 
     def _one(self, word: str) -> bytes:
-        return np.array(self.tok.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
+        return np.array(self.tok.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _stems(self, stems: list[str]) -> None:
         for i in range(0, len(stems), WORDS_AT_ONCE):
             some = stems[i:i + WORDS_AT_ONCE]
-            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+            # ids alone: no offsets of the characters are worked out
+            ids = np.array(self.tok.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
             stop = np.flatnonzero(self.ends[ids]) + 1
             if len(stop) != len(some):
                 self.stems.update((s, self._one(s)) for s in some)
                 continue
-            data, at = ids.tobytes(), (stop * 4).tolist()
+            data, at = ids.tobytes(), (stop * self.kind.itemsize).tolist()
             self.stems.update(zip(some, (data[a:b] for a, b in zip([0, *at], at))))
 
     def learn(self, words: list[str]) -> None:
@@ -111,39 +121,60 @@ class _Words:
         for w, (a, b) in zip(words, parts):
             known[w] = get(a) + get(b) if a else one(w)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set().union(*split)
-        new = words.difference(self.known)
+    def encode(self, texts: pa.Array, eos: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts on end, each with ``eos`` behind, and where each
+        text begins (one place more than texts)."""
+        lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        numbered = lists.flatten().dictionary_encode()
+        words = numbered.dictionary.to_pylist()
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known, new = {}, words
-        self.learn(list(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        self.learn(new)
+        # the end of a text is one word more
+        data = [*map(self.known.__getitem__, words), np.array([eos], self.kind).tobytes()]
+        flat = np.frombuffer(b"".join(data), self.kind)
+        size = np.fromiter(map(len, data), np.int64, len(data)) // self.kind.itemsize
+        begin = np.cumsum(size) - size
+        ends = lists.offsets.to_numpy()[1:] - lists.offsets.to_numpy()[0]
+        which = np.insert(numbered.indices.to_numpy().astype(np.int64), ends, len(words))
+        n = size[which]
+        stop = np.cumsum(n)
+        out = flat[np.repeat(begin[which] - (stop - n), n) + np.arange(stop[-1] if len(stop) else 0)]
+        return out, np.r_[0, stop[ends + np.arange(len(ends))]] if len(ends) else np.zeros(1, np.int64)
 
 
-def _words(path: str) -> _Words:
-    """One encoder a worker: it stays on the library's module between tasks."""
-    import tokenizers
+def id_type(tok) -> str:
+    """The narrowest little-endian type that holds every id of a tokenizer."""
+    return "<u2" if tok.get_vocab_size() <= 1 << 16 and max(tok.get_vocab().values()) < 1 << 16 else "<u4"
+
 
-    kept = tokenizers.__dict__.setdefault("_encoders_by_path", {})
+def _words(path: str) -> _Words:
+    """One encoder a worker: a module of its own keeps it between tasks."""
+    kept = sys.modules.setdefault("_packing_encoders", types.ModuleType("_packing_encoders")).__dict__
     if path not in kept:
         kept[path] = _Words(path)
     return kept[path]
 
 
 def token_table(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", eos: int = EOS) -> DataFrame:
-    """Written table (doc_id, n, ids): ids as little-endian unsigned 32-bit
-    integers, ``eos`` last."""
-    end = np.array([eos], np.uint32).tobytes()
+    """Written table (doc_id, n, ids): ids as little-endian unsigned integers
+    of ``id_type``, ``eos`` last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _words(path)
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                ids = [x + end for x in enc.encode([t or "" for t in part.column("text").to_pylist()])]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n", "ids"])
+            bytes_ = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            # slices of about BYTES_AT_ONCE; a longer text is one of its own
+            part = (np.cumsum(bytes_) - bytes_) // BYTES_AT_ONCE
+            cuts = np.flatnonzero(np.diff(part)) + 1
+            for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                rows = batch.slice(i, j - i)
+                ids, at = enc.encode(rows.column("text"), eos)
+                offsets = pa.py_buffer((at * enc.kind.itemsize).astype(np.int32 if ids.nbytes < 2**31 else np.int64))
+                whole = pa.binary() if ids.nbytes < 2**31 else pa.large_binary()
+                data = pa.Array.from_buffers(whole, len(rows), [None, offsets, pa.py_buffer(np.ascontiguousarray(ids))])
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(np.diff(at)), data.cast(pa.binary())], names=["doc_id", "n", "ids"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return written(rows.mapInArrow(run, "doc_id long, n long, ids binary").withColumn("row", F.monotonically_increasing_id()), "packing-ids")
@@ -216,18 +247,45 @@ def pieces(lengths: DataFrame, groups: int, step_tokens: int = STEP_TOKENS) -> D
     return out.select("row", "start", "length", (F.col("g").cast("long") * F.lit(2**32) + F.col("k") - 1).alias("sequence_id"), "offset", "sequence_length", (F.col("g").cast("long") * F.lit(2**32) + F.floor(F.col("ids") / step_tokens)).alias("step_group"))
 
 
-def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", group_tokens: int = GROUP_TOKENS) -> DataFrame:
-    """One row a piece: doc_id, start, length, ids (binary), doc_tokens,
-    sequence_id, offset, sequence_length, step_group."""
+PIECE = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, sequence_length long, step_group long"
+
+
+def _pieces_of(docs: DataFrame, path: str, doc_id: str, text: str, group_tokens: int) -> tuple[DataFrame, str]:
+    """One row a piece with its ids as they are stored, and their type."""
+    from tokenizers import Tokenizer
+
+    kind = id_type(Tokenizer.from_file(path))
+    width = np.dtype(kind).itemsize
     ids = token_table(docs, path, doc_id, text)
     total = ids.agg(F.sum("n")).first()[0] or 0
     plan = pieces(ids.select("row", "n"), max(1, math.ceil(total / group_tokens)))
     both = plan.join(ids.withColumnRenamed("n", "doc_tokens"), "row")
-    piece = F.substring(F.col("ids"), (F.col("start") * 4 + 1).cast("int"), (F.col("length") * 4).cast("int"))
-    return both.select("doc_id", "start", "length", piece.alias("ids"), "doc_tokens", "sequence_id", "offset", "sequence_length", "step_group")
+    piece = F.substring(F.col("ids"), (F.col("start") * width + 1).cast("int"), (F.col("length") * width).cast("int"))
+    return both.select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "sequence_length", "step_group", piece.alias("ids")), kind
+
+
+def _widened(stored: DataFrame, kind: str, name: str, as_type: pa.DataType, made) -> DataFrame:
+    """``stored`` with ``made`` of each piece's ids as 32-bit integers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wide = [made(np.frombuffer(x, kind).astype("<u4").tobytes()) for x in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(wide, as_type)], names=[*batch.schema.names[:-1], name])
+
+    return stored.mapInArrow(run, f"{PIECE}, {name} {'long' if as_type == pa.int64() else 'binary'}")
+
+
+COLUMNS = ("doc_tokens", "sequence_id", "offset", "sequence_length", "step_group")
+
+
+def pack(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", group_tokens: int = GROUP_TOKENS) -> DataFrame:
+    """One row a piece: doc_id, start, length, ids (binary, little-endian 32-bit
+    integers), doc_tokens, sequence_id, offset, sequence_length, step_group."""
+    wide = _widened(*_pieces_of(docs, path, doc_id, text, group_tokens), "ids", pa.binary(), bytes)
+    return wide.select("doc_id", "start", "length", "ids", *COLUMNS)
 
 
 def packed_digest(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``pack`` with the CRC-32 of each piece in place of its ids."""
-    p = pack(docs, path, doc_id, text)
-    return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "sequence_length", "step_group")
+    crc = _widened(*_pieces_of(docs, path, doc_id, text, GROUP_TOKENS), "ids_crc32", pa.int64(), zlib.crc32)
+    return crc.select("doc_id", "start", "length", "ids_crc32", *COLUMNS)
