@@ -6,8 +6,9 @@ license templates stand. A match votes for the diagonal (word position minus
 template position) of its template. Neighbouring diagonals (at most ``DRIFT``
 apart: a word was put in or left out) are merged into one candidate span. A
 span is verified on the words: it stands if enough of the template's k-grams
-were found in it, and its words and the template's agree to ``AGREE`` in a word
-by word comparison of the two bags. Verified spans add the template's label.
+were found in it, its words and the template's agree to ``AGREE`` as sets, and
+so do their pairs of neighbouring words, in order, to ``ORDER``: the same words
+in another order are no notice. Verified spans add the template's label.
 
 Base rules find fixed phrases; their labels always stay.
 
@@ -31,6 +32,8 @@ K = 4
 DRIFT = 3
 COVER = 0.5
 AGREE = 0.7
+#: An edited word breaks two pairs, so pairs agree less than words.
+ORDER = 0.5
 
 #: The phrases of the base rules and their labels.
 PHRASES = ((("mit", "license"), "mit"), (("apache", "license"), "apache"), (("general", "public", "license"), "gpl"))
@@ -112,7 +115,7 @@ def spans(rows: DataFrame, templates=TEMPLATES, k: int = K, drift: int = DRIFT,
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=TEMPLATES, k: int = K, agree: float = AGREE) -> DataFrame:
     """One row a document: id, n_words, n_base, first_word, last_word,
     base_labels, labels, score, and the verified spans (template label, from,
-    to, agreement)."""
+    to, agreement of words, and of pairs in order)."""
     rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tag"), words(F.col(text)).alias("w"))
     found = written(spans(rows, templates, k), "license-spans")
     lists = found.groupBy(F.col("id").alias("_id"), F.col("tag").alias("_tag")).agg(F.sort_array(F.collect_list(F.struct("template", "from", "to"))).alias("spans"))
@@ -121,12 +124,21 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=
     bags = F.array(*[F.array(*[F.lit(x) for x in sorted(set(t.split()))]) for _, t in templates])
     names = F.array(*[F.lit(label) for label, _ in templates])
 
+    couples = F.array(*[F.array(*[F.lit(x) for x in sorted({f"{a} {b}" for a, b in zip(t.split(), t.split()[1:])})]) for _, t in templates])
+
+    def alike(a: Column, b: Column) -> Column:
+        return F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))
+
     def agreement(s: Column) -> Column:
-        bag, here = F.get(bags, s["template"]), F.array_distinct(F.slice("w", s["from"] + 1, s["to"] - s["from"]))
-        return F.size(F.array_intersect(bag, here)) / F.size(F.array_union(bag, here))
+        return alike(F.get(bags, s["template"]), F.slice("w", s["from"] + 1, s["to"] - s["from"]))
+
+    def order(s: Column) -> Column:
+        # a span holds k words at least
+        pairs = F.transform(F.sequence(s["from"], s["to"] - 2), lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1)))
+        return alike(F.get(couples, s["template"]), pairs)
 
-    checked = F.transform("spans", lambda s: F.struct(F.get(names, s["template"]).alias("label"), s["from"].alias("from"), s["to"].alias("to"), F.round(agreement(s), 6).alias("agreement")))
-    df = df.withColumn("spans", F.filter(F.coalesce(checked, F.array().cast("array<struct<label:string,from:int,to:int,agreement:double>>")), lambda s: s["agreement"] >= agree))
+    checked = F.transform("spans", lambda s: F.struct(F.get(names, s["template"]).alias("label"), s["from"].alias("from"), s["to"].alias("to"), F.round(agreement(s), 6).alias("agreement"), F.round(order(s), 6).alias("order")))
+    df = df.withColumn("spans", F.filter(F.coalesce(checked, F.array().cast("array<struct<label:string,from:int,to:int,agreement:double,order:double>>")), lambda s: (s["agreement"] >= agree) & (s["order"] >= ORDER)))
     starts = phrase_starts("w")
     df = df.withColumns({f"_p{i}": s for i, s in enumerate(starts)})
     every = F.concat(*[F.col(f"_p{i}") for i in range(len(starts))])

@@ -325,6 +325,62 @@ def test_license_scan(spark):
     ])
 
 
+def scan_brute(key, text):
+    """Labels and score of one text from the definitions."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    k = license_scan.K
+    base = [(i, label) for phrase, label in license_scan.PHRASES for i in range(len(w)) if tuple(w[i:i + len(phrase)]) == phrase]
+    labels, best = {x for _, x in base}, 0.0
+    jac = lambda a, b: len(a & b) / len(a | b)
+    pairs = lambda x: set(zip(x, x[1:]))
+    for label, template in license_scan.TEMPLATES:
+        t = template.split()
+        places = {}
+        for j in range(len(t) - k + 1):
+            places.setdefault(tuple(t[j:j + k]), []).append(j)
+        diagonals = {}
+        for i in range(len(w) - k + 1):
+            for j in places.get(tuple(w[i:i + k]), []):
+                diagonals.setdefault(i - j, []).append((i, j))
+        group = []
+        for d in [*sorted(diagonals), None]:
+            if group and (d is None or d - group[-1] > license_scan.DRIFT):
+                hits = [h for g in group for h in diagonals[g]]
+                a, z = min(i for i, _ in hits), max(i for i, _ in hits) + k
+                if len({j for _, j in hits}) >= license_scan.COVER * max(1, len(t) - k + 1):
+                    agree = round(jac(set(t), set(w[a:z])), 6)
+                    if agree >= license_scan.AGREE and round(jac(pairs(t), pairs(w[a:z])), 6) >= license_scan.ORDER:
+                        labels.add(label)
+                        best = max(best, agree)
+                group = []
+            group.append(d)
+    at = [i for i, _ in base]
+    return (str(key), len(w), len(base), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in base})), ",".join(sorted(labels)), 1.0 if base else best)
+
+
+def test_license_scan_equals_brute_force(spark):
+    rng = np.random.default_rng(12)
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
+    for n, (label, t) in enumerate(license_scan.TEMPLATES):
+        for kind in range(4):
+            x = t.split()
+            if kind == 1:  # edited words
+                for i in rng.choice(len(x), max(1, len(x) // 12), replace=False):
+                    x[i] = "edited"
+            elif kind == 2:  # the same words in another order, but for a stretch
+                x = x[:k] + list(rng.permutation(x[k:])) if (k := len(x) // 2) else x
+            elif kind == 3:  # twice, cut off the second time
+                x = x + ["and"] * 9 + x[: 2 * len(x) // 3]
+            rows.append((10_000 + 10 * n + kind, "Foo bar, " + " ".join(x).title() + ". Baz"))
+    rows += [(None, None), (-1, ""), (-1, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(str((str(r["doc_id"]), r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"], r["score"])) for r in license_scan.scan(df).collect())
+    want = [scan_brute(*r) for r in rows]
+    assert got == sorted(map(str, want))
+    assert sum(bool(x[6]) for x in want) > 30 and any(x[6] != x[5] for x in want)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 200), (200, 150), (7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
