@@ -14,8 +14,8 @@ Distribution. The tree is the only broadcast (at most MAX_LEAVES centroids
 and as many inner nodes). Vectors are dealt by (leaf, block), blocks of at
 most ``BLOCK`` rows, so a leaf with a third of all rows is many tasks'
 work; the queries that visit a leaf come to each of its blocks. A block answers
-each of its queries with its own ``k`` best, and these are merged with a
-partial aggregate. Scores are inner products of the original vectors in double
+each of its queries with its own ``k`` best, and these are cut to ``k`` by
+each task and then over all. Scores are inner products of the original vectors in double
 precision; ties go to the smaller id.
 
 Cases. Vectors that are null, empty, zero, hold a null or non-finite component,
@@ -33,7 +33,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -159,7 +159,7 @@ def calibrate(tree: Tree, rows: DataFrame, queries: np.ndarray, query_ids: np.nd
 
 def top_candidates(rows: DataFrame, queries: np.ndarray, query_ids: np.ndarray, k: int) -> list[tuple[int, int]]:
     """(query number, leaf) of the true ``k`` nearest of each query: each batch
-    answers with its own best, merged with a partial aggregate."""
+    answers with its own best, each task cuts them to ``k``, then all do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -175,8 +175,9 @@ def top_candidates(rows: DataFrame, queries: np.ndarray, query_ids: np.ndarray,
             yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(s[q, at]), pa.array(ids[at]), pa.array(leaf[at])], names=["q", "score", "id", "leaf"])
 
     best = rows.mapInArrow(run, "q long, score double, id long, leaf long").where(F.col("score") > float("-inf"))
-    best = best.groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "id", "leaf"))), 1, k).alias("top"))
-    return [(r["q"], x["leaf"]) for r in best.collect() for x in r["top"]]
+    # at most k rows a query and task are shuffled, and k a query collected
+    turn = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
+    return [(r["q"], r["leaf"]) for r in best.withColumn("turn", turn).where(F.col("turn") <= k).select("q", "leaf").collect()]
 
 
 def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", k: int = 20, every: int = 20, target: float = TARGET,
@@ -256,8 +257,11 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
         return both.mapInArrow(answer, "query_id long, vec_id long, score double")
 
     def best(found: DataFrame) -> DataFrame:
-        # the order of the list is that of the result: largest score, smaller id
-        return found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("top"))
+        # cut to k by each task, then over all: no list is longer than k. Its
+        # order is that of the result: largest score, smaller id
+        turn = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        some = found.withColumn("turn", turn).where(F.col("turn") <= k)
+        return some.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))).alias("top"))
 
     # Rounds of widening: each visits WIDEN times as many leaves as all before
     # it, and answers only with what reaches the k-th best found so far. A
