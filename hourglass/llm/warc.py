@@ -11,7 +11,8 @@ reader fetches the footer and table of a bundle, then only the frames it needs.
 
 Distribution. Digests and the choice of responses work on (id, digest, length)
 rows, with partial maxima by digest, so thousands of equal pages weigh little.
-Payloads are shuffled once, by row. Bundles lie in the shared folder, under a
+Payloads are not shuffled, but for rows that repeat an id and its payload: of
+these each task sends one. Bundles lie in the shared folder, under a
 name that only one attempt of one task has; the index names the bundles of the
 attempts that succeeded, so a repeated task leaves an orphan and no error.
 
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -199,10 +200,16 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", payload: str
     if best.where("same > 1").isEmpty():
         todo = known.withColumn("again", ~response)
     else:
-        tied = response & (F.col("same") > 1)
-        turn = F.row_number().over(Window.partitionBy("digest", "n").orderBy("url"))
-        one = known.where(tied).withColumn("again", turn > 1)
-        todo = known.where(~F.coalesce(tied, F.lit(False))).withColumn("again", ~response).unionByName(one)
+        # rows equal in id and payload: the first by URL is the response. Equal
+        # rows are counted, so that a payload travels once a task, and made again
+        tied = F.coalesce(response & (F.col("same") > 1), F.lit(False))
+        each = known.where(tied).groupBy("digest", "n", "id", "best", "url").agg(F.first("payload").alias("payload"), F.count(F.lit(1)).alias("copies"))
+        least = known.where(tied).groupBy("digest", "n").agg(F.min(F.struct("url")).alias("first")).withColumnsRenamed({"digest": "_digest", "n": "_n"})
+        each = each.join(least, (F.col("digest") == F.col("_digest")) & (F.col("n") == F.col("_n")))
+        each = each.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        one = each.withColumn("again", ~(F.col("url").eqNullSafe(F.col("first.url")) & (F.col("copy") == 1)))
+        names = ["id", "url", "payload", "digest", "n", "best", "again"]
+        todo = known.where(~tied).withColumn("again", ~response).select(*names).unionByName(one.select(*names))
     todo = todo.select("id", "url", "payload", "digest", "best", "again", F.monotonically_increasing_id().alias("row"))
     return written(todo.mapInArrow(run, INDEX), "warc-index")
 
