@@ -57,7 +57,7 @@ STEP_TOKENS = 1 << 17
 CACHE_WORDS = 400_000
 CACHE_STEMS = 900_000
 WORDS_AT_ONCE = 4000
-BYTES_AT_ONCE = 32 << 20
+BYTES_AT_ONCE = 16 << 20
 
 
 #: Plain words, a line each: letters below U+0250 and then ASCII punctuation,
