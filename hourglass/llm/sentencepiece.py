@@ -13,14 +13,19 @@ into the word's ids:
   than the model's own encoder, because scores there are merge ranks.)
 
 Characters outside the table become the ids of their UTF-8 bytes. Decoding
-joins ids to the piece table and concatenates the pieces' bytes.
-
-Distribution. Words are distinct before the lattice is built, so a frequent
-word is one row. Words longer than ``WORD`` characters don't fit the integer
-and are merged in the document's own task. If there are at most ``MAX_WORDS``
-words, they are broadcast to a pass over the documents; otherwise each block
-of documents (``BLOCK_BYTES`` of text, dealt by hash of the row) is given the
-words that stand in it by a cogroup. The piece table is bounded by the model.
+joins ids to the piece table and concatenates the pieces' bytes; ``encode``
+decodes every different word and compares.
+
+Distribution. One pass reads the texts, where they stand: it cuts them into
+words and writes, for blocks of about ``BLOCK_BYTES`` of text, each document as
+numbers of words and the block's words by number. Texts are not read or moved
+again. The words of all blocks are dealt by word, so that the lattice is built
+once for each different word (once for about ``CHUNK`` blocks, so that no
+list of a word's places is long), and their ids go back to the blocks that
+asked, where a cogroup puts them in the numbers' places. A block has a bound in
+text and in words, whatever its rows. Words longer than ``WORD`` characters
+don't fit the integer and are merged in the first pass. The piece table is
+bounded by the model.
 
 Cases. Null text is empty and has no ids; a text of spaces has ids. Equal rows
 are encoded alike; a null id passes through. Texts of any length are encoded
@@ -31,7 +36,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -47,8 +53,19 @@ WORD = 60
 #: Bits of an id, and of id, length and start together, in an edge.
 ID = 24
 RANK = ID + 12
-MAX_WORDS = 300_000
-BLOCK_BYTES = 32 << 20
+#: Marks an edge of a late piece, in the id's bits.
+LATE = 1 << ID - 1
+#: A block ends with the document that reaches one of these bounds.
+MAX_WORDS = 2_000_000
+BLOCK_BYTES = 64 << 20
+#: Blocks whose words meet: a word's places are a list of about as many.
+CHUNK = 1000
+#: Bits of a word's number in its place; the rest names the block.
+NUMBER = 26
+#: Blocks of a task, as bits of the block's name.
+TURN = 14
+#: Characters below this have their ids in an array; others need an edge.
+DIRECT = 0x2600
 #: Fixed value: what an unknown character costs below the worst score.
 UNKNOWN_PENALTY = 10.0
 
@@ -83,7 +100,7 @@ def load(path: str) -> Model:
     pieces = [(p.piece, i, p.score) for i, p in enumerate(m.pieces) if p.type in (1, 4)]
     if any(SPACE in p.lstrip(SPACE) for p, _, _ in pieces):
         raise ValueError("pieces cross words")
-    if len(m.pieces) >= 1 << ID:
+    if len(m.pieces) >= LATE:
         raise ValueError("the table is too large for an edge's integer")
     number = {p.piece: i for i, p in enumerate(m.pieces) if p.type == 6}
     byte_ids = [number[f"<0x{b:02X}>"] for b in range(256)]
@@ -92,11 +109,6 @@ def load(path: str) -> Model:
     return Model(pieces, byte_ids, t.model_type == 1, n.add_dummy_prefix, alone, max(len(p) for p, _, _ in pieces))
 
 
-def normalized(text: Column, model: Model) -> Column:
-    t = F.replace(F.coalesce(text, F.lit("")), F.lit(" "), F.lit(SPACE))
-    return F.when(F.length(t) > 0, F.concat(F.lit(SPACE if model.prefix else ""), t)).otherwise("")
-
-
 def word_pattern(model: Model) -> str:
     """A word: a run of U+2581 and what follows up to the next; characters that
     stand in no piece and may end a line are words of their own."""
@@ -114,22 +126,40 @@ def _ranks(model: Model) -> list[float]:
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
     """Rows (piece, code): rank of the score and id in one integer."""
     rank = {s: r for r, s in enumerate(_ranks(model))}
-    return spark.createDataFrame([(p, rank[s] << RANK | i) for p, i, s in model.pieces], "piece string, code long")
+    late = set() if model.unigram else set(late_pieces(model))
+    return spark.createDataFrame([(p, rank[s] << RANK | i | (LATE if i in late else 0)) for p, i, s in model.pieces], "piece string, code long")
+
+
+def _array(values: list, kind: str) -> Column:
+    """A constant array, from one string."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
 def lattice(words: DataFrame, model: Model) -> DataFrame:
-    """Rows (word, n, edges): the edges of each word as integers, from the top
-    rank, start, length and id; so they sort by score, then leftmost. Words
-    that were dealt by word (as ``distinct`` does) are not shuffled again."""
-    w = words.select("word", F.length("word").alias("n")).where((F.col("n") > 0) & (F.col("n") <= WORD))
-    subs = w.select("word", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("s"))
-    subs = subs.select("word", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("n") - F.col("s")))).alias("l"))
-    subs = subs.select("word", "s", "l", F.substring("word", F.col("s") + 1, F.col("l")).alias("piece"))
+    """Rows (word, places, n, edges, late) of rows (word, places): the edges of
+    each word as integers, from the top rank, start, length and id; so they sort
+    by score, then leftmost. Rows that were dealt by word are not shuffled again:
+    they are numbered, and the edges of a number stand together. Merging needs
+    no edge of one character, where its id is in an array."""
+    least = F.lit(1) if model.unigram else F.when(F.col("word").rlike(f"[^\\u0000-\\u{DIRECT - 1:04x}]"), 1).otherwise(2)
+    w = words.where(F.length("word").between(1, WORD))
+    w = w.select(F.monotonically_increasing_id().alias("row"), "word", "places", F.length("word").alias("n"), least.alias("least"))
+    subs = w.select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("n") - F.col("least")))).alias("s"))
+    subs = subs.select("*", F.explode(F.sequence("least", F.greatest("least", F.least(F.lit(model.longest), F.col("n") - F.col("s"))))).alias("l"))
+    piece = F.when(F.col("s") + F.col("l") <= F.col("n"), F.substring("word", F.col("s") + 1, F.col("l")))
+    first = (F.col("s") == 0) & (F.col("l") == F.col("least"))
+    subs = subs.select("row", "word", "s", "l", piece.alias("piece"), first.alias("first"), F.when(first, F.col("places")).alias("places"))
     hit = subs.join(F.broadcast(piece_table(words.sparkSession, model)), "piece", "left")
-    # a word without an edge keeps one row
-    hit = hit.where(F.col("code").isNotNull() | ((F.col("s") == 0) & (F.col("l") == 1)))
+    # a word's first substring brings its places, with an edge or without
+    hit = hit.where(F.col("code").isNotNull() | F.col("first"))
     edge = F.col("code").bitwiseOR(F.shiftleft((F.col("s") * 64 + F.col("l")).cast("long"), ID))
-    return hit.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges")).select("word", F.length("word").alias("n"), "edges")
+    out = hit.groupBy("row", "word").agg(F.sort_array(F.collect_list(edge)).alias("edges"), F.first("places", ignorenulls=True).alias("places"), F.bit_or("code").alias("marks"))
+    late = F.coalesce(F.col("marks"), F.lit(0)).bitwiseAND(F.lit(LATE)) != 0
+    return out.select("word", "places", F.length("word").alias("n"), "edges", late.alias("late"))
+
+
+def _id(edge: Column) -> Column:
+    return edge.bitwiseAND(F.lit(LATE - 1)).cast("int")
 
 
 def _place(edge: Column) -> Column:
@@ -146,7 +176,7 @@ def _length(edge: Column) -> Column:
 
 
 def _bit(at: Column) -> Column:
-    return F.pow(F.lit(2.0), at).cast("long")
+    return F.call_function("shiftleft", F.lit(1).cast("long"), at)
 
 
 def late_pieces(model: Model) -> list[int]:
@@ -186,8 +216,7 @@ def _merged(model: Model) -> Column:
     every = _bit(F.col("n") + 1) - F.lit(1).cast("long")
     moves = F.transform(F.filter("edges", lambda e: _length(e) > 1), move)
     once = F.aggregate(moves, every, lambda cuts, e: F.when(fits(cuts, e), without(cuts, e)).otherwise(cuts))
-    late = late_pieces(model)
-    if not late:
+    if not late_pieces(model):
         return once
 
     def step(state: Column, _: Column) -> Column:
@@ -196,15 +225,14 @@ def _merged(model: Model) -> Column:
 
     start = F.struct(every.alias("cuts"), moves.alias("moves"))
     again = F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("n") - 1)), start, step)["cuts"]
-    numbers = F.split(F.lit(",".join(map(str, late))), ",").cast("array<bigint>")
-    return F.when(F.arrays_overlap(F.transform("edges", lambda e: e.bitwiseAND(F.lit((1 << ID) - 1))), numbers), again).otherwise(once)
+    return F.when(F.col("late"), again).otherwise(once)
 
 
 def _viterbi(model: Model) -> Column:
     """Cuts of the best path, as bits. State: for each end the best sum and the
     cuts of its path; a single character without an edge costs ``worst``."""
     worst = F.lit(model.worst)
-    scores = F.split(F.lit(",".join(map(repr, _ranks(model)))), ",").cast("array<double>")
+    scores = _array([repr(r) for r in _ranks(model)], "double")
 
     def step(best: Column, end: Column) -> Column:
         into = F.filter("edges", lambda e: _start(e) + _length(e) == end)
@@ -230,24 +258,41 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _bytes(model: Model) -> dict[int, bytes]:
+    """What each id stands for in the text."""
+    return {i: p.replace(SPACE, " ").encode() for p, i, _ in model.pieces} | {i: bytes([b]) for b, i in enumerate(model.byte_ids)}
+
+
 def word_ids(words: DataFrame, model: Model) -> DataFrame:
-    """Rows (word, ids) for words of at most ``WORD`` characters."""
+    """Rows (places, ids, same) of rows (word, places) of at most ``WORD``
+    characters; ``same``: the ids decode to the word."""
     cuts = _viterbi(model) if model.unigram else _merged(model)
     at = _let(cuts, lambda c: F.filter(F.sequence(F.lit(0), F.col("n")), lambda i: F.getbit(c, i) == 1))
     byte_ids = F.array(*[F.lit(i) for i in model.byte_ids])
+    alone = {ord(p): i for p, i, _ in model.pieces if len(p) == 1}
+    direct = _array([alone.get(c, -1) for c in range(DIRECT)], "int")
+    stands = _bytes(model)
+    spelled = _array([stands.get(i, b"").hex().upper() for i in range(max(stands) + 1)], "string")
 
     def ids(keys: Column, s: Column, z: Column) -> Column:
+        text = F.substr("word", s + 1, z - s)
+        one = F.when(z - s == 1, F.get(direct, F.ascii(text)))
         place = F.array_position(keys, s * 64 + z - s).cast("int")
-        code = F.hex(F.encode(F.substr("word", s + 1, z - s), "utf-8"))
+        code = F.hex(F.encode(text, "utf-8"))
         fallback = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda k: F.get(byte_ids, F.conv(F.substr(code, k, F.lit(2)), 16, 10).cast("int")))
-        return F.when(place > 0, F.array(F.get("edges", place - 1).bitwiseAND(F.lit((1 << ID) - 1)).cast("int"))).otherwise(fallback)
+        return F.when(one >= 0, F.array(one)).when(place > 0, F.array(_id(F.get("edges", place - 1)))).otherwise(fallback)
 
     def parts(b: Column) -> Column:
         ends = F.slice(b["at"], 2, F.greatest(F.lit(0), F.size(b["at"]) - 1))
         return F.flatten(F.transform(ends, lambda z, j: ids(b["keys"], F.get(b["at"], j), z)))
 
+    def decoded(i: Column) -> Column:
+        back = F.array_join(F.transform(i, lambda x: F.get(spelled, x)), "")
+        return F.struct(i.alias("ids"), (back == F.hex(F.encode(F.replace("word", F.lit(SPACE), F.lit(" ")), "utf-8"))).alias("same"))
+
     both = F.struct(at.alias("at"), F.transform("edges", _place).alias("keys"))
-    return lattice(words, model).select("word", _let(both, parts).alias("ids"))
+    done = lattice(words, model).select("places", _let(_let(both, parts), decoded).alias("d"))
+    return done.select("places", "d.ids", "d.same")
 
 
 def long_word(word: str, model: Model, table: dict[str, tuple[int, float]]) -> list[int]:
@@ -296,8 +341,7 @@ def long_word(word: str, model: Model, table: dict[str, tuple[int, float]]) -> l
 
 def decode(encoded: DataFrame, model: Model, key: str = "key", ids: str = "ids") -> DataFrame:
     """Rows (key, text) of rows (key, ids): ids joined to their pieces."""
-    rows = [(i, p.replace(SPACE, " ").encode()) for p, i, _ in model.pieces] + [(i, bytes([b])) for b, i in enumerate(model.byte_ids)]
-    pieces = encoded.sparkSession.createDataFrame(rows, "id int, bytes binary")
+    pieces = encoded.sparkSession.createDataFrame(list(_bytes(model).items()), "id int, bytes binary")
     each = encoded.select(F.col(key).alias("key"), F.posexplode(ids).alias("at", "id")).join(F.broadcast(pieces), "id")
     parts = each.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", F.hex("bytes").alias("b")))).alias("parts"))
     data = F.unhex(F.array_join(F.transform("parts", lambda p: p["b"]), ""))
@@ -307,67 +351,148 @@ def decode(encoded: DataFrame, model: Model, key: str = "key", ids: str = "ids")
     return out.select("key", F.when(F.startswith(text, F.lit(" ")), F.substr(text, F.lit(2))).otherwise(text).alias("text") if model.prefix else text.alias("text"))
 
 
-OUT = "doc_id long, n_tokens long, ids binary, decoded_ok boolean"
+class _Numbers(dict):
+    """Words by number, in the order they are met."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+#: Rows of the first pass: documents as numbers of words (bytes by rank, so
+#: that they compress); words from a first number on; the ids of a long word.
+FIRST_PASS = "block long, doc_id long, numbers binary, whole boolean, first int, words array<string>, ids array<int>, same boolean"
+FIRST_TYPES = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("numbers", pa.binary()), ("whole", pa.bool_()), ("first", pa.int32()),
+                         ("words", pa.list_(pa.string())), ("ids", pa.list_(pa.int32())), ("same", pa.bool_())])
 
 
-def _encoder(model: Model):
+def _batch(n: int, **columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in FIRST_TYPES], schema=FIRST_TYPES)
+
+
+def _numbering(model: Model, max_words: int, block_bytes: int):
+    """The first pass, over rows (doc_id, text)."""
     pattern = word_pattern(model)
-    table = {p: (i, s) for p, i, s in model.pieces}
-    pieces = {i: p.replace(SPACE, " ").encode() for p, i, _ in model.pieces} | {i: bytes([b]) for b, i in enumerate(model.byte_ids)}
 
-    def run(doc_ids: pa.Array, texts: list[str | None], known: dict[str, bytes]) -> pa.RecordBatch:
+    def words_of(block: int, numbers: _Numbers) -> Iterator[pa.RecordBatch]:
+        words = list(numbers)
+        for a in range(0, len(words), 5000):
+            some = [w if len(w) <= WORD else None for w in words[a:a + 5000]]
+            yield _batch(1, block=[block], first=[a], words=[some])
+        stands = _bytes(model)
+        table = None
+        for n, w in enumerate(words):
+            if len(w) > WORD:
+                table = table or {p: (i, s) for p, i, s in model.pieces}
+                ids = long_word(w, model, table)
+                same = b"".join(map(stands.__getitem__, ids)) == w.replace(SPACE, " ").encode()
+                yield _batch(1, block=[block], first=[n], ids=[ids], same=[same])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         find = re.compile(pattern).findall
-        out, n, ok = [], [], []
-        for t in texts:
-            t = t or ""
-            s = (SPACE if model.prefix and t else "") + t.replace(" ", SPACE)
-            data = b"".join([known[w] if len(w) <= WORD else np.array(long_word(w, model, table), np.int32).tobytes() for w in find(s)])
-            ids = np.frombuffer(data, np.int32)
-            back = b"".join(map(pieces.__getitem__, ids.tolist())).decode("utf-8", "replace")
-            out.append(data)
-            n.append(len(ids))
-            ok.append(back[len(s) - len(t):] == t.replace(SPACE, " "))
-        return pa.RecordBatch.from_arrays([doc_ids, pa.array(n, pa.int64()), pa.array(out, pa.binary()), pa.array(ok)], names=["doc_id", "n_tokens", "ids", "decoded_ok"])
+        task, turn = TaskContext.get().partitionId(), 0
+        numbers, size = _Numbers(), 0
+        keys, codes, whole, held = [], [], [], 0
+        for b in batches:
+            for i in range(0, b.num_rows, 512):
+                part = b.slice(i, 512)
+                for key, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    t = t or ""
+                    s = (SPACE if model.prefix and t else "") + t.replace(" ", SPACE)
+                    found = find(s)
+                    c = np.fromiter(map(numbers.__getitem__, found), "<u4", len(found))
+                    keys.append(key)
+                    codes.append(c.view(np.uint8).reshape(-1, 4).T.tobytes())
+                    whole.append(sum(map(len, found)) == len(s))
+                    held += 4 * len(c)
+                    size += len(t) + 16
+                    full = size >= block_bytes or len(numbers) >= max_words
+                    if full or held >= 8 << 20:
+                        yield _batch(len(keys), block=[task << TURN | turn] * len(keys), doc_id=keys, numbers=codes, whole=whole)
+                        keys, codes, whole, held = [], [], [], 0
+                    if full:
+                        yield from words_of(task << TURN | turn, numbers)
+                        numbers, size, turn = _Numbers(), 0, turn + 1
+                        if turn >> TURN:
+                            raise ValueError("a task has too many blocks: more partitions or larger blocks are needed")
+        if keys:
+            yield _batch(len(keys), block=[task << TURN | turn] * len(keys), doc_id=keys, numbers=codes, whole=whole)
+        yield from words_of(task << TURN | turn, numbers)
 
     return run
 
 
-def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", max_words: int = MAX_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row a document: doc_id, n_tokens, ids (little-endian 32-bit
-    integers), decoded_ok (decoding the ids gives the text again)."""
-    model = load(path)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / block_bytes))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    each = rows.select("block", F.explode(F.regexp_extract_all(normalized(F.col("text"), model), F.lit(word_pattern(model)), F.lit(0))).alias("word"))
-    short = each.where(F.length("word") <= WORD)
-    run = _encoder(model)
-    words = short.select("word").distinct()
-    ids = written(word_ids(words, model), "sentencepiece-words")
-    if ids.limit(max_words + 1).count() <= max_words:
-        known = docs.sparkSession.sparkContext.broadcast({r["word"]: np.array(r["ids"], np.int32).tobytes() for r in ids.select("word", "ids").toLocalIterator()})
-
-        def apply(batches):
-            for b in batches:
-                for i in range(0, b.num_rows, 512):
-                    s = b.slice(i, 512)
-                    yield run(s.column("doc_id"), s.column("text").to_pylist(), known.value)
-
-        return rows.select("doc_id", "text").mapInArrow(apply, OUT)
-    needed = short.distinct().join(ids, "word").select(F.col("block").alias("at"), "word", "ids")
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+def _meeting(name: str, kind: pa.DataType, value: Callable[[bytes], object]):
+    """Puts a block's ids in the places of its documents' numbers."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), (name, kind), ("decoded_ok", pa.bool_())])
+
+    def some(keys: list, codes: list[np.ndarray], whole: list[bool], flat: np.ndarray, start: np.ndarray, size: np.ndarray, same: np.ndarray) -> pa.RecordBatch:
+        at = np.concatenate(codes)
+        n = size[at]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat(start[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)].astype("<i4")
+        stop = np.cumsum([len(c) for c in codes])
+        bound = np.r_[0, ends][np.r_[0, stop]]
+        bad = np.r_[0, np.cumsum(~same[at])][np.r_[0, stop]]
+        return pa.RecordBatch.from_arrays([
+            pa.array(keys, pa.int64()), pa.array(np.diff(bound), pa.int64()), pa.array([value(ids[a:z].tobytes()) for a, z in zip(bound, bound[1:])], kind),
+            pa.array((np.diff(bad) == 0) & np.array(whole))], schema=schema)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
         lists = right.column("ids").combine_chunks()
-        flat, at = lists.values.to_numpy().astype(np.int32).tobytes(), lists.offsets.to_numpy() * 4
-        known = {w: flat[a:z] for w, a, z in zip(right.column("word").to_pylist(), at, at[1:])}
-        out = [run(b.column("doc_id"), b.column("text").to_pylist(), known) for b in left.to_batches(max_chunksize=512)]
-        schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded_ok", pa.bool_())])
+        flat = lists.flatten().to_numpy()
+        number = right.column("number").to_numpy().astype(np.int64)
+        start, size, same = (np.zeros(len(number), t) for t in (np.int64, np.int64, bool))
+        at = lists.offsets.to_numpy().astype(np.int64)
+        start[number], size[number], same[number] = at[:-1] - at[0], np.diff(at), right.column("same").to_numpy()
+        out, keys, codes, whole, held = [], [], [], [], 0
+        for b in left.to_batches(max_chunksize=512):
+            for key, data, w in zip(b.column("doc_id").to_pylist(), b.column("numbers").to_pylist(), b.column("whole").to_pylist()):
+                keys.append(key)
+                codes.append(np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64))
+                whole.append(w)
+                held += len(data) + 64
+                if held >= 8 << 20:
+                    out.append(some(keys, codes, whole, flat, start, size, same))
+                    keys, codes, whole, held = [], [], [], 0
+        if keys:
+            out.append(some(keys, codes, whole, flat, start, size, same))
         return pa.Table.from_batches(out, schema)
 
-    return rows.groupBy("block").cogroup(needed.groupBy("at")).applyInArrow(meet, OUT)
+    return run
+
+
+def _encoded(docs: DataFrame, path: str, doc_id: str, text: str, max_words: int, block_bytes: int, name: str, kind: str, arrow: pa.DataType, value: Callable[[bytes], object]) -> DataFrame:
+    spark, model = docs.sparkSession, load(path)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, math.ceil(size / block_bytes))
+    # small partitions are read together, so that a block meets its words once
+    first = written(rows.coalesce(blocks).mapInArrow(_numbering(model, max_words, block_bytes), FIRST_PASS), "sentencepiece-numbers")
+    place = F.shiftleft("block", NUMBER).bitwiseOR((F.col("first") + F.col("pos")).cast("long"))
+    words = first.where("words is not null").select("block", "first", F.posexplode("words").alias("pos", "word")).where("word is not null")
+    words = words.select("word", place.alias("place"))
+    by = ["word"]
+    if blocks > CHUNK:
+        by, words = ["word", "chunk"], words.withColumn("chunk", F.pmod(F.xxhash64(F.shiftright("place", NUMBER)), F.lit(math.ceil(blocks / CHUNK))).cast("int"))
+    # a word becomes some fifty substrings: its partitions must not be merged by their size
+    words = words.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *by).groupBy(*by).agg(F.collect_list("place").alias("places"))
+    ids = word_ids(words, model).select(F.explode("places").alias("place"), "ids", "same")
+    ids = ids.select(F.shiftright("place", NUMBER).alias("at"), F.col("place").bitwiseAND(F.lit((1 << NUMBER) - 1)).cast("int").alias("number"), "ids", "same")
+    ids = ids.unionByName(first.where("ids is not null").select(F.col("block").alias("at"), F.col("first").alias("number"), "ids", "same"))
+    each = first.where("numbers is not null").select("block", "doc_id", "numbers", "whole")
+    out = f"doc_id long, n_tokens long, {name} {kind}, decoded_ok boolean"
+    return each.groupBy("block").cogroup(ids.groupBy("at")).applyInArrow(_meeting(name, arrow, value), out)
+
+
+def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", max_words: int = MAX_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row a document: doc_id, n_tokens, ids (little-endian 32-bit
+    integers), decoded_ok (decoding the ids gives the text again)."""
+    return _encoded(docs, path, doc_id, text, max_words, block_bytes, "ids", "binary", pa.binary(), bytes)
 
 
 def digest(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``encode`` with the CRC-32 of the ids in place of them."""
-    return encode(docs, path, doc_id, text).select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), "decoded_ok")
+    return _encoded(docs, path, doc_id, text, MAX_WORDS, BLOCK_BYTES, "ids_crc32", "long", pa.int64(), zlib.crc32)
