@@ -17,15 +17,15 @@ joins ids to the piece table and concatenates the pieces' bytes; ``encode``
 decodes every different word and compares.
 
 Distribution. One pass reads the texts, where they stand: it cuts them into
-words and writes, for blocks of about ``BLOCK_BYTES`` of text, each document as
-numbers of words and the block's words by number. Texts are not read or moved
-again. The words of all blocks are dealt by word, so that the lattice is built
-once for each different word (once for about ``CHUNK`` blocks, so that no
-list of a word's places is long), and their ids go back to the blocks that
-asked, where a cogroup puts them in the numbers' places. A block has a bound in
-text and in words, whatever its rows. Words longer than ``WORD`` characters
-don't fit the integer and are merged in the first pass. The piece table is
-bounded by the model.
+words and writes, for blocks of about ``BLOCK_BYTES`` of text, the documents as
+numbers of words and the block's words, packed by bucket (hash of the word).
+Texts are not read or moved again. The buckets of all blocks meet, so that the
+lattice is built once for each different word (once for about ``CHUNK`` blocks,
+so that no list of a word's places is long), and the ids go back, packed as the
+words came, to the blocks, where a cogroup puts them in the numbers' places. A
+block has a bound in text and in words, whatever its rows. Words longer than
+``WORD`` characters don't fit the integer and are merged in the first pass. The
+piece table is bounded by the model.
 
 Cases. Null text is empty and has no ids; a text of spaces has ids. Equal rows
 are encoded alike; a null id passes through. Texts of any length are encoded
@@ -42,6 +42,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,11 +57,13 @@ RANK = ID + 12
 #: Marks an edge of a late piece, in the id's bits.
 LATE = 1 << ID - 1
 #: A block ends with the document that reaches one of these bounds.
-MAX_WORDS = 2_000_000
-BLOCK_BYTES = 64 << 20
+MAX_WORDS = 1_000_000
+BLOCK_BYTES = 32 << 20
 #: Blocks whose words meet: a word's places are a list of about as many.
 CHUNK = 1000
-#: Bits of a word's number in its place; the rest names the block.
+#: Buckets of words for each shuffle partition.
+BUCKETS = 4
+#: Bits of a word's position in its place; the rest names the block.
 NUMBER = 26
 #: Blocks of a task, as bits of the block's name.
 TURN = 14
@@ -136,26 +139,27 @@ def _array(values: list, kind: str) -> Column:
 
 
 def lattice(words: DataFrame, model: Model) -> DataFrame:
-    """Rows (word, places, n, edges, late) of rows (word, places): the edges of
-    each word as integers, from the top rank, start, length and id; so they sort
-    by score, then leftmost. Rows that were dealt by word are not shuffled again:
-    they are numbered, and the edges of a number stand together. Merging needs
-    no edge of one character, where its id is in an array."""
+    """Rows (bucket, word, places, n, edges, late) of rows (bucket, word,
+    places): the edges of each word as integers, from the top rank, start,
+    length and id; so they sort by score, then leftmost. Rows that were dealt by
+    bucket are not shuffled again: they are numbered, and the edges of a number
+    stand together. Merging needs no edge of one character, where its id is in
+    an array."""
     least = F.lit(1) if model.unigram else F.when(F.col("word").rlike(f"[^\\u0000-\\u{DIRECT - 1:04x}]"), 1).otherwise(2)
     w = words.where(F.length("word").between(1, WORD))
-    w = w.select(F.monotonically_increasing_id().alias("row"), "word", "places", F.length("word").alias("n"), least.alias("least"))
+    w = w.select(F.monotonically_increasing_id().alias("row"), "bucket", "word", "places", F.length("word").alias("n"), least.alias("least"))
     subs = w.select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.col("n") - F.col("least")))).alias("s"))
     subs = subs.select("*", F.explode(F.sequence("least", F.greatest("least", F.least(F.lit(model.longest), F.col("n") - F.col("s"))))).alias("l"))
     piece = F.when(F.col("s") + F.col("l") <= F.col("n"), F.substring("word", F.col("s") + 1, F.col("l")))
     first = (F.col("s") == 0) & (F.col("l") == F.col("least"))
-    subs = subs.select("row", "word", "s", "l", piece.alias("piece"), first.alias("first"), F.when(first, F.col("places")).alias("places"))
+    subs = subs.select("row", "bucket", "word", "s", "l", piece.alias("piece"), first.alias("first"), F.when(first, F.col("places")).alias("places"))
     hit = subs.join(F.broadcast(piece_table(words.sparkSession, model)), "piece", "left")
     # a word's first substring brings its places, with an edge or without
     hit = hit.where(F.col("code").isNotNull() | F.col("first"))
     edge = F.col("code").bitwiseOR(F.shiftleft((F.col("s") * 64 + F.col("l")).cast("long"), ID))
-    out = hit.groupBy("row", "word").agg(F.sort_array(F.collect_list(edge)).alias("edges"), F.first("places", ignorenulls=True).alias("places"), F.bit_or("code").alias("marks"))
+    out = hit.groupBy("row", "bucket", "word").agg(F.sort_array(F.collect_list(edge)).alias("edges"), F.first("places", ignorenulls=True).alias("places"), F.bit_or("code").alias("marks"))
     late = F.coalesce(F.col("marks"), F.lit(0)).bitwiseAND(F.lit(LATE)) != 0
-    return out.select("word", "places", F.length("word").alias("n"), "edges", late.alias("late"))
+    return out.select("bucket", "word", "places", F.length("word").alias("n"), "edges", late.alias("late"))
 
 
 def _id(edge: Column) -> Column:
@@ -264,8 +268,8 @@ def _bytes(model: Model) -> dict[int, bytes]:
 
 
 def word_ids(words: DataFrame, model: Model) -> DataFrame:
-    """Rows (places, ids, same) of rows (word, places) of at most ``WORD``
-    characters; ``same``: the ids decode to the word."""
+    """Rows (bucket, places, ids, same) of rows (bucket, word, places) of at
+    most ``WORD`` characters; ``same``: the ids decode to the word."""
     cuts = _viterbi(model) if model.unigram else _merged(model)
     at = _let(cuts, lambda c: F.filter(F.sequence(F.lit(0), F.col("n")), lambda i: F.getbit(c, i) == 1))
     byte_ids = F.array(*[F.lit(i) for i in model.byte_ids])
@@ -291,8 +295,8 @@ def word_ids(words: DataFrame, model: Model) -> DataFrame:
         return F.struct(i.alias("ids"), (back == F.hex(F.encode(F.replace("word", F.lit(SPACE), F.lit(" ")), "utf-8"))).alias("same"))
 
     both = F.struct(at.alias("at"), F.transform("edges", _place).alias("keys"))
-    done = lattice(words, model).select("places", _let(_let(both, parts), decoded).alias("d"))
-    return done.select("places", "d.ids", "d.same")
+    done = lattice(words, model).select("bucket", "places", _let(_let(both, parts), decoded).alias("d"))
+    return done.select("bucket", "places", "d.ids", "d.same")
 
 
 def long_word(word: str, model: Model, table: dict[str, tuple[int, float]]) -> list[int]:
@@ -359,67 +363,88 @@ class _Numbers(dict):
         return n
 
 
-#: Rows of the first pass: documents as numbers of words (bytes by rank, so
-#: that they compress); words from a first number on; the ids of a long word.
-FIRST_PASS = "block long, doc_id long, numbers binary, whole boolean, first int, words array<string>, ids array<int>, same boolean"
-FIRST_TYPES = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("numbers", pa.binary()), ("whole", pa.bool_()), ("first", pa.int32()),
-                         ("words", pa.list_(pa.string())), ("ids", pa.list_(pa.int32())), ("same", pa.bool_())])
+#: Rows of the first pass, by block: some documents (ids, numbers of words in
+#: all and whether words make up the text, the words' numbers); the words of a
+#: bucket; the numbers of all buckets' words, in order; the ids of a long word.
+FIRST_PASS = ("block long, keys array<long>, counts array<int>, whole array<boolean>, numbers binary, "
+              "bucket int, words array<string>, sequence binary, long int, ids array<int>, same boolean")
+FIRST_TYPES = pa.schema([
+    ("block", pa.int64()), ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("whole", pa.list_(pa.bool_())), ("numbers", pa.binary()),
+    ("bucket", pa.int32()), ("words", pa.list_(pa.string())), ("sequence", pa.binary()), ("long", pa.int32()), ("ids", pa.list_(pa.int32())), ("same", pa.bool_())])
 
 
-def _batch(n: int, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in FIRST_TYPES], schema=FIRST_TYPES)
+def _row(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([columns.get(f.name)], f.type) for f in FIRST_TYPES], schema=FIRST_TYPES)
 
 
-def _numbering(model: Model, max_words: int, block_bytes: int):
+def _packed(values: np.ndarray) -> bytes:
+    """32-bit values, their bytes by rank, compressed."""
+    return pa.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    flat = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd"), np.uint8)
+    return flat.reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+def _numbering(model: Model, max_words: int, block_bytes: int, buckets: int):
     """The first pass, over rows (doc_id, text)."""
     pattern = word_pattern(model)
 
     def words_of(block: int, numbers: _Numbers) -> Iterator[pa.RecordBatch]:
         words = list(numbers)
-        for a in range(0, len(words), 5000):
-            some = [w if len(w) <= WORD else None for w in words[a:a + 5000]]
-            yield _batch(1, block=[block], first=[a], words=[some])
-        stands = _bytes(model)
-        table = None
-        for n, w in enumerate(words):
-            if len(w) > WORD:
-                table = table or {p: (i, s) for p, i, s in model.pieces}
-                ids = long_word(w, model, table)
-                same = b"".join(map(stands.__getitem__, ids)) == w.replace(SPACE, " ").encode()
-                yield _batch(1, block=[block], first=[n], ids=[ids], same=[same])
+        bucket = np.array([zlib.crc32(w.encode()) % buckets if len(w) <= WORD else -1 for w in words], np.int64)
+        turn = np.argsort(bucket, kind="stable")
+        long, turn = turn[:np.sum(bucket < 0)], turn[np.sum(bucket < 0):]
+        yield _row(block=block, sequence=_packed(np.diff(turn, prepend=0) & 0xFFFFFFFF))
+        for part in np.split(turn, np.flatnonzero(np.diff(bucket[turn])) + 1):
+            if len(part):
+                yield _row(block=block, bucket=int(bucket[part[0]]), words=[words[i] for i in part.tolist()])
+        if len(long):
+            stands, table = _bytes(model), {p: (i, s) for p, i, s in model.pieces}
+            for n in long.tolist():
+                ids = long_word(words[n], model, table)
+                same = b"".join(map(stands.__getitem__, ids)) == words[n].replace(SPACE, " ").encode()
+                yield _row(block=block, long=n, ids=ids, same=same)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         find = re.compile(pattern).findall
-        task, turn = TaskContext.get().partitionId(), 0
+        block = TaskContext.get().partitionId() << TURN
+        last = block + (1 << TURN) - 1
         numbers, size = _Numbers(), 0
         keys, codes, whole, held = [], [], [], 0
+
+        def documents() -> pa.RecordBatch:
+            row = _row(block=block, keys=keys[:], counts=[len(c) for c in codes], whole=whole[:], numbers=_packed(np.concatenate(codes)))
+            keys.clear(), codes.clear(), whole.clear()
+            return row
+
         for b in batches:
-            for i in range(0, b.num_rows, 512):
-                part = b.slice(i, 512)
+            for i in range(0, b.num_rows, 256):
+                part = b.slice(i, 256)
                 for key, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     t = t or ""
                     s = (SPACE if model.prefix and t else "") + t.replace(" ", SPACE)
                     found = find(s)
-                    c = np.fromiter(map(numbers.__getitem__, found), "<u4", len(found))
+                    codes.append(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))
                     keys.append(key)
-                    codes.append(c.view(np.uint8).reshape(-1, 4).T.tobytes())
                     whole.append(sum(map(len, found)) == len(s))
-                    held += 4 * len(c)
-                    size += len(t) + 16
+                    held += 4 * len(found) + 64
+                    size += len(t) + 64
                     full = size >= block_bytes or len(numbers) >= max_words
-                    if full or held >= 8 << 20:
-                        yield _batch(len(keys), block=[task << TURN | turn] * len(keys), doc_id=keys, numbers=codes, whole=whole)
-                        keys, codes, whole, held = [], [], [], 0
+                    if full or held >= 4 << 20:
+                        yield documents()
+                        held = 0
                     if full:
-                        yield from words_of(task << TURN | turn, numbers)
-                        numbers, size, turn = _Numbers(), 0, turn + 1
-                        if turn >> TURN:
+                        yield from words_of(block, numbers)
+                        numbers, size, block = _Numbers(), 0, block + 1
+                        if block > last:
                             raise ValueError("a task has too many blocks: more partitions or larger blocks are needed")
         if keys:
-            yield _batch(len(keys), block=[task << TURN | turn] * len(keys), doc_id=keys, numbers=codes, whole=whole)
-        yield from words_of(task << TURN | turn, numbers)
+            yield documents()
+        yield from words_of(block, numbers)
 
     return run
 
@@ -428,37 +453,39 @@ def _meeting(name: str, kind: pa.DataType, value: Callable[[bytes], object]):
     """Puts a block's ids in the places of its documents' numbers."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), (name, kind), ("decoded_ok", pa.bool_())])
 
-    def some(keys: list, codes: list[np.ndarray], whole: list[bool], flat: np.ndarray, start: np.ndarray, size: np.ndarray, same: np.ndarray) -> pa.RecordBatch:
-        at = np.concatenate(codes)
-        n = size[at]
-        ends = np.cumsum(n)
-        ids = flat[np.repeat(start[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)].astype("<i4")
-        stop = np.cumsum([len(c) for c in codes])
-        bound = np.r_[0, ends][np.r_[0, stop]]
-        bad = np.r_[0, np.cumsum(~same[at])][np.r_[0, stop]]
-        return pa.RecordBatch.from_arrays([
-            pa.array(keys, pa.int64()), pa.array(np.diff(bound), pa.int64()), pa.array([value(ids[a:z].tobytes()) for a, z in zip(bound, bound[1:])], kind),
-            pa.array((np.diff(bad) == 0) & np.array(whole))], schema=schema)
-
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        lists = right.column("ids").combine_chunks()
-        flat = lists.flatten().to_numpy()
-        number = right.column("number").to_numpy().astype(np.int64)
+        own = left.filter(pc.is_valid(left.column("long")))
+        size_of, ids_of = [own.column("ids").combine_chunks().value_lengths().to_numpy()], [own.column("ids").combine_chunks().flatten().to_numpy()]
+        number_of, same_of = [own.column("long").to_numpy()], [own.column("same").to_numpy()]
+        sequence = next(x for x in left.column("sequence").to_pylist() if x is not None)
+        places = pc.sum(pc.list_value_length(right.column("positions"))).as_py() or 0
+        sequence = np.cumsum(_unpacked(sequence, places), dtype=np.uint32)
+        begin = 0
+        for b in sorted(right.to_batches(max_chunksize=1), key=lambda b: b.column("bucket")[0].as_py()):
+            places = b.column("positions").flatten().to_numpy()
+            number_of.append(sequence[begin + places])
+            begin += len(places)
+            size_of.append(b.column("sizes").flatten().to_numpy())
+            ids_of.append(b.column("ids").flatten().to_numpy())
+            same_of.append(b.column("same").flatten().to_numpy(zero_copy_only=False))
+        number, sizes, flat = np.concatenate(number_of), np.concatenate(size_of).astype(np.int64), np.concatenate(ids_of).astype("<i4")
         start, size, same = (np.zeros(len(number), t) for t in (np.int64, np.int64, bool))
-        at = lists.offsets.to_numpy().astype(np.int64)
-        start[number], size[number], same[number] = at[:-1] - at[0], np.diff(at), right.column("same").to_numpy()
-        out, keys, codes, whole, held = [], [], [], [], 0
-        for b in left.to_batches(max_chunksize=512):
-            for key, data, w in zip(b.column("doc_id").to_pylist(), b.column("numbers").to_pylist(), b.column("whole").to_pylist()):
-                keys.append(key)
-                codes.append(np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64))
-                whole.append(w)
-                held += len(data) + 64
-                if held >= 8 << 20:
-                    out.append(some(keys, codes, whole, flat, start, size, same))
-                    keys, codes, whole, held = [], [], [], 0
-        if keys:
-            out.append(some(keys, codes, whole, flat, start, size, same))
+        start[number], size[number], same[number] = np.cumsum(sizes) - sizes, sizes, np.concatenate(same_of).astype(bool)
+        out = []
+        docs = left.filter(pc.is_valid(left.column("numbers")))
+        for row in docs.to_batches(max_chunksize=1):
+            counts = row.column("counts").flatten().to_numpy()
+            at = _unpacked(row.column("numbers")[0].as_py(), int(counts.sum()))
+            n = size[at]
+            ends = np.cumsum(n)
+            ids = flat[np.repeat(start[at] - ends + n, n) + np.arange(n.sum())]
+            stop = np.r_[0, np.cumsum(counts)]
+            bound = np.r_[0, ends][stop]
+            bad = np.r_[0, np.cumsum(~same[at])][stop]
+            whole = row.column("whole").flatten().to_numpy(zero_copy_only=False).astype(bool)
+            out.append(pa.RecordBatch.from_arrays([
+                row.column("keys").flatten(), pa.array(np.diff(bound), pa.int64()), pa.array([value(ids[a:z].tobytes()) for a, z in zip(bound, bound[1:])], kind),
+                pa.array((np.diff(bad) == 0) & whole)], schema=schema))
         return pa.Table.from_batches(out, schema)
 
     return run
@@ -469,22 +496,27 @@ def _encoded(docs: DataFrame, path: str, doc_id: str, text: str, max_words: int,
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # small partitions are read together, so that a block meets its words once
-    first = written(rows.coalesce(blocks).mapInArrow(_numbering(model, max_words, block_bytes), FIRST_PASS), "sentencepiece-numbers")
-    place = F.shiftleft("block", NUMBER).bitwiseOR((F.col("first") + F.col("pos")).cast("long"))
-    words = first.where("words is not null").select("block", "first", F.posexplode("words").alias("pos", "word")).where("word is not null")
-    words = words.select("word", place.alias("place"))
-    by = ["word"]
+    first = rows.coalesce(blocks).mapInArrow(_numbering(model, max_words, block_bytes, parts * BUCKETS), FIRST_PASS)
+    first = written(first, "sentencepiece-numbers")
+    # a word becomes some fifty substrings: the partitions must not be merged by their size
+    words = first.where("words is not null").select("bucket", "block", "words").repartition(parts, "bucket")
+    words = words.select("bucket", "block", F.posexplode("words").alias("pos", "word"))
+    words = words.select("bucket", "word", F.shiftleft("block", NUMBER).bitwiseOR(F.col("pos").cast("long")).alias("place"))
+    by = ["word", "bucket"]
     if blocks > CHUNK:
-        by, words = ["word", "chunk"], words.withColumn("chunk", F.pmod(F.xxhash64(F.shiftright("place", NUMBER)), F.lit(math.ceil(blocks / CHUNK))).cast("int"))
-    # a word becomes some fifty substrings: its partitions must not be merged by their size
-    words = words.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *by).groupBy(*by).agg(F.collect_list("place").alias("places"))
-    ids = word_ids(words, model).select(F.explode("places").alias("place"), "ids", "same")
-    ids = ids.select(F.shiftright("place", NUMBER).alias("at"), F.col("place").bitwiseAND(F.lit((1 << NUMBER) - 1)).cast("int").alias("number"), "ids", "same")
-    ids = ids.unionByName(first.where("ids is not null").select(F.col("block").alias("at"), F.col("first").alias("number"), "ids", "same"))
-    each = first.where("numbers is not null").select("block", "doc_id", "numbers", "whole")
+        by, words = [*by, "chunk"], words.withColumn("chunk", F.pmod(F.xxhash64(F.shiftright("place", NUMBER)), F.lit(math.ceil(blocks / CHUNK))).cast("int"))
+    words = words.groupBy(*by).agg(F.collect_list("place").alias("places"))
+    ids = word_ids(words, model).select("bucket", F.explode("places").alias("place"), "ids", "same")
+    each = F.struct(F.col("place").bitwiseAND(F.lit((1 << NUMBER) - 1)).cast("int").alias("pos"), "ids", "same")
+    back = ids.select("bucket", F.shiftright("place", NUMBER).alias("at"), each.alias("one")).groupBy("bucket", "at").agg(F.collect_list("one").alias("all"))
+    narrow = "array<smallint>" if max(_bytes(model)) < 1 << 15 else "array<int>"
+    back = back.select("at", "bucket", F.col("all.pos").alias("positions"), F.transform("all.ids", lambda x: F.size(x).cast("smallint")).alias("sizes"),
+                       F.flatten("all.ids").cast(narrow).alias("ids"), F.col("all.same").alias("same"))
+    own = first.where("words is null").drop("bucket", "words")
     out = f"doc_id long, n_tokens long, {name} {kind}, decoded_ok boolean"
-    return each.groupBy("block").cogroup(ids.groupBy("at")).applyInArrow(_meeting(name, arrow, value), out)
+    return own.groupBy("block").cogroup(back.groupBy("at")).applyInArrow(_meeting(name, arrow, value), out)
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", max_words: int = MAX_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
