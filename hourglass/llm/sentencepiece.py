@@ -18,14 +18,16 @@ decodes every different word and compares.
 
 Distribution. One pass reads the texts, where they stand: it cuts them into
 words and writes, for blocks of about ``BLOCK_BYTES`` of text, the documents as
-numbers of words and the block's words, packed by bucket (hash of the word).
-Texts are not read or moved again. The buckets of all blocks meet, so that the
+numbers of words and the block's words, packed by bucket (hash of the word), to
+a table that is bucketed by block. Texts are not read again, and what stands
+for them is not shuffled. The words' buckets of all blocks meet, so that the
 lattice is built once for each different word (once for about ``CHUNK`` blocks,
 so that no list of a word's places is long), and the ids go back, packed as the
 words came, to the blocks, where a cogroup puts them in the numbers' places. A
 block has a bound in text and in words, whatever its rows. Words longer than
-``WORD`` characters don't fit the integer and are merged in the first pass. The
-piece table is bounded by the model.
+``WORD`` characters don't fit the integer and are merged in the first pass, as
+are words with a line end, which parts packed words. The piece table is bounded
+by the model.
 
 Cases. Null text is empty and has no ids; a text of spaces has ids. Equal rows
 are encoded alike; a null id passes through. Texts of any length are encoded
@@ -36,6 +38,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -46,7 +49,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
+from ..session import scratch_path
 
 SPACE = "▁"
 #: Characters of a word in the lattice at most: its cuts are bits of a long.
@@ -112,13 +115,14 @@ def load(path: str) -> Model:
     return Model(pieces, byte_ids, t.model_type == 1, n.add_dummy_prefix, alone, max(len(p) for p, _, _ in pieces))
 
 
-def word_pattern(model: Model) -> str:
-    """A word: a run of U+2581 and what follows up to the next; characters that
-    stand in no piece and may end a line are words of their own."""
+def word_pattern(model: Model) -> bytes:
+    """A word, with spaces for U+2581: a run of spaces and what follows up to the
+    next; characters that stand in no piece and may end a line are words of
+    their own."""
     if not model.alone:
-        return f"{SPACE}*[^{SPACE}]+|{SPACE}+"
-    alone = "".join({"\n": "\\n", "\t": "\\t"}[c] for c in model.alone)
-    return f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone}]"
+        return b" *[^ ]+| +"
+    alone = "".join({"\n": "\\n", "\t": "\\t"}[c] for c in model.alone).encode()
+    return b" *[^ " + alone + b"]+| +|[" + alone + b"]"
 
 
 def _ranks(model: Model) -> list[float]:
@@ -358,7 +362,7 @@ def decode(encoded: DataFrame, model: Model, key: str = "key", ids: str = "ids")
 class _Numbers(dict):
     """Words by number, in the order they are met."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self)
         return n
 
@@ -367,10 +371,10 @@ class _Numbers(dict):
 #: all and whether words make up the text, the words' numbers); the words of a
 #: bucket; the numbers of all buckets' words, in order; the ids of a long word.
 FIRST_PASS = ("block long, keys array<long>, counts array<int>, whole array<boolean>, numbers binary, "
-              "bucket int, words array<string>, sequence binary, long int, ids array<int>, same boolean")
+              "bucket int, words string, sequence binary, long int, ids array<int>, same boolean")
 FIRST_TYPES = pa.schema([
     ("block", pa.int64()), ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("whole", pa.list_(pa.bool_())), ("numbers", pa.binary()),
-    ("bucket", pa.int32()), ("words", pa.list_(pa.string())), ("sequence", pa.binary()), ("long", pa.int32()), ("ids", pa.list_(pa.int32())), ("same", pa.bool_())])
+    ("bucket", pa.int32()), ("words", pa.string()), ("sequence", pa.binary()), ("long", pa.int32()), ("ids", pa.list_(pa.int32())), ("same", pa.bool_())])
 
 
 def _row(**columns) -> pa.RecordBatch:
@@ -393,24 +397,24 @@ def _numbering(model: Model, max_words: int, block_bytes: int, buckets: int):
 
     def words_of(block: int, numbers: _Numbers) -> Iterator[pa.RecordBatch]:
         words = list(numbers)
-        bucket = np.array([zlib.crc32(w.encode()) % buckets if len(w) <= WORD else -1 for w in words], np.int64)
+        bucket = np.array([zlib.crc32(w) % buckets if (len(w) <= WORD or len(w.decode()) <= WORD) and b"\n" not in w else -1 for w in words], np.int64)
         turn = np.argsort(bucket, kind="stable")
         long, turn = turn[:np.sum(bucket < 0)], turn[np.sum(bucket < 0):]
         yield _row(block=block, sequence=_packed(np.diff(turn, prepend=0) & 0xFFFFFFFF))
         for part in np.split(turn, np.flatnonzero(np.diff(bucket[turn])) + 1):
             if len(part):
-                yield _row(block=block, bucket=int(bucket[part[0]]), words=[words[i] for i in part.tolist()])
+                yield _row(block=block, bucket=int(bucket[part[0]]), words=b"\n".join([words[i] for i in part.tolist()]).decode())
         if len(long):
             stands, table = _bytes(model), {p: (i, s) for p, i, s in model.pieces}
             for n in long.tolist():
-                ids = long_word(words[n], model, table)
-                same = b"".join(map(stands.__getitem__, ids)) == words[n].replace(SPACE, " ").encode()
+                ids = long_word(words[n].decode().replace(" ", SPACE), model, table)
+                same = b"".join(map(stands.__getitem__, ids)) == words[n]
                 yield _row(block=block, long=n, ids=ids, same=same)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        find = re.compile(pattern).findall
+        find, space = re.compile(pattern).findall, SPACE.encode()
         block = TaskContext.get().partitionId() << TURN
         last = block + (1 << TURN) - 1
         numbers, size = _Numbers(), 0
@@ -425,8 +429,8 @@ def _numbering(model: Model, max_words: int, block_bytes: int, buckets: int):
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
                 for key, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    t = t or ""
-                    s = (SPACE if model.prefix and t else "") + t.replace(" ", SPACE)
+                    t = t or b""
+                    s = (b" " if model.prefix and t else b"") + t.replace(space, b" ")
                     found = find(s)
                     codes.append(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))
                     keys.append(key)
@@ -457,17 +461,14 @@ def _meeting(name: str, kind: pa.DataType, value: Callable[[bytes], object]):
         own = left.filter(pc.is_valid(left.column("long")))
         size_of, ids_of = [own.column("ids").combine_chunks().value_lengths().to_numpy()], [own.column("ids").combine_chunks().flatten().to_numpy()]
         number_of, same_of = [own.column("long").to_numpy()], [own.column("same").to_numpy()]
+        places = pc.sum(pc.list_value_length(right.column("sizes"))).as_py() or 0
         sequence = next(x for x in left.column("sequence").to_pylist() if x is not None)
-        places = pc.sum(pc.list_value_length(right.column("positions"))).as_py() or 0
-        sequence = np.cumsum(_unpacked(sequence, places), dtype=np.uint32)
-        begin = 0
+        number_of.append(np.cumsum(_unpacked(sequence, places), dtype=np.uint32))
         for b in sorted(right.to_batches(max_chunksize=1), key=lambda b: b.column("bucket")[0].as_py()):
-            places = b.column("positions").flatten().to_numpy()
-            number_of.append(sequence[begin + places])
-            begin += len(places)
-            size_of.append(b.column("sizes").flatten().to_numpy())
+            sizes = b.column("sizes").flatten().to_numpy()
+            size_of.append(np.abs(sizes))
+            same_of.append(sizes >= 0)
             ids_of.append(b.column("ids").flatten().to_numpy())
-            same_of.append(b.column("same").flatten().to_numpy(zero_copy_only=False))
         number, sizes, flat = np.concatenate(number_of), np.concatenate(size_of).astype(np.int64), np.concatenate(ids_of).astype("<i4")
         start, size, same = (np.zeros(len(number), t) for t in (np.int64, np.int64, bool))
         start[number], size[number], same[number] = np.cumsum(sizes) - sizes, sizes, np.concatenate(same_of).astype(bool)
@@ -491,29 +492,40 @@ def _meeting(name: str, kind: pa.DataType, value: Callable[[bytes], object]):
     return run
 
 
+def _by_block(rows: DataFrame, buckets: int) -> DataFrame:
+    """``rows`` as a table in the shared folder that is bucketed by block. A
+    task's blocks are its own, so nothing is dealt out before the write."""
+    name = f"sentencepiece_{uuid.uuid4().hex}"
+    path = scratch_path(rows.sparkSession, "tables", name)
+    rows.write.bucketBy(buckets, "block").option("path", path).format("parquet").saveAsTable(name)
+    return rows.sparkSession.table(name)
+
+
 def _encoded(docs: DataFrame, path: str, doc_id: str, text: str, max_words: int, block_bytes: int, name: str, kind: str, arrow: pa.DataType, value: Callable[[bytes], object]) -> DataFrame:
     spark, model = docs.sparkSession, load(path)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.make_valid_utf8(F.col(text).cast("string")).cast("binary").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # small partitions are read together, so that a block meets its words once
     first = rows.coalesce(blocks).mapInArrow(_numbering(model, max_words, block_bytes, parts * BUCKETS), FIRST_PASS)
-    first = written(first, "sentencepiece-numbers")
+    first = _by_block(first, parts)
     # a word becomes some fifty substrings: the partitions must not be merged by their size
     words = first.where("words is not null").select("bucket", "block", "words").repartition(parts, "bucket")
-    words = words.select("bucket", "block", F.posexplode("words").alias("pos", "word"))
+    words = words.select("bucket", "block", F.posexplode(F.split("words", "\n")).alias("pos", "word"))
     words = words.select("bucket", "word", F.shiftleft("block", NUMBER).bitwiseOR(F.col("pos").cast("long")).alias("place"))
     by = ["word", "bucket"]
     if blocks > CHUNK:
         by, words = [*by, "chunk"], words.withColumn("chunk", F.pmod(F.xxhash64(F.shiftright("place", NUMBER)), F.lit(math.ceil(blocks / CHUNK))).cast("int"))
     words = words.groupBy(*by).agg(F.collect_list("place").alias("places"))
+    words = words.withColumn("word", F.replace("word", F.lit(" "), F.lit(SPACE)))
     ids = word_ids(words, model).select("bucket", F.explode("places").alias("place"), "ids", "same")
     each = F.struct(F.col("place").bitwiseAND(F.lit((1 << NUMBER) - 1)).cast("int").alias("pos"), "ids", "same")
     back = ids.select("bucket", F.shiftright("place", NUMBER).alias("at"), each.alias("one")).groupBy("bucket", "at").agg(F.collect_list("one").alias("all"))
     narrow = "array<smallint>" if max(_bytes(model)) < 1 << 15 else "array<int>"
-    back = back.select("at", "bucket", F.col("all.pos").alias("positions"), F.transform("all.ids", lambda x: F.size(x).cast("smallint")).alias("sizes"),
-                       F.flatten("all.ids").cast(narrow).alias("ids"), F.col("all.same").alias("same"))
+    back = back.select("at", "bucket", F.sort_array("all").alias("all"))
+    sizes = F.transform("all", lambda x: F.when(x["same"], F.size(x["ids"])).otherwise(-F.size(x["ids"])).cast("smallint"))
+    back = back.select("at", "bucket", sizes.alias("sizes"), F.flatten("all.ids").cast(narrow).alias("ids"))
     own = first.where("words is null").drop("bucket", "words")
     out = f"doc_id long, n_tokens long, {name} {kind}, decoded_ok boolean"
     return own.groupBy("block").cogroup(back.groupBy("at")).applyInArrow(_meeting(name, arrow, value), out)
