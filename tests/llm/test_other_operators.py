@@ -28,6 +28,21 @@ def test_sentencepiece_equals_the_library(spark, options):
     assert all(r["decoded_ok"] for r in got)
 
 
+def test_sentencepiece_odd_tables(spark, monkeypatch):
+    path = tokenizer_path(PIECES)
+    lib = sp.SentencePieceProcessor(model_file=path)
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert sentencepiece.encode(none, path).count() == 0 and sentencepiece.digest(none, path).count() == 0
+    # columns that are named as the operator's own; words meet in groups of blocks
+    texts = [t for _, t in EXTRA] + ["same words here\n\tagain ▁ and  again\r\n", None, "\n", "né" * 50 + "\n" + "é" * 60]
+    rows = [(i // 2, t, 7, "w", -1, "x") for i, t in enumerate(texts * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, block int, word string, bucket int, ids string").repartition(4)
+    monkeypatch.setattr(sentencepiece, "CHUNK", 2)
+    got = sentencepiece.encode(docs, path, block_bytes=200).collect()
+    assert sorted((r["doc_id"], np.frombuffer(r["ids"], np.int32).tolist()) for r in got) == sorted((r[0], lib.encode(r[1] or "")) for r in rows)
+    assert all(r["decoded_ok"] and r["n_tokens"] == len(r["ids"]) // 4 for r in got)
+
+
 def test_sentencepiece_unigram_and_decode(spark, tmp_path):
     from sentencepiece import sentencepiece_model_pb2 as pb
 
