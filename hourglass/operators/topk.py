@@ -11,14 +11,20 @@ that its k-th best will reach at least. A block is then left out for a group if
 for each of its queries |q| * (largest norm) is below that score: no candidate
 of the block can enter. What is left is shipped and streamed in order of norms,
 and a task leaves a query out as soon as its own k-th best is above the bound of
-what is still to come. Ties are never left out, so results are exact. The number
-of tasks is the session's shuffle partitions, however large the tables are; a
-task holds one group of queries (``GROUP_ROWS`` at most) and a batch of candidates.
+what is still to come. Ties are never left out, so results are exact.
+
+**Cells.** The candidates of a group are dealt into slices, and a cell (group,
+slice) is a task's work: queries travel once a slice, candidates once a group, k
+results a query once a slice. There are about as many cells as the session has
+shuffle partitions, shaped so that both sides send the same number of rows
+(``_cells``), so what travels grows with the tables and not with their product.
+A cell holds one group of queries (``GROUP_ROWS`` at most) and a batch of
+candidates; only tables beyond ``GROUP_ROWS`` * groups get more cells for it.
 
 **Both ways** (``two_way_top_k``). The best items of each user and the best users
 of each item come from the same products: a group of users meets each batch of
 items once, keeps k per user, and returns k users per item, which are merged
-over the groups.
+over the cells.
 
 No user x item pair is ever a row, and nothing passes the driver but counts.
 Order: score descending, then id ascending (exact ties resolved the same way
@@ -37,6 +43,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import stable_table
 
@@ -45,18 +52,27 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 4096
 #: Most queries of a group, and how few don't make another one.
-GROUP_ROWS, GROUP_LEAST = 16_384, 256
+GROUP_ROWS, GROUP_LEAST = 32_768, 256
 #: Scores a task holds at a time.
 AT_ONCE = 1 << 22
 #: Room for rounding in |q| * |c| as a bound of their product.
 SLACK = 1 + 1e-9
 
-_ROW = "g long, kind int, id long, norm double, floor double, f array<double>"
 _FOUND = "g long, side int, id long, other long, score double"
 
 
 def _merged(scores: np.ndarray, ids: np.ndarray, new: np.ndarray, new_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The ``k`` best of each row of ``scores`` beside ``new``; ids alike."""
+    row, col = np.nonzero(new >= scores[:, -1:])
+    if len(row) * 16 < new.size:
+        # few contend: these alone are sorted in among the k of their rows
+        some = np.unique(row)
+        row, s, i = np.r_[np.repeat(some, k), row], np.r_[scores[some].ravel(), new[row, col]], np.r_[ids[some].ravel(), new_ids[col]]
+        order = np.lexsort((i, -s, row))
+        order = order[np.arange(len(row)) - np.searchsorted(row[order], row[order], side="left") < k]
+        scores, ids = scores.copy(), ids.copy()
+        scores[some], ids[some] = s[order].reshape(-1, k), i[order].reshape(-1, k)
+        return scores, ids
     s = np.concatenate([scores, new], axis=1)
     i = np.concatenate([ids, np.broadcast_to(new_ids, new.shape)], axis=1)
     # every score at or above the k-th largest contends, so that exact ties
@@ -100,14 +116,15 @@ class _Group:
         return [(ids[row], its[row, col], top[row, col])]
 
     def found(self) -> tuple:
-        row, col = np.nonzero(self.scores > -np.inf)
+        # below its floor a candidate isn't among the best of all
+        row, col = np.nonzero((self.scores > -np.inf) & (self.scores >= self.floors[:, None]))
         return self.ids[row], self.best[row, col], self.scores[row, col]
 
 
 def _kernel(k: int, both: bool):
-    """Task function over rows sorted by group: its queries, then candidates by
+    """Task function over rows sorted by cell: its queries, then candidates by
     descending norm. Side 0 are a query's best, side 1 a candidate's; a row of
-    side 2 says how many products the group took."""
+    side 2 says how many products the cell took."""
 
     def batch_of(g: int, side: int, ids, other, scores) -> pa.RecordBatch:
         n = len(ids)
@@ -131,7 +148,7 @@ def _kernel(k: int, both: bool):
             sizes = np.diff(f.offsets.to_numpy())
             if (sizes != sizes[0]).any():
                 raise ValueError("features must have one common length")
-            x = f.flatten().to_numpy().reshape(len(gs), sizes[0])
+            x = f.flatten().to_numpy().astype(np.float64, copy=False).reshape(len(gs), sizes[0])
             cuts = np.flatnonzero((gs[1:] != gs[:-1]) | (kind[1:] != kind[:-1])) + 1
             for a, z in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(gs)].tolist()):
                 if gs[a] != g:
@@ -151,10 +168,12 @@ def _kernel(k: int, both: bool):
 
 
 def _usable(df: DataFrame) -> DataFrame:
-    """Rows (id, f, norm) that can be scored."""
+    """Rows (id, f, norm) that can be scored; single precision stays single until
+    the products are taken."""
+    kind = "array<float>" if isinstance(df.schema["features"].dataType.elementType, T.FloatType) else "array<double>"
     finite = F.forall("features", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = df.where(F.col("id").isNotNull() & F.coalesce(finite, F.lit(False))).select(F.col("id").cast("long").alias("id"), F.col("features").cast("array<double>").alias("f"))
-    return rows.withColumn("norm", F.sqrt(F.aggregate("f", F.lit(0.0), lambda a, x: a + x * x)))
+    rows = df.where(F.col("id").isNotNull() & F.coalesce(finite, F.lit(False))).select(F.col("id").cast("long").alias("id"), F.col("features").cast(kind).alias("f"))
+    return rows.withColumn("norm", F.sqrt(F.aggregate("f", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))))
 
 
 def _partitions(df: DataFrame) -> int:
@@ -170,21 +189,28 @@ def norm_index(candidates: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame
     return rows.select(F.expr(f"place div {int(block_rows)}").alias("block"), "id", "f", "norm")
 
 
-def _groups(queries: DataFrame) -> tuple[DataFrame, int]:
-    """Written rows (g, id, f, norm) of the queries, and the number of groups."""
-    rows = stable_table(_usable(queries), "topk-queries")
-    n = rows.count()
-    groups = max(math.ceil(n / GROUP_ROWS), min(_partitions(queries), math.ceil(n / GROUP_LEAST)))
-    return rows.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(max(groups, 1)))), groups
+def _cells(n: int, m: int, tasks: int) -> tuple[int, int]:
+    """(groups, slices) for ``n`` queries and ``m`` candidates: n * slices and
+    m * groups, the rows sent, are about even, in about ``tasks`` cells."""
+    groups = max(1, math.ceil(n / GROUP_ROWS), min(math.ceil(n / GROUP_LEAST), tasks, round(math.sqrt(tasks * n / max(m, 1)))))
+    return groups, max(1, min(tasks // groups, math.ceil(m / GROUP_LEAST)))
+
+
+def _grouped(queries: DataFrame, groups: int) -> DataFrame:
+    return queries.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(groups).cast("long")))
 
 
-def _meet(queries: DataFrame, candidates: DataFrame, k: int, both: bool = False) -> DataFrame:
-    """The task function over queries (g, id, f, norm, floor) and candidates
-    (g, id, f, norm); at most the session's partitions."""
-    left = queries.select("g", F.lit(0).alias("kind"), "id", "norm", "floor", "f")
-    right = candidates.select("g", F.lit(1).alias("kind"), "id", "norm", F.lit(0.0).alias("floor"), "f")
-    rows = left.unionByName(right).repartition(_partitions(queries), "g").sortWithinPartitions("g", "kind", F.desc("norm"), "id")
-    return rows.mapInArrow(_kernel(k, both), _FOUND)
+def _meet(queries: DataFrame, candidates: DataFrame, k: int, groups: int, slices: int = 1, both: bool = False) -> DataFrame:
+    """The task function over queries (g, id, f, norm, floor), each in every
+    slice, and candidates (g, id, f, norm), each in one; a partition takes a cell,
+    or more if there are more than the session has partitions."""
+    cell = lambda s: (F.col("g") * F.lit(slices) + s).alias("g")
+    left = queries.withColumn("s", _each(slices)).select(cell(F.col("s")), F.lit(0).alias("kind"), "id", "norm", "floor", "f")
+    # another seed than that of the groups
+    dealt = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(slices).cast("long"))
+    right = candidates.select(cell(dealt), F.lit(1).alias("kind"), "id", "norm", F.lit(0.0).alias("floor"), "f")
+    rows = left.unionByName(right).repartitionById(min(groups * slices, _partitions(queries)), F.col("g").cast("int"))
+    return rows.sortWithinPartitions("g", "kind", F.desc("norm"), "id").mapInArrow(_kernel(k, both), _FOUND)
 
 
 def _ranked(found: DataFrame, k: int, query_col: str, cand_col: str) -> DataFrame:
@@ -193,8 +219,8 @@ def _ranked(found: DataFrame, k: int, query_col: str, cand_col: str) -> DataFram
     return ranked.select(F.col("id").cast("int").alias(query_col), "rank", F.col("other").cast("int").alias(cand_col), "score")
 
 
-def _each_group(groups: int):
-    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
+def _each(n: int):
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
 
 def _none(df: DataFrame, query_col: str, cand_col: str) -> DataFrame:
@@ -213,18 +239,21 @@ def top_k_visits(
     the block pairs there are and those shipped, and the products taken."""
     spark = queries.sparkSession
     report = "groups long, blocks long, pairs long, visited long, products long"
-    q, groups = _groups(queries)
-    if k <= 0 or not groups:
+    q = stable_table(_usable(queries), "topk-queries")
+    n = q.count()
+    if k <= 0 or not n:
         return _none(queries, query_col, cand_col), spark.createDataFrame([(0, 0, 0, 0, 0)], report)
     index = norm_index(candidates, block_rows)
-    blocks = stable_table(index.groupBy("block").agg(F.max("norm").alias("top")), "topk-blocks")
-    n_blocks = blocks.count()
+    blocks = stable_table(index.groupBy("block").agg(F.max("norm").alias("top"), F.count(F.lit(1)).alias("n")), "topk-blocks")
+    n_blocks, m = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    groups, slices = _cells(n, m, _partitions(queries))
+    q = _grouped(q, groups)
     if not n_blocks:
         return _none(queries, query_col, cand_col), spark.createDataFrame([(groups, 0, 0, 0, 0)], report)
     first = blocks.agg(F.min("block")).first()[0]
     open_ = q.withColumn("floor", F.lit(float("-inf")))
-    lead = index.where(F.col("block") == first).withColumn("g", _each_group(groups))
-    found = stable_table(_meet(open_, lead, k), "topk-lead")
+    lead = index.where(F.col("block") == first).withColumn("g", _each(groups))
+    found = stable_table(_meet(open_, lead, k, groups), "topk-lead")
     visited = groups
     if n_blocks > 1:
         # the k-th score so far, and what norm a candidate needs to reach it
@@ -233,10 +262,10 @@ def top_k_visits(
         floors = stable_table(floors, "topk-floors")
         need = floors.groupBy("g").agg(F.min(F.when(F.col("norm") > 0, F.col("floor") / F.col("norm")).otherwise(F.lit(float("-inf")))).alias("need"))
         # one row a block and one a group; blocks are few: rows / block_rows
-        left = F.broadcast(blocks.where(F.col("block") != first))
+        left = F.broadcast(blocks.where(F.col("block") != first).drop("n"))
         pairs = stable_table(need.join(left, F.col("top") * F.lit(SLACK) >= F.col("need")).select("g", "block"), "topk-pairs")
         visited += pairs.count()
-        rest = _meet(floors, index.join(pairs, "block"), k)
+        rest = _meet(floors, index.join(pairs, "block"), k, groups, slices)
         found = found.unionByName(stable_table(rest, "topk-rest"))
     products = found.where("side = 2").agg(F.sum("other").alias("products"))
     sizes = [F.lit(v).cast("long").alias(c) for c, v in (("groups", groups), ("blocks", n_blocks), ("pairs", groups * n_blocks), ("visited", visited))]
@@ -262,11 +291,14 @@ def top_k_by_dot(
 def two_way_top_k(users: DataFrame, items: DataFrame, k: int, user_col: str = "user", item_col: str = "item") -> tuple[DataFrame, DataFrame]:
     """(user, rank, item, score) and (item, rank, user, score), as two calls of
     ``top_k_by_dot`` would give, from one product of each pair."""
-    q, groups = _groups(users)
-    if k <= 0 or not groups:
+    q = stable_table(_usable(users), "topk-queries")
+    n = q.count()
+    if k <= 0 or not n:
         return _none(users, user_col, item_col), _none(users, item_col, user_col)
     all_items = stable_table(_usable(items), "topk-items")
-    found = _meet(q.withColumn("floor", F.lit(float("-inf"))), all_items.withColumn("g", _each_group(groups)), k, both=True)
+    groups, slices = _cells(n, all_items.count(), _partitions(users))
+    open_ = _grouped(q, groups).withColumn("floor", F.lit(float("-inf")))
+    found = _meet(open_, all_items.withColumn("g", _each(groups)), k, groups, slices, both=True)
     found = stable_table(found.where("side < 2"), "topk-two-way")
     return _ranked(found.where("side = 0"), k, user_col, item_col), _ranked(found.where("side = 1"), k, item_col, user_col)
 

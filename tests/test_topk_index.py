@@ -72,6 +72,43 @@ def test_tasks_never_exceed_the_sessions_partitions(spark, tables, monkeypatch):
     assert seen and all(s.rdd.getNumPartitions() <= n for s in seen)
 
 
+def test_rows_sent_grow_with_the_tables_not_with_their_product(tables, spark, monkeypatch):
+    monkeypatch.setattr(topk, "GROUP_LEAST", 1)
+    q, c, qs, cs = tables
+    sent = {}
+
+    def meet(left, right, k, groups, slices=1, both=False):
+        sent[size] = sent.get(size, 0) + left.count() * slices + right.count()
+        return real_meet(left, right, k, groups, slices, both)
+
+    real_meet = topk._meet
+    monkeypatch.setattr(topk, "_meet", meet)
+    many = lambda df, n: df.crossJoin(spark.range(n).withColumnRenamed("id", "t")).select((topk.F.col("id") + topk.F.col("t") * 10_000).cast("int").alias("id"), "features")
+    for size in (1, 4, 16):
+        two_way_top_k(many(qs, size), many(cs, size), 3)
+    assert sent[4] <= 4.5 * sent[1] and sent[16] <= 4.5 * sent[4]
+
+
+def test_cells_are_even_and_bounded():
+    for n, m, tasks in ((2051, 8205, 200), (20_512, 82_048, 200), (123_000, 492_000, 200), (123_000, 492_000, 24), (10**6, 300, 64), (300, 10**6, 64), (5, 0, 8)):
+        groups, slices = topk._cells(n, m, tasks)
+        assert groups * slices <= max(tasks, -(-n // topk.GROUP_ROWS)) and n <= groups * topk.GROUP_ROWS
+        assert n * slices + m * groups <= 4 * (n * m * tasks) ** 0.5 + 4 * (n + m)
+
+
+@pytest.mark.parametrize("density", [0.001, 0.5])
+def test_few_or_many_contenders_merge_alike(density):
+    rng = np.random.default_rng(5)
+    k, n, width = 4, 30, 200
+    scores = np.sort(rng.integers(90, 99, (n, k)).astype(float), axis=1)[:, ::-1]
+    ids = np.argsort(scores * 0, axis=1, kind="stable") + 1000 * np.arange(1, k + 1)
+    new = np.where(rng.random((n, width)) < density, rng.integers(90, 99, (n, width)), 0).astype(float)
+    got, at = topk._merged(scores, ids, new, np.arange(width), k)
+    for r in range(n):
+        best = sorted([(-s, i) for s, i in zip(scores[r], ids[r])] + [(-s, i) for i, s in enumerate(new[r])])[:k]
+        assert [(-s, i) for s, i in zip(got[r], at[r])] == best
+
+
 def test_two_ways_equal_two_searches(tables, monkeypatch):
     q, c, qs, cs = tables
     monkeypatch.setattr(topk, "GROUP_LEAST", 8)
