@@ -14,7 +14,8 @@ residual. Three distributed parts:
 
 * the Gramian G: each task sums the outer products of its factors, and the
   partial matrices (rank² cells a task) are added up cell by cell;
-* the residual's sum over ratings: ratings meet both factors by equi-joins, a
+* the residual's sum over ratings: ratings meet both factors by equi-joins (the
+  users' by a merge, so that their table never passes the driver), a
   task sums its rows per user, and the partial vectors are added per user, so
   that a user with a third of all ratings is many tasks' work;
 * what depends on the user alone (G x, reg * n * x), and the norms.
@@ -118,7 +119,7 @@ def residuals(user_factors: DataFrame, item_factors: DataFrame, ratings: DataFra
     rank = config.rank
     if config.nonnegative:
         raise ValueError("a nonnegative fit is a constrained problem; its normal equations need not hold")
-    x = user_factors.select(F.col("id").alias("user"), F.col("features").alias("x"))
+    x = user_factors.select(F.col("id").alias("user"), F.col("features").alias("x")).hint("merge")
     y = item_factors.select(F.col("id").alias("item"), F.col("features").alias("y"))
     rows = ratings.select("user", "item", "rating").join(y, "item").join(x, "user").select("user", "rating", "x", "y")
     parts = rows.mapInArrow(_terms(config), "user int, terms array<double>, size double, counted long, n_ratings long")

@@ -14,7 +14,8 @@ Ranking metrics follow the reference's definitions exactly:
 They are computed as one relational plan. Nothing is collected per user:
 recommendation positions (≤ K per user) are joined to the distinct test
 pairs on (user, item), so a user with a huge test history adds rows to a
-partial aggregate, never to a single in-memory list.
+partial aggregate, never to a single in-memory list. Both sides of these joins
+grow with the users, so they are merged and not sent through the driver.
 """
 
 from __future__ import annotations
@@ -107,7 +108,7 @@ def _rec_steps(recs: DataFrame, test: DataFrame, k: int, user: str, item: str) -
         pos = recs.select(user, F.posexplode_outer(ordered).alias("pos", item))
     else:
         pos = recs.where(F.col("rank") <= F.lit(k)).select(user, (F.col("rank") - 1).cast("int").alias("pos"), item)
-    flagged = pos.join(actual, [user, item], "left").select(
+    flagged = pos.join(actual.hint("merge"), [user, item], "left").select(
         user, "pos", item, F.coalesce(F.col("_hit"), F.lit(0)).alias("hit")
     )
     w = Window.partitionBy(user).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -148,7 +149,7 @@ def ranking_per_user(recs: DataFrame, test: DataFrame, ks=KS, user: str = "user"
         aggs.append(F.sum(F.when(in_k, F.col("hit")).otherwise(F.lit(0))).alias(f"hits_{k}"))
         aggs.append(F.sum(F.when(in_k, F.col("precision_at_hit")).otherwise(F.lit(0.0))).alias(f"ap_sum_{k}"))
     per_user = _rec_steps(recs, test, kmax, user, item).groupBy(user).agg(*aggs)
-    base = n_actual.where(F.col("n_actual") > 0).join(per_user, user, "inner")
+    base = n_actual.where(F.col("n_actual") > 0).join(per_user.hint("merge"), user, "inner")
     cols = [F.col(user), F.col("n_actual")]
     for k in ks:
         h = F.col(f"hits_{k}").cast("double")
@@ -195,7 +196,9 @@ def random_recs(ids: DataFrame, n_candidates: int, k: int, seed: int = 42, id_co
     orders all candidates by a permutation of its own (``functions.permutation``)
     and gets the first ``k``: a uniform sample without replacement, whose
     positions are independent – the random baseline the reference quotes in
-    prose – without enumerating any user × item pairs.
+    prose – without enumerating any user × item pairs. The ids are dealt over
+    all shuffle partitions first: they are few bytes but much work, and adaptive
+    execution would leave them to as many tasks as their bytes fill.
     Output: (id_col, recommendations ARRAY<STRUCT<field INT, rating FLOAT>>),
     ratings 1, 1/2, 1/3, … in rank order.
     """
@@ -203,6 +206,7 @@ def random_recs(ids: DataFrame, n_candidates: int, k: int, seed: int = 42, id_co
     if m <= 0:
         empty = F.array().cast(f"array<struct<{field}:int,rating:float>>")
         return ids.select(id_col, empty.alias("recommendations"))
+    tasks = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     recs = F.transform(
         F.sequence(F.lit(0), F.lit(m - 1)),
         lambda j: F.struct(
@@ -210,7 +214,8 @@ def random_recs(ids: DataFrame, n_candidates: int, k: int, seed: int = 42, id_co
             (F.lit(1.0) / (j + F.lit(1))).cast("float").alias("rating"),
         ),
     )
-    return ids.select(id_col, recs.alias("recommendations"))
+    # a hash of the hash: by the id itself it would be dropped after a distinct
+    return ids.repartition(tasks, F.xxhash64(id_col)).select(id_col, recs.alias("recommendations"))
 
 
 def precision_random_expectation(test: DataFrame, n_items: int, k: int, user: str = "user", item: str = "item") -> DataFrame:

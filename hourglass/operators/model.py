@@ -120,20 +120,22 @@ def fit_als(
 def predict(model: ALSModel, test: DataFrame, keep_cold: bool = False) -> DataFrame:
     """``test`` + ``prediction`` FLOAT. Cold ids are dropped, or kept with a
     NaN prediction when ``keep_cold`` (so coverage can be measured in the
-    same pass)."""
+    same pass). Test rows and user factors both grow with the users and are
+    merged; no factor table of users passes the driver."""
     strategy = "nan" if keep_cold else "drop"
-    return model.copy().setColdStartStrategy(strategy).transform(test)
+    return model.copy().setColdStartStrategy(strategy).transform(test.hint("merge"))
 
 
 def recommend_for_users(model: ALSModel, k: int, users: DataFrame | None = None) -> DataFrame:
     """(user, recommendations ARRAY<STRUCT<item INT, rating FLOAT>>).
 
     With ``users`` only those users are scored (``recommendForUserSubset``),
-    instead of scoring everyone and filtering.
+    instead of scoring everyone and filtering; they are merged with the
+    factors, as both grow alike.
     """
     if users is None:
         return model.recommendForAllUsers(k)
-    return model.recommendForUserSubset(users, k)
+    return model.recommendForUserSubset(users.hint("merge"), k)
 
 
 def recommend_for_items(model: ALSModel, k: int, items: DataFrame | None = None) -> DataFrame:

@@ -128,3 +128,32 @@ def test_metric_properties(spark):
     assert rnd[10]["recall"] >= rnd[5]["recall"]
     for r in rnd.values():
         assert all(0.0 <= r[c] <= 1.0 for c in ("precision", "recall", "map"))
+
+
+def test_random_recs_use_all_shuffle_partitions(spark):
+    ids = spark.range(2000).select((F.col("id") % 500).cast("int").alias("user")).distinct()
+    recs = random_recs(ids, 40, 10)
+    counts = recs.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(counts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(r["count"] for r in counts) == 500
+
+
+def test_tables_of_users_are_merged_not_broadcast(spark):
+    from hourglass.operators.certificate import residuals
+    from hourglass.operators.model import ALSConfig, fit_als, predict, recommend_for_users
+
+    rows = spark.range(400).select((F.col("id") % 60).cast("int").alias("user"), (F.col("id") % 7).cast("int").alias("item"), F.lit(1.0).alias("rating"))
+    config = ALSConfig(rank=3, max_iter=1, num_blocks=2)
+    m = fit_als(rows, config)
+    recs = recommend_for_users(m, 3, rows.select("user").distinct())
+    cases = {
+        "ranking": (ranking_metrics(recs, rows, (3,)), 3),
+        "predict": (predict(m, rows, keep_cold=True), 1),
+        "recommend": (recs, 1),
+        "certificate": (residuals(m.userFactors, m.itemFactors, rows, config), 2),
+    }
+    for name, (df, merges) in cases.items():
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("SortMergeJoin") >= merges, name
+        assert "BroadcastHashJoin [user" not in plan and "BroadcastHashJoin [id" not in plan, name
