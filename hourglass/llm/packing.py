@@ -53,11 +53,14 @@ TIERS = (4096, 2048, 1024, 512, 256)
 GROUP_TOKENS = 8_000_000
 STEP_TOKENS = 1 << 17
 #: Words, and their lower-cased letter runs and punctuation, that a worker
-#: keeps between tasks.
-CACHE_WORDS = 400_000
-CACHE_STEMS = 900_000
+#: keeps between tasks; a slice of texts that has more keeps its own.
+CACHE_WORDS = 250_000
+CACHE_STEMS = 500_000
 WORDS_AT_ONCE = 4000
-BYTES_AT_ONCE = 16 << 20
+BYTES_AT_ONCE = 4 << 20
+PIECES_AT_ONCE = 1000
+#: The module that keeps a worker's encoders.
+_KEPT = "_packing_encoders"
 
 
 #: Plain words, a line each: letters below U+0250 and then ASCII punctuation,
@@ -104,8 +107,6 @@ class _Words:
             self.stems.update(zip(some, (data[a:b] for a, b in zip([0, *at], at))))
 
     def learn(self, words: list[str]) -> None:
-        if len(self.stems) > CACHE_STEMS:
-            self.stems = {}
         if self.ends is None:
             self.known.update((w, self._one(w)) for w in words)
             return
@@ -113,8 +114,11 @@ class _Words:
         parts = _PLAIN.findall("\n".join(words).lower()) if words else []
         if len(parts) != len(words):
             parts = [("", "")] * len(words)
-        new = set(chain.from_iterable(parts)).difference(self.stems)
+        asked = set(chain.from_iterable(parts))
+        new = asked.difference(self.stems)
         new.discard("")
+        if len(self.stems) + len(new) > CACHE_STEMS:
+            self.stems = {s: self.stems[s] for s in asked.difference(new) if s}
         self._stems(list(new))
         self.stems[""] = b""
         get, known, one = self.stems.__getitem__, self.known, self._one
@@ -129,7 +133,8 @@ class _Words:
         words = numbered.dictionary.to_pylist()
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > CACHE_WORDS:
-            self.known, new = {}, words
+            # those in use stay, and with them the frequent ones
+            self.known = {w: self.known[w] for w in words if w in self.known}
         self.learn(new)
         # the end of a text is one word more
         data = [*map(self.known.__getitem__, words), np.array([eos], self.kind).tobytes()]
@@ -151,7 +156,7 @@ def id_type(tok) -> str:
 
 def _words(path: str) -> _Words:
     """One encoder a worker: a module of its own keeps it between tasks."""
-    kept = sys.modules.setdefault("_packing_encoders", types.ModuleType("_packing_encoders")).__dict__
+    kept = sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT)).__dict__
     if path not in kept:
         kept[path] = _Words(path)
     return kept[path]
@@ -175,6 +180,7 @@ def token_table(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
                 whole = pa.binary() if ids.nbytes < 2**31 else pa.large_binary()
                 data = pa.Array.from_buffers(whole, len(rows), [None, offsets, pa.py_buffer(np.ascontiguousarray(ids))])
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(np.diff(at)), data.cast(pa.binary())], names=["doc_id", "n", "ids"])
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return written(rows.mapInArrow(run, "doc_id long, n long, ids binary").withColumn("row", F.monotonically_increasing_id()), "packing-ids")
@@ -264,13 +270,22 @@ def _pieces_of(docs: DataFrame, path: str, doc_id: str, text: str, group_tokens:
     return both.select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "sequence_length", "step_group", piece.alias("ids")), kind
 
 
+def _widen(batches: Iterator[pa.RecordBatch], kind: str, name: str, as_type: pa.DataType, made) -> Iterator[pa.RecordBatch]:
+    # a worker that encoded texts has no more use for its words
+    sys.modules.pop(_KEPT, None)
+    pa.default_memory_pool().release_unused()
+    for whole in batches:
+        for i in range(0, whole.num_rows, PIECES_AT_ONCE):
+            batch = whole.slice(i, PIECES_AT_ONCE)
+            wide = [made(np.frombuffer(x, kind).astype("<u4").tobytes()) for x in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(wide, as_type)], names=[*batch.schema.names[:-1], name])
+
+
 def _widened(stored: DataFrame, kind: str, name: str, as_type: pa.DataType, made) -> DataFrame:
     """``stored`` with ``made`` of each piece's ids as 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            wide = [made(np.frombuffer(x, kind).astype("<u4").tobytes()) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(wide, as_type)], names=[*batch.schema.names[:-1], name])
+        return _widen(batches, kind, name, as_type, made)
 
     return stored.mapInArrow(run, f"{PIECE}, {name} {'long' if as_type == pa.int64() else 'binary'}")
 

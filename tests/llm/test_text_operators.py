@@ -3,9 +3,11 @@ long texts, ties, repeated rows and columns whose names clash."""
 
 import hashlib
 import re
+import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -310,6 +312,37 @@ def test_packing_round_trip(docs, texts):
     assert all(r["ids_crc32"] == zlib.crc32(np.array(want[5][0][r["start"]:r["start"] + r["length"]], np.uint32).tobytes()) for r in some)
 
 
+def test_packing_keeps_few_words(monkeypatch):
+    """Full caches keep what is in use, stay within their bounds, and give the tokenizer's ids."""
+    monkeypatch.setattr(packing, "CACHE_WORDS", 60)
+    monkeypatch.setattr(packing, "CACHE_STEMS", 50)
+    enc = packing._Words(tokenizer_path(PACKING_TOKENIZER))
+    for k in range(6):
+        text = " ".join(f"often, {chr(97 + i)}{chr(97 + k)}w. Q{i}{k}" for i in range(20))
+        ids, at = enc.encode(pa.array([text, None]), 2)
+        assert ids.tolist() == [*enc.tok.encode(text, add_special_tokens=False).ids, 2, 2] and at.tolist() == [0, len(ids) - 1, len(ids)]
+        assert len(enc.known) <= 60 and len(enc.stems) <= 50 and "often," in enc.known
+    learned = []
+    monkeypatch.setattr(enc, "learn", learned.extend)
+    monkeypatch.setattr(packing, "CACHE_WORDS", 0)
+    enc.encode(pa.array([text]), 2)
+    assert learned == []
+
+
+def test_packing_frees_words():
+    """A worker drops its words before it reads pieces, and widens few pieces at a time."""
+    path = tokenizer_path(PACKING_TOKENIZER)
+    packing._words(path).encode(pa.array(["some words"]), 2)
+    n = 2 * packing.PIECES_AT_ONCE + 1
+    stored = [np.array([i % 65536, 7], "<u2").tobytes() for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(stored)], names=["doc_id", "ids"])
+    out = list(packing._widen(iter([batch]), "<u2", "crc", pa.int64(), zlib.crc32))
+    assert packing._KEPT not in sys.modules
+    assert max(b.num_rows for b in out) == packing.PIECES_AT_ONCE
+    got = pa.Table.from_batches(out).to_pydict()
+    assert got == {"doc_id": list(range(n)), "crc": [zlib.crc32(np.array([i % 65536, 7], "<u4").tobytes()) for i in range(n)]}
+
+
 def test_license_scan(spark):
     mit = license_scan.TEMPLATES[0][1].split()
     noisy = mit[:20] + ["really"] + mit[20:30] + mit[31:]
