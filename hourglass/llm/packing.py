@@ -32,12 +32,10 @@ are documents of their own. Texts of any length are packed whole.
 from __future__ import annotations
 
 import math
-import re
 import sys
 import types
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,18 +61,50 @@ PIECES_AT_ONCE = 1000
 _KEPT = "_packing_encoders"
 
 
-#: Plain words, a line each: letters below U+0250 and then ASCII punctuation,
-#: which the tokenizer splits just there. Other lines match with empty parts.
-_PLAIN = re.compile("^(?:([a-zß-öø-ɏ]+)([!-&(-/:-@\\[-`{-~']*)|.*)$", re.M)
+#: A plain word, lower-cased: letters below U+0250 and then ASCII punctuation,
+#: which the tokenizer splits just there.
+_PLAIN = "^(?P<a>[a-zß-öø-ɏ]+)(?P<b>[!-&(-/:-@\\[-`{-~']*)$"
+
+
+class _Kept:
+    """Different strings with the ids of each, as two Arrow arrays: a string
+    costs its bytes and offsets, and many are looked up in one call."""
+
+    def __init__(self):
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def __contains__(self, word: str) -> bool:
+        return pc.index(self.words, word).as_py() >= 0
+
+    def look(self, words: pa.Array, learn: Callable[[pa.Array], pa.Array], limit: int) -> pa.Array:
+        """The ids of each of ``words``, which differ; ``learn`` gives those of
+        new ones. Beyond ``limit`` only these words stay."""
+        at = pc.index_in(words, value_set=self.words)
+        new, ids = words.filter(at.is_null()), self.ids
+        if len(new):
+            ids = pa.concat_arrays([ids, learn(new)])
+            place = at.fill_null(-1).to_numpy().copy()
+            place[place < 0] = np.arange(len(self.words), len(ids))
+            at = pa.array(place)
+        found = ids.take(at)
+        if len(ids) > limit:
+            # those in use stay, and with them the frequent ones
+            self.words, self.ids = words, found
+        elif len(new):
+            self.words, self.ids = pa.concat_arrays([self.words, new]), ids
+        return found
 
 
 class _Words:
     """Ids of the words of texts, each word encoded once.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words in turn. Arrow splits the texts and numbers the
-    different words of a batch, so that Python sees a word once a batch and the
-    ids are gathered by number. New words are encoded many at a time: a stretch
+    are those of its words in turn. Arrow splits the texts, numbers the
+    different words of a batch, looks them up and puts their ids in place; no
+    word is a Python object. New words are encoded many at a time: a stretch
     of plain words and punctuation is one call, and its ids are cut at the pieces
     that end a word."""
 
@@ -88,65 +118,67 @@ class _Words:
         if sum(v.endswith("</w>") for v in vocab) > 1000:
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for v, i in vocab.items() if v.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.known, self.stems = _Kept(), _Kept()
 
-    def _one(self, word: str) -> bytes:
-        return np.array(self.tok.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+    def _each(self, words: pa.Array) -> pa.Array:
+        ids = (self.tok.encode(w, add_special_tokens=False).ids for w in words.to_pylist())
+        return pa.array([np.array(i, self.kind).tobytes() for i in ids], pa.large_binary())
 
-    def _stems(self, stems: list[str]) -> None:
+    def _stems(self, stems: pa.Array) -> pa.Array:
+        out = [pa.array([], pa.large_binary())]
         for i in range(0, len(stems), WORDS_AT_ONCE):
-            some = stems[i:i + WORDS_AT_ONCE]
+            some = stems.slice(i, WORDS_AT_ONCE)
             # ids alone: no offsets of the characters are worked out
-            ids = np.array(self.tok.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ids = np.array(self.tok.encode_batch_fast([" ".join(some.to_pylist())], add_special_tokens=False)[0].ids, self.kind)
             stop = np.flatnonzero(self.ends[ids]) + 1
-            if len(stop) != len(some):
-                self.stems.update((s, self._one(s)) for s in some)
-                continue
-            data, at = ids.tobytes(), (stop * self.kind.itemsize).tolist()
-            self.stems.update(zip(some, (data[a:b] for a, b in zip([0, *at], at))))
+            out.append(_cut(ids, np.r_[0, stop]) if len(stop) == len(some) else self._each(some))
+        return pa.concat_arrays(out)
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: pa.Array) -> pa.Array:
+        """The ids of new words."""
         if self.ends is None:
-            self.known.update((w, self._one(w)) for w in words)
-            return
-        # a word that isn't plain gives two empty parts
-        parts = _PLAIN.findall("\n".join(words).lower()) if words else []
-        if len(parts) != len(words):
-            parts = [("", "")] * len(words)
-        asked = set(chain.from_iterable(parts))
-        new = asked.difference(self.stems)
-        new.discard("")
-        if len(self.stems) + len(new) > CACHE_STEMS:
-            self.stems = {s: self.stems[s] for s in asked.difference(new) if s}
-        self._stems(list(new))
-        self.stems[""] = b""
-        get, known, one = self.stems.__getitem__, self.known, self._one
-        for w, (a, b) in zip(words, parts):
-            known[w] = get(a) + get(b) if a else one(w)
+            return self._each(words)
+        # a word that isn't plain has no parts; the lower case of U+0130 is two characters
+        parts = pc.extract_regex(pc.utf8_lower(words), _PLAIN)
+        plain = pc.and_(parts.is_valid(), pc.invert(pc.match_substring(words, "\u0130")))
+        parts = parts.filter(plain)
+        both = pa.concat_arrays([parts.field(0), parts.field(1)]).dictionary_encode()
+        stems = both.dictionary
+        full = pc.not_equal(stems, "")
+        ids = self.stems.look(stems.filter(full), self._stems, CACHE_STEMS)
+        # an empty part has no ids
+        mask = full.to_numpy(zero_copy_only=False)
+        place = np.where(mask, np.cumsum(mask) - 1, len(ids))
+        ids = pa.concat_arrays([ids, pa.array([b""], pa.large_binary())]).take(pa.array(place).take(both.indices))
+        n = len(parts)
+        joined = pc.binary_join_element_wise(ids.slice(0, n), ids.slice(n), pa.scalar(b"", pa.large_binary()))
+        other = pc.invert(plain)
+        both = pa.concat_arrays([joined, self._each(words.filter(other))])
+        mask = plain.to_numpy(zero_copy_only=False)
+        return both.take(pa.array(np.where(mask, np.cumsum(mask), n + np.cumsum(~mask)) - 1))
 
     def encode(self, texts: pa.Array, eos: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts on end, each with ``eos`` behind, and where each
         text begins (one place more than texts)."""
         lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        if not len(lists):
+            return np.zeros(0, self.kind), np.zeros(1, np.int64)
         numbered = lists.flatten().dictionary_encode()
-        words = numbered.dictionary.to_pylist()
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            # those in use stay, and with them the frequent ones
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        self.learn(new)
+        words = numbered.dictionary.cast(pa.string())
+        ids = self.known.look(words, self.learn, CACHE_WORDS)
         # the end of a text is one word more
-        data = [*map(self.known.__getitem__, words), np.array([eos], self.kind).tobytes()]
-        flat = np.frombuffer(b"".join(data), self.kind)
-        size = np.fromiter(map(len, data), np.int64, len(data)) // self.kind.itemsize
-        begin = np.cumsum(size) - size
+        ids = pa.concat_arrays([ids, _cut(np.array([eos], self.kind), np.array([0, 1]))])
         ends = lists.offsets.to_numpy()[1:] - lists.offsets.to_numpy()[0]
-        which = np.insert(numbered.indices.to_numpy().astype(np.int64), ends, len(words))
-        n = size[which]
-        stop = np.cumsum(n)
-        out = flat[np.repeat(begin[which] - (stop - n), n) + np.arange(stop[-1] if len(stop) else 0)]
-        return out, np.r_[0, stop[ends + np.arange(len(ends))]] if len(ends) else np.zeros(1, np.int64)
+        out = ids.take(pa.array(np.insert(numbered.indices.to_numpy(), ends, len(words))))
+        _, at, data = out.buffers()
+        at = np.frombuffer(at, np.int64) // self.kind.itemsize
+        return np.frombuffer(data or b"", self.kind, at[-1]), np.r_[0, at[ends + np.arange(1, len(ends) + 1)]]
+
+
+def _cut(ids: np.ndarray, at: np.ndarray) -> pa.Array:
+    """``ids`` cut at places, from 0 to their number, as bytes."""
+    offsets = pa.py_buffer(at.astype(np.int64) * ids.itemsize)
+    return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, offsets, pa.py_buffer(ids)])
 
 
 def id_type(tok) -> str:

@@ -329,6 +329,23 @@ def test_packing_keeps_few_words(monkeypatch):
     assert learned == []
 
 
+def test_packing_words_are_no_python_objects(monkeypatch):
+    """Words met before are looked up and put in place by Arrow alone, with the tokenizer's ids
+    for every letter whose lower case may be plain."""
+    enc = packing._Words(tokenizer_path(PACKING_TOKENIZER))
+    letters = [chr(c) for c in [*range(1, 0x250), 0x3A3, 0x1E9E, 0x2126, 0x212A, 0x212B, 0x2C62, 0x2C64, 0x1F600]]
+    texts = [None, "", *(f"A{c}b {c}{c}. x{c} Q.{c},{c}" for c in letters), "Don't stop,now. 3.14 $5 (ok)!!! ...", "Word" * 200]
+    want = [[*enc.tok.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    for again in (False, True):
+        if again:
+            monkeypatch.setattr(enc, "tok", None)
+        ids, at = enc.encode(pa.array(["skipped" * (not again), *texts]).slice(1), 2)
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want and at[-1] == len(ids)
+    assert isinstance(enc.known.words, pa.Array) and isinstance(enc.stems.words, pa.Array)
+    ids, at = enc.encode(pa.array([], pa.string()), 2)
+    assert not len(ids) and at.tolist() == [0]
+
+
 def test_packing_frees_words():
     """A worker drops its words before it reads pieces, and widens few pieces at a time."""
     path = tokenizer_path(PACKING_TOKENIZER)
