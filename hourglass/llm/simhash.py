@@ -134,7 +134,8 @@ def edges(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
     sizes = rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("z")).where("n > 1")
     # two members need no task: their link is decided on the spot
     pair = sizes.where("n = 2").where(F.bit_count(F.col("a").bitwiseXOR(F.col("z"))) <= radius).select(F.col("a").alias("u"), F.col("z").alias("v"))
-    many = rows.join(sizes.where("n > 2").select("t", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), ["t", "key"])
+    # merged, as Spark takes rows to be no larger than ``fps`` and would broadcast them
+    many = rows.join(sizes.where("n > 2").select("t", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks")).hint("merge"), ["t", "key"])
     # block i meets block j in the bucket part (i, j), i <= j
     own = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).otherwise(F.lit(0))
     parts = many.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

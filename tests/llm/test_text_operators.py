@@ -227,6 +227,14 @@ def test_oversize_buckets_lose_no_link(spark):
     assert found[0] == found[1]
 
 
+def test_bucket_rows_are_not_broadcast(spark, tmp_path):
+    """A row of each mask is many times the fingerprints, whose file is small."""
+    at = str(tmp_path / "fps")
+    spark.range(4000).select(F.xxhash64("id").alias("fp")).write.parquet(at)
+    plan = simhash.edges(spark.read.parquet(at))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def suffix_brute(rows):
     """rows (key, bytes), one a document, in order; equal rows are one."""
     first, docs = {}, sorted(set(rows), key=lambda r: (r[0], hashlib.sha256(r[1]).hexdigest()))
