@@ -103,18 +103,29 @@ def fit_als(
     train: DataFrame,
     config: ALSConfig = BASELINE,
     max_ratings_per_id: int | None = None,
+    spare_disk: bool = False,
     **cols,
 ) -> ALSModel:
     """Fit ALS on ``train`` (user INT, item INT, rating DOUBLE).
 
     ``max_ratings_per_id`` checks ``id_load`` first and refuses to start a fit
     whose largest task would exceed it, instead of failing deep inside it.
+
+    Every iteration shuffles each user's factors to the item blocks that need
+    them, by far the most a fit writes. MLlib deletes that shuffle when it
+    checkpoints the item factors made from it; those of the iterations between
+    two checkpoints stay. With ``spare_disk`` the item factors are checkpointed
+    in every iteration, whatever ``config.checkpoint_interval`` (but -1, never),
+    so that a fit holds one such shuffle at a time. The factors are the same.
     """
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
     if max_ratings_per_id is not None:
         check_id_load(train, max_ratings_per_id)
-    return make_als(config, **cols).fit(train)
+    als = make_als(config, **cols)
+    if spare_disk and config.checkpoint_interval > 0:
+        als = als.setCheckpointInterval(1)
+    return als.fit(train)
 
 
 def predict(model: ALSModel, test: DataFrame, keep_cold: bool = False) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import RUN_NAME_FORMAT, run_name
+from ..session import sweep
 from ..sources.runs import RUN_COLUMNS, RUNS, append_runs, read_runs, runs_frame
 from .certificate import certificate
 from .metrics import ranking_metrics, score_report
@@ -69,14 +70,15 @@ def evaluate_config(
     The record's metric columns are those at K = 10, so ``k`` must be 10.
     With ``release`` the model's own cached factor RDDs are unpersisted as soon
     as it is measured (at scale a user-factor table is tens of GB; 27 of them
-    must not wait for garbage collection). ``test_users`` may pass the distinct
+    must not wait for garbage collection), and the fit spares disk
+    (``fit_als(spare_disk=True)``). ``test_users`` may pass the distinct
     test users, so a search computes them once. With ``certify`` the fit is held
     against its normal equations, and the record says if they hold.
     """
     if k != K_RECORD:
         raise ValueError(f"a run record holds the metrics at K = {K_RECORD}; use ranking_metrics for K = {k}")
     t0 = time.perf_counter()
-    model = fit_als(train, config)
+    model = fit_als(train, config, spare_disk=release)
     fit_s = time.perf_counter() - t0
     report = score_report(predict(model, test, keep_cold=True)).first()
     recs = recommend_for_users(model, k, test.select("user").distinct() if test_users is None else test_users)
@@ -152,7 +154,8 @@ def grid_search(
     configurations), so it is the one thing read back to the driver.
     ``parallelism`` > 1 submits several fits at once from a thread pool, as
     ``CrossValidator(parallelism=…)`` does. Each fit's cached factors are
-    released once it is measured.
+    released and its shuffle files deleted once it is measured, so the disk
+    that a search takes grows with the fits at work and not with the grid.
 
     With ``max_ratings_per_id`` the search first checks ``id_load`` and stops
     up front if one user or item has more ratings; the default is no bound.
@@ -184,6 +187,7 @@ def grid_search(
 
         def one(c: ALSConfig) -> dict:
             row = evaluate_config(train, test, c, k, split_id, release=True, test_users=test_users, data_id=data, certify=certify)
+            sweep(spark)
             if log_path is not None:
                 append_runs(runs_frame(spark, [row]), log_path)
             return row

@@ -9,9 +9,11 @@ sessions (tests, benches) where it is unset.
 
 from __future__ import annotations
 
+import gc
 import math
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -153,6 +155,21 @@ def stable_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -
     return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Have Spark delete what no DataFrame or model refers to any more: shuffle
+    files, cached blocks, broadcasts, RDD checkpoints. Its cleaner learns of
+    them from the driver's garbage collector only, which by itself may not run
+    for as long as the driver has memory left, while the executors' disks fill.
+    """
+    gc.collect()  # Python's references to JVM objects, where they lie in cycles
+    # py4j passes on what Python has dropped from a queue, about once a second
+    dropped = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", ())
+    until = time.monotonic() + 3
+    while dropped and time.monotonic() < until:
+        time.sleep(0.05)
+    spark.sparkContext._jvm.System.gc()
+
+
 def default_parallelism(spark: SparkSession) -> int:
     try:
         return max(1, int(spark.sparkContext.defaultParallelism))

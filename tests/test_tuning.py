@@ -128,3 +128,67 @@ def test_resume_tells_settings_and_data_apart(spark):
     assert read_runs(spark, log).count() == 5
     with pytest.raises(ValueError, match="K = 5"):
         grid_search(train, test, grid, base=base, k=5)
+
+
+def _shuffle_bytes(spark) -> int:
+    """Bytes of the shuffle files of this local session."""
+    import os
+
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    found = [os.path.join(at, f) for d in dirs for at, _, names in os.walk(d.getPath()) for f in names if f.startswith("shuffle_")]
+    return sum(os.path.getsize(f) for f in found if os.path.exists(f))
+
+
+def _settles_below(spark, most: int) -> int:
+    """Bytes once they are below ``most``, or after ten seconds: Spark deletes files in the background."""
+    import time
+
+    for _ in range(100):
+        if (now := _shuffle_bytes(spark)) < most:
+            break
+        time.sleep(0.1)
+    return now
+
+
+def test_a_search_holds_the_shuffles_of_one_iteration(spark, monkeypatch):
+    import time
+
+    from hourglass.operators import ALSConfig, grid_search, tuning
+
+    n_users, rank, blocks = 2000, 16, 4
+    train = spark.range(n_users).selectExpr("int(id) user", "explode(sequence(0, 11)) j").selectExpr("user", "(user + j * 7) % 40 item", "double(1 + j % 3) rating")
+    test = train.where("item = user % 40")
+    grid = param_grid(spark, ranks=(rank,), reg_params=(0.1, 0.5), max_iters=(9,))
+    once = n_users * blocks * rank * 4  # the factors of every user, sent to every block of items
+    fit, held = tuning.fit_als, []
+
+    def watched(*a, **kw):
+        model = fit(*a, **kw)
+        held.append(_settles_below(spark, start + 3 * once) - start)
+        return model
+
+    monkeypatch.setattr(tuning, "fit_als", watched)
+    spark._jvm.System.gc()
+    time.sleep(1)  # what other tests left is deleted first
+    start = _shuffle_bytes(spark)
+    runs = grid_search(train, test, grid, base=ALSConfig(num_blocks=blocks), parallelism=1, certify=True)
+    assert _settles_below(spark, start + once) - start < once  # and what the two fits left is deleted
+    assert len(held) == 2 and max(held) < 3 * once  # nine iterations would be above six
+    assert [(r["checkpoint_interval"], r["certified"], r["n_scored"]) for r in runs.collect()] == [(10, True, test.count())] * 2
+
+
+def test_sparing_disk_fits_the_same_factors(spark):
+    import numpy as np
+
+    from hourglass.operators import ALSConfig, fit_als
+
+    train = spark.range(60).selectExpr("int(id) user", "explode(sequence(0, 5)) j").selectExpr("user", "(user + j * 3) % 20 item", "double(1 + j % 3) rating")
+    for other in ({}, {"implicit": False}, {"checkpoint_interval": -1}):
+        config = ALSConfig(rank=3, max_iter=2, num_blocks=2, **other)
+        plain, spare = fit_als(train, config), fit_als(train, config, spare_disk=True)
+        for side in ("userFactors", "itemFactors"):
+            a, b = ([(r["id"], r["features"]) for r in getattr(m, side).orderBy("id").collect()] for m in (plain, spare))
+            assert [x[0] for x in a] == [x[0] for x in b]
+            assert np.allclose([x[1] for x in a], [x[1] for x in b], atol=1e-4)
+        cut = "ReliableCheckpointRDD" in spare.itemFactors.rdd.toDebugString().decode()
+        assert cut == (config.checkpoint_interval > 0)
