@@ -39,6 +39,9 @@ K_RECORD = 10
 # Fits submitted at once by default; a plain number, so a search does the same
 # work on every cluster.
 PARALLEL_FITS = 4
+# Seconds of a fit from which its measuring sweeps after each step: a sweep takes
+# about a second, and what short fits write is little.
+LONG_FIT_S = 20
 
 
 def param_grid(
@@ -70,8 +73,9 @@ def evaluate_config(
     The record's metric columns are those at K = 10, so ``k`` must be 10.
     With ``release`` the model's own cached factor RDDs are unpersisted as soon
     as it is measured (at scale a user-factor table is tens of GB; 27 of them
-    must not wait for garbage collection), and the fit spares disk
-    (``fit_als(spare_disk=True)``). ``test_users`` may pass the distinct
+    must not wait for garbage collection), the fit spares disk
+    (``fit_als(spare_disk=True)``), and after a long fit the shuffle files of
+    each step are deleted before the next. ``test_users`` may pass the distinct
     test users, so a search computes them once. With ``certify`` the fit is held
     against its normal equations, and the record says if they hold.
     """
@@ -80,9 +84,18 @@ def evaluate_config(
     t0 = time.perf_counter()
     model = fit_als(train, config, spare_disk=release)
     fit_s = time.perf_counter() - t0
+
+    def step_done() -> None:
+        if release and fit_s > LONG_FIT_S:
+            sweep(train.sparkSession)
+
+    step_done()
     report = score_report(predict(model, test, keep_cold=True)).first()
+    step_done()
     recs = recommend_for_users(model, k, test.select("user").distinct() if test_users is None else test_users)
     m = ranking_metrics(recs, test, ks=(k,)).first()
+    del recs
+    step_done()
     certified = bool(certificate(model, train, config).first()["certified"]) if certify else None
     if release:
         release_factors(model)
